@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from placeseek.functions.phonetic import phonetic_code, register_sql_functions, soundex_code
 from placeseek.functions.text import explode_words, search_text, title_case
@@ -33,9 +34,18 @@ from placeseek.plans.search import (
     search_documents,
     word_corpus,
 )
+from placeseek.plans.files import (
+    COUNTRY_SCHEMA,
+    dump_workbooks,
+    enrich_from_files,
+    read_country_workbooks,
+    read_excel,
+)
 from placeseek.plans.shapes import part_as_workbook, states_from_nation
 from placeseek.session import scratch_path
 from placeseek.sinks.index import append_to_index, json_lines, register_view
+from placeseek.sources.excel import register_excel
+from placeseek.sources.files import column_audit, list_files
 from placeseek.sources.tables import read_csv_strings, read_table, read_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +54,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 PART_SEARCH = "smal rng"
 DOC_SEARCH = "erblest therouou"
 SOUND_SEARCH = "erblest therouou"
+NATION_COLUMNS = ("n_nationkey", "n_name", "n_regionkey")
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -255,6 +266,115 @@ def q_csv_scan_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_strings(spark, target)
 
 
+# --------------------------------------------------------------- Excel, files
+
+
+def _write_excel(df: DataFrame, folder: str, split_by: str | None = None) -> None:
+    register_excel(df.sparkSession)
+    writer = df.write.format("excel").mode("append")
+    if split_by:
+        writer = writer.option("splitBy", split_by)
+    writer.save(folder)
+
+
+def _nation_workbooks(spark: SparkSession, sf_dir: str) -> str:
+    """``nation`` as one workbook per region (plus the writer's _SUCCESS)."""
+    folder = scratch_path(spark, "nation-xlsx")
+    nation = _t(spark, sf_dir, "nation")
+    _write_excel(nation.repartition("n_regionkey"), folder, split_by="n_regionkey")
+    return folder
+
+
+def q_excel_scan_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "nation-one-xlsx")
+    _write_excel(_t(spark, sf_dir, "nation").coalesce(1), folder)
+    schema = StructType([StructField(n, StringType(), True) for n in NATION_COLUMNS])
+    return read_excel(spark, f"{folder}/part-00000.xlsx", schema)
+
+
+def q_excel_scan_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _nation_workbooks(spark, sf_dir)
+    schema = StructType(
+        [
+            StructField("n_nationkey", IntegerType(), True),
+            StructField("n_name", StringType(), True),
+            StructField("n_regionkey", IntegerType(), True),
+        ]
+    )
+    return read_excel(spark, f"{folder}/*.xlsx", schema)
+
+
+def q_excel_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_excel(spark, f"{_nation_workbooks(spark, sf_dir)}/*.xlsx", infer=True)
+
+
+def q_excel_list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return list_files(spark, _nation_workbooks(spark, sf_dir)).select("file")
+
+
+def q_file_column_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _nation_workbooks(spark, sf_dir)
+    _write_excel(_t(spark, sf_dir, "region").coalesce(1), folder)
+    return column_audit(spark, folder).select("file", "ordinal", "column")
+
+
+def q_enrich_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation, region = _t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region")
+    cust = left_join(_t(spark, sf_dir, "customer"), nation, [("c_nationkey", "n_nationkey")])
+    null = F.lit(None).cast("string")
+    cities = cust.select(
+        F.col("c_custkey").cast("string").alias("SKU IBGE"),
+        F.col("n_regionkey").cast("string").alias("Sigla País"),
+        F.col("c_mktsegment").alias("Tipo"),
+        null.alias("Ordem Alfabética País"),
+        null.alias("SKU Fériaz"),
+        F.col("c_name").alias("Município"),
+        F.lower("c_mktsegment").alias("País"),
+        null.alias("Região"),
+        F.col("c_nationkey").cast("string").alias("UF"),
+        null.alias("Região Turística"),
+        null.alias("Arrecadação"),
+        null.alias("Cluster"),
+    )
+    cities_dir = scratch_path(spark, "cities-xlsx")
+    _write_excel(cities, cities_dir)
+    states = left_join(nation, region, [("n_regionkey", "r_regionkey")]).select(
+        F.col("n_nationkey").cast("string").alias("local_code"),
+        F.col("n_name").alias("name"),
+        F.col("r_name").alias("continent"),
+        F.col("n_regionkey").cast("string").alias("iso_country"),
+    )
+    states_dir = scratch_path(spark, "states-csv")
+    states.write.option("header", True).csv(states_dir)
+    return enrich_from_files(spark, f"{cities_dir}/*.xlsx", states_dir)
+
+
+def _part_workbooks(spark: SparkSession, sf_dir: str) -> str:
+    """``part`` as country workbooks with the reference's headers, 4 files."""
+    wb = part_as_workbook(_t(spark, sf_dir, "part"))
+    headers = [f.name for f in COUNTRY_SCHEMA.fields]
+    folder = scratch_path(spark, "country-xlsx")
+    _write_excel(wb.toDF(*headers).repartition(4, "linha"), folder)
+    return f"{folder}/*.xlsx"
+
+
+def q_workbook_search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_documents(read_country_workbooks(spark, _part_workbooks(spark, sf_dir)))
+
+
+def q_workbook_fuzzy_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read_country_workbooks(spark, _part_workbooks(spark, sf_dir))
+    return fuzzy_search(word_corpus(table), PART_SEARCH)
+
+
+def q_workbook_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dump_workbooks(spark, _part_workbooks(spark, sf_dir))[0]
+
+
+def q_workbook_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dump_workbooks(spark, _part_workbooks(spark, sf_dir))[1]
+
+
 QUERIES: dict[str, Query] = {
     "enrich_cities": q_enrich_cities,
     "left_join_two_keys": q_left_join_two_keys,
@@ -282,4 +402,14 @@ QUERIES: dict[str, Query] = {
     "json_lines": q_json_lines,
     "append_sink_roundtrip": q_append_sink_roundtrip,
     "csv_scan_strings": q_csv_scan_strings,
+    "excel_scan_schema": q_excel_scan_schema,
+    "excel_scan_glob": q_excel_scan_glob,
+    "excel_scan_inferred": q_excel_scan_inferred,
+    "excel_list_files": q_excel_list_files,
+    "file_column_audit": q_file_column_audit,
+    "enrich_from_files": q_enrich_from_files,
+    "workbook_search_documents": q_workbook_search_documents,
+    "workbook_fuzzy_search": q_workbook_fuzzy_search,
+    "workbook_json_lines": q_workbook_json_lines,
+    "workbook_row_count": q_workbook_row_count,
 }

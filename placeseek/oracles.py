@@ -71,6 +71,20 @@ _PART_MATCHES = (
     f"WHERE {sql_distance_below('w.palavras', 't.term')})"
 )
 
+_NATION_FILES = "SELECT DISTINCT 'n_regionkey=' || n_regionkey || '.xlsx' AS file FROM nation"
+_PART_WB_FILES = (
+    "SELECT linha, municipio, tipo, h, cep, '' AS sku_pais, sku_municipio FROM (" + _PART_WB + ")"
+)
+_PART_FILES_MATCHES = _PART_MATCHES.replace(_PART_WB, _PART_WB_FILES)
+
+
+def _columns_of(table: str) -> str:
+    return (
+        "SELECT CAST(ordinal_position - 1 AS INTEGER) AS ordinal, column_name AS \"column\" "
+        f"FROM information_schema.columns WHERE table_name = '{table}'"
+    )
+
+
 ORACLES: dict[str, str] = {
     "enrich_cities": (
         "SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment, "
@@ -163,6 +177,47 @@ ORACLES: dict[str, str] = {
     "view_select_star": "SELECT * FROM region",
     "json_lines": "SELECT to_json(n)::VARCHAR AS value FROM nation n",
     "append_sink_roundtrip": "SELECT * FROM nation UNION ALL SELECT * FROM nation",
+    "excel_scan_schema": (
+        "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, "
+        "CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation"
+    ),
+    "excel_scan_glob": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "excel_scan_inferred": (
+        "SELECT CAST(n_nationkey AS DOUBLE) AS n_nationkey, n_name, "
+        "CAST(n_regionkey AS DOUBLE) AS n_regionkey FROM nation"
+    ),
+    "excel_list_files": _NATION_FILES,
+    "file_column_audit": (
+        f"SELECT f.file, c.ordinal, c.\"column\" FROM ({_NATION_FILES}) f, ({_columns_of('nation')}) c "
+        f"UNION ALL SELECT 'part-00000.xlsx' AS file, c.ordinal, c.\"column\" FROM ({_columns_of('region')}) c"
+    ),
+    "enrich_from_files": (
+        "SELECT CAST(c.c_custkey AS VARCHAR) AS skuIBGE, CAST(n.n_regionkey AS VARCHAR) AS siglaPais, "
+        "c.c_mktsegment AS type, '' AS ordemAlfabetica, '' AS skuFeriaz, c.c_name AS municipio, "
+        "lower(c.c_mktsegment) AS pais, '' AS regiao, CAST(c.c_nationkey AS VARCHAR) AS uf, "
+        "'' AS regiaoTuristica, '' AS arrecadacao, '' AS cluster, "
+        f"{sql_initcap('c.c_mktsegment')} AS paisCamel, s.n_name AS nomeEstado, s.r_name AS continente "
+        "FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey "
+        "LEFT JOIN (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey) s "
+        "ON CAST(n.n_regionkey AS VARCHAR) = CAST(s.n_regionkey AS VARCHAR) "
+        "AND CAST(c.c_nationkey AS VARCHAR) = CAST(s.n_nationkey AS VARCHAR)"
+    ),
+    "workbook_search_documents": (
+        "SELECT linha, municipio, tipo, h, cep, sku_pais AS skuPais, "
+        f"sku_municipio AS skuMunicipio, {_PART_TEXT} AS search_phonetic FROM ({_PART_WB_FILES})"
+    ),
+    "workbook_fuzzy_search": (
+        "SELECT linha, municipio AS municipios, tipo, h, cep, sku_pais AS paisSKU, "
+        f"sku_municipio AS municipioSKU FROM ({_PART_FILES_MATCHES}) "
+        "ORDER BY 1 NULLS FIRST, 2 NULLS FIRST, 3 NULLS FIRST, 4 NULLS FIRST, "
+        "5 NULLS FIRST, 6 NULLS FIRST, 7 NULLS FIRST LIMIT 10"
+    ),
+    "workbook_json_lines": (
+        "SELECT to_json({'linha': linha, 'Municípios': municipio, 'Tipo': tipo, 'H': h, "
+        "'CEP': cep, 'SKU País': sku_pais, 'SKU Município': sku_municipio})::VARCHAR AS value "
+        f"FROM ({_PART_WB_FILES})"
+    ),
+    "workbook_row_count": "SELECT count(*) AS n FROM part",
     "csv_scan_strings": (
         "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, "
         "CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation"

@@ -1 +1,17 @@
-"""placeseek."""
+"""Sources: Excel workbooks, CSV, views, file listing and column audit."""
+
+from placeseek.sources.excel import ExcelDataSource, list_workbooks, read_header, register_excel
+from placeseek.sources.files import column_audit, list_files
+from placeseek.sources.tables import read_csv_strings, read_table, read_view
+
+__all__ = [
+    "ExcelDataSource",
+    "column_audit",
+    "list_files",
+    "list_workbooks",
+    "read_csv_strings",
+    "read_header",
+    "read_table",
+    "read_view",
+    "register_excel",
+]
