@@ -8,12 +8,18 @@ Strategy, chosen per call and not left to chance:
 * The right side is broadcast only after ``fits_in_rows`` has proved it has
   at most ``broadcast_rows`` rows.  A broadcast hash join streams the left
   side without any shuffle, so a hot key on the left costs nothing extra.
-* Otherwise both sides shuffle on the keys.  Adaptive execution splits a
-  skewed partition of the *left* side of a left outer join.  When the
-  right side may carry a hot key (``right_skew=True``) the left outer join
-  is written as an inner join (either side may be split) plus the left rows
-  whose key is absent from the right's *distinct* keys; the distinct is a
-  partial aggregate, so a hot key collapses before the shuffle.
+* Otherwise both sides shuffle on the keys (a sort-merge join; the right
+  side carries a ``merge`` hint so no size *estimate* can turn it into a
+  broadcast).  Adaptive execution splits a skewed partition of the left
+  side of a left outer join.
+* When the right side may carry hot keys (``right_skew=True``), the join
+  is salted.  A per-key row count of the right side (a partial aggregate:
+  a hot key collapses map-side) finds the keys with more than ``salt_rows``
+  rows; each such key is spread over ``ceil(rows / salt_rows)`` buckets by
+  a hash of the right row, and its left rows are copied once per bucket.
+  The keyed-and-salted inner join then gives every task a bounded share;
+  left rows whose key is absent from the right follow from an anti join
+  against the (distinct) counted keys.
 """
 
 from __future__ import annotations
@@ -21,7 +27,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placeseek.session import fits_in_rows
@@ -31,6 +37,10 @@ KeyPairs = Sequence[tuple[str, str]]
 # Largest right side (rows) that is broadcast after a size check.  Only the
 # right side's join keys and carried columns are broadcast.
 DEFAULT_BROADCAST_ROWS = 500_000
+# Rows of one right key that one task may take before the key is salted.
+SALT_ROWS = 1_000_000
+# Most hot keys whose bucket counts are broadcast (else they are shuffled).
+MAX_HOT_KEYS = 100_000
 
 
 def _condition(left: DataFrame, right: DataFrame, on: KeyPairs) -> Column:
@@ -44,6 +54,58 @@ def maybe_broadcast(df: DataFrame, max_rows: int | None) -> tuple[DataFrame, boo
     return df, False
 
 
+def key_counts(right: DataFrame, rkeys: Sequence[str], name: str = "_k") -> DataFrame:
+    """Rows per key of ``right`` (null keys left out: they never match)."""
+    keyed = right.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in rkeys]))
+    return keyed.groupBy(*rkeys).agg(F.count(F.lit(1)).alias(name))
+
+
+def _salt_sides(
+    left: DataFrame,
+    right: DataFrame,
+    on: KeyPairs,
+    counts: DataFrame,
+    salt_rows: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a bucket column (``_lsalt`` / ``_salt``).
+
+    Hot right keys (more than ``salt_rows`` rows) get ``_s`` buckets and
+    their row count in ``_hot_k``; other keys have one bucket, 0.  The hot
+    key table is broadcast when its size check passes, so tagging the rows
+    needs no shuffle of the (skewed) sides themselves.
+    """
+    rkeys = [rc for _, rc in on]
+    hot = counts.where(F.col("_k") > salt_rows).select(
+        *rkeys,
+        F.ceil(F.col("_k") / F.lit(salt_rows)).cast("int").alias("_s"),
+        F.col("_k").alias("_hot_k"),
+    )
+    hot, _ = maybe_broadcast(hot, MAX_HOT_KEYS)
+    r = right.join(hot, rkeys, "left").select(*right.columns, "_s", "_hot_k").withColumn(
+        "_salt",
+        F.when(F.col("_s").isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64(*right.columns), F.col("_s")).cast("int")
+        ),
+    )
+    # the same (broadcast) hot table tags the left rows: one copy per bucket
+    lx = left.join(hot, _condition(left, hot, on), "left").select(
+        *[left[c] for c in left.columns],
+        F.explode(F.sequence(F.lit(0), F.coalesce(hot["_s"], F.lit(1)) - 1)).alias("_lsalt"),
+    )
+    return lx, r
+
+
+def _unmatched(left: DataFrame, counts: DataFrame, on: KeyPairs) -> DataFrame:
+    """Left rows whose key is not among the right's counted (distinct) keys."""
+    keys = counts.select(*[rc for _, rc in on]).hint("merge")
+    return left.join(keys, _condition(left, keys, on), "left_anti")
+
+
+def _salted_match(lx: DataFrame, r: DataFrame, on: KeyPairs) -> DataFrame:
+    cond = _condition(lx, r, on) & (lx["_lsalt"] == r["_salt"])
+    return lx.join(r.hint("merge"), cond, "inner").drop("_lsalt", "_salt")
+
+
 def left_join(
     left: DataFrame,
     right: DataFrame,
@@ -51,6 +113,7 @@ def left_join(
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
     right_skew: bool = False,
     right_is_small: bool | None = None,
+    salt_rows: int = SALT_ROWS,
 ) -> DataFrame:
     """JON1: left outer equi-join on one or more key pairs.
 
@@ -64,12 +127,15 @@ def left_join(
         small = F.broadcast(right)
         return left.join(small, _condition(left, small, on), "left")
     if not right_skew:
-        return left.join(right, _condition(left, right, on), "left")
-    matched = left.join(right, _condition(left, right, on), "inner")
-    keys = right.select(*[rc for _, rc in on]).distinct()
-    unmatched = left.join(keys, _condition(left, keys, on), "left_anti")
+        hinted = right.hint("merge")
+        return left.join(hinted, _condition(left, hinted, on), "left")
+    rkeys = [rc for _, rc in on]
+    counts = key_counts(right, rkeys)
+    lx, r = _salt_sides(left, right, on, counts, salt_rows)
+    matched = _salted_match(lx, r.drop("_s", "_hot_k"), on)
+    unmatched = _unmatched(left, counts, on)
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    return matched.unionByName(unmatched.select(*left.columns, *nulls))
+    return matched.union(unmatched.select(*[left[c] for c in left.columns], *nulls))
 
 
 def left_join_twice(
@@ -79,24 +145,41 @@ def left_join_twice(
     left_cols: Sequence[str],
     right_cols: Sequence[str],
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    salt_rows: int = SALT_ROWS,
 ) -> DataFrame:
     """JON2: the reference's "join, then LEFT JOIN the same table again".
 
     ``SELECT c.<left_cols>, s.<right_cols> FROM (left LEFT JOIN right) c
     LEFT JOIN right s ON <same keys>``: a left row with k matches comes out
     k * k times (each of its k matched rows k times), an unmatched row once.
+    That size is the query's definition; ``plans.enrich.enrich_cities``
+    joins once and is the form to use when keys repeat.
 
-    Computed without the second join: the right side is joined once, and
-    each matched row is repeated k times, k coming from a per-key count of
-    the right side (a partial aggregate, so hot keys pre-combine map-side).
-    The repeat is a generator on the joined rows, spread over whatever
-    tasks hold them.
+    Computed without the second join: the right side is joined once
+    (salted on hot keys), and each matched row is repeated k times by a
+    generator, k coming from the per-key counts, so the k * k rows of a
+    hot key are produced by all of its buckets' tasks, not by one.
     """
     rkeys = [rc for _, rc in on]
-    small = bool(broadcast_rows) and fits_in_rows(right, broadcast_rows)
-    counts = right.groupBy(*rkeys).agg(F.count(F.lit(1)).alias("_k"))
-    right_k = right.select(*rkeys, *[c for c in right_cols if c not in rkeys]).join(counts, rkeys)
-    joined = left_join(left, right_k, on, right_skew=True, right_is_small=small)
+    carried = right.select(*rkeys, *[c for c in right_cols if c not in rkeys])
+    counts = key_counts(right, rkeys)
+    if bool(broadcast_rows) and fits_in_rows(right, broadcast_rows):
+        small = F.broadcast(carried.join(counts, rkeys))
+        joined = left.join(small, _condition(left, small, on), "left")
+    else:
+        lx, r = _salt_sides(left, carried, on, counts, salt_rows)
+        # k of a hot key is its counted total; of any other key, the size of
+        # its one bucket, counted over the partitioning the join reuses
+        bucket = Window.partitionBy(*rkeys, "_salt")
+        r = r.withColumn("_k", F.coalesce(F.col("_hot_k"), F.count(F.lit(1)).over(bucket)))
+        matched = _salted_match(lx, r.drop("_s", "_hot_k"), on)
+        unmatched = _unmatched(left, counts, on)
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in carried.schema.fields]
+        joined = matched.union(
+            unmatched.select(
+                *[left[c] for c in left.columns], *nulls, F.lit(None).cast("long").alias("_k")
+            )
+        )
     reps = F.coalesce(F.col("_k"), F.lit(1)).cast("int")
     return joined.select(
         *left_cols,
