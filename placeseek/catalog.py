@@ -42,7 +42,7 @@ from placeseek.plans.files import (
     read_excel,
 )
 from placeseek.plans.shapes import part_as_workbook, states_from_nation
-from placeseek.session import scratch_path
+from placeseek.session import scratch_path, spread
 from placeseek.sinks.index import append_to_index, json_lines, register_view
 from placeseek.sources.excel import register_excel
 from placeseek.sources.files import column_audit, list_files
@@ -179,7 +179,7 @@ def q_search_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_word_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _t(spark, sf_dir, "documents")
+    docs = spread(_t(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return word_corpus(docs, cols=None, text_col="text", keep=["doc_id"])
 
 
@@ -187,7 +187,7 @@ def q_word_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _t(spark, sf_dir, "documents")
+    docs = spread(_t(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"), "doc_id")
     return docs.select("doc_id", "lang", "source", explode_words("text").alias("palavras"))
 
 
@@ -216,13 +216,12 @@ def q_fuzzy_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_soundex_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = _doc_words(spark, sf_dir).select("palavras")
-    return distinct_rows(
-        words.select(
-            "palavras",
-            soundex_code("palavras").alias("code"),
-            phonetic_code("palavras").alias("phonetic"),
-        )
+    # a code depends on the word alone: de-duplicate words first, code after
+    words = distinct_rows(_doc_words(spark, sf_dir).select("palavras"))
+    return words.select(
+        "palavras",
+        soundex_code("palavras").alias("code"),
+        phonetic_code("palavras").alias("phonetic"),
     )
 
 
@@ -337,7 +336,7 @@ def q_enrich_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         null.alias("Cluster"),
     )
     cities_dir = scratch_path(spark, "cities-xlsx")
-    _write_excel(cities, cities_dir)
+    _write_excel(spread(cities, "SKU IBGE"), cities_dir)
     states = left_join(nation, region, [("n_regionkey", "r_regionkey")]).select(
         F.col("n_nationkey").cast("string").alias("local_code"),
         F.col("n_name").alias("name"),

@@ -8,6 +8,9 @@ Strategy, chosen per call and not left to chance:
 * The right side is broadcast only after ``fits_in_rows`` has proved it has
   at most ``broadcast_rows`` rows.  A broadcast hash join streams the left
   side without any shuffle, so a hot key on the left costs nothing extra.
+* Else, when the *left* side passes the same check, it is broadcast and the
+  right side streams past it (a right outer join, reordered), again with no
+  shuffle of the large side.
 * Otherwise both sides shuffle on the keys (a sort-merge join; the right
   side carries a ``merge`` hint so no size *estimate* can turn it into a
   broadcast).  Adaptive execution splits a skewed partition of the left
@@ -126,6 +129,12 @@ def left_join(
     if right_is_small:
         small = F.broadcast(right)
         return left.join(small, _condition(left, small, on), "left")
+    if bool(broadcast_rows) and fits_in_rows(left, broadcast_rows):
+        # small left, large right: stream the right side past the broadcast
+        # left rows; a right outer join keeps every left row once unmatched
+        bl = F.broadcast(left)
+        joined = right.join(bl, _condition(bl, right, on), "right")
+        return joined.select(*[bl[c] for c in left.columns], *[right[c] for c in right.columns])
     if not right_skew:
         hinted = right.hint("merge")
         return left.join(hinted, _condition(left, hinted, on), "left")
@@ -166,6 +175,20 @@ def left_join_twice(
     if bool(broadcast_rows) and fits_in_rows(right, broadcast_rows):
         small = F.broadcast(carried.join(counts, rkeys))
         joined = left.join(small, _condition(left, small, on), "left")
+    elif bool(broadcast_rows) and fits_in_rows(left, broadcast_rows):
+        # small left: tag each left row with its k by streaming the counts
+        # past it, then stream the right rows past the matched left rows
+        bl = F.broadcast(left)
+        left_k = counts.join(bl, _condition(bl, counts, on), "right").select(
+            *[bl[c] for c in left.columns], counts["_k"]
+        )
+        lk = F.broadcast(left_k.where(F.col("_k").isNotNull()))
+        matched = carried.join(lk, _condition(lk, carried, on), "inner").select(
+            *[lk[c] for c in left.columns], *[carried[c] for c in carried.columns], lk["_k"]
+        )
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in carried.schema.fields]
+        unmatched = left_k.where(F.col("_k").isNull()).select(*left.columns, *nulls, "_k")
+        joined = matched.union(unmatched)
     else:
         lx, r = _salt_sides(left, carried, on, counts, salt_rows)
         # k of a hot key is its counted total; of any other key, the size of

@@ -35,6 +35,35 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``placeseek`` importable in the Python workers of ``spark``.
+
+    Python code that runs in tasks (the Excel data source, the column audit)
+    is pickled by reference to its module, so executors must be able to
+    import the package.  The package is zipped once on the driver and handed
+    to ``SparkContext.addPyFile``, which copies it to every executor.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="placeseek-pyfiles-")
+    archive = shutil.make_archive(
+        os.path.join(out_dir, "placeseek"),
+        "zip",
+        root_dir=os.path.dirname(pkg_dir),
+        base_dir=os.path.basename(pkg_dir),
+    )
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -80,6 +109,22 @@ def fits_in_rows(df: DataFrame, max_rows: int) -> bool:
     return len(probe.collect()) == 0
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rebalance ``df`` on ``keys`` only when it has fewer partitions than the
+    cluster has task slots.
+
+    Per-word work (explode, edit distance, sound codes) is CPU-bound and
+    narrow: it runs in the scan's tasks.  A large input already arrives in
+    thousands of splits and is left alone (no shuffle); a few big row
+    groups would keep most cores idle, so they are hash-partitioned on the
+    key (deterministic on retry, no sort needed) before the heavy step.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, *keys) if keys else df.repartition(slots)
+
+
 def is_remote_path(path: str) -> bool:
     return "://" in path and not path.startswith("file:")
 

@@ -463,6 +463,10 @@ class ExcelDataSource(DataSource):
 
 
 def register_excel(spark) -> None:
+    """Register ``format("excel")`` and ship this package to the executors."""
+    from placeseek.session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(ExcelDataSource)
 
 

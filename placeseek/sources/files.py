@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placeseek.session import ship_package
 from placeseek.sources.excel import read_header
 
 AUDIT_SCHEMA = "path string, file string, ordinal int, column string"
@@ -47,4 +48,5 @@ def column_audit(spark: SparkSession, folder: str, suffix: str = ".xlsx") -> Dat
     opens only its own files and reads only their header row.  Comparing
     the rows of two files shows columns that drifted.
     """
+    ship_package(spark)
     return list_files(spark, folder, suffix).mapInPandas(_audit_batches, AUDIT_SCHEMA)

@@ -88,3 +88,22 @@ def test_size_check(spark):
     assert fits_in_rows(spark.range(10), 10)
     assert not fits_in_rows(spark.range(11), 10)
     assert fits_in_rows(spark.range(0), 0)
+
+
+def test_small_left_branch_matches_brute_force(spark):
+    left, right = _hot_tables(spark)  # 150 left rows, 900 right rows
+    left.createOrReplaceTempView("l_hot2")
+    right.createOrReplaceTempView("r_hot2")
+    once = spark.sql("SELECT l.k, l.w, r.k AS rk, r.v FROM l_hot2 l LEFT JOIN r_hot2 r ON l.k = r.k")
+    ours = left_join(left, right.withColumnRenamed("k", "rk"), [("k", "rk")], broadcast_rows=500)
+    assert ours.columns == ["k", "w", "rk", "v"]
+    assert ours.count() == once.count() and ours.exceptAll(once).count() == 0
+    brute = spark.sql(
+        "SELECT c.k, c.w, s.v FROM (SELECT l.*, r.v AS v1 FROM l_hot2 l LEFT JOIN r_hot2 r ON l.k = r.k) c "
+        "LEFT JOIN r_hot2 s ON c.k = s.k"
+    )
+    twice = left_join_twice(
+        left, right.withColumnRenamed("k", "rk"), [("k", "rk")], ["k", "w"], ["v"], broadcast_rows=500
+    )
+    assert twice.count() == brute.count()
+    assert twice.exceptAll(brute).count() == 0 and brute.exceptAll(twice).count() == 0
