@@ -161,6 +161,11 @@ def q_page_of_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_of_rows(od, page=2, size=10, order_by=["o_orderkey"])
 
 
+def q_page_of_rows_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return page_of_rows(od, page=101, size=100, order_by=["o_orderkey"], topk_rows=0)
+
+
 # --------------------------------------------------------------- text functions
 
 
@@ -387,6 +392,7 @@ QUERIES: dict[str, Query] = {
     "city_preview": q_city_preview,
     "preview_rows": q_preview_rows,
     "page_of_rows": q_page_of_rows,
+    "page_of_rows_deep": q_page_of_rows_deep,
     "initcap_text": q_initcap_text,
     "search_text": q_search_text,
     "word_corpus": q_word_corpus,

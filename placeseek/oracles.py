@@ -135,6 +135,10 @@ ORACLES: dict[str, str] = {
         "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders "
         "ORDER BY o_orderkey LIMIT 10 OFFSET 10"
     ),
+    "page_of_rows_deep": (
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders "
+        "ORDER BY o_orderkey LIMIT 100 OFFSET 10000"
+    ),
     "initcap_text": (
         f"SELECT p_partkey, {sql_initcap('p_name')} AS name_title, "
         f"{sql_initcap('p_type')} AS type_title, {sql_initcap('p_brand')} AS brand_title FROM part"

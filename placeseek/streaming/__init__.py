@@ -1 +1,43 @@
-"""placeseek."""
+"""Streaming use of the batch operators.
+
+Nothing in the source application streams: every read and write is a
+batch job.  The operators here are per-row (projections, filters, explodes,
+edit distance, sound codes) or joins against a small, static states table,
+so they apply unchanged to a streaming DataFrame.  This module only adds
+the index append (SNK1) for a stream: a file-backed sink with its own
+checkpoint gives exactly-once output across restarts and lost executors.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+from placeseek.session import scratch_path
+
+
+def append_stream_to_index(
+    stream: DataFrame,
+    target: str,
+    fmt: str,
+    checkpoint: str | None = None,
+    options: Mapping[str, str] | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """SNK1 for a streaming DataFrame: append each micro-batch to ``target``.
+
+    ``checkpoint`` defaults to a fresh folder under the session's shared
+    ``spark.checkpoint.dir``.  ``available_now`` processes what is there
+    and stops (a scheduled catch-up run); otherwise the query keeps running.
+    """
+    location = checkpoint or scratch_path(stream.sparkSession, "stream-ckpt")
+    writer = (
+        stream.writeStream.format(fmt)
+        .options(**dict(options or {}))
+        .option("checkpointLocation", location)
+        .outputMode("append")
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start(target)

@@ -107,3 +107,13 @@ def test_small_left_branch_matches_brute_force(spark):
     )
     assert twice.count() == brute.count()
     assert twice.exceptAll(brute).count() == 0 and brute.exceptAll(twice).count() == 0
+
+
+def test_deep_pages_match_a_full_sort(spark):
+    from placeseek.operators import page_of_rows
+
+    df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5000).alias("k"), F.col("id"))
+    full = [r.k for r in df.orderBy("k").collect()]
+    for page, size in [(1, 7), (3, 1000), (5, 1000), (6, 1000), (7, 999), (1, 5000)]:
+        got = [r.k for r in page_of_rows(df, page, size, ["k"], topk_rows=0).collect()]
+        assert got == full[(page - 1) * size : page * size], (page, size)

@@ -1,0 +1,25 @@
+"""The search operators on a stream give the batch result."""
+
+import os
+
+from conftest import SF_SMALL
+from placeseek.operators import fuzzy_filter
+from placeseek.plans.search import word_corpus
+from placeseek.streaming import append_stream_to_index
+
+
+def test_fuzzy_filter_on_a_stream(spark, tmp_dir):
+    batch_docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    src = os.path.join(tmp_dir, "docs")
+    batch_docs.select("doc_id", "text").repartition(3).write.parquet(src)
+    stream = spark.readStream.schema("doc_id long, text string").option("maxFilesPerTrigger", 1).parquet(src)
+    found = fuzzy_filter(word_corpus(stream, cols=None, text_col="text", keep=["doc_id"]), "erblest therouou")
+    target = os.path.join(tmp_dir, "index")
+    q = append_stream_to_index(found, target, "parquet", checkpoint=os.path.join(tmp_dir, "ckpt"))
+    q.awaitTermination(120)
+    streamed = spark.read.parquet(target)
+    expected = fuzzy_filter(
+        word_corpus(batch_docs, cols=None, text_col="text", keep=["doc_id"]), "erblest therouou"
+    )
+    assert streamed.count() == expected.count() > 0
+    assert streamed.exceptAll(expected).count() == 0
