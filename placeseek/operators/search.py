@@ -8,6 +8,8 @@ terms, no shuffle, no broadcast), and the test is a codegen'd expression.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from placeseek.functions.text import split_terms
 
 # Fixed value: the reference keeps words at distance < 3 from a term.
 DISTANCE_LIMIT = 3
+_HAS_LETTER = re.compile("[A-Za-z]")
 
 
 def fuzzy_filter(
@@ -47,9 +50,10 @@ def phonetic_filter(
     constant set and the test is one hash lookup per word.  Terms with no
     ASCII letter (empty code) match nothing.
     """
-    terms = [t for t in dict.fromkeys(split_terms(text))]
-    codes = [soundex_code(F.lit(t)) for t in terms]
-    if not codes:
+    # a term without an ASCII letter has the empty code: it matches nothing
+    terms = [t for t in dict.fromkeys(split_terms(text)) if _HAS_LETTER.search(t)]
+    if not terms:
         return words.limit(0)
+    codes = [soundex_code(F.lit(t)) for t in terms]
     code = soundex_code(word_col) if code_col is None else F.col(code_col)
-    return words.filter((code != F.lit("")) & code.isin(*codes))
+    return words.filter(code.isin(*codes))

@@ -64,6 +64,7 @@ from pyspark.sql.types import (
 MAX_SHEET_ROWS = 1_048_576
 EXCEL_EPOCH = _dt.datetime(1899, 12, 30)
 SAMPLE_ROWS = 1000
+BATCH_ROWS = 8192
 
 _MAIN_NS = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _REL_NS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -198,49 +199,57 @@ def _first_sheet(z: zipfile.ZipFile) -> str:
     return sheets[0]
 
 
+def _tags(name: str) -> tuple[str, ...]:
+    return (f"{{{_MAIN_NS}}}{name}", name)
+
+
+_ROW, _CELL, _VALUE = _tags("row"), _tags("c"), _tags("v")
+
+
+def _cell_value(c, kind: str, strings: list[str]):
+    v = None
+    for x in c:
+        if x.tag in _VALUE:
+            v = x.text
+            break
+    if kind == "s":
+        return strings[int(v)] if v is not None else None
+    if kind == "inlineStr":
+        return _text_of(c)
+    if kind in ("str", "d"):
+        return v
+    if kind == "b":
+        return None if v is None else v.strip() in ("1", "true")
+    if kind == "e":
+        return None
+    return float(v) if v not in (None, "") else None
+
+
 def iter_sheet_rows(path: str) -> Iterator[dict[int, object]]:
     """Rows of the first sheet as ``{column index: value}``; rows without a
-    cell are skipped.  Values: ``str``, ``float`` or ``bool``."""
+    cell are skipped.  Values: ``str``, ``float`` or ``bool``.
+
+    Only element ends are parsed; a row is read when its end arrives, then
+    cleared, so memory holds one row (plus an empty shell per row read).
+    """
     with _open_input(path) as fh, zipfile.ZipFile(fh) as z:
         strings = _shared_strings(z)
         with z.open(_first_sheet(z)) as f:
-            parent = None
-            for event, el in ET.iterparse(f, events=("start", "end")):
-                tag = _local(el.tag)
-                if event == "start":
-                    if tag == "sheetData":
-                        parent = el
-                    continue
-                if tag != "row":
+            for _, el in ET.iterparse(f, events=("end",)):
+                if el.tag not in _ROW:
                     continue
                 cells: dict[int, object] = {}
                 nxt = 0
                 for c in el:
-                    if _local(c.tag) != "c":
+                    if c.tag not in _CELL:
                         continue
                     ref = c.get("r")
                     idx = _col_index(ref) if ref else nxt
                     nxt = idx + 1
-                    kind = c.get("t", "n")
-                    v = next((x.text for x in c if _local(x.tag) == "v"), None)
-                    if kind == "s":
-                        val = strings[int(v)] if v is not None else None
-                    elif kind == "inlineStr":
-                        val = _text_of(c)
-                    elif kind in ("str", "d"):
-                        val = v
-                    elif kind == "b":
-                        val = None if v is None else v.strip() in ("1", "true")
-                    elif kind == "e":
-                        val = None
-                    else:
-                        val = float(v) if v not in (None, "") else None
+                    val = _cell_value(c, c.get("t", "n"), strings)
                     if val is not None:
                         cells[idx] = val
-                if parent is not None:
-                    parent.remove(el)
-                else:
-                    el.clear()
+                el.clear()
                 if cells:
                     yield cells
 
@@ -379,12 +388,32 @@ class ExcelReader(DataSourceReader):
         return [ExcelPartition(p) for p in list_workbooks(self.path)]
 
     def read(self, partition):
+        """Rows of one workbook, in Arrow record batches of ``BATCH_ROWS``."""
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow_schema = to_arrow_schema(self.schema)
         convs = [_converter(f.dataType, self.empty_as_null) for f in self.schema.fields]
+        width = len(convs)
         rows = iter_sheet_rows(partition.path)
         if self.header:
             next(rows, None)
+        cols: list[list] = [[] for _ in range(width)]
+        filled = 0
         for cells in rows:
-            yield tuple(conv(cells.get(i)) for i, conv in enumerate(convs))
+            get = cells.get
+            for i in range(width):
+                cols[i].append(convs[i](get(i)))
+            filled += 1
+            if filled == BATCH_ROWS:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, type=t.type) for c, t in zip(cols, arrow_schema)], schema=arrow_schema
+                )
+                cols, filled = [[] for _ in range(width)], 0
+        if filled:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, type=t.type) for c, t in zip(cols, arrow_schema)], schema=arrow_schema
+            )
 
 
 class ExcelWriterCommit(WriterCommitMessage):
