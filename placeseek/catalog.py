@@ -30,6 +30,7 @@ from placeseek.operators.search import fuzzy_filter, phonetic_filter
 from placeseek.plans.enrich import city_preview, enrich_cities
 from placeseek.plans.search import (
     fuzzy_matches,
+    phonetic_matches,
     fuzzy_search,
     search_documents,
     word_corpus,
@@ -54,6 +55,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 PART_SEARCH = "smal rng"
 DOC_SEARCH = "erblest therouou"
 SOUND_SEARCH = "erblest therouou"
+PART_SOUND_SEARCH = "smol rinj"
 NATION_COLUMNS = ("n_nationkey", "n_name", "n_regionkey")
 
 
@@ -235,6 +237,10 @@ def q_phonetic_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_rows(found, ["doc_id", "lang", "source"])
 
 
+def q_phonetic_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phonetic_matches(_part_corpus(spark, sf_dir), PART_SOUND_SEARCH)
+
+
 def q_sql_udf_call(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_sql_functions(spark)
     register_view(_t(spark, sf_dir, "part"), "part_udf_view")
@@ -402,6 +408,7 @@ QUERIES: dict[str, Query] = {
     "fuzzy_search": q_fuzzy_search,
     "soundex_codes": q_soundex_codes,
     "phonetic_match": q_phonetic_match,
+    "phonetic_matches": q_phonetic_matches,
     "sql_udf_call": q_sql_udf_call,
     "view_select_star": q_view_select_star,
     "json_lines": q_json_lines,

@@ -174,6 +174,11 @@ ORACLES: dict[str, str] = {
         f"WHERE {sql_soundex('w.palavras')} <> '' AND {sql_soundex('w.palavras')} IN "
         f"(SELECT {sql_soundex('term')} FROM ({_terms('erblest therouou')}))"
     ),
+    "phonetic_matches": (
+        f"SELECT DISTINCT linha, municipio, tipo, h, cep, sku_pais, sku_municipio FROM ({_PART_CORPUS}) w "
+        f"WHERE {sql_soundex('w.palavras')} IN (SELECT {sql_soundex('term')} FROM ({_terms('smol rinj')}) "
+        f"WHERE {sql_soundex('term')} <> '')"
+    ),
     "sql_udf_call": (
         f"SELECT p_partkey, {sql_soundex('p_name')} AS name_code, "
         f"{sql_soundex('lower(p_type)')} AS type_code FROM part"

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from placeseek.session import ship_package
 from placeseek.sources.excel import read_header
@@ -16,18 +17,25 @@ AUDIT_SCHEMA = "path string, file string, ordinal int, column string"
 
 def list_files(spark: SparkSession, folder: str, suffix: str = ".xlsx") -> DataFrame:
     """SRC5: files directly in ``folder`` whose name ends with ``suffix``
-    (case-sensitive); columns ``path`` and ``file`` (the base name).
+    (case-sensitive); columns ``path`` and ``file`` (the base name).  A
+    folder that does not exist gives no rows.
 
     Spark lists the folder (any Hadoop file system); only ``path`` is
     selected, so no file is opened.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}")
-        .option("recursiveFileLookup", "false")
-        .load(folder)
-        .select("path")
-    )
+    try:
+        files = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", f"*{suffix}")
+            .option("recursiveFileLookup", "false")
+            .load(folder)
+            .select("path")
+        )
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # a folder that does not exist holds no files
+        return spark.createDataFrame([], "path string, file string")
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("file"))
 
 

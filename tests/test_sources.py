@@ -104,3 +104,21 @@ def test_append_twice_keeps_both(spark, tmp_dir):
     dedup = os.path.join(tmp_dir, "index2")
     append_to_index(df.union(df), dedup, "parquet", dedupe_keys=["k"])
     assert spark.read.parquet(dedup).count() == 2
+
+
+def test_listing_a_missing_folder_gives_no_rows(spark, tmp_dir):
+    assert list_files(spark, os.path.join(tmp_dir, "nope")).count() == 0
+    assert list_files(spark, tmp_dir).count() == 0
+
+
+def test_preview_collect_and_json_text(spark, tmp_dir):
+    from placeseek.sinks import collect_records, preview, write_json_lines
+
+    df = spark.range(0, 100).selectExpr("id", "cast(id % 7 as string) AS g")
+    assert [r.id for r in preview(df, 3, ["id"]).collect()] == [0, 1, 2]
+    rows = collect_records(df, 5, ["g", "id"])
+    assert [(r.g, r.id) for r in rows] == [("0", 0), ("0", 7), ("0", 14), ("0", 21), ("0", 28)]
+    target = os.path.join(tmp_dir, "json")
+    write_json_lines(df, target)
+    back = [json.loads(r.value) for r in spark.read.text(target).collect()]
+    assert sorted(b["id"] for b in back) == list(range(100))
