@@ -163,17 +163,38 @@ def _text_of(el) -> str:
     return "".join(t.text or "" for t in el.iter() if _local(t.tag) == "t")
 
 
-def _shared_strings(z: zipfile.ZipFile) -> list[str]:
-    name = next((n for n in z.namelist() if n.lower() == "xl/sharedstrings.xml"), None)
-    if name is None:
-        return []
-    out: list[str] = []
-    with z.open(name) as f:
-        for _, el in ET.iterparse(f, events=("end",)):
-            if _local(el.tag) == "si":
-                out.append(_text_of(el))
+def _tags(name: str) -> tuple[str, ...]:
+    return (f"{{{_MAIN_NS}}}{name}", name)
+
+
+_ROW, _CELL, _VALUE = _tags("row"), _tags("c"), _tags("v")
+_SHARED_ITEM = _tags("si")
+
+
+class _SharedStrings:
+    """The shared-string table, parsed only as far as the cells read need.
+
+    Strings are numbered in order of first use, so reading a header or a
+    sample touches the start of the table only; a full read of the sheet
+    parses it all, once.
+    """
+
+    def __init__(self, z: zipfile.ZipFile):
+        name = next((n for n in z.namelist() if n.lower() == "xl/sharedstrings.xml"), None)
+        self._items: list[str] = []
+        self._events = ET.iterparse(z.open(name), events=("end",)) if name else None
+
+    def __getitem__(self, i: int) -> str:
+        while i >= len(self._items) and self._events is not None:
+            try:
+                _, el = next(self._events)
+            except StopIteration:
+                self._events = None
+                break
+            if el.tag in _SHARED_ITEM:
+                self._items.append(_text_of(el))
                 el.clear()
-    return out
+        return self._items[i]
 
 
 def _first_sheet(z: zipfile.ZipFile) -> str:
@@ -199,14 +220,7 @@ def _first_sheet(z: zipfile.ZipFile) -> str:
     return sheets[0]
 
 
-def _tags(name: str) -> tuple[str, ...]:
-    return (f"{{{_MAIN_NS}}}{name}", name)
-
-
-_ROW, _CELL, _VALUE = _tags("row"), _tags("c"), _tags("v")
-
-
-def _cell_value(c, kind: str, strings: list[str]):
+def _cell_value(c, kind: str, strings: _SharedStrings):
     v = None
     for x in c:
         if x.tag in _VALUE:
@@ -233,7 +247,7 @@ def iter_sheet_rows(path: str) -> Iterator[dict[int, object]]:
     cleared, so memory holds one row (plus an empty shell per row read).
     """
     with _open_input(path) as fh, zipfile.ZipFile(fh) as z:
-        strings = _shared_strings(z)
+        strings = _SharedStrings(z)
         with z.open(_first_sheet(z)) as f:
             for _, el in ET.iterparse(f, events=("end",)):
                 if el.tag not in _ROW:
