@@ -55,5 +55,14 @@ def phonetic_filter(
     if not terms:
         return words.limit(0)
     codes = [soundex_code(F.lit(t)) for t in terms]
-    code = soundex_code(word_col) if code_col is None else F.col(code_col)
-    return words.filter(code.isin(*codes))
+    if code_col is not None:
+        return words.filter(F.col(code_col).isin(*codes))
+    # A code starts with the word's first ASCII letter, upper-cased.  Words
+    # that start with such a letter and a different one cannot match, so a
+    # one-character test spares them the regex and the coding (exact: a word
+    # starting with anything else still takes the full test).
+    heads = sorted({_HAS_LETTER.search(t).group().upper() for t in terms})
+    first = F.substring(word_col, 1, 1)
+    ascii_head = first.between("A", "Z") | first.between("a", "z")
+    candidate = ~ascii_head | F.upper(first).isin(*heads)
+    return words.filter(candidate & soundex_code(word_col).isin(*codes))

@@ -61,3 +61,18 @@ def test_phonetic_filter(spark):
     assert sorted(r.id for r in phonetic_filter(words, "Robert").collect()) == [1, 2]
     assert phonetic_filter(words, "").count() == 0
     assert phonetic_filter(words, None).count() == 0
+
+
+def test_phonetic_prefilter_is_exact(spark):
+    words = spark.createDataFrame(
+        [(1, "Tymczak"), (2, "tamsack"), (3, "1tymczak"), (4, "ıTymczak"), (5, "éTymczak"), (6, "Xymczak"), (7, "")],
+        "id int, palavras string",
+    )
+    got = sorted(r.id for r in phonetic_filter(words, "Tymczak").collect())
+    plain = sorted(
+        r.id
+        for r in words.filter(
+            F.soundex(F.regexp_replace("palavras", "[^A-Za-z]", "")) == F.lit("T522")
+        ).collect()
+    )
+    assert got == plain == [1, 2, 3, 4, 5]
