@@ -5,9 +5,10 @@ are AND-ed (FLT4) and compared with ``=`` (FLT3: a null key never matches).
 
 Strategy, chosen per call and not left to chance:
 
-* The right side is broadcast only after ``fits_in_rows`` has proved it has
-  at most ``broadcast_rows`` rows.  A broadcast hash join streams the left
-  side without any shuffle, so a hot key on the left costs nothing extra.
+* The right side is broadcast only after ``is_small`` has proved it has at
+  most ``broadcast_rows`` rows and ``BROADCAST_BYTES`` of values.  A
+  broadcast hash join streams the left side without any shuffle, so a hot
+  key on the left costs nothing extra.
 * Else, when the *left* side passes the same check, it is broadcast and the
   right side streams past it (a right outer join, reordered), again with no
   shuffle of the large side.
@@ -18,7 +19,8 @@ Strategy, chosen per call and not left to chance:
 * When the right side may carry hot keys (``right_skew=True``), the join
   is salted.  A per-key row count of the right side (a partial aggregate:
   a hot key collapses map-side) finds the keys with more than ``salt_rows``
-  rows; each such key is spread over ``ceil(rows / salt_rows)`` buckets by
+  rows (the counts are checkpointed once to ``spark.checkpoint.dir``);
+  each such key is spread over ``ceil(rows / salt_rows)`` buckets by
   a hash of the right row, and its left rows are copied once per bucket.
   The keyed-and-salted inner join then gives every task a bounded share;
   left rows whose key is absent from the right follow from an anti join
@@ -33,13 +35,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placeseek.session import fits_in_rows
+from placeseek.session import checkpoint_root, fits_for_broadcast
 
 KeyPairs = Sequence[tuple[str, str]]
 
-# Largest right side (rows) that is broadcast after a size check.  Only the
-# right side's join keys and carried columns are broadcast.
+# Largest side that is broadcast after a size check (rows, and bytes of its
+# values).  Only the join keys and carried columns of that side count.
 DEFAULT_BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 256 * 1024 * 1024
 # Rows of one right key that one task may take before the key is salted.
 SALT_ROWS = 1_000_000
 # Most hot keys whose bucket counts are broadcast (else they are shuffled).
@@ -50,9 +53,15 @@ def _condition(left: DataFrame, right: DataFrame, on: KeyPairs) -> Column:
     return reduce(lambda a, b: a & b, [left[lc] == right[rc] for lc, rc in on])
 
 
+def is_small(df: DataFrame, max_rows: int | None) -> bool:
+    """The size proof a broadcast needs: at most ``max_rows`` rows and
+    ``BROADCAST_BYTES`` of values."""
+    return bool(max_rows) and fits_for_broadcast(df, max_rows, BROADCAST_BYTES)
+
+
 def maybe_broadcast(df: DataFrame, max_rows: int | None) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` when it provably has at most ``max_rows`` rows."""
-    if max_rows and fits_in_rows(df, max_rows):
+    """Broadcast ``df`` when it provably is small (see ``is_small``)."""
+    if is_small(df, max_rows):
         return F.broadcast(df), True
     return df, False
 
@@ -63,6 +72,15 @@ def key_counts(right: DataFrame, rkeys: Sequence[str], name: str = "_k") -> Data
     return keyed.groupBy(*rkeys).agg(F.count(F.lit(1)).alias(name))
 
 
+def saved_key_counts(right: DataFrame, rkeys: Sequence[str]) -> DataFrame:
+    """``key_counts`` computed once and checkpointed to the shared
+    ``spark.checkpoint.dir``: the hot-key check, the bucket tags, the
+    anti join and k all read it without aggregating the right side again,
+    and a lost executor does not send the job back to the aggregate."""
+    checkpoint_root(right.sparkSession)
+    return key_counts(right, rkeys).checkpoint(eager=True)
+
+
 def _salt_sides(
     left: DataFrame,
     right: DataFrame,
@@ -125,11 +143,11 @@ def left_join(
     caller already has (``None``: check ``right`` here).
     """
     if right_is_small is None:
-        right_is_small = bool(broadcast_rows) and fits_in_rows(right, broadcast_rows)
+        right_is_small = is_small(right, broadcast_rows)
     if right_is_small:
         small = F.broadcast(right)
         return left.join(small, _condition(left, small, on), "left")
-    if bool(broadcast_rows) and fits_in_rows(left, broadcast_rows):
+    if is_small(left, broadcast_rows):
         # small left, large right: stream the right side past the broadcast
         # left rows; a right outer join keeps every left row once unmatched
         bl = F.broadcast(left)
@@ -139,7 +157,7 @@ def left_join(
         hinted = right.hint("merge")
         return left.join(hinted, _condition(left, hinted, on), "left")
     rkeys = [rc for _, rc in on]
-    counts = key_counts(right, rkeys)
+    counts = saved_key_counts(right, rkeys)
     lx, r = _salt_sides(left, right, on, counts, salt_rows)
     matched = _salted_match(lx, r.drop("_s", "_hot_k"), on)
     unmatched = _unmatched(left, counts, on)
@@ -171,11 +189,11 @@ def left_join_twice(
     """
     rkeys = [rc for _, rc in on]
     carried = right.select(*rkeys, *[c for c in right_cols if c not in rkeys])
-    counts = key_counts(right, rkeys)
-    if bool(broadcast_rows) and fits_in_rows(right, broadcast_rows):
-        small = F.broadcast(carried.join(counts, rkeys))
+    if is_small(carried, broadcast_rows):
+        small = F.broadcast(carried.join(key_counts(right, rkeys), rkeys))
         joined = left.join(small, _condition(left, small, on), "left")
-    elif bool(broadcast_rows) and fits_in_rows(left, broadcast_rows):
+    elif is_small(left, broadcast_rows):
+        counts = key_counts(right, rkeys)
         # small left: tag each left row with its k by streaming the counts
         # past it, then stream the right rows past the matched left rows
         bl = F.broadcast(left)
@@ -190,6 +208,7 @@ def left_join_twice(
         unmatched = left_k.where(F.col("_k").isNull()).select(*left.columns, *nulls, "_k")
         joined = matched.union(unmatched)
     else:
+        counts = saved_key_counts(right, rkeys)
         lx, r = _salt_sides(left, carried, on, counts, salt_rows)
         # k of a hot key is its counted total; of any other key, the size of
         # its one bucket, counted over the partitioning the join reuses

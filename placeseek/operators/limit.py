@@ -52,8 +52,9 @@ def page_of_rows(
     # branches below must read the *same* shuffle: both keep every column
     # (the guard below makes the counting branch need them all), which
     # makes the exchanges identical and Spark reuses one.  An explicit
-    # partition count keeps adaptive execution from re-cutting it.
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # partition count (at least the input's, so partitions stay the size of
+    # input splits) keeps adaptive execution from re-cutting it.
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
     tagged = (
         df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)

@@ -125,6 +125,25 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(slots, *keys) if keys else df.repartition(slots)
 
 
+def fits_for_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows *and* its values take
+    at most ``max_bytes`` (text bytes of every column).
+
+    The row probe runs first and rejects a large table after one split;
+    only a table that passed it is measured whole, which is then cheap.
+    """
+    if not fits_in_rows(df, max_rows):
+        return False
+    if not df.columns:
+        return True
+    width = sum(
+        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns),
+        F.lit(0),
+    )
+    total = df.agg(F.sum(width).alias("_bytes")).collect()[0]["_bytes"]
+    return (total or 0) <= max_bytes
+
+
 def is_remote_path(path: str) -> bool:
     return "://" in path and not path.startswith("file:")
 
