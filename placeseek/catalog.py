@@ -38,7 +38,9 @@ from placeseek.plans.search import (
 from placeseek.plans.files import (
     COUNTRY_SCHEMA,
     dump_workbooks,
+    enrich_and_index,
     enrich_from_files,
+    index_search_documents,
     read_country_workbooks,
     read_excel,
 )
@@ -57,6 +59,10 @@ DOC_SEARCH = "erblest therouou"
 SOUND_SEARCH = "erblest therouou"
 PART_SOUND_SEARCH = "smol rinj"
 NATION_COLUMNS = ("n_nationkey", "n_name", "n_regionkey")
+SEARCH_DOC_SCHEMA = (
+    "linha int, municipio string, tipo string, h string, cep string, "
+    "skuPais string, skuMunicipio string, search_phonetic string"
+)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -328,7 +334,9 @@ def q_file_column_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return column_audit(spark, folder).select("file", "ordinal", "column")
 
 
-def q_enrich_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _city_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """``customer`` as a municipalities workbook set and ``nation`` x
+    ``region`` as the states CSV; returns (workbook glob, CSV folder)."""
     nation, region = _t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region")
     cust = left_join(_t(spark, sf_dir, "customer"), nation, [("c_nationkey", "n_nationkey")])
     null = F.lit(None).cast("string")
@@ -356,7 +364,17 @@ def q_enrich_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     states_dir = scratch_path(spark, "states-csv")
     states.write.option("header", True).csv(states_dir)
-    return enrich_from_files(spark, f"{cities_dir}/*.xlsx", states_dir)
+    return f"{cities_dir}/*.xlsx", states_dir
+
+
+def q_enrich_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich_from_files(spark, *_city_files(spark, sf_dir))
+
+
+def q_enrich_and_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = scratch_path(spark, "city-index")
+    enrich_and_index(spark, *_city_files(spark, sf_dir), target, "parquet")
+    return spark.read.parquet(target)
 
 
 def _part_workbooks(spark: SparkSession, sf_dir: str) -> str:
@@ -372,6 +390,12 @@ def q_workbook_search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_documents(read_country_workbooks(spark, _part_workbooks(spark, sf_dir)))
 
 
+def q_workbook_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = scratch_path(spark, "search-index")
+    index_search_documents(spark, _part_workbooks(spark, sf_dir), target, "json")
+    return spark.read.schema(SEARCH_DOC_SCHEMA).json(target)
+
+
 def q_workbook_fuzzy_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = read_country_workbooks(spark, _part_workbooks(spark, sf_dir))
     return fuzzy_search(word_corpus(table), PART_SEARCH)
@@ -420,7 +444,9 @@ QUERIES: dict[str, Query] = {
     "excel_list_files": q_excel_list_files,
     "file_column_audit": q_file_column_audit,
     "enrich_from_files": q_enrich_from_files,
+    "enrich_and_index": q_enrich_and_index,
     "workbook_search_documents": q_workbook_search_documents,
+    "workbook_index": q_workbook_index,
     "workbook_fuzzy_search": q_workbook_fuzzy_search,
     "workbook_json_lines": q_workbook_json_lines,
     "workbook_row_count": q_workbook_row_count,

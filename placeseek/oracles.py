@@ -232,3 +232,5 @@ ORACLES: dict[str, str] = {
         "CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation"
     ),
 }
+ORACLES["enrich_and_index"] = ORACLES["enrich_from_files"]
+ORACLES["workbook_index"] = ORACLES["workbook_search_documents"]

@@ -3,14 +3,16 @@ enriched cities or search documents out (PIPE1, PIPE3, PIPE4, PIPE5)."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from placeseek.operators.aggregate import row_count
 from placeseek.operators.project import rename_columns
 from placeseek.plans.enrich import CITY_RENAMES, enrich_cities, prepare_cities, prepare_states
-from placeseek.plans.search import WORKBOOK_RENAMES
-from placeseek.sinks.index import json_lines
+from placeseek.plans.search import WORKBOOK_RENAMES, search_documents
+from placeseek.sinks.index import append_to_index, json_lines
 from placeseek.sources.excel import register_excel
 from placeseek.sources.tables import read_csv_strings
 
@@ -66,6 +68,31 @@ def enrich_from_files(spark: SparkSession, cities_path: str, states_path: str) -
     return enrich_cities(read_cities(spark, cities_path), read_states(spark, states_path))
 
 
+def enrich_and_index(
+    spark: SparkSession,
+    cities_path: str,
+    states_path: str,
+    target: str,
+    fmt: str,
+    options: Mapping[str, str] | None = None,
+) -> None:
+    """PIPE1 as the source application runs it: enrich, then append the
+    15-column documents to the index ``target`` through ``fmt``."""
+    append_to_index(enrich_from_files(spark, cities_path, states_path), target, fmt, options)
+
+
+def index_search_documents(
+    spark: SparkSession,
+    pattern: str,
+    target: str,
+    fmt: str,
+    options: Mapping[str, str] | None = None,
+) -> None:
+    """PIPE4 end to end: country workbooks -> 8-column search documents,
+    appended to the index ``target`` (one document per row)."""
+    append_to_index(search_documents(read_country_workbooks(spark, pattern)), target, fmt, options)
+
+
 def read_country_workbooks(spark: SparkSession, pattern: str) -> DataFrame:
     """SRC2 + PRJ1: every country workbook matching ``pattern`` as one table."""
     return rename_columns(read_excel(spark, pattern, COUNTRY_SCHEMA), WORKBOOK_RENAMES)
