@@ -46,6 +46,7 @@ def read_excel(
         .option("header", "true")
         .option("inferSchema", str(infer).lower())
         .option("treatEmptyValuesAsNulls", str(empty_as_null).lower())
+        .option("minPartitions", str(spark.sparkContext.defaultParallelism))
     )
     if schema is not None:
         reader = reader.schema(schema)

@@ -4,10 +4,12 @@ Registered under the name ``excel`` (``register_excel(spark)``), then:
 
     spark.read.format("excel").option("header", True).schema(s).load("dir/*.xlsx")
 
-* One input partition per workbook: a zip archive cannot be split, and a
-  sheet holds at most 1,048,576 rows, so one task per file is bounded.
-  Files are listed on the driver (names only); every byte of a workbook is
-  read inside the task that parses it.
+* A workbook is never split (a zip archive cannot be), and a sheet holds
+  at most 1,048,576 rows, so a task's share is bounded.  Small workbooks
+  are packed together, up to ``maxPartitionBytes`` of compressed file per
+  task (default 32 MiB), so many small files do not mean many tiny tasks.
+  Files are listed on the driver (names and sizes only); every byte of a
+  workbook is read inside the task that parses it.
 * The first sheet is read as a stream of rows (``iterparse``), so a task
   holds one row and the shared-string table, never the whole sheet tree.
 * A user schema is matched to the sheet's columns by position (column A is
@@ -65,6 +67,9 @@ MAX_SHEET_ROWS = 1_048_576
 EXCEL_EPOCH = _dt.datetime(1899, 12, 30)
 SAMPLE_ROWS = 1000
 BATCH_ROWS = 8192
+# Compressed workbook bytes packed into one read task (small files share).
+TASK_BYTES = 32 * 1024 * 1024
+OPEN_COST_BYTES = 4 * 1024 * 1024
 
 _MAIN_NS = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _REL_NS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -386,9 +391,45 @@ def infer_type(values: list[object]):
 
 
 class ExcelPartition(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
+    """One task's workbooks: a single large one, or several small ones."""
+
+    def __init__(self, paths: list[str]):
+        super().__init__(paths)
+        self.paths = paths
+
+
+def _file_size(path: str) -> int:
+    if _is_local(path):
+        return os.path.getsize(_strip_file(path))
+    from pyarrow import fs as pafs
+
+    filesystem, inner = pafs.FileSystem.from_uri(path)
+    return filesystem.get_file_info(inner).size or 0
+
+
+def pack_workbooks(paths: list[str], target_bytes: int, slots: int = 1) -> list[list[str]]:
+    """Group workbooks into tasks of about ``target_bytes`` (file sizes, in
+    listing order); a workbook larger than that is a task of its own.
+
+    As Spark does for its own file scans, the target shrinks (down to
+    ``OPEN_COST_BYTES``) when the files would otherwise fill fewer than
+    ``slots`` tasks, so small inputs still use every core.
+    """
+    sizes = [_file_size(p) for p in paths]
+    if slots > 1 and sizes:
+        target_bytes = min(target_bytes, max(OPEN_COST_BYTES, sum(sizes) // slots))
+    groups: list[list[str]] = []
+    current: list[str] = []
+    filled = 0
+    for path, size in zip(paths, sizes):
+        if current and filled + size > target_bytes:
+            groups.append(current)
+            current, filled = [], 0
+        current.append(path)
+        filled += size
+    if current:
+        groups.append(current)
+    return groups
 
 
 class ExcelReader(DataSourceReader):
@@ -397,19 +438,26 @@ class ExcelReader(DataSourceReader):
         self.path = options.get("path")
         self.header = _truthy(options.get("header"), True)
         self.empty_as_null = _truthy(options.get("treatEmptyValuesAsNulls"), True)
+        self.task_bytes = int(options.get("maxPartitionBytes", TASK_BYTES))
+        self.slots = int(options.get("minPartitions", 1))
 
     def partitions(self):
-        return [ExcelPartition(p) for p in list_workbooks(self.path)]
+        files = list_workbooks(self.path)
+        return [ExcelPartition(g) for g in pack_workbooks(files, self.task_bytes, self.slots)]
 
     def read(self, partition):
-        """Rows of one workbook, in Arrow record batches of ``BATCH_ROWS``."""
+        """Rows of the task's workbooks, in Arrow record batches."""
+        for path in partition.paths:
+            yield from self._read_one(path)
+
+    def _read_one(self, path: str):
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow_schema = to_arrow_schema(self.schema)
         convs = [_converter(f.dataType, self.empty_as_null) for f in self.schema.fields]
         width = len(convs)
-        rows = iter_sheet_rows(partition.path)
+        rows = iter_sheet_rows(path)
         if self.header:
             next(rows, None)
         cols: list[list] = [[] for _ in range(width)]

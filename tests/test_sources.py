@@ -122,3 +122,18 @@ def test_preview_collect_and_json_text(spark, tmp_dir):
     write_json_lines(df, target)
     back = [json.loads(r.value) for r in spark.read.text(target).collect()]
     assert sorted(b["id"] for b in back) == list(range(100))
+
+
+def test_small_workbooks_share_tasks(spark, tmp_dir):
+    from placeseek.sources.excel import list_workbooks, pack_workbooks
+
+    for i in range(5):
+        _write(os.path.join(tmp_dir, f"w{i}.xlsx"), ["id"], [(i,), (i + 10,)])
+    files = list_workbooks(tmp_dir)
+    assert len(pack_workbooks(files, 10**9)) == 1
+    assert len(pack_workbooks(files, 1)) == 5
+    assert len(pack_workbooks(files, 10**9, slots=8)) == 1  # tiny files: the open cost floor
+    schema = StructType([StructField("id", IntegerType())])
+    one_task = read_excel(spark, tmp_dir, schema)
+    assert sorted(r.id for r in one_task.collect()) == [0, 1, 2, 3, 4, 10, 11, 12, 13, 14]
+    assert one_task.rdd.getNumPartitions() == 1
