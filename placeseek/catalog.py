@@ -27,7 +27,7 @@ from placeseek.operators.project import (
     with_search_parameter,
 )
 from placeseek.operators.search import fuzzy_filter, phonetic_filter
-from placeseek.plans.enrich import city_preview, enrich_cities
+from placeseek.plans.enrich import city_preview, enrich_cities, enrich_cities_as_reference
 from placeseek.plans.search import (
     fuzzy_matches,
     phonetic_matches,
@@ -82,6 +82,16 @@ def q_enrich_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_enrich_cities_as_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    states = states_from_nation(_t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region"))
+    return enrich_cities_as_reference(
+        _t(spark, sf_dir, "customer"),
+        states,
+        on=[("c_nationkey", "n_nationkey")],
+        country_col="c_mktsegment",
+    )
+
+
 def q_left_join_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_linestatus")
     od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
@@ -411,6 +421,7 @@ def q_workbook_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "enrich_cities": q_enrich_cities,
+    "enrich_cities_as_reference": q_enrich_cities_as_reference,
     "left_join_two_keys": q_left_join_two_keys,
     "left_join_twice": q_left_join_twice,
     "rename_columns": q_rename_columns,

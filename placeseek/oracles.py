@@ -93,6 +93,15 @@ ORACLES: dict[str, str] = {
         "r.r_name AS continente FROM nation n LEFT JOIN region r "
         "ON n.n_regionkey = r.r_regionkey) s ON c.c_nationkey = s.n_nationkey"
     ),
+    "enrich_cities_as_reference": (
+        "SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment, "
+        f"{sql_initcap('c.c_mktsegment')} AS paisCamel, s.nomeEstado, s.continente "
+        "FROM (SELECT * FROM customer cu LEFT JOIN (SELECT n_nationkey, n_name AS nomeEstado, "
+        "r_name AS continente FROM nation JOIN region ON n_regionkey = r_regionkey) s1 "
+        "ON cu.c_nationkey = s1.n_nationkey) c "
+        "LEFT JOIN (SELECT n_nationkey, n_name AS nomeEstado, r_name AS continente "
+        "FROM nation JOIN region ON n_regionkey = r_regionkey) s ON c.c_nationkey = s.n_nationkey"
+    ),
     "left_join_two_keys": (
         "SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_linestatus, "
         "o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_orderpriority "

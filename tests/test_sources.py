@@ -137,3 +137,18 @@ def test_small_workbooks_share_tasks(spark, tmp_dir):
     one_task = read_excel(spark, tmp_dir, schema)
     assert sorted(r.id for r in one_task.collect()) == [0, 1, 2, 3, 4, 10, 11, 12, 13, 14]
     assert one_task.rdd.getNumPartitions() == 1
+
+
+def test_excel_dates_and_booleans(spark, tmp_dir):
+    import datetime
+
+    from pyspark.sql.types import BooleanType, DateType, DoubleType
+
+    path = os.path.join(tmp_dir, "d.xlsx")
+    # 45000 is 2023-03-15 in Excel's day count; booleans are typed cells
+    _write(path, ["day", "flag", "x"], [(45000, True, 1.5), (45001.5, False, None)])
+    schema = StructType(
+        [StructField("day", DateType()), StructField("flag", BooleanType()), StructField("x", DoubleType())]
+    )
+    rows = [tuple(r) for r in read_excel(spark, path, schema).collect()]
+    assert rows == [(datetime.date(2023, 3, 15), True, 1.5), (datetime.date(2023, 3, 16), False, None)]
