@@ -147,7 +147,7 @@ def left_join(
     if right_is_small:
         small = F.broadcast(right)
         return left.join(small, _condition(left, small, on), "left")
-    if is_small(left, broadcast_rows):
+    if not left.isStreaming and is_small(left, broadcast_rows):
         # small left, large right: stream the right side past the broadcast
         # left rows; a right outer join keeps every left row once unmatched
         bl = F.broadcast(left)
@@ -192,7 +192,7 @@ def left_join_twice(
     if is_small(carried, broadcast_rows):
         small = F.broadcast(carried.join(key_counts(right, rkeys), rkeys))
         joined = left.join(small, _condition(left, small, on), "left")
-    elif is_small(left, broadcast_rows):
+    elif not left.isStreaming and is_small(left, broadcast_rows):
         counts = key_counts(right, rkeys)
         # small left: tag each left row with its k by streaming the counts
         # past it, then stream the right rows past the matched left rows

@@ -5,14 +5,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from placeseek.operators.aggregate import row_count
 from placeseek.operators.project import rename_columns
 from placeseek.plans.enrich import CITY_RENAMES, enrich_cities, prepare_cities, prepare_states
 from placeseek.plans.search import WORKBOOK_RENAMES, search_documents
-from placeseek.sinks.index import append_to_index, json_lines
+from placeseek.sinks.index import append_to_index, json_lines, preview_then_append
 from placeseek.sources.excel import register_excel
 from placeseek.sources.tables import read_csv_strings
 
@@ -76,10 +76,14 @@ def enrich_and_index(
     target: str,
     fmt: str,
     options: Mapping[str, str] | None = None,
-) -> None:
-    """PIPE1 as the source application runs it: enrich, then append the
-    15-column documents to the index ``target`` through ``fmt``."""
-    append_to_index(enrich_from_files(spark, cities_path, states_path), target, fmt, options)
+    preview_rows: int = 10,
+) -> list[Row]:
+    """PIPE1 as the source application runs it: enrich, show a preview, and
+    append the 15-column documents to the index ``target`` through ``fmt``.
+    The enriched plan is computed once for both actions; returns the
+    preview rows."""
+    enriched = enrich_from_files(spark, cities_path, states_path)
+    return preview_then_append(enriched, target, fmt, preview_rows, options)
 
 
 def index_search_documents(

@@ -5,6 +5,7 @@ from placeseek.sinks.index import (
     collect_records,
     json_lines,
     preview,
+    preview_then_append,
     register_view,
     write_json_lines,
 )
@@ -14,6 +15,7 @@ __all__ = [
     "collect_records",
     "json_lines",
     "preview",
+    "preview_then_append",
     "register_view",
     "write_json_lines",
 ]

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -35,6 +36,27 @@ def append_to_index(
     out.write.format(fmt).options(**dict(options or {})).mode("append").save(target)
 
 
+def preview_then_append(
+    df: DataFrame,
+    target: str,
+    fmt: str,
+    n: int = 10,
+    options: Mapping[str, str] | None = None,
+    order_by: Sequence[str] | None = None,
+) -> list[Row]:
+    """SNK3 then SNK1, as the source application runs them (a preview of
+    ``n`` rows, then the append), with the plan computed once: ``df`` is
+    persisted (memory, then disk) for the two actions and released after.
+    A lost executor only makes Spark recompute the lost blocks."""
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = first_rows(df, n, order_by).collect()
+        append_to_index(df, target, fmt, options)
+    finally:
+        df.unpersist()
+    return rows
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """SNK7: name a relation for SQL; returns ``df`` for chaining."""
     df.createOrReplaceTempView(name)

@@ -152,3 +152,14 @@ def test_excel_dates_and_booleans(spark, tmp_dir):
     )
     rows = [tuple(r) for r in read_excel(spark, path, schema).collect()]
     assert rows == [(datetime.date(2023, 3, 15), True, 1.5), (datetime.date(2023, 3, 16), False, None)]
+
+
+def test_preview_then_append(spark, tmp_dir):
+    from placeseek.sinks import preview_then_append
+
+    df = spark.range(0, 50).selectExpr("id", "id * 2 AS v")
+    target = os.path.join(tmp_dir, "idx")
+    rows = preview_then_append(df, target, "parquet", n=3, order_by=["id"])
+    assert [r.id for r in rows] == [0, 1, 2]
+    assert spark.read.parquet(target).count() == 50
+    assert not df.is_cached

@@ -23,3 +23,23 @@ def test_fuzzy_filter_on_a_stream(spark, tmp_dir):
     )
     assert streamed.count() == expected.count() > 0
     assert streamed.exceptAll(expected).count() == 0
+
+
+def test_enrichment_as_a_stream_static_join(spark, tmp_dir):
+    from placeseek.plans.enrich import enrich_cities
+    from placeseek.plans.shapes import states_from_nation
+
+    customer = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    src = os.path.join(tmp_dir, "cities")
+    customer.repartition(2).write.parquet(src)
+    states = states_from_nation(
+        spark.read.parquet(f"{SF_SMALL}/nation.parquet"), spark.read.parquet(f"{SF_SMALL}/region.parquet")
+    )
+    stream = spark.readStream.schema(customer.schema).parquet(src)
+    enriched = enrich_cities(stream, states, on=[("c_nationkey", "n_nationkey")], country_col="c_mktsegment")
+    target = os.path.join(tmp_dir, "city-index")
+    append_stream_to_index(enriched, target, "parquet", checkpoint=os.path.join(tmp_dir, "ckpt2")).awaitTermination(120)
+    batch = enrich_cities(customer, states, on=[("c_nationkey", "n_nationkey")], country_col="c_mktsegment")
+    got = spark.read.parquet(target)
+    assert got.count() == batch.count()
+    assert got.exceptAll(batch).count() == 0
