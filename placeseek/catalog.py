@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from placeseek.functions.phonetic import phonetic_code, register_sql_functions, soundex_code
 from placeseek.functions.text import explode_words, search_text, title_case
@@ -58,7 +58,8 @@ PART_SEARCH = "smal rng"
 DOC_SEARCH = "erblest therouou"
 SOUND_SEARCH = "erblest therouou"
 PART_SOUND_SEARCH = "smol rinj"
-NATION_COLUMNS = ("n_nationkey", "n_name", "n_regionkey")
+# whole-number and text columns of customer (no doubles in text forms)
+CUSTOMER_COLUMNS = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
 SEARCH_DOC_SCHEMA = (
     "linha int, municipio string, tipo string, h string, cep string, "
     "skuPais string, skuMunicipio string, search_phonetic string"
@@ -270,25 +271,25 @@ def q_sql_udf_call(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_view_select_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_view(_t(spark, sf_dir, "region"), "states_view")
-    return read_view(spark, "states_view")
+    register_view(_t(spark, sf_dir, "customer"), "cities_view")
+    return read_view(spark, "cities_view")
 
 
 def q_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return json_lines(_t(spark, sf_dir, "nation"))
+    return json_lines(_t(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS))
 
 
 def q_append_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_path(spark, "index")
-    nation = _t(spark, sf_dir, "nation")
-    append_to_index(nation, target, "parquet")
-    append_to_index(nation, target, "parquet")
+    cities = _t(spark, sf_dir, "customer")
+    append_to_index(cities, target, "parquet")
+    append_to_index(cities, target, "parquet")
     return spark.read.parquet(target)
 
 
 def q_csv_scan_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = scratch_path(spark, "states-csv")
-    _t(spark, sf_dir, "nation").write.option("header", True).csv(target)
+    target = scratch_path(spark, "cities-csv")
+    _t(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS).write.option("header", True).csv(target)
     return read_csv_strings(spark, target)
 
 
@@ -303,45 +304,54 @@ def _write_excel(df: DataFrame, folder: str, split_by: str | None = None) -> Non
     writer.save(folder)
 
 
-def _nation_workbooks(spark: SparkSession, sf_dir: str) -> str:
-    """``nation`` as one workbook per region (plus the writer's _SUCCESS)."""
-    folder = scratch_path(spark, "nation-xlsx")
-    nation = _t(spark, sf_dir, "nation")
-    _write_excel(nation.repartition("n_regionkey"), folder, split_by="n_regionkey")
+def _customer_workbooks(spark: SparkSession, sf_dir: str) -> str:
+    """``customer`` (its whole-number and text columns) as workbooks, one per
+    market segment and task, plus ``supplier`` as one more workbook with
+    other columns, and the writer's _SUCCESS file, in one folder."""
+    folder = scratch_path(spark, "customer-xlsx")
+    _write_excel(_t(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS), folder, split_by="c_mktsegment")
     return folder
 
 
 def q_excel_scan_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch_path(spark, "nation-one-xlsx")
-    _write_excel(_t(spark, sf_dir, "nation").coalesce(1), folder)
-    schema = StructType([StructField(n, StringType(), True) for n in NATION_COLUMNS])
-    return read_excel(spark, f"{folder}/part-00000.xlsx", schema)
+    folder = scratch_path(spark, "customer-plain-xlsx")
+    _write_excel(_t(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS), folder)
+    schema = StructType([StructField(n, StringType(), True) for n in CUSTOMER_COLUMNS])
+    return read_excel(spark, folder, schema)
 
 
 def q_excel_scan_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _nation_workbooks(spark, sf_dir)
+    folder = _customer_workbooks(spark, sf_dir)
     schema = StructType(
         [
-            StructField("n_nationkey", IntegerType(), True),
-            StructField("n_name", StringType(), True),
-            StructField("n_regionkey", IntegerType(), True),
+            StructField("c_custkey", LongType(), True),
+            StructField("c_name", StringType(), True),
+            StructField("c_nationkey", IntegerType(), True),
+            StructField("c_mktsegment", StringType(), True),
         ]
     )
-    return read_excel(spark, f"{folder}/*.xlsx", schema)
+    return read_excel(spark, f"{folder}/c_mktsegment=*.xlsx", schema)
 
 
 def q_excel_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_excel(spark, f"{_nation_workbooks(spark, sf_dir)}/*.xlsx", infer=True)
+    return read_excel(spark, f"{_customer_workbooks(spark, sf_dir)}/*.xlsx", infer=True)
 
 
 def q_excel_list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_files(spark, _nation_workbooks(spark, sf_dir)).select("file")
+    folder = _customer_workbooks(spark, sf_dir)
+    files = list_files(spark, folder)
+    # one workbook per segment and task: the segments listed
+    return distinct_rows(files.select(F.regexp_extract("file", "^(.*)-part-[0-9]+", 1).alias("file")))
 
 
 def q_file_column_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _nation_workbooks(spark, sf_dir)
-    _write_excel(_t(spark, sf_dir, "region").coalesce(1), folder)
-    return column_audit(spark, folder).select("file", "ordinal", "column")
+    folder = _customer_workbooks(spark, sf_dir)
+    _write_excel(_t(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey"), folder)
+    audit = column_audit(spark, folder)
+    name = F.regexp_extract("file", "^(.*)-part-[0-9]+", 1)
+    return distinct_rows(
+        audit.select(F.when(name == "", F.lit("part")).otherwise(name).alias("file"), "ordinal", "column")
+    )
 
 
 def _city_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -388,11 +398,12 @@ def q_enrich_and_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _part_workbooks(spark: SparkSession, sf_dir: str) -> str:
-    """``part`` as country workbooks with the reference's headers, 4 files."""
+    """``part`` as country workbooks with the reference's headers, one per
+    task (rebalanced only when ``part`` arrives in fewer splits than cores)."""
     wb = part_as_workbook(_t(spark, sf_dir, "part"))
     headers = [f.name for f in COUNTRY_SCHEMA.fields]
     folder = scratch_path(spark, "country-xlsx")
-    _write_excel(wb.toDF(*headers).repartition(4, "linha"), folder)
+    _write_excel(spread(wb.toDF(*headers), "linha"), folder)
     return f"{folder}/*.xlsx"
 
 

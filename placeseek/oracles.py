@@ -71,17 +71,23 @@ _PART_MATCHES = (
     f"WHERE {sql_distance_below('w.palavras', 't.term')})"
 )
 
-_NATION_FILES = "SELECT DISTINCT 'n_regionkey=' || n_regionkey || '.xlsx' AS file FROM nation"
+_SEGMENT_FILES = "SELECT DISTINCT 'c_mktsegment=' || c_mktsegment AS file FROM customer"
+_CUSTOMER_TEXT = (
+    "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, "
+    "CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer"
+)
 _PART_WB_FILES = (
     "SELECT linha, municipio, tipo, h, cep, '' AS sku_pais, sku_municipio FROM (" + _PART_WB + ")"
 )
 _PART_FILES_MATCHES = _PART_MATCHES.replace(_PART_WB, _PART_WB_FILES)
 
 
-def _columns_of(table: str) -> str:
+def _columns_of(table: str, leave_out: str) -> str:
+    """Header names of ``table`` written without column ``leave_out``, numbered from 0."""
     return (
-        "SELECT CAST(ordinal_position - 1 AS INTEGER) AS ordinal, column_name AS \"column\" "
-        f"FROM information_schema.columns WHERE table_name = '{table}'"
+        "SELECT CAST(row_number() OVER (ORDER BY ordinal_position) - 1 AS INTEGER) AS ordinal, "
+        "column_name AS \"column\" FROM information_schema.columns "
+        f"WHERE table_name = '{table}' AND column_name <> '{leave_out}'"
     )
 
 
@@ -192,22 +198,23 @@ ORACLES: dict[str, str] = {
         f"SELECT p_partkey, {sql_soundex('p_name')} AS name_code, "
         f"{sql_soundex('lower(p_type)')} AS type_code FROM part"
     ),
-    "view_select_star": "SELECT * FROM region",
-    "json_lines": "SELECT to_json(n)::VARCHAR AS value FROM nation n",
-    "append_sink_roundtrip": "SELECT * FROM nation UNION ALL SELECT * FROM nation",
-    "excel_scan_schema": (
-        "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, "
-        "CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation"
+    "view_select_star": "SELECT * FROM customer",
+    "json_lines": (
+        "SELECT to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey, "
+        "'c_mktsegment': c_mktsegment})::VARCHAR AS value FROM customer"
     ),
-    "excel_scan_glob": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "append_sink_roundtrip": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
+    "excel_scan_schema": _CUSTOMER_TEXT,
+    "excel_scan_glob": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer",
     "excel_scan_inferred": (
-        "SELECT CAST(n_nationkey AS DOUBLE) AS n_nationkey, n_name, "
-        "CAST(n_regionkey AS DOUBLE) AS n_regionkey FROM nation"
+        "SELECT CAST(c_custkey AS DOUBLE) AS c_custkey, c_name, "
+        "CAST(c_nationkey AS DOUBLE) AS c_nationkey, c_mktsegment FROM customer"
     ),
-    "excel_list_files": _NATION_FILES,
+    "excel_list_files": _SEGMENT_FILES,
     "file_column_audit": (
-        f"SELECT f.file, c.ordinal, c.\"column\" FROM ({_NATION_FILES}) f, ({_columns_of('nation')}) c "
-        f"UNION ALL SELECT 'part-00000.xlsx' AS file, c.ordinal, c.\"column\" FROM ({_columns_of('region')}) c"
+        f"SELECT f.file, c.ordinal, c.\"column\" FROM ({_SEGMENT_FILES}) f, "
+        f"({_columns_of('customer', 'c_acctbal')}) c "
+        f"UNION ALL SELECT 'part' AS file, c.ordinal, c.\"column\" FROM ({_columns_of('supplier', 's_acctbal')}) c"
     ),
     "enrich_from_files": (
         "SELECT CAST(c.c_custkey AS VARCHAR) AS skuIBGE, CAST(n.n_regionkey AS VARCHAR) AS siglaPais, "
@@ -236,10 +243,7 @@ ORACLES: dict[str, str] = {
         f"FROM ({_PART_WB_FILES})"
     ),
     "workbook_row_count": "SELECT count(*) AS n FROM part",
-    "csv_scan_strings": (
-        "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, "
-        "CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation"
-    ),
+    "csv_scan_strings": _CUSTOMER_TEXT,
 }
 ORACLES["enrich_and_index"] = ORACLES["enrich_from_files"]
 ORACLES["workbook_index"] = ORACLES["workbook_search_documents"]

@@ -20,10 +20,11 @@ Registered under the name ``excel`` (``register_excel(spark)``), then:
 * ``treatEmptyValuesAsNulls=false`` turns an empty or absent cell of a
   string column into ``''``; other types get null.
 
-The writer is a fixture helper: it turns a DataFrame into workbooks (one
-per task, or one per value of ``splitBy`` after clustering by it; a full
-sheet rolls over to a further workbook).  A retried task rewrites the same
-file names, so a lost executor leaves no duplicate.
+The writer is a fixture helper: it turns a DataFrame into workbooks, one
+per task (``part-<task>.xlsx``) or, with ``splitBy``, one per value and
+task (``<column>=<value>-part-<task>.xlsx``), so no value is gathered into
+one task.  A full sheet rolls over to a further workbook.  A retried task
+rewrites the same file names, so a lost executor leaves no duplicate.
 """
 
 from __future__ import annotations
@@ -507,7 +508,7 @@ class ExcelWriter(DataSourceWriter):
             files.append(target)
 
         for row in iterator:
-            key = task_key if key_idx is None else f"{self.split_by}={row[key_idx]}"
+            key = task_key if key_idx is None else f"{self.split_by}={row[key_idx]}-{task_key}"
             rows = groups.setdefault(key, [])
             rows.append(tuple(row))
             if len(rows) == MAX_SHEET_ROWS - 1:
