@@ -26,7 +26,7 @@ from placeseek.operators.project import (
     with_columns,
     with_search_parameter,
 )
-from placeseek.operators.search import fuzzy_filter, phonetic_filter
+from placeseek.operators.search import fuzzy_filter, fuzzy_pairs, phonetic_filter
 from placeseek.plans.enrich import city_preview, enrich_cities, enrich_cities_as_reference
 from placeseek.plans.search import (
     fuzzy_matches,
@@ -219,6 +219,10 @@ def q_fuzzy_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_filter(_doc_words(spark, sf_dir), DOC_SEARCH).select("doc_id", "palavras")
 
 
+def q_fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_pairs(_doc_words(spark, sf_dir), DOC_SEARCH).select("doc_id", "palavras", "parameters")
+
+
 def q_fuzzy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fuzzy_filter(_doc_words(spark, sf_dir), DOC_SEARCH)
     return distinct_rows(found, ["doc_id", "lang", "source"])
@@ -449,6 +453,7 @@ QUERIES: dict[str, Query] = {
     "search_text": q_search_text,
     "word_corpus": q_word_corpus,
     "fuzzy_filter": q_fuzzy_filter,
+    "fuzzy_pairs": q_fuzzy_pairs,
     "fuzzy_documents": q_fuzzy_documents,
     "fuzzy_matches": q_fuzzy_matches,
     "fuzzy_search": q_fuzzy_search,

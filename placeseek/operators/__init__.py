@@ -12,13 +12,14 @@ from placeseek.operators.project import (
     with_columns,
     with_search_parameter,
 )
-from placeseek.operators.search import fuzzy_filter, phonetic_filter
+from placeseek.operators.search import fuzzy_filter, fuzzy_pairs, phonetic_filter
 
 __all__ = [
     "RECORD_FIELDS",
     "distinct_rows",
     "first_rows",
     "fuzzy_filter",
+    "fuzzy_pairs",
     "left_join",
     "left_join_twice",
     "maybe_broadcast",

@@ -13,7 +13,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeseek.functions.distance import near_any
+from placeseek.functions.distance import near_any, within_distance
 from placeseek.functions.phonetic import soundex_code
 from placeseek.functions.text import split_terms
 
@@ -38,6 +38,30 @@ def fuzzy_filter(
     return words.filter(near_any(word_col, terms, limit))
 
 
+def fuzzy_pairs(
+    words: DataFrame,
+    text: str | None,
+    word_col: str = "palavras",
+    limit: int = DISTANCE_LIMIT,
+    term_col: str = "parameters",
+) -> DataFrame:
+    """JON3 in the reference's own row shape: one row per (word row, term)
+    within ``limit - 1`` edits, the term in ``term_col``.  A term typed
+    twice matches twice, as the reference's explode of the terms does.
+
+    Each word row builds the array of its matching terms (one bounded test
+    per term, nulls dropped) and explodes that, so only matches are ever
+    emitted; the rows are not multiplied by the terms before the test.
+    """
+    terms = split_terms(text)
+    if not terms:
+        return words.limit(0).withColumn(term_col, F.lit(None).cast("string"))
+    hits = F.array_compact(
+        F.array(*[F.when(within_distance(word_col, t, limit), F.lit(t)) for t in terms])
+    )
+    return words.filter(near_any(word_col, terms, limit)).select("*", F.explode(hits).alias(term_col))
+
+
 def phonetic_filter(
     words: DataFrame,
     text: str | None,

@@ -168,6 +168,10 @@ ORACLES: dict[str, str] = {
         f"WHERE EXISTS (SELECT 1 FROM ({_terms('erblest therouou')}) t "
         f"WHERE {sql_distance_below('w.palavras', 't.term')})"
     ),
+    "fuzzy_pairs": (
+        f"SELECT w.doc_id, w.palavras, t.term AS parameters FROM ({_words('doc_id')}) w "
+        f"JOIN ({_terms('erblest therouou')}) t ON {sql_distance_below('w.palavras', 't.term')}"
+    ),
     "fuzzy_documents": (
         f"SELECT DISTINCT w.doc_id, w.lang, w.source FROM ({_words('doc_id, lang, source')}) w "
         f"WHERE EXISTS (SELECT 1 FROM ({_terms('erblest therouou')}) t "

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from placeseek.operators import fuzzy_filter, phonetic_filter
+from placeseek.operators import fuzzy_filter, fuzzy_pairs, phonetic_filter
 from placeseek.plans.search import fuzzy_matches, fuzzy_search, word_corpus
 from placeseek.plans.shapes import part_as_workbook
 
@@ -76,3 +76,12 @@ def test_phonetic_prefilter_is_exact(spark):
         ).collect()
     )
     assert got == plain == [1, 2, 3, 4, 5]
+
+
+def test_fuzzy_pairs_keep_the_reference_row_shape(spark):
+    words = spark.createDataFrame([(1, "ab"), (2, "abc"), (3, "zzzzzz")], "id int, palavras string")
+    got = sorted((r.id, r.parameters) for r in fuzzy_pairs(words, "ab abd ab").collect())
+    # "ab" is typed twice: each typed term is one match, as in the reference
+    assert got == [(1, "ab"), (1, "ab"), (1, "abd"), (2, "ab"), (2, "ab"), (2, "abd")]
+    assert fuzzy_pairs(words, "ab abd ab").count() == _reference_form(words, "ab abd ab").count()
+    assert fuzzy_pairs(words, None).count() == 0
