@@ -26,7 +26,7 @@ from placeseek.operators.project import (
     with_columns,
     with_search_parameter,
 )
-from placeseek.operators.search import fuzzy_filter, fuzzy_pairs, phonetic_filter
+from placeseek.operators.search import fuzzy_filter, fuzzy_pairs, phonetic_filter, phonetic_pairs
 from placeseek.plans.enrich import city_preview, enrich_cities, enrich_cities_as_reference
 from placeseek.plans.search import (
     fuzzy_matches,
@@ -258,6 +258,11 @@ def q_phonetic_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_rows(found, ["doc_id", "lang", "source"])
 
 
+def q_phonetic_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = _doc_words(spark, sf_dir)
+    return phonetic_pairs(words, SOUND_SEARCH).select("doc_id", "palavras", "parameters")
+
+
 def q_phonetic_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phonetic_matches(_part_corpus(spark, sf_dir), PART_SOUND_SEARCH)
 
@@ -459,6 +464,7 @@ QUERIES: dict[str, Query] = {
     "fuzzy_search": q_fuzzy_search,
     "soundex_codes": q_soundex_codes,
     "phonetic_match": q_phonetic_match,
+    "phonetic_pairs": q_phonetic_pairs,
     "phonetic_matches": q_phonetic_matches,
     "sql_udf_call": q_sql_udf_call,
     "view_select_star": q_view_select_star,

@@ -12,7 +12,7 @@ from placeseek.operators.project import (
     with_columns,
     with_search_parameter,
 )
-from placeseek.operators.search import fuzzy_filter, fuzzy_pairs, phonetic_filter
+from placeseek.operators.search import fuzzy_filter, fuzzy_pairs, phonetic_filter, phonetic_pairs
 
 __all__ = [
     "RECORD_FIELDS",
@@ -25,6 +25,7 @@ __all__ = [
     "maybe_broadcast",
     "page_of_rows",
     "phonetic_filter",
+    "phonetic_pairs",
     "rename_columns",
     "row_count",
     "select_aliased",

@@ -90,3 +90,26 @@ def phonetic_filter(
     ascii_head = first.between("A", "Z") | first.between("a", "z")
     candidate = ~ascii_head | F.upper(first).isin(*heads)
     return words.filter(candidate & soundex_code(word_col).isin(*codes))
+
+
+def phonetic_pairs(
+    words: DataFrame,
+    text: str | None,
+    word_col: str = "palavras",
+    term_col: str = "parameters",
+) -> DataFrame:
+    """JON4 as an equi-join of words and terms on the sound code: one row per
+    (word row, term) with equal codes, the term in ``term_col``.
+
+    The join's right side is the handful of typed terms, so it is written as
+    each word row's array of terms whose (constant-folded) code equals the
+    word's, exploded; the word's code is computed once per row.
+    """
+    terms = [t for t in split_terms(text) if _HAS_LETTER.search(t)]
+    if not terms:
+        return words.limit(0).withColumn(term_col, F.lit(None).cast("string"))
+    found = phonetic_filter(words, text, word_col).withColumn("_code", soundex_code(word_col))
+    hits = F.array_compact(
+        F.array(*[F.when(F.col("_code") == soundex_code(F.lit(t)), F.lit(t)) for t in terms])
+    )
+    return found.select(*words.columns, F.explode(hits).alias(term_col))

@@ -198,6 +198,11 @@ ORACLES: dict[str, str] = {
         f"WHERE {sql_soundex('w.palavras')} IN (SELECT {sql_soundex('term')} FROM ({_terms('smol rinj')}) "
         f"WHERE {sql_soundex('term')} <> '')"
     ),
+    "phonetic_pairs": (
+        f"SELECT w.doc_id, w.palavras, t.term AS parameters FROM ({_words('doc_id')}) w "
+        f"JOIN ({_terms('erblest therouou')}) t ON {sql_soundex('w.palavras')} = {sql_soundex('t.term')} "
+        f"AND {sql_soundex('t.term')} <> ''"
+    ),
     "sql_udf_call": (
         f"SELECT p_partkey, {sql_soundex('p_name')} AS name_code, "
         f"{sql_soundex('lower(p_type)')} AS type_code FROM part"

@@ -85,3 +85,12 @@ def test_fuzzy_pairs_keep_the_reference_row_shape(spark):
     assert got == [(1, "ab"), (1, "ab"), (1, "abd"), (2, "ab"), (2, "ab"), (2, "abd")]
     assert fuzzy_pairs(words, "ab abd ab").count() == _reference_form(words, "ab abd ab").count()
     assert fuzzy_pairs(words, None).count() == 0
+
+
+def test_phonetic_pairs(spark):
+    from placeseek.operators import phonetic_pairs
+
+    words = spark.createDataFrame([(1, "Robert"), (2, "Rupert"), (3, "Tymczak"), (4, "x")], "id int, palavras string")
+    got = sorted((r.id, r.parameters) for r in phonetic_pairs(words, "Rupert Tymczak 12").collect())
+    assert got == [(1, "Rupert"), (2, "Rupert"), (3, "Tymczak")]
+    assert phonetic_pairs(words, "123").count() == 0
