@@ -30,6 +30,8 @@ from placeseek.operators.search import fuzzy_filter, fuzzy_pairs, phonetic_filte
 from placeseek.plans.enrich import city_preview, enrich_cities, enrich_cities_as_reference
 from placeseek.plans.search import (
     fuzzy_matches,
+    store_corpus,
+    stored_fuzzy_filter,
     phonetic_matches,
     fuzzy_search,
     search_documents,
@@ -228,6 +230,13 @@ def q_fuzzy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_rows(found, ["doc_id", "lang", "source"])
 
 
+def q_fuzzy_documents_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "doc-corpus")
+    store_corpus(_doc_words(spark, sf_dir), path)
+    found = stored_fuzzy_filter(spark.read.parquet(path), DOC_SEARCH)
+    return distinct_rows(found, ["doc_id", "lang", "source"])
+
+
 def _part_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_corpus(part_as_workbook(_t(spark, sf_dir, "part")))
 
@@ -460,6 +469,7 @@ QUERIES: dict[str, Query] = {
     "fuzzy_filter": q_fuzzy_filter,
     "fuzzy_pairs": q_fuzzy_pairs,
     "fuzzy_documents": q_fuzzy_documents,
+    "fuzzy_documents_stored": q_fuzzy_documents_stored,
     "fuzzy_matches": q_fuzzy_matches,
     "fuzzy_search": q_fuzzy_search,
     "soundex_codes": q_soundex_codes,

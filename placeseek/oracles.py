@@ -256,3 +256,4 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["enrich_and_index"] = ORACLES["enrich_from_files"]
 ORACLES["workbook_index"] = ORACLES["workbook_search_documents"]
+ORACLES["fuzzy_documents_stored"] = ORACLES["fuzzy_documents"]

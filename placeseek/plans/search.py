@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from placeseek.functions.text import explode_words, search_text
+from placeseek.functions.distance import near_any
+from placeseek.functions.text import explode_words, search_text, split_terms
 from placeseek.operators.aggregate import distinct_rows
 from placeseek.operators.limit import page_of_rows
 from placeseek.operators.project import RECORD_FIELDS, rename_columns, to_city_record
@@ -100,3 +104,42 @@ def phonetic_matches(
     """JON4 as a search: distinct ``cols`` of rows with a word that sounds
     like (same Soundex code as) a search term."""
     return distinct_rows(phonetic_filter(corpus, text, word_col), cols)
+
+
+# Row-group size of a stored corpus: smaller groups give the length filter
+# finer pieces to skip.
+CORPUS_ROW_GROUP_BYTES = 16 * 1024 * 1024
+LENGTH_COL = "wlen"
+
+
+def store_corpus(corpus: DataFrame, path: str, word_col: str = WORD_COL) -> None:
+    """Write a word corpus for repeated searches (departure D9).
+
+    Each task sorts its rows by word length before writing, so every
+    Parquet row group covers a narrow band of lengths and carries min/max
+    statistics for it.  No shuffle: the order is only within each file.
+    """
+    (
+        corpus.withColumn(LENGTH_COL, F.length(word_col))
+        .sortWithinPartitions(LENGTH_COL)
+        .write.mode("overwrite")
+        .option("parquet.block.size", CORPUS_ROW_GROUP_BYTES)
+        .parquet(path)
+    )
+
+
+def stored_fuzzy_filter(
+    stored: DataFrame, text: str | None, word_col: str = WORD_COL, limit: int = DISTANCE_LIMIT
+) -> DataFrame:
+    """``fuzzy_filter`` on a stored corpus, with the length bound pushed to
+    the scan: a word within ``limit - 1`` edits of a term has a length
+    within ``limit - 1`` of the term's, so row groups whose length range
+    misses every term's band are skipped unread.  Exact."""
+    terms = list(dict.fromkeys(split_terms(text)))
+    if not terms:
+        return stored.limit(0)
+    band = reduce(
+        lambda a, b: a | b,
+        [F.col(LENGTH_COL).between(len(t) - (limit - 1), len(t) + (limit - 1)) for t in terms],
+    )
+    return stored.filter(band).filter(near_any(word_col, terms, limit))

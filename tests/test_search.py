@@ -94,3 +94,17 @@ def test_phonetic_pairs(spark):
     got = sorted((r.id, r.parameters) for r in phonetic_pairs(words, "Rupert Tymczak 12").collect())
     assert got == [(1, "Rupert"), (2, "Rupert"), (3, "Tymczak")]
     assert phonetic_pairs(words, "123").count() == 0
+
+
+def test_stored_corpus_search_equals_direct(spark, tmp_dir):
+    from placeseek.plans.search import store_corpus, stored_fuzzy_filter
+
+    words = _doc_words(spark)
+    path = tmp_dir + "/corpus"
+    store_corpus(words, path)
+    stored = spark.read.parquet(path)
+    for text in ["erblest therouou", " a", "Ouréaux"]:
+        a = stored_fuzzy_filter(stored, text).select(*words.columns)
+        b = fuzzy_filter(words, text)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, text
+    assert stored_fuzzy_filter(stored, None).count() == 0
