@@ -32,7 +32,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placeseek.session import checkpoint_root, fits_for_broadcast
@@ -184,8 +184,11 @@ def left_join_twice(
 
     Computed without the second join: the right side is joined once
     (salted on hot keys), and each matched row is repeated k times by a
-    generator, k coming from the per-key counts, so the k * k rows of a
-    hot key are produced by all of its buckets' tasks, not by one.
+    generator, k coming from the per-key counts (joined to the left rows by
+    a left outer join, which also yields the unmatched rows), so the k * k
+    rows of a hot key are produced by all of its buckets' tasks, not by one.
+    Every join here has plain shuffles on both sides, so adaptive execution
+    can also split a hot *left* key.
     """
     rkeys = [rc for _, rc in on]
     carried = right.select(*rkeys, *[c for c in right_cols if c not in rkeys])
@@ -209,19 +212,19 @@ def left_join_twice(
         joined = matched.union(unmatched)
     else:
         counts = saved_key_counts(right, rkeys)
-        lx, r = _salt_sides(left, carried, on, counts, salt_rows)
-        # k of a hot key is its counted total; of any other key, the size of
-        # its one bucket, counted over the partitioning the join reuses
-        bucket = Window.partitionBy(*rkeys, "_salt")
-        r = r.withColumn("_k", F.coalesce(F.col("_hot_k"), F.count(F.lit(1)).over(bucket)))
+        # k reaches each left row through a left outer join with the saved
+        # counts (both sides plain shuffles, so adaptive execution can split
+        # a hot left key); rows without a count are the unmatched ones
+        cnt = counts.hint("merge")
+        left_k = left.join(cnt, _condition(left, cnt, on), "left").select(
+            *[left[c] for c in left.columns], cnt["_k"]
+        )
+        lx, r = _salt_sides(left_k.where(F.col("_k").isNotNull()), carried, on, counts, salt_rows)
+        # columns: left's, _k, then the carried right columns (union by position)
         matched = _salted_match(lx, r.drop("_s", "_hot_k"), on)
-        unmatched = _unmatched(left, counts, on)
         nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in carried.schema.fields]
-        joined = matched.union(
-            unmatched.select(
-                *[left[c] for c in left.columns], *nulls, F.lit(None).cast("long").alias("_k")
-            )
-        )
+        unmatched = left_k.where(F.col("_k").isNull()).select(*left.columns, "_k", *nulls)
+        joined = matched.union(unmatched)
     reps = F.coalesce(F.col("_k"), F.lit(1)).cast("int")
     return joined.select(
         *left_cols,
