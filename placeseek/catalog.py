@@ -27,7 +27,12 @@ from placeseek.operators.project import (
     with_search_parameter,
 )
 from placeseek.operators.search import fuzzy_filter, fuzzy_pairs, phonetic_filter, phonetic_pairs
-from placeseek.plans.enrich import city_preview, enrich_cities, enrich_cities_as_reference
+from placeseek.plans.enrich import (
+    CITY_RENAMES,
+    city_preview,
+    enrich_cities,
+    enrich_cities_as_reference,
+)
 from placeseek.plans.search import (
     fuzzy_matches,
     store_corpus,
@@ -43,6 +48,7 @@ from placeseek.plans.files import (
     enrich_and_index,
     enrich_from_files,
     index_search_documents,
+    read_cities,
     read_country_workbooks,
     read_excel,
 )
@@ -409,6 +415,11 @@ def q_enrich_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_from_files(spark, *_city_files(spark, sf_dir))
 
 
+def q_workbook_city_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cities = read_cities(spark, _city_files(spark, sf_dir)[0])
+    return city_preview(cities, list(CITY_RENAMES.values()))
+
+
 def q_enrich_and_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_path(spark, "city-index")
     enrich_and_index(spark, *_city_files(spark, sf_dir), target, "parquet")
@@ -488,6 +499,7 @@ QUERIES: dict[str, Query] = {
     "file_column_audit": q_file_column_audit,
     "enrich_from_files": q_enrich_from_files,
     "enrich_and_index": q_enrich_and_index,
+    "workbook_city_preview": q_workbook_city_preview,
     "workbook_search_documents": q_workbook_search_documents,
     "workbook_index": q_workbook_index,
     "workbook_fuzzy_search": q_workbook_fuzzy_search,

@@ -257,3 +257,12 @@ ORACLES: dict[str, str] = {
 ORACLES["enrich_and_index"] = ORACLES["enrich_from_files"]
 ORACLES["workbook_index"] = ORACLES["workbook_search_documents"]
 ORACLES["fuzzy_documents_stored"] = ORACLES["fuzzy_documents"]
+ORACLES["workbook_city_preview"] = (
+    "SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS skuIBGE, CAST(n_regionkey AS VARCHAR) AS siglaPais, "
+    "c_mktsegment AS type, '' AS ordemAlfabetica, '' AS skuFeriaz, c_name AS municipio, "
+    "lower(c_mktsegment) AS pais, '' AS regiao, CAST(c_nationkey AS VARCHAR) AS uf, "
+    "'' AS regiaoTuristica, '' AS arrecadacao, '' AS cluster, "
+    f"{sql_initcap('c_mktsegment')} AS paisCamel "
+    "FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey "
+    "ORDER BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13 LIMIT 10"
+)
