@@ -66,6 +66,7 @@ from pyspark.sql.types import (
 # Excel's sheet row limit and the day Excel counts dates from.
 MAX_SHEET_ROWS = 1_048_576
 EXCEL_EPOCH = _dt.datetime(1899, 12, 30)
+EXCEL_EPOCH_1904 = _dt.datetime(1904, 1, 1)
 SAMPLE_ROWS = 1000
 BATCH_ROWS = 8192
 # Compressed workbook bytes packed into one read task (small files share).
@@ -166,7 +167,16 @@ def _col_index(ref: str) -> int:
 
 
 def _text_of(el) -> str:
-    return "".join(t.text or "" for t in el.iter() if _local(t.tag) == "t")
+    """Displayed text of a string item: its ``t``, or the ``t`` of each
+    rich-text run ``r``; phonetic hints (``rPh``) are not displayed."""
+    parts = []
+    for child in el:
+        tag = _local(child.tag)
+        if tag == "t":
+            parts.append(child.text or "")
+        elif tag == "r":
+            parts.extend(t.text or "" for t in child if _local(t.tag) == "t")
+    return "".join(parts)
 
 
 def _tags(name: str) -> tuple[str, ...]:
@@ -235,7 +245,8 @@ def _cell_value(c, kind: str, strings: _SharedStrings):
     if kind == "s":
         return strings[int(v)] if v is not None else None
     if kind == "inlineStr":
-        return _text_of(c)
+        inline = next((x for x in c if _local(x.tag) == "is"), None)
+        return _text_of(inline) if inline is not None else None
     if kind in ("str", "d"):
         return v
     if kind == "b":
@@ -245,6 +256,18 @@ def _cell_value(c, kind: str, strings: _SharedStrings):
     return float(v) if v not in (None, "") else None
 
 
+def date_epoch(path: str) -> _dt.datetime:
+    """The day a workbook counts dates from (its 1900 or 1904 date system)."""
+    with _open_input(path) as fh, zipfile.ZipFile(fh) as z:
+        try:
+            wb = ET.fromstring(z.read("xl/workbook.xml"))
+        except (KeyError, ET.ParseError):
+            return EXCEL_EPOCH
+    pr = next((e for e in wb.iter() if _local(e.tag) == "workbookPr"), None)
+    flag = pr.get("date1904", "") if pr is not None else ""
+    return EXCEL_EPOCH_1904 if flag.strip().lower() in ("1", "true") else EXCEL_EPOCH
+
+
 def iter_sheet_rows(path: str) -> Iterator[dict[int, object]]:
     """Rows of the first sheet as ``{column index: value}``; rows without a
     cell are skipped.  Values: ``str``, ``float`` or ``bool``.
@@ -315,9 +338,9 @@ def _to_bool(v):
     return None
 
 
-def _to_timestamp(v):
+def _to_timestamp(v, epoch=EXCEL_EPOCH):
     if isinstance(v, float):
-        return EXCEL_EPOCH + _dt.timedelta(days=v)
+        return epoch + _dt.timedelta(days=v)
     if isinstance(v, str):
         try:
             return _dt.datetime.fromisoformat(v.strip())
@@ -326,12 +349,12 @@ def _to_timestamp(v):
     return None
 
 
-def _to_date(v):
-    t = _to_timestamp(v)
+def _to_date(v, epoch=EXCEL_EPOCH):
+    t = _to_timestamp(v, epoch)
     return t.date() if t is not None else None
 
 
-def _converter(dtype, empty_as_null: bool):
+def _converter(dtype, empty_as_null: bool, epoch=EXCEL_EPOCH):
     if isinstance(dtype, StringType):
         return (lambda v: None if v is None and empty_as_null else ("" if v is None else _to_string(v)))
     if isinstance(dtype, (IntegerType, LongType, ShortType, ByteType)):
@@ -347,9 +370,11 @@ def _converter(dtype, empty_as_null: bool):
     elif isinstance(dtype, BooleanType):
         base = _to_bool
     elif isinstance(dtype, (TimestampType, TimestampNTZType)):
-        base = _to_timestamp
+        def base(v):
+            return _to_timestamp(v, epoch)
     elif isinstance(dtype, DateType):
-        base = _to_date
+        def base(v):
+            return _to_date(v, epoch)
     else:
         base = _to_string
     return lambda v: None if v is None else base(v)
@@ -456,7 +481,8 @@ class ExcelReader(DataSourceReader):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow_schema = to_arrow_schema(self.schema)
-        convs = [_converter(f.dataType, self.empty_as_null) for f in self.schema.fields]
+        epoch = date_epoch(path)
+        convs = [_converter(f.dataType, self.empty_as_null, epoch) for f in self.schema.fields]
         width = len(convs)
         rows = iter_sheet_rows(path)
         if self.header:

@@ -26,11 +26,14 @@ def _sparse_workbook(path):
     sheet = (
         f'<worksheet xmlns="{SHEET_NS}"><sheetData>'
         '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c><c r="C1" t="s"><v>2</v></c></row>'
-        '<row r="2"><c r="A2"><v>7</v></c><c r="C2" t="inlineStr"><is><t>x</t></is></c></row>'
+        '<row r="2"><c r="A2"><v>7</v></c><c r="C2" t="inlineStr"><is><r><t>x</t></r></is></c></row>'
         '<row r="4"><c r="A4"><v>2.5</v></c><c r="B4" t="s"><v>1</v></c><c r="C4" t="b"><v>1</v></c></row>'
         "</sheetData></worksheet>"
     )
-    sst = f'<sst xmlns="{SHEET_NS}"><si><t>linha</t></si><si><r><t>Mun</t></r><r><t>icípio</t></r></si><si><t>C</t></si></sst>'
+    sst = (
+        f'<sst xmlns="{SHEET_NS}"><si><t>linha</t></si>'
+        "<si><r><t>Mun</t></r><r><t>icípio</t></r><rPh><t>hint</t></rPh></si><si><t>C</t></si></sst>"
+    )
     with zipfile.ZipFile(path, "w") as z:
         z.writestr("xl/worksheets/sheet1.xml", sheet)
         z.writestr("xl/sharedStrings.xml", sst)
@@ -163,3 +166,25 @@ def test_preview_then_append(spark, tmp_dir):
     assert [r.id for r in rows] == [0, 1, 2]
     assert spark.read.parquet(target).count() == 50
     assert not df.is_cached
+
+
+def test_excel_1904_date_system(spark, tmp_dir):
+    import datetime
+
+    from pyspark.sql.types import DateType
+
+    path = os.path.join(tmp_dir, "d1904.xlsx")
+    sheet = (
+        f'<worksheet xmlns="{SHEET_NS}"><sheetData>'
+        '<row r="1"><c r="A1" t="inlineStr"><is><t>day</t></is></c></row>'
+        '<row r="2"><c r="A2"><v>0</v></c></row></sheetData></worksheet>'
+    )
+    workbook = (
+        f'<workbook xmlns="{SHEET_NS}"><workbookPr date1904="1"/><sheets>'
+        '<sheet name="S" sheetId="1"/></sheets></workbook>'
+    )
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+        z.writestr("xl/workbook.xml", workbook)
+    rows = read_excel(spark, path, StructType([StructField("day", DateType())])).collect()
+    assert rows[0].day == datetime.date(1904, 1, 1)
