@@ -14,6 +14,7 @@ from placeseek.plans.enrich import CITY_RENAMES, enrich_cities, prepare_cities,
 from placeseek.plans.search import WORKBOOK_RENAMES, search_documents
 from placeseek.sinks.index import append_to_index, json_lines, preview_then_append
 from placeseek.sources.excel import register_excel
+from placeseek.sources.files import infer_excel_schema
 from placeseek.sources.tables import read_csv_strings
 
 # The municipalities workbook has 12 text columns, in this
@@ -39,8 +40,14 @@ def read_excel(
     infer: bool = False,
     empty_as_null: bool = False,
 ) -> DataFrame:
-    """SRC1-SRC3 with the reference's options (header on, empties kept)."""
+    """SRC1-SRC3 with the reference's options (header on, empties kept).
+
+    ``infer=True`` without a schema derives exact types from every cell of
+    every workbook in one distributed pass (``sources.infer_excel_schema``).
+    """
     register_excel(spark)
+    if schema is None and infer:
+        schema = infer_excel_schema(spark, path)
     reader = (
         spark.read.format("excel")
         .option("header", "true")

@@ -7,12 +7,14 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
 from placeseek.session import ship_package
-from placeseek.sources.excel import read_header
+from placeseek.sources.excel import header_names, iter_sheet_rows, read_header
 
 AUDIT_SCHEMA = "path string, file string, ordinal int, column string"
+TYPE_STATS_SCHEMA = "path string, ordinal int, name string, n_values long, n_numbers long, n_booleans long"
 
 
 def list_files(spark: SparkSession, folder: str, suffix: str = ".xlsx") -> DataFrame:
@@ -58,3 +60,69 @@ def column_audit(spark: SparkSession, folder: str, suffix: str = ".xlsx") -> Dat
     """
     ship_package(spark)
     return list_files(spark, folder, suffix).mapInPandas(_audit_batches, AUDIT_SCHEMA)
+
+
+def _type_stats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per workbook and header column: how many cells hold a value, a number
+    and a boolean (the whole sheet is read, one row at a time)."""
+    for batch in batches:
+        out = []
+        for path in batch["path"]:
+            rows = iter_sheet_rows(path)
+            try:
+                names = header_names(next(rows, {}))
+                stats = [[0, 0, 0] for _ in names]
+                for cells in rows:
+                    for i, v in cells.items():
+                        if i >= len(stats) or v == "":
+                            continue
+                        st = stats[i]
+                        st[0] += 1
+                        if isinstance(v, bool):
+                            st[2] += 1
+                        elif isinstance(v, float):
+                            st[1] += 1
+            finally:
+                rows.close()
+            out.extend((path, i, names[i], *stats[i]) for i in range(len(names)))
+        yield pd.DataFrame(
+            out, columns=["path", "ordinal", "name", "n_values", "n_numbers", "n_booleans"]
+        ).astype({"ordinal": "int32"})
+
+
+def infer_excel_schema(spark: SparkSession, pattern: str) -> StructType:
+    """Exact types for the workbooks matching ``pattern`` (a file, folder or
+    glob), from every cell of every workbook rather than a sample.
+
+    One distributed pass: each task reads its own workbooks and returns a
+    few counts per column; the driver receives one row per column.  Names
+    come from the first workbook (by path), positions match as in reading.
+    A column is ``double`` when all its values are numbers, ``boolean``
+    when all are booleans, else ``string`` (also when it holds no value).
+    """
+    ship_package(spark)
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.xlsx")
+        .load(pattern)
+        .select("path")
+    )
+    stats = files.mapInPandas(_type_stats, TYPE_STATS_SCHEMA)
+    per_column = stats.groupBy("ordinal").agg(
+        F.min_by("name", "path").alias("name"),
+        F.sum("n_values").alias("n_values"),
+        F.sum("n_numbers").alias("n_numbers"),
+        F.sum("n_booleans").alias("n_booleans"),
+    )
+    first = stats.agg(F.min("path").alias("first"))
+    names_of_first = stats.join(first, stats["path"] == first["first"]).select("ordinal")
+    columns = per_column.join(names_of_first, "ordinal").orderBy("ordinal").collect()
+
+    def type_of(row):
+        if row.n_values and row.n_numbers == row.n_values:
+            return DoubleType()
+        if row.n_values and row.n_booleans == row.n_values:
+            return BooleanType()
+        return StringType()
+
+    return StructType([StructField(r.name, type_of(r), True) for r in columns])

@@ -188,3 +188,17 @@ def test_excel_1904_date_system(spark, tmp_dir):
         z.writestr("xl/workbook.xml", workbook)
     rows = read_excel(spark, path, StructType([StructField("day", DateType())])).collect()
     assert rows[0].day == datetime.date(1904, 1, 1)
+
+
+def test_exact_inference_sees_every_workbook(spark, tmp_dir):
+    from placeseek.sources import infer_excel_schema
+
+    _write(os.path.join(tmp_dir, "a.xlsx"), ["x", "y", "z"], [(1, 2.5, True), (2, 3.0, False)])
+    _write(os.path.join(tmp_dir, "b.xlsx"), ["x", "y", "z"], [("ten", 4, True), (None, None, None)])
+    schema = infer_excel_schema(spark, tmp_dir)
+    assert [(f.name, f.dataType.typeName()) for f in schema.fields] == [
+        ("x", "string"), ("y", "double"), ("z", "boolean")
+    ]
+    rows = sorted(read_excel(spark, tmp_dir, infer=True).collect(), key=lambda r: r.x)
+    # the all-empty row of b.xlsx has no cell at all: it is skipped
+    assert [tuple(r) for r in rows] == [("1", 2.5, True), ("2", 3.0, False), ("ten", 4.0, True)]
