@@ -16,7 +16,8 @@ Registered under the name ``excel`` (``register_excel(spark)``), then:
   the first field), like Spark's CSV reader.  Without one, the header row
   names the columns: all strings, or with ``inferSchema`` the types seen
   in a sample of the first workbook (numbers -> double, booleans ->
-  boolean, anything else -> string).
+  boolean, anything else -> string).  ``sources.infer_excel_schema`` gives
+  the exact types from every workbook in one distributed pass instead.
 * ``treatEmptyValuesAsNulls=false`` turns an empty or absent cell of a
   string column into ``''``; other types get null.
 
