@@ -33,15 +33,6 @@ from placeseek.plans.enrich import (
     enrich_cities,
     enrich_cities_as_reference,
 )
-from placeseek.plans.search import (
-    fuzzy_matches,
-    store_corpus,
-    stored_fuzzy_filter,
-    phonetic_matches,
-    fuzzy_search,
-    search_documents,
-    word_corpus,
-)
 from placeseek.plans.files import (
     COUNTRY_SCHEMA,
     dump_workbooks,
@@ -52,6 +43,15 @@ from placeseek.plans.files import (
     read_country_workbooks,
     read_excel,
 )
+from placeseek.plans.search import (
+    fuzzy_matches,
+    fuzzy_search,
+    phonetic_matches,
+    search_documents,
+    store_corpus,
+    stored_fuzzy_filter,
+    word_corpus,
+)
 from placeseek.plans.shapes import part_as_workbook, states_from_nation
 from placeseek.session import scratch_path, spread
 from placeseek.sinks.index import append_to_index, json_lines, register_view
@@ -66,7 +66,8 @@ PART_SEARCH = "smal rng"
 DOC_SEARCH = "erblest therouou"
 SOUND_SEARCH = "erblest therouou"
 PART_SOUND_SEARCH = "smol rinj"
-# whole-number and text columns of customer (no doubles in text forms)
+# The whole-number and text columns of customer (doubles stay out of
+# text forms, whose spelling differs between engines).
 CUSTOMER_COLUMNS = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
 SEARCH_DOC_SCHEMA = (
     "linha int, municipio string, tipo string, h string, cep string, "
