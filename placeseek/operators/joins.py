@@ -55,8 +55,10 @@ def _condition(left: DataFrame, right: DataFrame, on: KeyPairs) -> Column:
 
 def is_small(df: DataFrame, max_rows: int | None) -> bool:
     """The size proof a broadcast needs: at most ``max_rows`` rows and
-    ``BROADCAST_BYTES`` of values."""
-    return bool(max_rows) and fits_for_broadcast(df, max_rows, BROADCAST_BYTES)
+    ``BROADCAST_BYTES`` of values.  A stream has no size: never small."""
+    if not max_rows or df.isStreaming:
+        return False
+    return fits_for_broadcast(df, max_rows, BROADCAST_BYTES)
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int | None) -> tuple[DataFrame, bool]:
@@ -147,7 +149,7 @@ def left_join(
     if right_is_small:
         small = F.broadcast(right)
         return left.join(small, _condition(left, small, on), "left")
-    if not left.isStreaming and is_small(left, broadcast_rows):
+    if is_small(left, broadcast_rows):
         # small left, large right: stream the right side past the broadcast
         # left rows; a right outer join keeps every left row once unmatched
         bl = F.broadcast(left)
@@ -195,7 +197,7 @@ def left_join_twice(
     if is_small(carried, broadcast_rows):
         small = F.broadcast(carried.join(key_counts(right, rkeys), rkeys))
         joined = left.join(small, _condition(left, small, on), "left")
-    elif not left.isStreaming and is_small(left, broadcast_rows):
+    elif is_small(left, broadcast_rows):
         counts = key_counts(right, rkeys)
         # small left: tag each left row with its k by streaming the counts
         # past it, then stream the right rows past the matched left rows
