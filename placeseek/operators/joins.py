@@ -83,27 +83,31 @@ def saved_key_counts(right: DataFrame, rkeys: Sequence[str]) -> DataFrame:
     return key_counts(right, rkeys).checkpoint(eager=True)
 
 
+def _hot_keys(counts: DataFrame, rkeys: Sequence[str], salt_rows: int) -> DataFrame:
+    """Right keys with more than ``salt_rows`` rows, their bucket count
+    ``_s`` and row count ``_hot_k`` (broadcast when the size check passes)."""
+    hot = counts.where(F.col("_k") > salt_rows).select(
+        *rkeys,
+        F.ceil(F.col("_k") / F.lit(salt_rows)).cast("int").alias("_s"),
+        F.col("_k").alias("_hot_k"),
+    )
+    return maybe_broadcast(hot, MAX_HOT_KEYS)[0]
+
+
 def _salt_sides(
     left: DataFrame,
     right: DataFrame,
     on: KeyPairs,
-    counts: DataFrame,
-    salt_rows: int,
+    hot: DataFrame,
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides with a bucket column (``_lsalt`` / ``_salt``).
 
-    Hot right keys (more than ``salt_rows`` rows) get ``_s`` buckets and
-    their row count in ``_hot_k``; other keys have one bucket, 0.  The hot
-    key table is broadcast when its size check passes, so tagging the rows
-    needs no shuffle of the (skewed) sides themselves.
+    Hot right keys are spread over their ``_s`` buckets by a hash of the
+    right row, and their left rows copied once per bucket; other keys have
+    one bucket, 0.  With the hot table broadcast, tagging the rows needs no
+    shuffle of the (skewed) sides themselves.
     """
     rkeys = [rc for _, rc in on]
-    hot = counts.where(F.col("_k") > salt_rows).select(
-        *rkeys,
-        F.ceil(F.col("_k") / F.lit(salt_rows)).cast("int").alias("_s"),
-        F.col("_k").alias("_hot_k"),
-    )
-    hot, _ = maybe_broadcast(hot, MAX_HOT_KEYS)
     r = right.join(hot, rkeys, "left").select(*right.columns, "_s", "_hot_k").withColumn(
         "_salt",
         F.when(F.col("_s").isNull(), F.lit(0)).otherwise(
@@ -160,7 +164,12 @@ def left_join(
         return left.join(hinted, _condition(left, hinted, on), "left")
     rkeys = [rc for _, rc in on]
     counts = saved_key_counts(right, rkeys)
-    lx, r = _salt_sides(left, right, on, counts, salt_rows)
+    hot = _hot_keys(counts, rkeys, salt_rows)
+    if hot.isEmpty():
+        # no key is hot: the plain shuffle join is already balanced
+        hinted = right.hint("merge")
+        return left.join(hinted, _condition(left, hinted, on), "left")
+    lx, r = _salt_sides(left, right, on, hot)
     matched = _salted_match(lx, r.drop("_s", "_hot_k"), on)
     unmatched = _unmatched(left, counts, on)
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
@@ -221,9 +230,16 @@ def left_join_twice(
         left_k = left.join(cnt, _condition(left, cnt, on), "left").select(
             *[left[c] for c in left.columns], cnt["_k"]
         )
-        lx, r = _salt_sides(left_k.where(F.col("_k").isNotNull()), carried, on, counts, salt_rows)
+        hot = _hot_keys(counts, rkeys, salt_rows)
+        found = left_k.where(F.col("_k").isNotNull())
         # columns: left's, _k, then the carried right columns (union by position)
-        matched = _salted_match(lx, r.drop("_s", "_hot_k"), on)
+        if hot.isEmpty():
+            # no key is hot: join on the keys alone, reusing left_k's shuffle
+            hinted = carried.hint("merge")
+            matched = found.join(hinted, _condition(found, hinted, on), "inner")
+        else:
+            lx, r = _salt_sides(found, carried, on, hot)
+            matched = _salted_match(lx, r.drop("_s", "_hot_k"), on)
         nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in carried.schema.fields]
         unmatched = left_k.where(F.col("_k").isNull()).select(*left.columns, "_k", *nulls)
         joined = matched.union(unmatched)
