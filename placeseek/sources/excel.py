@@ -24,7 +24,8 @@ Registered under the name ``excel`` (``register_excel(spark)``), then:
 The writer is a fixture helper: it turns a DataFrame into workbooks, one
 per task (``part-<task>.xlsx``) or, with ``splitBy``, one per value and
 task (``<column>=<value>-part-<task>.xlsx``), so no value is gathered into
-one task.  A full sheet rolls over to a further workbook.  A retried task
+one task.  Rows stream into the compressed sheet (only the distinct
+strings are held); a full sheet rolls over to a further workbook.  A retried task
 rewrites the same file names, so a lost executor leaves no duplicate.
 """
 
@@ -511,11 +512,40 @@ class ExcelWriterCommit(WriterCommitMessage):
         self.files = files
 
 
+class _OpenWorkbook:
+    """A workbook being written to ``target``: a local file is written under
+    a temporary name and renamed when complete; a remote one is built in
+    memory (compressed, at most one sheet) and uploaded when complete."""
+
+    def __init__(self, target: str, header):
+        import io
+
+        self.target = target
+        if _is_local(target):
+            path = _strip_file(target)
+            os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+            self._tmp = f"{path}.tmp-{os.getpid()}"
+            self._file = open(self._tmp, "wb")
+        else:
+            self._tmp = None
+            self._file = io.BytesIO()
+        self.book = WorkbookStream(self._file, header)
+
+    def close(self) -> None:
+        self.book.close()
+        if self._tmp is not None:
+            self._file.close()
+            os.replace(self._tmp, _strip_file(self.target))
+        else:
+            _write_bytes(self.target, self._file.getvalue())
+
+
 class ExcelWriter(DataSourceWriter):
     def __init__(self, schema: StructType, options: dict):
         self.schema = schema
         self.path = options.get("path").rstrip("/")
         self.split_by = options.get("splitBy")
+        self.max_rows = int(options.get("maxRowsPerSheet", MAX_SHEET_ROWS - 1))
 
     def write(self, iterator):
         from pyspark import TaskContext
@@ -523,25 +553,28 @@ class ExcelWriter(DataSourceWriter):
         names = self.schema.fieldNames()
         key_idx = names.index(self.split_by) if self.split_by else None
         task_key = f"part-{TaskContext.get().partitionId():05d}"
-        groups: dict[str, list] = {}
+        open_books: dict[str, _OpenWorkbook] = {}
         written: dict[str, int] = {}
         files: list[str] = []
 
-        def flush(key: str) -> None:
-            seq = written.get(key, 0)
-            target = f"{self.path}/{key}.xlsx" if seq == 0 else f"{self.path}/{key}-{seq}.xlsx"
-            _write_bytes(target, workbook_bytes(names, groups.pop(key)))
-            written[key] = seq + 1
-            files.append(target)
+        def finish(key: str) -> None:
+            book = open_books.pop(key)
+            book.close()
+            files.append(book.target)
 
         for row in iterator:
             key = task_key if key_idx is None else f"{self.split_by}={row[key_idx]}-{task_key}"
-            rows = groups.setdefault(key, [])
-            rows.append(tuple(row))
-            if len(rows) == MAX_SHEET_ROWS - 1:
-                flush(key)  # a sheet is full: go on in a new workbook
-        for key in list(groups):
-            flush(key)
+            book = open_books.get(key)
+            if book is None:
+                seq = written.get(key, 0)
+                written[key] = seq + 1
+                name = f"{key}.xlsx" if seq == 0 else f"{key}-{seq}.xlsx"
+                book = open_books[key] = _OpenWorkbook(f"{self.path}/{name}", names)
+            book.book.add(tuple(row))
+            if book.book.rows - 1 >= self.max_rows:
+                finish(key)  # the sheet is full: the next row starts a new workbook
+        for key in list(open_books):
+            finish(key)
         return ExcelWriterCommit(files)
 
     def commit(self, messages):
@@ -601,69 +634,102 @@ def _cell_ref(col: int, row: int) -> str:
     return f"{letters}{row}"
 
 
-def workbook_bytes(header: list[str], rows: list[tuple]) -> bytes:
-    """A minimal one-sheet .xlsx (shared strings for text, numbers typed)."""
-    import io
+_CONTENT_TYPES = (
+    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
+    '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
+    '<Default Extension="xml" ContentType="application/xml"/>'
+    '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
+    '<Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
+    '<Override PartName="/xl/sharedStrings.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sharedStrings+xml"/>'
+    "</Types>"
+)
+_PACKAGE_RELS = (
+    f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><Relationships xmlns="{_PKG_REL_NS}">'
+    '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/>'
+    "</Relationships>"
+)
+_WORKBOOK = (
+    f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><workbook xmlns="{_MAIN_NS}" '
+    f'xmlns:r="{_REL_NS}"><sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>'
+)
+_WORKBOOK_RELS = (
+    f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><Relationships xmlns="{_PKG_REL_NS}">'
+    '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/>'
+    '<Relationship Id="rId2" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/sharedStrings" Target="sharedStrings.xml"/>'
+    "</Relationships>"
+)
+# Rows of sheet XML gathered before one write into the compressed member.
+_WRITE_ROWS = 2048
 
-    strings: dict[str, int] = {}
 
-    def sst(s: str) -> int:
-        return strings.setdefault(s, len(strings))
+class WorkbookStream:
+    """Writes a one-sheet .xlsx row by row into ``fileobj``.
 
-    def cell(ci: int, ri: int, v) -> str:
-        ref = _cell_ref(ci, ri)
+    The sheet goes straight into its (compressed) zip member; only the
+    table of distinct strings stays in memory until ``close``.
+    """
+
+    def __init__(self, fileobj, header):
+        self._zip = zipfile.ZipFile(fileobj, "w", zipfile.ZIP_DEFLATED)
+        self._sheet = self._zip.open("xl/worksheets/sheet1.xml", "w", force_zip64=True)
+        self._strings: dict[str, int] = {}
+        self._pending: list[str] = [
+            f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><worksheet xmlns="{_MAIN_NS}"><sheetData>'
+        ]
+        self.rows = 0
+        self.add(header)
+
+    def _cell(self, ci: int, ri: int, v) -> str:
         if v is None:
             return ""
+        ref = _cell_ref(ci, ri)
         if isinstance(v, bool):
             return f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
         if isinstance(v, (int, float)):
             return f'<c r="{ref}"><v>{v}</v></c>'
-        return f'<c r="{ref}" t="s"><v>{sst(str(v))}</v></c>'
-
-    lines = []
-    for ri, values in enumerate([tuple(header), *rows], start=1):
-        lines.append(f'<row r="{ri}">' + "".join(cell(ci, ri, v) for ci, v in enumerate(values)) + "</row>")
-    sheet = (
-        f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-        f'<worksheet xmlns="{_MAIN_NS}"><sheetData>{"".join(lines)}</sheetData></worksheet>'
-    )
-    shared = (
-        f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-        f'<sst xmlns="{_MAIN_NS}" count="{len(strings)}" uniqueCount="{len(strings)}">'
-        + "".join(f"<si><t xml:space=\"preserve\">{escape(s)}</t></si>" for s in strings)
-        + "</sst>"
-    )
-    parts = {
-        "[Content_Types].xml": (
-            '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-            '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
-            '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
-            '<Default Extension="xml" ContentType="application/xml"/>'
-            '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
-            '<Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
-            '<Override PartName="/xl/sharedStrings.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sharedStrings+xml"/>'
-            "</Types>"
-        ),
-        "_rels/.rels": (
-            f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><Relationships xmlns="{_PKG_REL_NS}">'
-            '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/>'
-            "</Relationships>"
-        ),
-        "xl/workbook.xml": (
-            f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><workbook xmlns="{_MAIN_NS}" '
-            f'xmlns:r="{_REL_NS}"><sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>'
-        ),
-        "xl/_rels/workbook.xml.rels": (
-            f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><Relationships xmlns="{_PKG_REL_NS}">'
-            '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/>'
-            '<Relationship Id="rId2" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/sharedStrings" Target="sharedStrings.xml"/>'
-            "</Relationships>"
-        ),
-        "xl/worksheets/sheet1.xml": sheet,
-        "xl/sharedStrings.xml": shared,
-    }
+        index = self._strings.setdefault(str(v), len(self._strings))
+        return f'<c r="{ref}" t="s"><v>{index}</v></c>'
+
+    def add(self, values) -> None:
+        self.rows += 1
+        ri = self.rows
+        self._pending.append(f'<row r="{ri}">' + "".join(self._cell(ci, ri, v) for ci, v in enumerate(values)) + "</row>")
+        if len(self._pending) >= _WRITE_ROWS:
+            self._flush()
+
+    def _flush(self) -> None:
+        self._sheet.write("".join(self._pending).encode("utf-8"))
+        self._pending = []
+
+    def close(self) -> None:
+        self._pending.append("</sheetData></worksheet>")
+        self._flush()
+        self._sheet.close()
+        shared = (
+            f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+            f'<sst xmlns="{_MAIN_NS}" count="{len(self._strings)}" uniqueCount="{len(self._strings)}">'
+            + "".join(f'<si><t xml:space="preserve">{escape(s)}</t></si>' for s in self._strings)
+            + "</sst>"
+        )
+        for name, body in (
+            ("[Content_Types].xml", _CONTENT_TYPES),
+            ("_rels/.rels", _PACKAGE_RELS),
+            ("xl/workbook.xml", _WORKBOOK),
+            ("xl/_rels/workbook.xml.rels", _WORKBOOK_RELS),
+            ("xl/sharedStrings.xml", shared),
+        ):
+            self._zip.writestr(name, body)
+        self._zip.close()
+
+
+def workbook_bytes(header: list[str], rows: list[tuple]) -> bytes:
+    """A minimal one-sheet .xlsx (shared strings for text, numbers typed)."""
+    import io
+
     buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        for name, body in parts.items():
-            z.writestr(name, body)
+    book = WorkbookStream(buf, header)
+    for row in rows:
+        book.add(row)
+    book.close()
     return buf.getvalue()

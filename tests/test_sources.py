@@ -202,3 +202,16 @@ def test_exact_inference_sees_every_workbook(spark, tmp_dir):
     rows = sorted(read_excel(spark, tmp_dir, infer=True).collect(), key=lambda r: r.x)
     # the all-empty row of b.xlsx has no cell at all: it is skipped
     assert [tuple(r) for r in rows] == [("1", 2.5, True), ("2", 3.0, False), ("ten", 4.0, True)]
+
+
+def test_writer_rolls_over_full_sheets(spark, tmp_dir):
+    from placeseek.sources import register_excel
+
+    register_excel(spark)
+    df = spark.range(0, 25).selectExpr("cast(id as int) AS id", "cast(id % 2 as string) AS g").coalesce(1)
+    target = os.path.join(tmp_dir, "roll")
+    df.write.format("excel").option("maxRowsPerSheet", 10).mode("append").save(target)
+    names = sorted(os.listdir(target))
+    assert names == ["_SUCCESS", "part-00000-1.xlsx", "part-00000-2.xlsx", "part-00000.xlsx"]
+    back = read_excel(spark, target, df.schema)
+    assert sorted(r.id for r in back.collect()) == list(range(25))
