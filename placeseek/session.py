@@ -68,16 +68,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and points at shared storage;
-    it is read from the session and never overridden.  Only when it is unset
-    (a local test run) is a folder of our own made and registered.
+    it is read from the session and never overridden (it is also handed to
+    the SparkContext if only the conf carries it, so ``checkpoint()`` works).
+    Only when it is unset (a local test run) is a folder of our own made.
     """
-    root = spark.conf.get(CHECKPOINT_KEY, None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="placeseek-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, root)
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
