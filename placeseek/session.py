@@ -75,8 +75,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not root:
+        # local runs only; the session conf of a core setting is read-only,
+        # so the folder is given to the SparkContext alone
         root = tempfile.mkdtemp(prefix="placeseek-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, root)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")

@@ -24,11 +24,9 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
+    if not session.conf.get("spark.checkpoint.dir", None) and not session.sparkContext.getCheckpointDir():
         # tests only: a checkpoint folder of our own when none is configured
-        folder = tempfile.mkdtemp(prefix="placeseek-tests-")
-        session.conf.set("spark.checkpoint.dir", folder)
-        session.sparkContext.setCheckpointDir(folder)
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="placeseek-tests-"))
     yield session
     session.stop()
 
