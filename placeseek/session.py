@@ -127,21 +127,29 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(slots, *keys) if keys else df.repartition(slots)
 
 
+# Tables up to this many rows are measured in one incremental fetch of
+# their row widths (one small number per row reaches the driver).
+QUICK_ROWS = 10_000
+
+
 def fits_for_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows *and* its values take
     at most ``max_bytes`` (text bytes of every column).
 
-    The row probe runs first and rejects a large table after one split;
-    only a table that passed it is measured whole, which is then cheap.
+    A small table is settled by one incremental fetch of the widths of at
+    most ``QUICK_ROWS + 1`` rows.  A larger one takes the row probe, which
+    rejects a large table after one split; only a table that passed it is
+    measured whole, which is then cheap.
     """
-    if not fits_in_rows(df, max_rows):
-        return False
-    if not df.columns:
-        return True
     width = sum(
         (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns),
         F.lit(0),
     )
+    head = df.select(width.alias("_w")).limit(QUICK_ROWS + 1).collect()
+    if len(head) <= QUICK_ROWS:
+        return len(head) <= max_rows and sum(r["_w"] for r in head) <= max_bytes
+    if not fits_in_rows(df, max_rows):
+        return False
     total = df.agg(F.sum(width).alias("_bytes")).collect()[0]["_bytes"]
     return (total or 0) <= max_bytes
 

@@ -117,3 +117,14 @@ def test_deep_pages_match_a_full_sort(spark):
     for page, size in [(1, 7), (3, 1000), (5, 1000), (6, 1000), (7, 999), (1, 5000)]:
         got = [r.k for r in page_of_rows(df, page, size, ["k"], topk_rows=0).collect()]
         assert got == full[(page - 1) * size : page * size], (page, size)
+
+
+def test_size_proof_both_paths(spark, monkeypatch):
+    import placeseek.session as ses
+
+    df = spark.range(0, 50).selectExpr("id", "repeat('x', 10) AS s")
+    for quick in (ses.QUICK_ROWS, 10):  # one incremental fetch, then the two-step proof
+        monkeypatch.setattr(ses, "QUICK_ROWS", quick)
+        assert ses.fits_for_broadcast(df, 50, 10**6)
+        assert not ses.fits_for_broadcast(df, 49, 10**6)
+        assert not ses.fits_for_broadcast(df, 50, 100)  # 50 rows of at least 11 bytes
