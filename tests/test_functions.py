@@ -43,6 +43,9 @@ def test_soundex_letters_only(spark):
     # accented letters are dropped, or folded on request
     assert one(spark, soundex_code("w"), [("São",)], "w string") == ["S000"]
     assert one(spark, soundex_code("w", fold=True), [("São",)], "w string") == ["S000"]
+    # the fold keeps a leading accented letter: Ébano codes as Ebano, not bano
+    assert one(spark, soundex_code("w"), [("Ébano",)], "w string") == ["B500"]
+    assert one(spark, soundex_code("w", fold=True), [("Ébano",)], "w string") == ["E150"]
 
 
 def test_initcap(spark):
