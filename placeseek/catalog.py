@@ -54,7 +54,7 @@ from placeseek.plans.search import (
 )
 from placeseek.plans.shapes import part_as_workbook, states_from_nation
 from placeseek.session import scratch_path, spread
-from placeseek.sinks.index import append_to_index, json_lines, register_view
+from placeseek.sinks.index import append_to_index, json_lines, register_view, write_json_lines
 from placeseek.sources.excel import register_excel
 from placeseek.sources.files import column_audit, list_files
 from placeseek.sources.tables import read_csv_strings, read_table, read_view
@@ -304,6 +304,12 @@ def q_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_lines(_t(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS))
 
 
+def q_json_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = scratch_path(spark, "json-text")
+    write_json_lines(_t(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS), target)
+    return spark.read.text(target)
+
+
 def q_append_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_path(spark, "index")
     cities = _t(spark, sf_dir, "customer")
@@ -491,6 +497,7 @@ QUERIES: dict[str, Query] = {
     "sql_udf_call": q_sql_udf_call,
     "view_select_star": q_view_select_star,
     "json_lines": q_json_lines,
+    "json_text_roundtrip": q_json_text_roundtrip,
     "append_sink_roundtrip": q_append_sink_roundtrip,
     "csv_scan_strings": q_csv_scan_strings,
     "excel_scan_schema": q_excel_scan_schema,

@@ -266,3 +266,4 @@ ORACLES["workbook_city_preview"] = (
     "FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey "
     "ORDER BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13 LIMIT 10"
 )
+ORACLES["json_text_roundtrip"] = ORACLES["json_lines"]
