@@ -50,16 +50,17 @@ def ship_package(spark: SparkSession) -> None:
     key = sc.applicationId
     if key in _SHIPPED:
         return
-    import shutil
+    import zipfile
 
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    out_dir = tempfile.mkdtemp(prefix="placeseek-pyfiles-")
-    archive = shutil.make_archive(
-        os.path.join(out_dir, "placeseek"),
-        "zip",
-        root_dir=os.path.dirname(pkg_dir),
-        base_dir=os.path.basename(pkg_dir),
-    )
+    archive = os.path.join(tempfile.mkdtemp(prefix="placeseek-pyfiles-"), "placeseek.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, dirs, files in os.walk(pkg_dir):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(pkg_dir)))
     sc.addPyFile(archive)
     _SHIPPED.add(key)
 
