@@ -57,3 +57,15 @@ def test_deep_page_reads_one_shared_shuffle(spark):
     df = spark.range(0, 3000).select(((F.col("id") * 31) % 3000).alias("k"))
     plan = final_plan(page_of_rows(df, 4, 500, ["k"], topk_rows=0))
     assert "ReusedExchange" in plan
+
+
+def test_salted_double_join_has_no_window(spark):
+    from placeseek.operators import left_join_twice
+
+    left = spark.range(0, 100).select(F.col("id").alias("k"))
+    right = spark.range(0, 1000).select((F.col("id") % 3).alias("rk"), F.col("id").alias("v"))
+    joined = left_join_twice(left, right, [("k", "rk")], ["k"], ["v"], broadcast_rows=None, salt_rows=50)
+    plan = plan_of(joined)
+    assert "Window" not in plan and "_salt" in plan
+    # keys 0..2 each have 333-334 rows: k * k rows per key, one row per unmatched key
+    assert joined.count() == 334 * 334 + 333 * 333 * 2 + 97
