@@ -215,3 +215,17 @@ def test_writer_rolls_over_full_sheets(spark, tmp_dir):
     assert names == ["_SUCCESS", "part-00000-1.xlsx", "part-00000-2.xlsx", "part-00000.xlsx"]
     back = read_excel(spark, target, df.schema)
     assert sorted(r.id for r in back.collect()) == list(range(25))
+
+
+def test_workbook_text_roundtrip_is_lossless(spark, tmp_dir):
+    import random
+
+    rng = random.Random(5)
+    alphabet = "ab &<>\"' \tçé\n漢x_=;:"
+    values = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 12))) for _ in range(300)]
+    values += ["  leading", "trailing  ", "a&amp;b", "<t>x</t>"]
+    path = os.path.join(tmp_dir, "t.xlsx")
+    _write(path, ["i", "s"], [(i, v) for i, v in enumerate(values)])
+    schema = StructType([StructField("i", IntegerType()), StructField("s", StringType())])
+    back = {r.i: r.s for r in read_excel(spark, path, schema).collect()}
+    assert [back[i] for i in range(len(values))] == values
