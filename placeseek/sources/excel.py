@@ -36,6 +36,7 @@ import fnmatch
 import glob
 import os
 import posixpath
+import re
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
@@ -168,6 +169,24 @@ def _col_index(ref: str) -> int:
     return n - 1
 
 
+# Characters XML cannot carry (control characters, a carriage return) are
+# written as _xHHHH_; a literal text of that shape is guarded by _x005F_.
+_XSTRING_ESCAPE = re.compile(r"_x([0-9A-Fa-f]{4})_")
+_XSTRING_LITERAL = re.compile(r"_(x[0-9A-Fa-f]{4}_)")
+_XSTRING_UNSAFE = re.compile(r"[\x00-\x08\x0b\x0c\x0d\x0e-\x1f]")
+
+
+def _decode_xstring(text: str) -> str:
+    if "_x" not in text:
+        return text
+    return _XSTRING_ESCAPE.sub(lambda m: chr(int(m.group(1), 16)), text)
+
+
+def _encode_xstring(text: str) -> str:
+    text = _XSTRING_LITERAL.sub(r"_x005F_\1", text)
+    return _XSTRING_UNSAFE.sub(lambda m: f"_x{ord(m.group()):04X}_", text)
+
+
 def _text_of(el) -> str:
     """Displayed text of a string item: its ``t``, or the ``t`` of each
     rich-text run ``r``; phonetic hints (``rPh``) are not displayed."""
@@ -178,7 +197,7 @@ def _text_of(el) -> str:
             parts.append(child.text or "")
         elif tag == "r":
             parts.extend(t.text or "" for t in child if _local(t.tag) == "t")
-    return "".join(parts)
+    return _decode_xstring("".join(parts))
 
 
 def _tags(name: str) -> tuple[str, ...]:
@@ -709,7 +728,9 @@ class WorkbookStream:
         shared = (
             f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
             f'<sst xmlns="{_MAIN_NS}" count="{len(self._strings)}" uniqueCount="{len(self._strings)}">'
-            + "".join(f'<si><t xml:space="preserve">{escape(s)}</t></si>' for s in self._strings)
+            + "".join(
+                f'<si><t xml:space="preserve">{escape(_encode_xstring(s))}</t></si>' for s in self._strings
+            )
             + "</sst>"
         )
         for name, body in (

@@ -221,9 +221,9 @@ def test_workbook_text_roundtrip_is_lossless(spark, tmp_dir):
     import random
 
     rng = random.Random(5)
-    alphabet = "ab &<>\"' \tçé\n漢x_=;:"
+    alphabet = "ab &<>\"' \tçé\n\r\x01漢x_=;:"
     values = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 12))) for _ in range(300)]
-    values += ["  leading", "trailing  ", "a&amp;b", "<t>x</t>"]
+    values += ["  leading", "trailing  ", "a&amp;b", "<t>x</t>", "_x000D_", "a\r\nb", "_x005F_"]
     path = os.path.join(tmp_dir, "t.xlsx")
     _write(path, ["i", "s"], [(i, v) for i, v in enumerate(values)])
     schema = StructType([StructField("i", IntegerType()), StructField("s", StringType())])
