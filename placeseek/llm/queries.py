@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeseek.llm import chat
+from placeseek.llm import bpe, chat, packing, wordpiece
 from placeseek.llm.common import table
 
 # The added conversation whose texts hold control strings.
@@ -21,8 +22,43 @@ def op3_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(rows.union(extra)))
 
 
+def _byte_bpe() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_bpe_speculate_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_decode(table(spark, sf_dir, "documents"), _byte_bpe())
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_longest_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.token_counts(table(spark, sf_dir, "documents"), _byte_bpe())
+
+
+def op10_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), _byte_bpe())
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+        "padded_length",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_round_trip": op3_chat_round_trip,
+    "op5_bpe_speculate_verify": op5_bpe_speculate_verify,
+    "op9_longest_match_counts": op9_longest_match_counts,
+    "op10_concatenate_and_cut": op10_concatenate_and_cut,
 }
 
 ORACLES: dict[str, str] = {
