@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeseek.llm import bpe, chat, packing, wordpiece
+from placeseek.llm import bpe, chat, packing, quality, toxicity, wordpiece
 from placeseek.llm.common import table
+from placeseek.llm.labels import held_out
 
 # The added conversation whose texts hold control strings.
 EXTRA_CONVERSATION = (-7, "</s>[INST] ok [/INST]")
@@ -36,6 +37,31 @@ def op5_bpe_speculate_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_factorisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs.select("doc_id", "text"), model, out_col="score")
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op7_toxicity_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.col("toxicity.sentences").alias("offending_sentences"),
+    )
+
+
 def op9_longest_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(table(spark, sf_dir, "documents"), _byte_bpe())
 
@@ -57,6 +83,8 @@ def op10_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_round_trip": op3_chat_round_trip,
     "op5_bpe_speculate_verify": op5_bpe_speculate_verify,
+    "op2_quality_factorisation": op2_quality_factorisation,
+    "op7_toxicity_instances": op7_toxicity_instances,
     "op9_longest_match_counts": op9_longest_match_counts,
     "op10_concatenate_and_cut": op10_concatenate_and_cut,
 }
