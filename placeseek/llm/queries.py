@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeseek.llm import bpe, chat, packing, quality, toxicity, wordpiece
+from placeseek.llm import bpe, chat, packing, quality, topk, toxicity, wordpiece
 from placeseek.llm.common import table
 from placeseek.llm.labels import held_out
 
@@ -49,6 +49,10 @@ def op2_quality_factorisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("_id") % 50 == 0, k=5, scale=256)
+
+
 def op7_toxicity_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_round_trip": op3_chat_round_trip,
     "op5_bpe_speculate_verify": op5_bpe_speculate_verify,
     "op2_quality_factorisation": op2_quality_factorisation,
+    "op6_bit_sliced_topk": op6_bit_sliced_topk,
     "op7_toxicity_instances": op7_toxicity_instances,
     "op9_longest_match_counts": op9_longest_match_counts,
     "op10_concatenate_and_cut": op10_concatenate_and_cut,
@@ -107,5 +112,19 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(length(escaped) + CASE role WHEN 'system' THEN 13 WHEN 'user' THEN 15 WHEN 'assistant' THEN 9
     ELSE 23 + length(role_escaped) END) AS BIGINT) AS formatted_chars
 FROM framed GROUP BY conv_id
+""",
+    "op6_bit_sliced_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """,
 }
