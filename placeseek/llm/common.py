@@ -9,10 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from placeseek.session import scratch_path, ship_package
 
-#: Fixed value: the white space that ends a word (blank, tab to carriage return).
-WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeseek.llm import bpe, chat, packing, quality, topk, toxicity, wordpiece
+from placeseek.llm import bpe, chat, packing, quality, substrings, topk, toxicity, wordpiece
 from placeseek.llm.common import table
 from placeseek.llm.labels import held_out
 
@@ -66,6 +66,16 @@ def op7_toxicity_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs).select(
+        "doc_id",
+        F.col("deduped.n_words").alias("n_words"),
+        F.col("deduped.n_removed").alias("n_removed"),
+        F.sha2("deduped.text", 256).alias("kept_sha256"),
+    )
+
+
 def op9_longest_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(table(spark, sf_dir, "documents"), _byte_bpe())
 
@@ -90,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_factorisation": op2_quality_factorisation,
     "op6_bit_sliced_topk": op6_bit_sliced_topk,
     "op7_toxicity_instances": op7_toxicity_instances,
+    "op8_suffix_tree_dedup": op8_suffix_tree_dedup,
     "op9_longest_match_counts": op9_longest_match_counts,
     "op10_concatenate_and_cut": op10_concatenate_and_cut,
 }

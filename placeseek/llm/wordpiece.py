@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from collections import deque
 from collections.abc import Iterator
 
@@ -29,7 +28,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from placeseek.llm.bpe import MEMO_WORDS, ROWS_AT_ONCE, byte_characters, share
-from placeseek.llm.common import WORD_PATTERN, map_arrow, slices
+from placeseek.llm.common import map_arrow, slices
+from placeseek.llm.fingerprints import words_of
 
 
 def vocabulary(spec: str) -> set[bytes]:
@@ -88,10 +88,10 @@ class LongestMatch:
         return n
 
 
-_BUILT: dict[str, tuple[LongestMatch, dict[str, int]]] = {}
+_BUILT: dict[str, tuple[LongestMatch, dict[bytes, int]]] = {}
 
 
-def _built(spec: Broadcast) -> tuple[LongestMatch, dict[str, int]]:
+def _built(spec: Broadcast) -> tuple[LongestMatch, dict[bytes, int]]:
     key = hashlib.md5(spec.value.encode()).hexdigest()
     if key not in _BUILT:
         _BUILT[key] = LongestMatch(vocabulary(spec.value)), {}
@@ -105,16 +105,15 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, memo = _built(spec)
-        words_of = re.compile(WORD_PATTERN).findall
         for batch in batches:
             for part in slices(batch, ROWS_AT_ONCE):
                 if len(memo) > MEMO_WORDS:
                     memo.clear()
                 words, tokens = [], []
                 for text in part.column(1).to_pylist():
-                    found = words_of(text or "")
+                    found = words_of(text)
                     for w in set(found).difference(memo):
-                        memo[w] = automaton.count(b" " + w.encode())
+                        memo[w] = automaton.count(b" " + w)
                     words.append(len(found))
                     tokens.append(sum(map(memo.__getitem__, found)))
                 yield pa.RecordBatch.from_arrays(
