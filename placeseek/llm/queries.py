@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeseek.llm import bpe, chat, packing, quality, substrings, topk, toxicity, wordpiece
+from placeseek.llm import bpe, chat, itq, packing, quality, substrings, topk, toxicity, wordpiece
 from placeseek.llm.common import table
 from placeseek.llm.labels import held_out
 
@@ -23,6 +23,10 @@ def op3_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(rows.union(extra)))
 
 
+def op4_itq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.similarity_links(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def _byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
@@ -96,6 +100,7 @@ def op10_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_round_trip": op3_chat_round_trip,
+    "op4_itq_near_duplicates": op4_itq_near_duplicates,
     "op5_bpe_speculate_verify": op5_bpe_speculate_verify,
     "op2_quality_factorisation": op2_quality_factorisation,
     "op6_bit_sliced_topk": op6_bit_sliced_topk,
