@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +36,30 @@ def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
     """``batch`` in pieces of at most ``rows`` rows: bounds what a worker holds."""
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
+
+
+def run_starts(batch: pa.RecordBatch, keys: int) -> np.ndarray:
+    """First rows of the runs of equal values in the first ``keys`` columns."""
+    new = np.zeros(batch.num_rows, bool)
+    new[:1] = True
+    for i in range(keys):
+        c = batch.column(i).to_numpy()
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Sorted batches cut anew so that no run of equal keys is split (a run is
+    one tile, of bounded size)."""
+    rest: pa.RecordBatch | None = None
+    for batch in batches:
+        if rest is not None and rest.num_rows:
+            batch = pa.concat_batches([rest, batch])
+        if not batch.num_rows:
+            continue
+        last = int(run_starts(batch, keys)[-1])
+        if last:
+            yield batch.slice(0, last)
+        rest = batch.slice(last)
+    if rest is not None and rest.num_rows:
+        yield rest

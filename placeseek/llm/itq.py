@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeseek.llm.common import map_arrow, stored
+from placeseek.llm.common import map_arrow, run_starts, stored, whole_runs
 from placeseek.llm.components import components
 from placeseek.llm.vectors import by_id
 
@@ -200,40 +200,14 @@ def _links_of_size(classes: DataFrame, dims: int, n: int, threshold: float) -> D
     ordered = keyed.repartition(partitions, *tiles).sortWithinPartitions(*tiles)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _whole_runs(batches, 4):
+        for batch in whole_runs(batches, 4):
             yield _compare_runs(batch, dims, tables, threshold)
 
     return map_arrow(ordered, compare, "_id long, _n long, _to long")
 
 
-def _run_starts(batch: pa.RecordBatch, keys: int) -> np.ndarray:
-    columns = [batch.column(i).to_numpy() for i in range(keys)]
-    new = np.zeros(batch.num_rows, bool)
-    new[:1] = True
-    for c in columns:
-        new[1:] |= c[1:] != c[:-1]
-    return np.flatnonzero(new)
-
-
-def _whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
-    """Sorted batches cut anew so that no run of equal keys is split (a run is
-    one tile, of bounded size)."""
-    rest: pa.RecordBatch | None = None
-    for batch in batches:
-        if rest is not None and rest.num_rows:
-            batch = pa.concat_batches([rest, batch])
-        if not batch.num_rows:
-            continue
-        last = int(_run_starts(batch, keys)[-1])
-        if last:
-            yield batch.slice(0, last)
-        rest = batch.slice(last)
-    if rest is not None and rest.num_rows:
-        yield rest
-
-
 def _compare_runs(batch: pa.RecordBatch, dims: int, tables: int, threshold: float) -> pa.RecordBatch:
-    starts = _run_starts(batch, 4)
+    starts = run_starts(batch, 4)
     ends = np.append(starts[1:], batch.num_rows)
     table, i, j, chunk, ids, weights = (batch.column(c).to_numpy() for c in (0, 2, 3, 4, 5, 6))
     raw, codes = batch.column(7).to_pylist(), np.frombuffer(b"".join(batch.column(8).to_pylist()), "<u2").reshape(-1, tables)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeseek.llm import bpe, chat, itq, packing, quality, substrings, topk, toxicity, wordpiece
+from placeseek.llm import bpe, chat, itq, minhash, packing, quality, substrings, topk, toxicity, wordpiece
 from placeseek.llm.common import table
 from placeseek.llm.labels import held_out
 
@@ -41,6 +41,10 @@ def op5_bpe_speculate_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_bag_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_factorisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -99,6 +103,7 @@ def op10_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bag_minhash_near_duplicates": op1_bag_minhash_near_duplicates,
     "op3_chat_round_trip": op3_chat_round_trip,
     "op4_itq_near_duplicates": op4_itq_near_duplicates,
     "op5_bpe_speculate_verify": op5_bpe_speculate_verify,
