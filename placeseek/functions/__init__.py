@@ -1,6 +1,6 @@
 """Column functions: text (FN1-FN5), distance (FN6), sound codes (FN7-FN8)."""
 
-from placeseek.functions.distance import edit_distance, near_any, within_distance
+from placeseek.functions.distance import candidates, near_any, within_distance
 from placeseek.functions.phonetic import (
     fold_accents,
     phonetic_code,
@@ -16,7 +16,7 @@ from placeseek.functions.text import (
 )
 
 __all__ = [
-    "edit_distance",
+    "candidates",
     "explode_words",
     "fold_accents",
     "near_any",

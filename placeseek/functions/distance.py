@@ -11,8 +11,8 @@ Spark's ``levenshtein`` stops as soon as the distance passes ``k - 1``
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,11 +20,6 @@ from pyspark.sql import functions as F
 from placeseek.functions.text import ColumnLike, _col
 
 
-def edit_distance(a: ColumnLike, b: ColumnLike) -> Column:
-    """FN6: plain Levenshtein distance; null in, null out."""
-    return F.levenshtein(_col(a), _col(b))
-
-
 def within_distance(word: ColumnLike, term: Column | str, limit: int) -> Column:
     """``edit_distance(word, term) < limit`` in its bounded, exact form.
 
@@ -41,14 +36,32 @@ def within_distance(word: ColumnLike, term: Column | str, limit: int) -> Column:
     return (F.abs(F.length(w) - t_len) < limit) & (F.levenshtein(w, t, limit - 1) >= 0)
 
 
+def terms_by_length(terms: Sequence[str], limit: int) -> Column:
+    """A literal array: at each length of a word, the terms it may match.
+
+    Read from one string literal, which the optimizer folds into a constant, so
+    the predicate over it is the same small expression for two terms and for thousands.
+    """
+    bands: list[list[str]] = [[] for _ in range(max(map(len, terms), default=0) + limit)]
+    for t in terms:
+        for n in range(max(0, len(t) - limit + 1), len(t) + limit):
+            bands[n].append(t)
+    return F.from_json(F.lit(json.dumps(bands)), "array<array<string>>")
+
+
+def candidates(word: ColumnLike, terms: Sequence[str], limit: int) -> Column:
+    """The terms whose length allows a match with ``word`` (null: none)."""
+    return F.get(terms_by_length(terms, limit), F.length(_col(word)))
+
+
 def near_any(word: ColumnLike, terms: Sequence[str], limit: int) -> Column:
     """True when ``word`` is within ``limit - 1`` edits of one of ``terms``.
 
-    The terms are the user's search words (a handful of literals), so the
-    OR of one bounded test per term is a flat, codegen'd predicate: no row
-    is multiplied by an explode of the terms.
+    Each word looks up the terms of its length's band and tests those; no row
+    is multiplied by the terms.
     """
-    if not terms:
+    if not terms or limit <= 0:
         return F.lit(False)
-    tests = [within_distance(word, t, limit) for t in dict.fromkeys(terms)]
-    return reduce(lambda x, y: x | y, tests)
+    w = _col(word)
+    hit = F.exists(candidates(w, list(dict.fromkeys(terms)), limit), lambda t: F.levenshtein(w, t, limit - 1) >= 0)
+    return F.coalesce(hit, F.lit(False))

@@ -1,35 +1,33 @@
 """DataFrame-in, DataFrame-out operators."""
 
 from placeseek.operators.aggregate import distinct_rows, row_count
-from placeseek.operators.joins import left_join, left_join_twice, maybe_broadcast
+from placeseek.operators.joins import left_join, left_join_twice
 from placeseek.operators.limit import first_rows, page_of_rows
 from placeseek.operators.project import (
     RECORD_FIELDS,
     rename_columns,
     select_aliased,
-    select_columns,
     to_city_record,
     with_columns,
     with_search_parameter,
 )
-from placeseek.operators.search import fuzzy_filter, fuzzy_pairs, phonetic_filter, phonetic_pairs
+from placeseek.operators.search import fuzzy_filter, fuzzy_join, fuzzy_pairs, phonetic_filter, phonetic_pairs
 
 __all__ = [
     "RECORD_FIELDS",
     "distinct_rows",
     "first_rows",
     "fuzzy_filter",
+    "fuzzy_join",
     "fuzzy_pairs",
     "left_join",
     "left_join_twice",
-    "maybe_broadcast",
     "page_of_rows",
     "phonetic_filter",
     "phonetic_pairs",
     "rename_columns",
     "row_count",
     "select_aliased",
-    "select_columns",
     "to_city_record",
     "with_columns",
     "with_search_parameter",

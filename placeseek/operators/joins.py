@@ -3,28 +3,21 @@
 Every join takes its keys as ``(left_column, right_column)`` pairs, which
 are AND-ed (FLT4) and compared with ``=`` (FLT3: a null key never matches).
 
-Strategy, chosen per call and not left to chance:
-
-* The right side is broadcast only after ``is_small`` has proved it has at
-  most ``broadcast_rows`` rows and ``BROADCAST_BYTES`` of values.  A
-  broadcast hash join streams the left side without any shuffle, so a hot
-  key on the left costs nothing extra.
-* Else, when the *left* side passes the same check, it is broadcast and the
-  right side streams past it (a right outer join, reordered), again with no
-  shuffle of the large side.
-* Otherwise both sides shuffle on the keys (a sort-merge join; the right
-  side carries a ``merge`` hint so no size *estimate* can turn it into a
-  broadcast).  Adaptive execution splits a skewed partition of the left
-  side of a left outer join.
-* When the right side may carry hot keys (``right_skew=True``), the join
-  is salted.  A per-key row count of the right side (a partial aggregate:
-  a hot key collapses map-side) finds the keys with more than ``salt_rows``
-  rows (the counts are checkpointed once to ``spark.checkpoint.dir``);
-  each such key is spread over ``ceil(rows / salt_rows)`` buckets by
-  a hash of the right row, and its left rows are copied once per bucket.
-  The keyed-and-salted inner join then gives every task a bounded share;
-  left rows whose key is absent from the right follow from an anti join
-  against the (distinct) counted keys.
+* A right side that one aggregate has measured as small (``is_small``) is
+  broadcast: the left side streams past it without a shuffle, hot keys or not.
+* Else a left side measured as small is broadcast to the *inner* join (an outer
+  join cannot broadcast the side it preserves), and the left rows whose key the
+  right side lacks are added: those keys come from the right side's key
+  columns streamed past the same broadcast.  The large side is never shuffled.
+* Otherwise both sides shuffle on the keys.  Adaptive execution splits a hot
+  left key.  For hot right keys, the rows per right key are counted first (a
+  partial aggregate, written once to the shared folder).  Right rows of keys
+  with more than ``salt_rows`` rows are collapsed to distinct rows with their
+  multiplicity, dealt into buckets by a hash of the row, met by one copy of the
+  left rows per bucket, and expanded again after the join in bounded steps; so
+  neither many different nor many equal rows of one key meet in one task.
+
+All forms give the same rows.
 """
 
 from __future__ import annotations
@@ -35,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placeseek.session import checkpoint_root, fits_for_broadcast
+from placeseek.session import fits_for_broadcast, stored
 
 KeyPairs = Sequence[tuple[str, str]]
 
@@ -45,12 +38,8 @@ DEFAULT_BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 256 * 1024 * 1024
 # Rows of one right key that one task may take before the key is salted.
 SALT_ROWS = 1_000_000
-# Most hot keys whose bucket counts are broadcast (else they are shuffled).
-MAX_HOT_KEYS = 100_000
-
-
-def _condition(left: DataFrame, right: DataFrame, on: KeyPairs) -> Column:
-    return reduce(lambda a, b: a & b, [left[lc] == right[rc] for lc, rc in on])
+# Rows that one expansion step makes of a row, at most.
+EXPAND_ROWS = 4096
 
 
 def is_small(df: DataFrame, max_rows: int | None) -> bool:
@@ -61,76 +50,47 @@ def is_small(df: DataFrame, max_rows: int | None) -> bool:
     return fits_for_broadcast(df, max_rows, BROADCAST_BYTES)
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int | None) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` when it provably is small (see ``is_small``)."""
-    if is_small(df, max_rows):
-        return F.broadcast(df), True
-    return df, False
+def _all(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions)
 
 
 def key_counts(right: DataFrame, rkeys: Sequence[str], name: str = "_k") -> DataFrame:
     """Rows per key of ``right`` (null keys left out: they never match)."""
-    keyed = right.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in rkeys]))
+    keyed = right.where(_all([F.col(k).isNotNull() for k in rkeys]))
     return keyed.groupBy(*rkeys).agg(F.count(F.lit(1)).alias(name))
 
 
-def saved_key_counts(right: DataFrame, rkeys: Sequence[str]) -> DataFrame:
-    """``key_counts`` computed once and checkpointed to the shared
-    ``spark.checkpoint.dir``: the hot-key check, the bucket tags, the
-    anti join and k all read it without aggregating the right side again,
-    and a lost executor does not send the job back to the aggregate."""
-    checkpoint_root(right.sparkSession)
-    return key_counts(right, rkeys).checkpoint(eager=True)
+def expand(df: DataFrame, times: str) -> DataFrame:
+    """Each row ``times`` times (at least 1), the column dropped.  Two steps: chunks of at most
+    ``EXPAND_ROWS`` first, dealt anew, then the rows of each chunk, so no
+    array grows with the count by more than its ``EXPAND_ROWS``-th part."""
+    chunks = F.ceil(F.col(times) / EXPAND_ROWS)
+    one = df.where(F.col(times) <= 1).drop(times)
+    many = df.where(F.col(times) > 1).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks.cast("long") - 1)))
+    many = many.withColumn("_in_chunk", F.least(F.lit(EXPAND_ROWS), F.col(times) - F.col("_chunk") * EXPAND_ROWS).cast("int"))
+    many = many.withColumn("_rep", F.explode(F.array_repeat(F.lit(True), F.col("_in_chunk"))))
+    return one.union(many.drop("_rep", "_in_chunk", "_chunk", times))
 
 
-def _hot_keys(counts: DataFrame, rkeys: Sequence[str], salt_rows: int) -> DataFrame:
-    """Right keys with more than ``salt_rows`` rows, their bucket count
-    ``_s`` and row count ``_hot_k`` (broadcast when the size check passes)."""
-    hot = counts.where(F.col("_k") > salt_rows).select(
-        *rkeys,
-        F.ceil(F.col("_k") / F.lit(salt_rows)).cast("int").alias("_s"),
-        F.col("_k").alias("_hot_k"),
-    )
-    return maybe_broadcast(hot, MAX_HOT_KEYS)[0]
+class _Sides:
+    """Both sides under names of our own, so that clashing names and a shared
+    origin of the two tables cannot confuse the join."""
 
+    def __init__(self, left: DataFrame, right: DataFrame, on: KeyPairs):
+        self.names = [*left.columns, *right.columns]
+        self.lcols = [f"_l{i}" for i in range(len(left.columns))]
+        self.rcols = [f"_r{i}" for i in range(len(right.columns))]
+        self.types = [f.dataType for f in right.schema.fields]
+        at = lambda columns, name: columns.index(name) if name in columns else [c.lower() for c in columns].index(name.lower())
+        self.lkeys = [self.lcols[at(left.columns, a)] for a, _ in on]
+        self.rkeys = [self.rcols[at(right.columns, b)] for _, b in on]
+        self.left, self.right = left.toDF(*self.lcols), right.toDF(*self.rcols)
+        self.match = _all([F.col(a) == F.col(b) for a, b in zip(self.lkeys, self.rkeys)])
 
-def _salt_sides(
-    left: DataFrame,
-    right: DataFrame,
-    on: KeyPairs,
-    hot: DataFrame,
-) -> tuple[DataFrame, DataFrame]:
-    """Both sides with a bucket column (``_lsalt`` / ``_salt``).
-
-    Hot right keys are spread over their ``_s`` buckets by a hash of the
-    right row, and their left rows copied once per bucket; other keys have
-    one bucket, 0.  With the hot table broadcast, tagging the rows needs no
-    shuffle of the (skewed) sides themselves.
-    """
-    rkeys = [rc for _, rc in on]
-    r = right.join(hot, rkeys, "left").select(*right.columns, "_s", "_hot_k").withColumn(
-        "_salt",
-        F.when(F.col("_s").isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64(*right.columns), F.col("_s")).cast("int")
-        ),
-    )
-    # the same (broadcast) hot table tags the left rows: one copy per bucket
-    lx = left.join(hot, _condition(left, hot, on), "left").select(
-        *[left[c] for c in left.columns],
-        F.explode(F.sequence(F.lit(0), F.coalesce(hot["_s"], F.lit(1)) - 1)).alias("_lsalt"),
-    )
-    return lx, r
-
-
-def _unmatched(left: DataFrame, counts: DataFrame, on: KeyPairs) -> DataFrame:
-    """Left rows whose key is not among the right's counted (distinct) keys."""
-    keys = counts.select(*[rc for _, rc in on]).hint("merge")
-    return left.join(keys, _condition(left, keys, on), "left_anti")
-
-
-def _salted_match(lx: DataFrame, r: DataFrame, on: KeyPairs) -> DataFrame:
-    cond = _condition(lx, r, on) & (lx["_lsalt"] == r["_salt"])
-    return lx.join(r.hint("merge"), cond, "inner").drop("_lsalt", "_salt")
+    def unmatched(self, keys: DataFrame) -> DataFrame:
+        """Left rows whose key is not in ``keys`` (distinct right keys), right columns null."""
+        rows = self.left.join(keys, self.match, "left_anti")
+        return rows.select(*self.lcols, *[F.lit(None).cast(t).alias(c) for c, t in zip(self.rcols, self.types)])
 
 
 def left_join(
@@ -138,42 +98,48 @@ def left_join(
     right: DataFrame,
     on: KeyPairs,
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-    right_skew: bool = False,
-    right_is_small: bool | None = None,
     salt_rows: int = SALT_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """JON1: left outer equi-join on one or more key pairs.
 
     Output: all left columns, then all right columns; unmatched left rows
-    carry nulls on the right.  ``right_is_small`` passes a size proof the
-    caller already has (``None``: check ``right`` here).
+    carry nulls on the right.  ``counts`` passes ``key_counts`` of the right side where
+    the caller has them already.
     """
-    if right_is_small is None:
-        right_is_small = is_small(right, broadcast_rows)
-    if right_is_small:
-        small = F.broadcast(right)
-        return left.join(small, _condition(left, small, on), "left")
+    if is_small(right, broadcast_rows):
+        s = _Sides(left, right, on)
+        return s.left.join(F.broadcast(s.right), s.match, "left").toDF(*s.names)
+    s = _Sides(left, right, on)
     if is_small(left, broadcast_rows):
-        # small left, large right: stream the right side past the broadcast
-        # left rows; a right outer join keeps every left row once unmatched
-        bl = F.broadcast(left)
-        joined = right.join(bl, _condition(bl, right, on), "right")
-        return joined.select(*[bl[c] for c in left.columns], *[right[c] for c in right.columns])
-    if not right_skew:
-        hinted = right.hint("merge")
-        return left.join(hinted, _condition(left, hinted, on), "left")
-    rkeys = [rc for _, rc in on]
-    counts = saved_key_counts(right, rkeys)
-    hot = _hot_keys(counts, rkeys, salt_rows)
+        small = F.broadcast(s.left)
+        matched = s.right.join(small, s.match).select(*s.lcols, *s.rcols)
+        wanted = F.broadcast(s.left.select(*s.lkeys).distinct())
+        keys = s.right.select(*s.rkeys).join(wanted, s.match, "left_semi").distinct()
+        # at most the keys of the small left side
+        return matched.union(s.unmatched(F.broadcast(keys))).toDF(*s.names)
+    if left.isStreaming or right.isStreaming:
+        return s.left.join(s.right.hint("merge"), s.match, "left").toDF(*s.names)
+    rkeys = [b for _, b in on]
+    if counts is None:
+        counts = stored(key_counts(right, rkeys), "key-counts")
+    hot = counts.where(F.col("_k") > salt_rows).select(
+        *[F.col(b).alias(f"_h{i}") for i, b in enumerate(rkeys)], F.ceil(F.col("_k") / salt_rows).cast("int").alias("_buckets")
+    )
     if hot.isEmpty():
-        # no key is hot: the plain shuffle join is already balanced
-        hinted = right.hint("merge")
-        return left.join(hinted, _condition(left, hinted, on), "left")
-    lx, r = _salt_sides(left, right, on, hot)
-    matched = _salted_match(lx, r.drop("_s", "_hot_k"), on)
-    unmatched = _unmatched(left, counts, on)
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    return matched.union(unmatched.select(*[left[c] for c in left.columns], *nulls))
+        return s.left.join(s.right.hint("merge"), s.match, "left").toDF(*s.names)
+    is_hot_right = _all([F.col(k) == F.col(f"_h{i}") for i, k in enumerate(s.rkeys)])
+    is_hot_left = _all([F.col(k) == F.col(f"_h{i}") for i, k in enumerate(s.lkeys)])
+    # plain keys: as ever, on what is left of both sides
+    plain = s.left.join(hot, is_hot_left, "left_anti").join(
+        s.right.join(hot, is_hot_right, "left_anti").hint("merge"), s.match, "left"
+    )
+    # hot keys: equal rows collapse in the map tasks already
+    rows = s.right.join(hot, is_hot_right).groupBy(*s.rcols, "_buckets").agg(F.count(F.lit(1)).alias("_times"))
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*s.rcols), F.col("_buckets")).cast("int"))
+    copies = s.left.join(hot, is_hot_left).withColumn("_lsalt", F.explode(F.sequence(F.lit(0), F.col("_buckets") - 1)))
+    met = copies.join(rows.drop("_buckets").hint("merge"), s.match & (F.col("_lsalt") == F.col("_salt")))
+    return plain.union(expand(met.select(*s.lcols, *s.rcols, "_times"), "_times")).toDF(*s.names)
 
 
 def left_join_twice(
@@ -193,59 +159,22 @@ def left_join_twice(
     That size is the query's definition; ``plans.enrich.enrich_cities``
     joins once and is the form to use when keys repeat.
 
-    Computed without the second join: the right side is joined once
-    (salted on hot keys), and each matched row is repeated k times by a
-    generator, k coming from the per-key counts (joined to the left rows by
-    a left outer join, which also yields the unmatched rows), so the k * k
-    rows of a hot key are produced by all of its buckets' tasks, not by one.
-    Every join here has plain shuffles on both sides, so adaptive execution
-    can also split a hot *left* key.
+    The right side is counted per key once (written to the shared folder).  The
+    left rows take their k from these counts, are joined to the right side once, and
+    every row is then expanded k times.
     """
-    rkeys = [rc for _, rc in on]
+    rkeys = [b for _, b in on]
+    keys = [f"_key{i}" for i in range(len(on))]
     carried = right.select(*rkeys, *[c for c in right_cols if c not in rkeys])
-    if is_small(carried, broadcast_rows):
-        small = F.broadcast(carried.join(key_counts(right, rkeys), rkeys))
-        joined = left.join(small, _condition(left, small, on), "left")
-    elif is_small(left, broadcast_rows):
-        counts = key_counts(right, rkeys)
-        # small left: tag each left row with its k by streaming the counts
-        # past it, then stream the right rows past the matched left rows
-        bl = F.broadcast(left)
-        left_k = counts.join(bl, _condition(bl, counts, on), "right").select(
-            *[bl[c] for c in left.columns], counts["_k"]
-        )
-        lk = F.broadcast(left_k.where(F.col("_k").isNotNull()))
-        matched = carried.join(lk, _condition(lk, carried, on), "inner").select(
-            *[lk[c] for c in left.columns], *[carried[c] for c in carried.columns], lk["_k"]
-        )
-        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in carried.schema.fields]
-        unmatched = left_k.where(F.col("_k").isNull()).select(*left.columns, *nulls, "_k")
-        joined = matched.union(unmatched)
-    else:
-        counts = saved_key_counts(right, rkeys)
-        # k reaches each left row through a left outer join with the saved
-        # counts (both sides plain shuffles, so adaptive execution can split
-        # a hot left key); rows without a count are the unmatched ones
-        cnt = counts.hint("merge")
-        left_k = left.join(cnt, _condition(left, cnt, on), "left").select(
-            *[left[c] for c in left.columns], cnt["_k"]
-        )
-        hot = _hot_keys(counts, rkeys, salt_rows)
-        found = left_k.where(F.col("_k").isNotNull())
-        # columns: left's, _k, then the carried right columns (union by position)
-        if hot.isEmpty():
-            # no key is hot: join on the keys alone, reusing left_k's shuffle
-            hinted = carried.hint("merge")
-            matched = found.join(hinted, _condition(found, hinted, on), "inner")
-        else:
-            lx, r = _salt_sides(found, carried, on, hot)
-            matched = _salted_match(lx, r.drop("_s", "_hot_k"), on)
-        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in carried.schema.fields]
-        unmatched = left_k.where(F.col("_k").isNull()).select(*left.columns, "_k", *nulls)
-        joined = matched.union(unmatched)
-    reps = F.coalesce(F.col("_k"), F.lit(1)).cast("int")
-    return joined.select(
-        *left_cols,
-        *right_cols,
-        F.explode(F.array_repeat(F.lit(0), reps)).alias("_rep"),
-    ).drop("_rep")
+    counts = stored(key_counts(carried, rkeys), "key-counts")
+    per_key = [(a, k) for (a, _), k in zip(on, keys)]
+    with_k = left_join(left, counts.toDF(*keys, "_k"), per_key, broadcast_rows, salt_rows)
+    with_k = with_k.select(*left.columns, F.coalesce("_k", F.lit(1).cast("long")).alias("_k"))
+    joined = left_join(with_k, carried, on, broadcast_rows, salt_rows, counts)
+    width = len(left.columns)
+    names = [f"_o{i}" for i in range(len(joined.columns))]
+    joined = joined.toDF(*names)
+    of_left = [names[left.columns.index(c)] for c in left_cols]
+    of_right = [names[width + 1 + carried.columns.index(c)] for c in right_cols]
+    chosen = joined.select(*[F.col(n).alias(f"_c{i}") for i, n in enumerate([*of_left, *of_right])], F.col(names[width]).alias("_k"))
+    return expand(chosen, "_k").toDF(*left_cols, *right_cols)

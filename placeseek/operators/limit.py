@@ -13,9 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from placeseek.session import stored
+
 # Pages ending past this many rows are cut out of a distributed sort
 # instead of a per-partition top-k (whose merge grows with the page end).
-DEEP_PAGE_ROWS = 100_000
+DEEP_PAGE_ROWS = 10_000
 
 
 def _order(df: DataFrame, order_by: Sequence[str | Column] | None) -> list[str | Column]:
@@ -37,10 +39,12 @@ def page_of_rows(
     """LIM2: rows ``(page-1)*size`` to ``page*size - 1`` in a total order.
 
     A page ending within ``topk_rows`` is a per-partition top-k.  A deeper
-    page is cut from a range-partitioned sort: each sorted partition's row
-    count gives its first global position (a table with one row per
-    partition, summed in order), and each task keeps only its rows that fall
-    on the page.  No task or driver ever holds more than one partition.
+    page is cut from a range-partitioned sort, which is written once to the shared folder
+    with each row's partition and place in it.  Counting the partitions and
+    picking the rows then read the same files, whatever Spark would have
+    sampled the second time.  Each partition's row count gives its first
+    global position (one row per partition, summed in order), and each task
+    keeps only its rows that fall on the page.
     """
     if page < 1 or size < 0:
         raise ValueError("page starts at 1 and size must not be negative")
@@ -48,26 +52,16 @@ def page_of_rows(
     start, end = (page - 1) * size, page * size
     if end <= topk_rows:
         return df.orderBy(*order).offset(start).limit(size)
-    # Range bounds come from sampling, seeded per exchange, so the two
-    # branches below must read the *same* shuffle: both keep every column
-    # (the guard below makes the counting branch need them all), which
-    # makes the exchanges identical and Spark reuses one.  An explicit
-    # partition count (at least the input's, so partitions stay the size of
-    # input splits) keeps adaptive execution from re-cutting it.
-    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
-    tagged = (
-        df.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
-    )
-    sizes = tagged.groupBy("_pid").agg(
-        F.count(F.lit(1)).alias("_n"), F.max(F.xxhash64(*df.columns)).alias("_all")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ranged = stored(
+        ranged.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")), "page"
     )
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = sizes.where(F.col("_all").isNotNull()).select(
-        "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first")
-    )
+    firsts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    firsts = firsts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
     # monotonically_increasing_id = partition id << 33 | row number in partition
     pos = F.col("_first") + F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    rows = tagged.join(F.broadcast(firsts), "_pid").where((pos >= start) & (pos < end))
+    # one row per partition of the sort
+    rows = ranged.join(F.broadcast(firsts), "_pid").where((pos >= start) & (pos < end))
     return rows.select(*df.columns).orderBy(*order)

@@ -19,13 +19,8 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(present) if present else df
 
 
-def select_columns(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
-    """PRJ2: keep the named columns (pruning reaches the scan)."""
-    return df.select(*cols)
-
-
 def select_aliased(df: DataFrame, alias: str, exprs: Mapping[str, Column | str]) -> DataFrame:
-    """PRJ3/PRJ4: project through a table alias, naming every output.
+    """PRJ2-PRJ4: project through a table alias, naming every output.
 
     ``exprs`` maps output name to a column of the aliased table (``"c.x"``)
     or to an expression.

@@ -1,9 +1,10 @@
 """Word matching (JON3, JON4, FLT1, FLT2).
 
-A search text is a handful of terms typed by a user; the table of words is
-large.  Both matches are written as a filter on the word rows with the
-terms as literals, so each word row is tested in place (no explode of the
-terms, no shuffle, no broadcast), and the test is a codegen'd expression.
+The terms of one search text are literals: each word row looks up the terms
+that its length allows and is tested in place (no shuffle, no broadcast), in the
+same form for any number of terms.  A table of searches is an equi-join:
+``fuzzy_join`` meets words and terms on pieces that two texts within the
+distance must share.
 """
 
 from __future__ import annotations
@@ -13,9 +14,9 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeseek.functions.distance import near_any, within_distance
+from placeseek.functions.distance import candidates, near_any
 from placeseek.functions.phonetic import soundex_code
-from placeseek.functions.text import split_terms
+from placeseek.functions.text import explode_words, split_terms
 
 # Fixed value: the reference keeps words at distance < 3 from a term.
 DISTANCE_LIMIT = 3
@@ -56,17 +57,60 @@ def fuzzy_pairs(
     terms = split_terms(text)
     if not terms:
         return words.limit(0).withColumn(term_col, F.lit(None).cast("string"))
-    hits = F.array_compact(
-        F.array(*[F.when(within_distance(word_col, t, limit), F.lit(t)) for t in terms])
-    )
-    return words.filter(near_any(word_col, terms, limit)).select("*", F.explode(hits).alias(term_col))
+    pairs = words.select("*", F.explode(candidates(word_col, terms, limit)).alias(term_col))
+    return pairs.filter(F.levenshtein(word_col, term_col, limit - 1) >= 0)
+
+
+def fuzzy_join(
+    words: DataFrame,
+    searches: DataFrame,
+    parameter_col: str = "parameter",
+    word_col: str = "palavras",
+    limit: int = DISTANCE_LIMIT,
+    term_col: str = "parameters",
+) -> DataFrame:
+    """JON3 for a table of searches: ``words`` x ``searches`` rows where the word is
+    within ``limit - 1`` edits of a term of ``parameter_col`` (split on blanks), with that
+    term in ``term_col``; a term typed twice matches twice.
+
+    A term is cut into ``limit`` pieces.  With fewer than ``limit`` edits one piece
+    comes through unchanged, moved by fewer than ``limit`` places, so each
+    distinct word and term meet in an equi-join on (length of the term, number and text
+    of the piece) and only pairs that share a piece are tested.  The tested pairs are
+    then joined back to both tables by their texts.
+    """
+    asked = searches.select("*", explode_words(parameter_col).alias(term_col))
+    n = F.length("_term")
+    term_pieces = [
+        (i, F.substring(F.col("_term"), F.floor(n * i / limit).cast("int") + 1, (F.floor(n * (i + 1) / limit) - F.floor(n * i / limit)).cast("int")))
+        for i in range(limit)
+    ]
+    terms = asked.select(F.col(term_col).alias("_term")).distinct()
+    terms = terms.select("_term", F.explode(F.array(*[F.struct(n.alias("n"), F.lit(i).alias("i"), p.alias("p")) for i, p in term_pieces])).alias("_key"))
+
+    # the same pieces as each word would show them, for every term length and shift
+    found = words.select(F.col(word_col).alias("_word")).distinct()
+    size, length = F.length("_word"), F.col("_n")
+    found = found.select("_word", F.explode(F.sequence(F.greatest(F.lit(0), size - limit + 1), size + limit - 1)).alias("_n"))
+    keys = []
+    for i in range(limit):
+        start, end = F.floor(length * i / limit).cast("int"), F.floor(length * (i + 1) / limit).cast("int")
+        for shift in range(-limit + 1, limit):
+            at = start + shift
+            piece = F.substring(F.col("_word"), at + 1, end - start)
+            fits = (at >= 0) & (at + end - start <= size)
+            keys.append(F.when(fits, F.struct(length.alias("n"), F.lit(i).alias("i"), piece.alias("p"))))
+    found = found.select("_word", F.explode(F.array_distinct(F.array_compact(F.array(*keys)))).alias("_key"))
+    pairs = found.join(terms, "_key").select("_word", "_term").distinct()
+    pairs = pairs.where(F.levenshtein("_word", "_term", limit - 1) >= 0)
+    matched = words.join(pairs, F.col(word_col) == F.col("_word")).drop("_word")
+    return matched.join(asked, F.col("_term") == F.col(term_col)).drop("_term")
 
 
 def phonetic_filter(
     words: DataFrame,
     text: str | None,
     word_col: str = "palavras",
-    code_col: str | None = None,
 ) -> DataFrame:
     """JON4: rows whose word has the same sound code as one of the terms.
 
@@ -79,8 +123,6 @@ def phonetic_filter(
     if not terms:
         return words.limit(0)
     codes = [soundex_code(F.lit(t)) for t in terms]
-    if code_col is not None:
-        return words.filter(F.col(code_col).isin(*codes))
     # A code starts with the word's first ASCII letter, upper-cased.  Words
     # that start with such a letter and a different one cannot match, so a
     # one-character test spares them the regex and the coding (exact: a word

@@ -7,6 +7,7 @@ caller's ``SparkSession``.  ``local_session`` exists for tests and the bench.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -68,17 +69,18 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator and points at shared storage;
-    it is read from the session and never overridden (it is also handed to
-    the SparkContext if only the conf carries it, so ``checkpoint()`` works).
-    Only when it is unset (a local test run) is a folder of our own made.
+    It is read from the session and never overridden (and handed to the
+    SparkContext if only the session has it).  Only where it is unset and all
+    tasks run in this very process (master ``local``, as in tests) is a folder of
+    our own made; on a cluster a driver-local folder would be invisible to
+    the executors, so a missing setting is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not root:
-        # local runs only; the session conf of a core setting is read-only,
-        # so the folder is given to the SparkContext alone
-        root = tempfile.mkdtemp(prefix="placeseek-ckpt-")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="placeseek-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -89,32 +91,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/placeseek/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can open a local path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back: what
+    follows neither recomputes it nor loses it with an executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits_in_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Asks for the row after the first ``max_rows`` of a column-free
-    projection (``CollectLimit`` with an offset).  Spark runs it
-    incrementally: one partition first, more only while rows are missing,
-    and no column is read from a Parquet scan.  A large table is rejected
-    after its first split; only a small one is read whole.  At most one row
-    reaches Python.  This is the proof of size a broadcast needs.
-    """
-    probe = df.select(F.lit(1).alias("_one")).offset(max_rows).limit(1)
-    return len(probe.collect()) == 0
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Spark's own estimate of the size of ``df`` (file sizes for a scan), made
+    without a job; None where it has none."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else None
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rebalance ``df`` on ``keys`` only when it has fewer partitions than the
-    cluster has task slots.
+    """Rebalance ``df`` on ``keys`` only where its scan is too small to give every
+    task slot a full split.
 
     Per-word work (explode, edit distance, sound codes) is CPU-bound and
     narrow: it runs in the scan's tasks.  A large input already arrives in
@@ -122,43 +116,33 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     groups would keep most cores idle, so they are hash-partitioned on the
     key (deterministic on retry, no sort needed) before the heavy step.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = estimated_bytes(df)
+    if df.isStreaming or size is None or size >= slots * split:
         return df
     return df.repartition(slots, *keys) if keys else df.repartition(slots)
 
 
-# Tables up to this many rows are measured in one incremental fetch of
-# their row widths (one small number per row reaches the driver).
-QUICK_ROWS = 10_000
+# A side whose estimate is this many times the byte bound is not even measured.
+MEASURED_UP_TO = 16
 
 
 def fits_for_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows *and* its values take
     at most ``max_bytes`` (text bytes of every column).
 
-    A small table is settled by one incremental fetch of the widths of at
-    most ``QUICK_ROWS + 1`` rows.  A larger one takes the row probe, which
-    rejects a large table after one split; only a table that passed it is
-    measured whole, which is then cheap.
+    One aggregate measures both; one row reaches the driver.  Spark's estimate only
+    ever turns a side down (a scan of many times the bound is not worth
+    measuring), never accepts one.
     """
+    size = estimated_bytes(df)
+    if size is not None and size > MEASURED_UP_TO * max_bytes:
+        return False
     width = sum(
-        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns),
+        (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns),
         F.lit(0),
     )
-    head = df.select(width.alias("_w")).limit(QUICK_ROWS + 1).collect()
-    if len(head) <= QUICK_ROWS:
-        return len(head) <= max_rows and sum(r["_w"] for r in head) <= max_bytes
-    if not fits_in_rows(df, max_rows):
-        return False
-    total = df.agg(F.sum(width).alias("_bytes")).collect()[0]["_bytes"]
-    return (total or 0) <= max_bytes
-
-
-def is_remote_path(path: str) -> bool:
-    return "://" in path and not path.startswith("file:")
-
-
-def ensure_dir(path: str) -> None:
-    if not is_remote_path(path):
-        os.makedirs(local_path(path), exist_ok=True)
+    rows, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= max_rows and total <= max_bytes

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from placeseek.operators import left_join, left_join_twice
 from placeseek.plans.enrich import enrich_cities, enrich_cities_as_reference
-from placeseek.session import fits_in_rows
+from placeseek.session import fits_for_broadcast
 
 CITY = "skuIBGE string, siglaPais string, municipio string, pais string, uf string"
 STATE = "localCode string, nomeEstado string, continente string, siglaPaisEstado string"
@@ -63,7 +63,7 @@ def _hot_tables(spark):
 def test_salted_left_join_matches_plain(spark):
     left, right = _hot_tables(spark)
     plain = left_join(left, right, [("k", "k")], broadcast_rows=None)
-    salted = left_join(left, right, [("k", "k")], broadcast_rows=None, right_skew=True, salt_rows=40)
+    salted = left_join(left, right, [("k", "k")], broadcast_rows=None, salt_rows=40)
     assert plain.count() == salted.count()
     assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
 
@@ -85,9 +85,35 @@ def test_salted_twice_matches_brute_force(spark):
 
 
 def test_size_check(spark):
-    assert fits_in_rows(spark.range(10), 10)
-    assert not fits_in_rows(spark.range(11), 10)
-    assert fits_in_rows(spark.range(0), 0)
+    assert fits_for_broadcast(spark.range(10), 10, 1000)
+    assert not fits_for_broadcast(spark.range(11), 10, 1000)
+    assert not fits_for_broadcast(spark.range(10), 10, 5)
+    assert fits_for_broadcast(spark.range(0), 0, 0)
+    assert not fits_for_broadcast(spark.range(1000), 10**6, 100)
+
+
+def test_identical_hot_rows_are_split_and_kept(spark):
+    # 5,000 equal right rows of one key: one bucket would hold them all
+    right = spark.range(0, 5600).select(
+        F.when(F.col("id") < 5000, F.lit(7)).otherwise(F.col("id") % 300).alias("k"),
+        F.when(F.col("id") < 5000, F.lit(0)).otherwise(F.col("id")).alias("v"),
+    )
+    left = spark.range(0, 20).select((F.col("id") % 10).alias("k"))
+    plain = left.join(right, "k", "left").groupBy("k", "v").count()
+    ours = left_join(left, right.toDF("rk", "v"), [("k", "rk")], broadcast_rows=None, salt_rows=100)
+    got = ours.groupBy("k", "v").count()
+    assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+    twice = left_join_twice(left.distinct(), right.toDF("rk", "v").where("v = 0 or v > 5500"), [("k", "rk")], ["k"], ["v"], broadcast_rows=None, salt_rows=1000)
+    per_key = {r.k: r["count"] for r in right.where("v = 0 or v > 5500").groupBy("k").count().collect()}
+    assert twice.count() == sum(per_key.get(k, 1) ** 2 for k in range(10))
+
+
+def test_expansion_is_exact_on_both_sides_of_a_chunk(spark, monkeypatch):
+    from placeseek.operators import joins
+
+    monkeypatch.setattr(joins, "EXPAND_ROWS", 4)
+    df = spark.createDataFrame([(i, i) for i in (1, 2, 3, 4, 5, 8, 9, 40)], "id long, n long")
+    assert {r.id: r["count"] for r in joins.expand(df, "n").groupBy("id").count().collect()} == {i: i for i in (1, 2, 3, 4, 5, 8, 9, 40)}
 
 
 def test_small_left_branch_matches_brute_force(spark):
@@ -117,14 +143,3 @@ def test_deep_pages_match_a_full_sort(spark):
     for page, size in [(1, 7), (3, 1000), (5, 1000), (6, 1000), (7, 999), (1, 5000)]:
         got = [r.k for r in page_of_rows(df, page, size, ["k"], topk_rows=0).collect()]
         assert got == full[(page - 1) * size : page * size], (page, size)
-
-
-def test_size_proof_both_paths(spark, monkeypatch):
-    import placeseek.session as ses
-
-    df = spark.range(0, 50).selectExpr("id", "repeat('x', 10) AS s")
-    for quick in (ses.QUICK_ROWS, 10):  # one incremental fetch, then the two-step proof
-        monkeypatch.setattr(ses, "QUICK_ROWS", quick)
-        assert ses.fits_for_broadcast(df, 50, 10**6)
-        assert not ses.fits_for_broadcast(df, 49, 10**6)
-        assert not ses.fits_for_broadcast(df, 50, 100)  # 50 rows of at least 11 bytes

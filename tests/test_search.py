@@ -108,3 +108,33 @@ def test_stored_corpus_search_equals_direct(spark, tmp_dir):
         b = fuzzy_filter(words, text)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, text
     assert stored_fuzzy_filter(stored, None).count() == 0
+
+
+def test_a_thousand_terms(spark):
+    import random
+
+    rnd = random.Random(4)
+    words = _doc_words(spark).select("doc_id", "palavras")
+    known = [r[0] for r in words.select("palavras").distinct().orderBy("palavras").limit(1500).collect()]
+    terms = [w[: rnd.randint(0, len(w))] + rnd.choice("abcé") + w[-2:] for w in rnd.sample(known, 1000)]
+    text = " ".join(terms)
+    ours = fuzzy_filter(words, text).distinct()
+    ref = _reference_form(words, text).distinct()
+    assert ours.count() > 0 and ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
+
+
+def test_table_of_searches_equals_single_searches(spark):
+    from placeseek.operators import fuzzy_join
+
+    words = spark.createDataFrame(
+        [(i, w) for i, w in enumerate(["", "a", "ab", "abc", "abcd", "bcd", "xabcd", "abxcd", "São", "Sao", "barcela", "Barcelona", "Barcela", "zzzzzzzzzz", None, "ab", "éé", "dcba"])],
+        "id int, palavras string",
+    )
+    texts = ["abcd", " a", "ab ab", "Barcela São", "", None, "zzzz", "éa Barcelona"]
+    searches = spark.createDataFrame(list(enumerate(texts)), "search int, parameter string")
+    got = fuzzy_join(words, searches)
+    assert got.columns == ["id", "palavras", "search", "parameter", "parameters"]
+    rows = sorted((r.search, r.id, r.parameters) for r in got.collect())
+    want = sorted((k, r.id, r.parameters) for k, t in enumerate(texts) for r in fuzzy_pairs(words, t).collect())
+    assert rows == want and len(want) > 30
+    assert fuzzy_join(words.limit(0), searches).count() == fuzzy_join(words, searches.limit(0)).count() == 0
