@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
+from placeseek.fixtures import write_workbooks
 from placeseek.functions.phonetic import phonetic_code, register_sql_functions, soundex_code
 from placeseek.functions.text import explode_words, search_text, title_case
 from placeseek.operators.aggregate import distinct_rows, row_count
@@ -26,14 +27,16 @@ from placeseek.operators.project import (
     with_columns,
     with_search_parameter,
 )
-from placeseek.operators.search import fuzzy_filter, fuzzy_pairs, phonetic_filter, phonetic_pairs
+from placeseek.operators.search import fuzzy_filter, fuzzy_join, fuzzy_pairs, phonetic_filter, phonetic_pairs
 from placeseek.plans.enrich import (
     CITY_RENAMES,
+    STATE_RENAMES,
     city_preview,
     enrich_cities,
     enrich_cities_as_reference,
 )
 from placeseek.plans.files import (
+    CITY_SCHEMA,
     COUNTRY_SCHEMA,
     dump_workbooks,
     enrich_and_index,
@@ -54,8 +57,7 @@ from placeseek.plans.search import (
 )
 from placeseek.plans.shapes import part_as_workbook, states_from_nation
 from placeseek.session import scratch_path, spread
-from placeseek.sinks.index import append_to_index, json_lines, register_view, write_json_lines
-from placeseek.sources.excel import register_excel
+from placeseek.sinks.index import append_to_index, collect_records, json_lines, register_view, write_json_lines
 from placeseek.sources.files import column_audit, list_files
 from placeseek.sources.tables import read_csv_strings, read_table, read_view
 
@@ -69,6 +71,8 @@ PART_SOUND_SEARCH = "smol rinj"
 # The whole-number and text columns of customer (doubles stay out of
 # text forms, whose spelling differs between engines).
 CUSTOMER_COLUMNS = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+# The syllables of which 1,000 search terms are made.
+SYLLABLES = ("the", "an", "er", "ing", "tion", "ea", "ou", "st", "nd", "wh")
 SEARCH_DOC_SCHEMA = (
     "linha int, municipio string, tipo string, h string, cep string, "
     "skuPais string, skuMunicipio string, search_phonetic string"
@@ -123,6 +127,13 @@ def q_left_join_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------- projections
 
 
+def q_left_join_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A right side of few different rows, each many times: salted and expanded again."""
+    li = _t(spark, sf_dir, "lineitem").select("l_linenumber", "l_returnflag")
+    re = _t(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    return left_join(re, li, [("r_regionkey", "l_linenumber")], broadcast_rows=None, salt_rows=100)
+
+
 def q_rename_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename_columns(
         _t(spark, sf_dir, "customer"),
@@ -162,6 +173,12 @@ def q_collect_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_city_record(part_as_workbook(_t(spark, sf_dir, "part")))
 
 
+def q_collect_records_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK6: ten records on the driver, shown as a table again."""
+    records = to_city_record(part_as_workbook(_t(spark, sf_dir, "part")))
+    return spark.createDataFrame(collect_records(records, 10, ["linha"]), records.schema)
+
+
 # --------------------------------------------------------------- aggregates, limits
 
 
@@ -232,6 +249,18 @@ def q_fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_pairs(_doc_words(spark, sf_dir), DOC_SEARCH).select("doc_id", "palavras", "parameters")
 
 
+def q_fuzzy_thousand_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    terms = " ".join(a + b + c for a in SYLLABLES for b in SYLLABLES for c in SYLLABLES)
+    return fuzzy_filter(_doc_words(spark, sf_dir), terms).select("doc_id", "palavras")
+
+
+def q_fuzzy_search_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searches as data: a table of search texts against every word of every document."""
+    searches = _t(spark, sf_dir, "region").select("r_regionkey", F.lower("r_name").alias("parameter"))
+    found = fuzzy_join(_doc_words(spark, sf_dir), searches)
+    return found.select("doc_id", "palavras", "r_regionkey", "parameters")
+
+
 def q_fuzzy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fuzzy_filter(_doc_words(spark, sf_dir), DOC_SEARCH)
     return distinct_rows(found, ["doc_id", "lang", "source"])
@@ -327,26 +356,26 @@ def q_csv_scan_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------- Excel, files
 
 
-def _write_excel(df: DataFrame, folder: str, split_by: str | None = None) -> None:
-    register_excel(df.sparkSession)
-    writer = df.write.format("excel").mode("append")
-    if split_by:
-        writer = writer.option("splitBy", split_by)
-    writer.save(folder)
+# Tasks that write the workbooks of a folder (a fixture: fixed, so that the
+# number of workbooks is known and a lost one is noticed).
+CUSTOMER_TASKS, SUPPLIER_TASKS = 4, 2
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS).repartition(CUSTOMER_TASKS, "c_custkey")
 
 
 def _customer_workbooks(spark: SparkSession, sf_dir: str) -> str:
-    """``customer`` (its whole-number and text columns) as workbooks, one per
-    market segment and task, plus ``supplier`` as one more workbook with
-    other columns, and the writer's _SUCCESS file, in one folder."""
+    """``customer`` (its whole-number and text columns) as workbooks in one
+    folder, one per market segment and task."""
     folder = scratch_path(spark, "customer-xlsx")
-    _write_excel(_t(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS), folder, split_by="c_mktsegment")
+    write_workbooks(_customers(spark, sf_dir), folder, split_by="c_mktsegment")
     return folder
 
 
 def q_excel_scan_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "customer-plain-xlsx")
-    _write_excel(_t(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS), folder)
+    write_workbooks(_customers(spark, sf_dir), folder)
     schema = StructType([StructField(n, StringType(), True) for n in CUSTOMER_COLUMNS])
     return read_excel(spark, folder, schema)
 
@@ -368,56 +397,95 @@ def q_excel_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_excel(spark, f"{_customer_workbooks(spark, sf_dir)}/*.xlsx", infer=True)
 
 
+def q_excel_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writes to one folder: every row of both comes back."""
+    folder = scratch_path(spark, "append-xlsx")
+    write_workbooks(_customers(spark, sf_dir), folder)
+    write_workbooks(_customers(spark, sf_dir), folder)
+    schema = StructType([StructField(n, StringType(), True) for n in CUSTOMER_COLUMNS])
+    return read_excel(spark, folder, schema)
+
+
+def q_excel_late_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column of numbers in some workbooks and words in others: text, nothing lost."""
+    folder = scratch_path(spark, "late-xlsx")
+    customers = _customers(spark, sf_dir)
+    write_workbooks(customers.select(F.col("c_custkey").alias("v")), folder)
+    write_workbooks(customers.select(F.col("c_name").alias("v")), folder)
+    return read_excel(spark, folder, infer=True)
+
+
+def q_excel_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbooks with and without a last column: the column is kept."""
+    folder = scratch_path(spark, "drift-xlsx")
+    customers = _customers(spark, sf_dir)
+    write_workbooks(customers.select("c_custkey", "c_name"), folder)
+    write_workbooks(customers.select("c_custkey", "c_name", "c_mktsegment"), folder)
+    return read_excel(spark, folder, infer=True)
+
+
+def q_excel_empty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third row has no value at all: it stays a row."""
+    folder = scratch_path(spark, "empty-xlsx")
+    some = F.col("c_custkey") % 3 != 0
+    rows = _customers(spark, sf_dir)
+    write_workbooks(rows.select(F.when(some, F.col("c_custkey")).alias("k"), F.when(some, F.col("c_name")).alias("n")), folder)
+    schema = StructType([StructField("k", LongType(), True), StructField("n", StringType(), True)])
+    return read_excel(spark, folder, schema)
+
+
 def q_excel_list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _customer_workbooks(spark, sf_dir)
-    files = list_files(spark, folder)
-    # one workbook per segment and task: the segments listed
-    return distinct_rows(files.select(F.regexp_extract("file", "^(.*)-part-[0-9]+", 1).alias("file")))
+    files = list_files(spark, _customer_workbooks(spark, sf_dir))
+    # one workbook per segment and task
+    segment = F.regexp_extract("file", "^(.*)-part-[0-9]+", 1)
+    return files.groupBy(segment.alias("file")).agg(F.countDistinct("file").alias("n"))
 
 
 def q_file_column_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _customer_workbooks(spark, sf_dir)
-    _write_excel(_t(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey"), folder)
-    audit = column_audit(spark, folder)
+    suppliers = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    write_workbooks(suppliers.repartition(SUPPLIER_TASKS, "s_suppkey"), folder)
     name = F.regexp_extract("file", "^(.*)-part-[0-9]+", 1)
-    return distinct_rows(
-        audit.select(F.when(name == "", F.lit("part")).otherwise(name).alias("file"), "ordinal", "column")
-    )
+    label = F.when(name == "", F.lit("part")).otherwise(name)
+    return column_audit(spark, folder).groupBy(label.alias("file"), "ordinal", "column").agg(F.countDistinct("file").alias("n"))
 
 
-def _city_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """``customer`` as a municipalities workbook set and ``nation`` x
-    ``region`` as the states CSV; returns (workbook glob, CSV folder)."""
+def _city_files(spark: SparkSession, sf_dir: str, times: int = 1) -> tuple[str, str]:
+    """``customer`` as a municipalities workbook set and ``nation`` x ``region``
+    (``times`` times over) as the states CSV; returns (workbook glob, CSV folder)."""
     nation, region = _t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region")
     cust = left_join(_t(spark, sf_dir, "customer"), nation, [("c_nationkey", "n_nationkey")])
+    known = {
+        "skuIBGE": F.col("c_custkey").cast("string"),
+        "siglaPais": F.col("n_regionkey").cast("string"),
+        "type": F.col("c_mktsegment"),
+        "municipio": F.col("c_name"),
+        "pais": F.lower("c_mktsegment"),
+        "uf": F.col("c_nationkey").cast("string"),
+    }
     null = F.lit(None).cast("string")
-    cities = cust.select(
-        F.col("c_custkey").cast("string").alias("SKU IBGE"),
-        F.col("n_regionkey").cast("string").alias("Sigla País"),
-        F.col("c_mktsegment").alias("Tipo"),
-        null.alias("Ordem Alfabética País"),
-        null.alias("SKU Fériaz"),
-        F.col("c_name").alias("Município"),
-        F.lower("c_mktsegment").alias("País"),
-        null.alias("Região"),
-        F.col("c_nationkey").cast("string").alias("UF"),
-        null.alias("Região Turística"),
-        null.alias("Arrecadação"),
-        null.alias("Cluster"),
-    )
+    cities = cust.select(*[known.get(CITY_RENAMES[f.name], null).alias(f.name) for f in CITY_SCHEMA.fields])
     cities_dir = scratch_path(spark, "cities-xlsx")
-    _write_excel(spread(cities, "SKU IBGE"), cities_dir)
-    states = left_join(nation, region, [("n_regionkey", "r_regionkey")]).select(
-        F.col("n_nationkey").cast("string").alias("local_code"),
-        F.col("n_name").alias("name"),
-        F.col("r_name").alias("continent"),
-        F.col("n_regionkey").cast("string").alias("iso_country"),
-    )
+    write_workbooks(cities.repartition(CUSTOMER_TASKS, cities.columns[0]), cities_dir)
+    state = {
+        "localCode": F.col("n_nationkey").cast("string"),
+        "nomeEstado": F.col("n_name"),
+        "continente": F.col("r_name"),
+        "siglaPaisEstado": F.col("n_regionkey").cast("string"),
+    }
+    states = left_join(nation, region, [("n_regionkey", "r_regionkey")])
+    states = states.select(*[state[new].alias(old) for old, new in STATE_RENAMES.items()])
     states_dir = scratch_path(spark, "states-csv")
-    states.write.option("header", True).csv(states_dir)
+    for _ in range(times):
+        states.write.mode("append").option("header", True).csv(states_dir)
     return f"{cities_dir}/*.xlsx", states_dir
 
 
+def q_enrich_from_files_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live path of the source application, on states that stand twice: 4 rows per city."""
+    return enrich_from_files(spark, *_city_files(spark, sf_dir, times=2), twice=True)
+
+
 def q_enrich_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_from_files(spark, *_city_files(spark, sf_dir))
 
@@ -439,7 +507,7 @@ def _part_workbooks(spark: SparkSession, sf_dir: str) -> str:
     wb = part_as_workbook(_t(spark, sf_dir, "part"))
     headers = [f.name for f in COUNTRY_SCHEMA.fields]
     folder = scratch_path(spark, "country-xlsx")
-    _write_excel(spread(wb.toDF(*headers), "linha"), folder)
+    write_workbooks(spread(wb.toDF(*headers), "linha"), folder)
     return f"{folder}/*.xlsx"
 
 
@@ -513,4 +581,13 @@ QUERIES: dict[str, Query] = {
     "workbook_fuzzy_search": q_workbook_fuzzy_search,
     "workbook_json_lines": q_workbook_json_lines,
     "workbook_row_count": q_workbook_row_count,
+    "left_join_hot_key": q_left_join_hot_key,
+    "fuzzy_thousand_terms": q_fuzzy_thousand_terms,
+    "fuzzy_search_table": q_fuzzy_search_table,
+    "collect_records_first": q_collect_records_first,
+    "excel_append_twice": q_excel_append_twice,
+    "excel_late_type": q_excel_late_type,
+    "excel_drift": q_excel_drift,
+    "excel_empty_rows": q_excel_empty_rows,
+    "enrich_from_files_twice": q_enrich_from_files_twice,
 }

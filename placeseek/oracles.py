@@ -71,7 +71,7 @@ _PART_MATCHES = (
     f"WHERE {sql_distance_below('w.palavras', 't.term')})"
 )
 
-_SEGMENT_FILES = "SELECT DISTINCT 'c_mktsegment=' || c_mktsegment AS file FROM customer"
+_SEGMENT_FILES = "SELECT DISTINCT 'c_mktsegment=' || c_mktsegment AS file, 4 AS n FROM customer"
 _CUSTOMER_TEXT = (
     "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, "
     "CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer"
@@ -221,9 +221,9 @@ ORACLES: dict[str, str] = {
     ),
     "excel_list_files": _SEGMENT_FILES,
     "file_column_audit": (
-        f"SELECT f.file, c.ordinal, c.\"column\" FROM ({_SEGMENT_FILES}) f, "
+        f"SELECT f.file, c.ordinal, c.\"column\", f.n FROM ({_SEGMENT_FILES}) f, "
         f"({_columns_of('customer', 'c_acctbal')}) c "
-        f"UNION ALL SELECT 'part' AS file, c.ordinal, c.\"column\" FROM ({_columns_of('supplier', 's_acctbal')}) c"
+        f"UNION ALL SELECT 'part' AS file, c.ordinal, c.\"column\", 2 AS n FROM ({_columns_of('supplier', 's_acctbal')}) c"
     ),
     "enrich_from_files": (
         "SELECT CAST(c.c_custkey AS VARCHAR) AS skuIBGE, CAST(n.n_regionkey AS VARCHAR) AS siglaPais, "
@@ -267,3 +267,30 @@ ORACLES["workbook_city_preview"] = (
     "ORDER BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13 LIMIT 10"
 )
 ORACLES["json_text_roundtrip"] = ORACLES["json_lines"]
+ORACLES["left_join_hot_key"] = (
+    "SELECT r_regionkey, r_name, l_linenumber, l_returnflag FROM region LEFT JOIN lineitem ON r_regionkey = l_linenumber"
+)
+_SYLLABLES = "(SELECT unnest(['the', 'an', 'er', 'ing', 'tion', 'ea', 'ou', 'st', 'nd', 'wh']) AS s)"
+_THOUSAND = f"SELECT a.s || b.s || c.s AS term FROM {_SYLLABLES} a, {_SYLLABLES} b, {_SYLLABLES} c"
+ORACLES["fuzzy_thousand_terms"] = (
+    f"WITH w AS ({_words('doc_id')}), found AS (SELECT DISTINCT d.palavras FROM (SELECT DISTINCT palavras FROM w) d "
+    f"JOIN ({_THOUSAND}) t ON {sql_distance_below('d.palavras', 't.term')}) "
+    "SELECT w.doc_id, w.palavras FROM w JOIN found USING (palavras)"
+)
+ORACLES["fuzzy_search_table"] = (
+    "SELECT w.doc_id, w.palavras, t.r_regionkey, t.parameters FROM "
+    f"({_words('doc_id')}) w JOIN (SELECT r_regionkey, unnest(string_split_regex(lower(r_name), '\\s+')) AS parameters "
+    f"FROM region) t ON {sql_distance_below('w.palavras', 't.parameters')}"
+)
+ORACLES["collect_records_first"] = f"SELECT * FROM ({ORACLES['collect_records']}) ORDER BY linha LIMIT 10"
+ORACLES["excel_append_twice"] = f"{_CUSTOMER_TEXT} UNION ALL {_CUSTOMER_TEXT}"
+ORACLES["excel_late_type"] = "SELECT CAST(c_custkey AS VARCHAR) AS v FROM customer UNION ALL SELECT c_name FROM customer"
+ORACLES["excel_drift"] = (
+    "SELECT CAST(c_custkey AS DOUBLE) AS c_custkey, c_name, '' AS c_mktsegment FROM customer "
+    "UNION ALL SELECT CAST(c_custkey AS DOUBLE), c_name, c_mktsegment FROM customer"
+)
+ORACLES["excel_empty_rows"] = (
+    "SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS k, "
+    "CASE WHEN c_custkey % 3 <> 0 THEN c_name ELSE '' END AS n FROM customer"
+)
+ORACLES["enrich_from_files_twice"] = f"SELECT e.* FROM ({ORACLES['enrich_from_files']}) e, range(4)"

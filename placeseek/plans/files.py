@@ -8,12 +8,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from placeseek.operators.aggregate import row_count
+from placeseek.operators.aggregate import distinct_rows, row_count
 from placeseek.operators.project import rename_columns
-from placeseek.plans.enrich import CITY_RENAMES, enrich_cities, prepare_cities, prepare_states
+from placeseek.plans.enrich import CITY_RENAMES, enrich_cities, enrich_cities_as_reference, prepare_cities, prepare_states
 from placeseek.plans.search import WORKBOOK_RENAMES, search_documents
 from placeseek.sinks.index import append_to_index, json_lines, preview_then_append
-from placeseek.sources.excel import register_excel
+from placeseek.sources.excel import read_workbooks
 from placeseek.sources.files import infer_excel_schema
 from placeseek.sources.tables import read_csv_strings
 
@@ -42,22 +42,13 @@ def read_excel(
 ) -> DataFrame:
     """SRC1-SRC3 with the reference's options (header on, empties kept).
 
-    ``infer=True`` without a schema derives exact types from every cell of
-    every workbook in one distributed pass (``sources.infer_excel_schema``).
+    A schema is matched to the sheets' columns by position.  ``infer=True`` without a schema
+    derives names and exact types from every cell of every workbook in one distributed pass.
+    Without either, the columns are the same and all are text.
     """
-    register_excel(spark)
-    if schema is None and infer:
-        schema = infer_excel_schema(spark, path)
-    reader = (
-        spark.read.format("excel")
-        .option("header", "true")
-        .option("inferSchema", str(infer).lower())
-        .option("treatEmptyValuesAsNulls", str(empty_as_null).lower())
-        .option("minPartitions", str(spark.sparkContext.defaultParallelism))
-    )
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(path)
+    if schema is None:
+        schema = infer_excel_schema(spark, path, typed=infer)
+    return read_workbooks(spark, path, schema, empty_as_null)
 
 
 def read_cities(spark: SparkSession, path: str) -> DataFrame:
@@ -70,10 +61,12 @@ def read_states(spark: SparkSession, path: str) -> DataFrame:
     return prepare_states(read_csv_strings(spark, path))
 
 
-def enrich_from_files(spark: SparkSession, cities_path: str, states_path: str) -> DataFrame:
+def enrich_from_files(spark: SparkSession, cities_path: str, states_path: str, twice: bool = False) -> DataFrame:
     """PIPE1 end to end: 12 city columns, ``paisCamel``, state name and
-    continent.  Write the result with ``sinks.append_to_index``."""
-    return enrich_cities(read_cities(spark, cities_path), read_states(spark, states_path))
+    continent.  ``twice`` joins the states a second time, as the source application
+    does (k * k rows for a state key that stands k times)."""
+    enrich = enrich_cities_as_reference if twice else enrich_cities
+    return enrich(read_cities(spark, cities_path), read_states(spark, states_path))
 
 
 def enrich_and_index(
@@ -84,12 +77,12 @@ def enrich_and_index(
     fmt: str,
     options: Mapping[str, str] | None = None,
     preview_rows: int = 10,
+    twice: bool = False,
 ) -> list[Row]:
     """PIPE1 as the source application runs it: enrich, show a preview, and
     append the 15-column documents to the index ``target`` through ``fmt``.
-    The enriched plan is computed once for both actions; returns the
-    preview rows."""
-    enriched = enrich_from_files(spark, cities_path, states_path)
+    Returns the preview rows."""
+    enriched = enrich_from_files(spark, cities_path, states_path, twice)
     return preview_then_append(enriched, target, fmt, preview_rows, options)
 
 
@@ -99,10 +92,12 @@ def index_search_documents(
     target: str,
     fmt: str,
     options: Mapping[str, str] | None = None,
-) -> None:
-    """PIPE4 end to end: country workbooks -> 8-column search documents,
-    appended to the index ``target`` (one document per row)."""
-    append_to_index(search_documents(read_country_workbooks(spark, pattern)), target, fmt, options)
+    preview_rows: int = 10,
+) -> list[Row]:
+    """PIPE4 end to end: country workbooks -> 8-column search documents, a preview
+    of distinct ones, and the append of all to the index ``target``."""
+    docs = search_documents(read_country_workbooks(spark, pattern))
+    return preview_then_append(docs, target, fmt, preview_rows, options, shown=distinct_rows(docs))
 
 
 def read_country_workbooks(spark: SparkSession, pattern: str) -> DataFrame:

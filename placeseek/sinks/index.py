@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -42,18 +41,13 @@ def preview_then_append(
     fmt: str,
     n: int = 10,
     options: Mapping[str, str] | None = None,
-    order_by: Sequence[str] | None = None,
+    shown: DataFrame | None = None,
 ) -> list[Row]:
-    """SNK3 then SNK1, as the source application runs them (a preview of
-    ``n`` rows, then the append), with the plan computed once: ``df`` is
-    persisted (memory, then disk) for the two actions and released after.
-    A lost executor only makes Spark recompute the lost blocks."""
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = first_rows(df, n, order_by).collect()
-        append_to_index(df, target, fmt, options)
-    finally:
-        df.unpersist()
+    """SNK3 then SNK1, as the source application runs them: any ``n`` rows (of
+    ``shown`` where the preview has another shape), then the append.  The preview
+    takes its rows from as few partitions as hold them; nothing is cached."""
+    rows = (df if shown is None else shown).take(n)
+    append_to_index(df, target, fmt, options)
     return rows
 
 

@@ -1,18 +1,16 @@
 """Sources: Excel workbooks, CSV, views, file listing and column audit."""
 
-from placeseek.sources.excel import ExcelDataSource, list_workbooks, read_header, register_excel
+from placeseek.sources.excel import read_workbooks, workbook_files
 from placeseek.sources.files import column_audit, infer_excel_schema, list_files
 from placeseek.sources.tables import read_csv_strings, read_table, read_view
 
 __all__ = [
-    "ExcelDataSource",
     "column_audit",
     "infer_excel_schema",
     "list_files",
-    "list_workbooks",
     "read_csv_strings",
-    "read_header",
     "read_table",
     "read_view",
-    "register_excel",
+    "read_workbooks",
+    "workbook_files",
 ]

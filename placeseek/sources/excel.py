@@ -1,153 +1,57 @@
-"""Excel workbooks as a Spark data source (SRC1-SRC3).
-
-Registered under the name ``excel`` (``register_excel(spark)``), then:
-
-    spark.read.format("excel").option("header", True).schema(s).load("dir/*.xlsx")
-
-* A workbook is never split (a zip archive cannot be), and a sheet holds
-  at most 1,048,576 rows, so a task's share is bounded.  Small workbooks
-  are packed together, up to ``maxPartitionBytes`` of compressed file per
-  task (default 32 MiB), so many small files do not mean many tiny tasks.
-  Files are listed on the driver (names and sizes only); every byte of a
-  workbook is read inside the task that parses it.
-* The first sheet is read as a stream of rows (``iterparse``), so a task
-  holds one row and the shared-string table, never the whole sheet tree.
-* A user schema is matched to the sheet's columns by position (column A is
-  the first field), like Spark's CSV reader.  Without one, the header row
-  names the columns: all strings, or with ``inferSchema`` the types seen
-  in a sample of the first workbook (numbers -> double, booleans ->
-  boolean, anything else -> string).  ``sources.infer_excel_schema`` gives
-  the exact types from every workbook in one distributed pass instead.
-* ``treatEmptyValuesAsNulls=false`` turns an empty or absent cell of a
-  string column into ``''``; other types get null.
-
-The writer is a fixture helper: it turns a DataFrame into workbooks, one
-per task (``part-<task>.xlsx``) or, with ``splitBy``, one per value and
-task (``<column>=<value>-part-<task>.xlsx``), so no value is gathered into
-one task.  Rows stream into the compressed sheet (only the distinct
-strings are held); a full sheet rolls over to a further workbook.  A retried task
-rewrites the same file names, so a lost executor leaves no duplicate.
+"""Excel workbooks as tables (SRC1-SRC3, SRC6).
+
+Spark lists and opens the files (``binaryFile``: any Hadoop file system, any
+name) and deals them over tasks by size, small ones together; a task turns the
+bytes of its workbooks into rows.  A workbook is never split (a zip archive
+cannot be; a sheet holds at most 1,048,576 rows) and its first sheet is read as
+a stream of rows.
+
+Every row of the sheet after the header is a row, also one without a value.  A
+schema is matched to the sheet's columns by position.  An empty or absent cell
+is ``''`` in a text column (null with ``empty_as_null``) and null in others.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-import fnmatch
-import glob
-import os
+import io
 import posixpath
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.etree import ElementTree as ET
-from xml.sax.saxutils import escape
-
-from pyspark.sql.datasource import (
-    DataSource,
-    DataSourceReader,
-    DataSourceWriter,
-    InputPartition,
-    WriterCommitMessage,
-)
-from pyspark.sql.types import (
-    BooleanType,
-    ByteType,
-    DateType,
-    DecimalType,
-    DoubleType,
-    FloatType,
-    IntegerType,
-    LongType,
-    ShortType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampNTZType,
-    TimestampType,
-)
-
-# Excel's sheet row limit and the day Excel counts dates from.
-MAX_SHEET_ROWS = 1_048_576
-EXCEL_EPOCH = _dt.datetime(1899, 12, 30)
-EXCEL_EPOCH_1904 = _dt.datetime(1904, 1, 1)
-SAMPLE_ROWS = 1000
-BATCH_ROWS = 8192
-# Compressed workbook bytes packed into one read task (small files share).
-TASK_BYTES = 32 * 1024 * 1024
-OPEN_COST_BYTES = 4 * 1024 * 1024
-
-_MAIN_NS = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-_REL_NS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-_PKG_REL_NS = "http://schemas.openxmlformats.org/package/2006/relationships"
-
-
-# ----------------------------------------------------------------- file access
 
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BooleanType, DataType, DoubleType, IntegerType, LongType, StringType, StructType
 
-def _is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+from placeseek.session import ship_package
 
+BATCH_ROWS = 8192
+_MAIN_NS = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+_REL_NS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 
-def _strip_file(path: str) -> str:
-    if path.startswith("file://"):
-        return path[7:]
-    if path.startswith("file:"):
-        return path[5:]
-    return path
-
-
-def _open_input(path: str):
-    if _is_local(path):
-        return open(_strip_file(path), "rb")
-    from pyarrow import fs as pafs
-
-    filesystem, inner = pafs.FileSystem.from_uri(path)
-    return filesystem.open_input_file(inner)
-
+# ----------------------------------------------------------------- files
 
-def _write_bytes(path: str, data: bytes) -> None:
-    if _is_local(path):
-        p = _strip_file(path)
-        os.makedirs(os.path.dirname(p) or ".", exist_ok=True)
-        tmp = f"{p}.tmp-{os.getpid()}"
-        with open(tmp, "wb") as f:
-            f.write(data)
-        os.replace(tmp, p)
-        return
-    from pyarrow import fs as pafs
 
-    filesystem, inner = pafs.FileSystem.from_uri(path)
-    with filesystem.open_output_stream(inner) as out:
-        out.write(data)
+def workbook_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path`` and ``content`` of the workbooks that ``path`` names: a file, a glob,
+    or a folder (its ``.xlsx`` files in any case, not those of folders below it).
+    A name with glob characters that matches nothing is taken literally.
+    Naming no existing file is an error; a folder without workbooks is an empty table."""
 
+    def load(pattern: str) -> DataFrame:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "false")
+        return reader.load(pattern).select("path", "content")
 
-def list_workbooks(path: str, suffix: str = ".xlsx") -> list[str]:
-    """Workbook files named by ``path``: a file, a folder (its ``*suffix``
-    files, not recursive) or a glob.  Sorted; names only."""
-    if _is_local(path):
-        p = _strip_file(path)
-        if os.path.isdir(p):
-            found = [os.path.join(p, f) for f in os.listdir(p) if f.endswith(suffix)]
-        else:
-            found = glob.glob(p)
-        return sorted(f for f in found if os.path.isfile(f))
-    from pyarrow import fs as pafs
-
-    filesystem, inner = pafs.FileSystem.from_uri(path)
-    scheme = path.split("://", 1)[0]
-    info = filesystem.get_file_info(inner)
-    if info.type == pafs.FileType.Directory:
-        base, pattern = inner, f"*{suffix}"
-    elif info.type == pafs.FileType.File:
-        return [path]
-    else:
-        base, pattern = posixpath.dirname(inner), posixpath.basename(inner)
-    entries = filesystem.get_file_info(pafs.FileSelector(base, recursive=False))
-    return sorted(
-        f"{scheme}://{e.path}"
-        for e in entries
-        if e.type == pafs.FileType.File and fnmatch.fnmatch(posixpath.basename(e.path), pattern)
-    )
+    try:
+        files = load(path)
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND" or not re.search(r"[\[\]{}*?]", path):
+            raise
+        files = load(re.sub(r"([\[\]{}*?])", r"\\\1", path))
+    return files.where(files["path"].rlike(r"(?i)\.xlsx$"))
 
 
 # ----------------------------------------------------------------- parsing
@@ -169,11 +73,9 @@ def _col_index(ref: str) -> int:
     return n - 1
 
 
-# Characters XML cannot carry (control characters, a carriage return) are
-# written as _xHHHH_; a literal text of that shape is guarded by _x005F_.
+# Characters XML cannot carry (control characters, a carriage return) stand
+# as _xHHHH_; a literal text of that shape is guarded by _x005F_.
 _XSTRING_ESCAPE = re.compile(r"_x([0-9A-Fa-f]{4})_")
-_XSTRING_LITERAL = re.compile(r"_(x[0-9A-Fa-f]{4}_)")
-_XSTRING_UNSAFE = re.compile(r"[\x00-\x08\x0b\x0c\x0d\x0e-\x1f]")
 
 
 def _decode_xstring(text: str) -> str:
@@ -182,11 +84,6 @@ def _decode_xstring(text: str) -> str:
     return _XSTRING_ESCAPE.sub(lambda m: chr(int(m.group(1), 16)), text)
 
 
-def _encode_xstring(text: str) -> str:
-    text = _XSTRING_LITERAL.sub(r"_x005F_\1", text)
-    return _XSTRING_UNSAFE.sub(lambda m: f"_x{ord(m.group()):04X}_", text)
-
-
 def _text_of(el) -> str:
     """Displayed text of a string item: its ``t``, or the ``t`` of each
     rich-text run ``r``; phonetic hints (``rPh``) are not displayed."""
@@ -277,26 +174,14 @@ def _cell_value(c, kind: str, strings: _SharedStrings):
     return float(v) if v not in (None, "") else None
 
 
-def date_epoch(path: str) -> _dt.datetime:
-    """The day a workbook counts dates from (its 1900 or 1904 date system)."""
-    with _open_input(path) as fh, zipfile.ZipFile(fh) as z:
-        try:
-            wb = ET.fromstring(z.read("xl/workbook.xml"))
-        except (KeyError, ET.ParseError):
-            return EXCEL_EPOCH
-    pr = next((e for e in wb.iter() if _local(e.tag) == "workbookPr"), None)
-    flag = pr.get("date1904", "") if pr is not None else ""
-    return EXCEL_EPOCH_1904 if flag.strip().lower() in ("1", "true") else EXCEL_EPOCH
-
-
-def iter_sheet_rows(path: str) -> Iterator[dict[int, object]]:
-    """Rows of the first sheet as ``{column index: value}``; rows without a
-    cell are skipped.  Values: ``str``, ``float`` or ``bool``.
+def sheet_rows(content: bytes) -> Iterator[dict[int, object]]:
+    """Rows of the first sheet as ``{column index: value}``, a row without a value
+    as an empty dict.  Values: ``str``, ``float`` or ``bool``.
 
     Only element ends are parsed; a row is read when its end arrives, then
     cleared, so memory holds one row (plus an empty shell per row read).
     """
-    with _open_input(path) as fh, zipfile.ZipFile(fh) as z:
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
         strings = _SharedStrings(z)
         with z.open(_first_sheet(z)) as f:
             for _, el in ET.iterparse(f, events=("end",)):
@@ -314,443 +199,76 @@ def iter_sheet_rows(path: str) -> Iterator[dict[int, object]]:
                     if val is not None:
                         cells[idx] = val
                 el.clear()
-                if cells:
-                    yield cells
+                yield cells
 
 
-# ----------------------------------------------------------------- typing
+def header_names(cells: dict[int, object]) -> list[str]:
+    """Names of a header row; a column without one is ``_c`` and its number."""
+    width = max(cells) + 1 if cells else 0
+    return [text(cells[i]) if cells.get(i) not in (None, "") else f"_c{i}" for i in range(width)]
 
 
-def _num_text(v: float) -> str:
-    return str(int(v)) if v.is_integer() and abs(v) < 1e16 else repr(v)
+# ----------------------------------------------------------------- values
 
 
-def _to_string(v):
+def text(v: object) -> str:
+    """A cell's value as text: whole numbers without a fraction."""
     if isinstance(v, bool):
         return "TRUE" if v else "FALSE"
     if isinstance(v, float):
-        return _num_text(v)
+        return str(int(v)) if v.is_integer() and abs(v) < 1e16 else repr(v)
     return v
 
 
-def _to_float(v):
+def _number(v: object) -> float | None:
     if isinstance(v, bool):
         return None
-    if isinstance(v, float):
-        return v
     try:
-        return float(v.strip())
+        return float(v)
     except ValueError:
         return None
 
 
-def _to_int(v):
-    f = _to_float(v)
-    if f is None or not f.is_integer():
-        return None
-    return int(f)
+def _whole(bits: int) -> Callable[[object], int | None]:
+    def whole(v: object) -> int | None:
+        f = _number(v)
+        return int(f) if f is not None and f.is_integer() and -(2.0**bits) <= f < 2.0**bits else None
 
+    return whole
 
-def _to_bool(v):
+
+def _boolean(v: object) -> bool | None:
     if isinstance(v, bool):
         return v
-    if isinstance(v, str) and v.strip().lower() in ("true", "false"):
-        return v.strip().lower() == "true"
-    return None
+    return {"true": True, "false": False}.get(v.strip().lower()) if isinstance(v, str) else None
 
 
-def _to_timestamp(v, epoch=EXCEL_EPOCH):
-    if isinstance(v, float):
-        return epoch + _dt.timedelta(days=v)
-    if isinstance(v, str):
-        try:
-            return _dt.datetime.fromisoformat(v.strip())
-        except ValueError:
-            return None
-    return None
-
-
-def _to_date(v, epoch=EXCEL_EPOCH):
-    t = _to_timestamp(v, epoch)
-    return t.date() if t is not None else None
-
-
-def _converter(dtype, empty_as_null: bool, epoch=EXCEL_EPOCH):
-    if isinstance(dtype, StringType):
-        return (lambda v: None if v is None and empty_as_null else ("" if v is None else _to_string(v)))
-    if isinstance(dtype, (IntegerType, LongType, ShortType, ByteType)):
-        base = _to_int
-    elif isinstance(dtype, (DoubleType, FloatType)):
-        base = _to_float
-    elif isinstance(dtype, DecimalType):
-        import decimal
-
-        def base(v):
-            f = _to_float(v)
-            return None if f is None else decimal.Decimal(repr(f))
-    elif isinstance(dtype, BooleanType):
-        base = _to_bool
-    elif isinstance(dtype, (TimestampType, TimestampNTZType)):
-        def base(v):
-            return _to_timestamp(v, epoch)
-    elif isinstance(dtype, DateType):
-        def base(v):
-            return _to_date(v, epoch)
-    else:
-        base = _to_string
-    return lambda v: None if v is None else base(v)
-
-
-def _truthy(value, default: bool) -> bool:
-    if value is None:
-        return default
-    return str(value).strip().lower() in ("true", "1", "yes")
-
-
-def read_header(path: str) -> list[str]:
-    """Header names of a workbook's first sheet (reads only up to row 1)."""
-    rows = iter_sheet_rows(path)
-    try:
-        return header_names(next(rows, {}))
-    finally:
-        rows.close()
+def _converter(kind: DataType, empty_as_null: bool) -> Callable[[object], object]:
+    known = {StringType: text, IntegerType: _whole(31), LongType: _whole(63), DoubleType: _number, BooleanType: _boolean}
+    if type(kind) not in known:
+        raise ValueError(f"workbook columns can be string, int, long, double or boolean, not {kind.simpleString()}")
+    make, missing = known[type(kind)], "" if isinstance(kind, StringType) and not empty_as_null else None
+    return lambda v: missing if v is None else make(v)
 
 
-def header_names(cells: dict[int, object]) -> list[str]:
-    width = max(cells) + 1 if cells else 0
-    return [
-        _to_string(cells[i]) if cells.get(i) not in (None, "") else f"_c{i}" for i in range(width)
-    ]
-
-
-def infer_type(values: list[object]):
-    seen = [v for v in values if v is not None and v != ""]
-    if not seen:
-        return StringType()
-    if all(isinstance(v, bool) for v in seen):
-        return BooleanType()
-    if all(isinstance(v, float) for v in seen):
-        return DoubleType()
-    return StringType()
-
-
-# ----------------------------------------------------------------- data source
-
-
-class ExcelPartition(InputPartition):
-    """One task's workbooks: a single large one, or several small ones."""
-
-    def __init__(self, paths: list[str]):
-        super().__init__(paths)
-        self.paths = paths
-
-
-def _file_size(path: str) -> int:
-    if _is_local(path):
-        return os.path.getsize(_strip_file(path))
-    from pyarrow import fs as pafs
-
-    filesystem, inner = pafs.FileSystem.from_uri(path)
-    return filesystem.get_file_info(inner).size or 0
-
-
-def pack_workbooks(paths: list[str], target_bytes: int, slots: int = 1) -> list[list[str]]:
-    """Group workbooks into tasks of about ``target_bytes`` (file sizes, in
-    listing order); a workbook larger than that is a task of its own.
-
-    As Spark does for its own file scans, the target shrinks (down to
-    ``OPEN_COST_BYTES``) when the files would otherwise fill fewer than
-    ``slots`` tasks, so small inputs still use every core.
-    """
-    sizes = [_file_size(p) for p in paths]
-    if slots > 1 and sizes:
-        target_bytes = min(target_bytes, max(OPEN_COST_BYTES, sum(sizes) // slots))
-    groups: list[list[str]] = []
-    current: list[str] = []
-    filled = 0
-    for path, size in zip(paths, sizes):
-        if current and filled + size > target_bytes:
-            groups.append(current)
-            current, filled = [], 0
-        current.append(path)
-        filled += size
-    if current:
-        groups.append(current)
-    return groups
-
-
-class ExcelReader(DataSourceReader):
-    def __init__(self, schema: StructType, options: dict):
-        self.schema = schema
-        self.path = options.get("path")
-        self.header = _truthy(options.get("header"), True)
-        self.empty_as_null = _truthy(options.get("treatEmptyValuesAsNulls"), True)
-        self.task_bytes = int(options.get("maxPartitionBytes", TASK_BYTES))
-        self.slots = int(options.get("minPartitions", 1))
-
-    def partitions(self):
-        files = list_workbooks(self.path)
-        return [ExcelPartition(g) for g in pack_workbooks(files, self.task_bytes, self.slots)]
-
-    def read(self, partition):
-        """Rows of the task's workbooks, in Arrow record batches."""
-        for path in partition.paths:
-            yield from self._read_one(path)
-
-    def _read_one(self, path: str):
-        import pyarrow as pa
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        arrow_schema = to_arrow_schema(self.schema)
-        epoch = date_epoch(path)
-        convs = [_converter(f.dataType, self.empty_as_null, epoch) for f in self.schema.fields]
-        width = len(convs)
-        rows = iter_sheet_rows(path)
-        if self.header:
-            next(rows, None)
-        cols: list[list] = [[] for _ in range(width)]
-        filled = 0
-        for cells in rows:
-            get = cells.get
-            for i in range(width):
-                cols[i].append(convs[i](get(i)))
-            filled += 1
-            if filled == BATCH_ROWS:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=t.type) for c, t in zip(cols, arrow_schema)], schema=arrow_schema
-                )
-                cols, filled = [[] for _ in range(width)], 0
-        if filled:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t.type) for c, t in zip(cols, arrow_schema)], schema=arrow_schema
-            )
-
-
-class ExcelWriterCommit(WriterCommitMessage):
-    def __init__(self, files: list[str]):
-        self.files = files
-
-
-class _OpenWorkbook:
-    """A workbook being written to ``target``: a local file is written under
-    a temporary name and renamed when complete; a remote one is built in
-    memory (compressed, at most one sheet) and uploaded when complete."""
-
-    def __init__(self, target: str, header):
-        import io
-
-        self.target = target
-        if _is_local(target):
-            path = _strip_file(target)
-            os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-            self._tmp = f"{path}.tmp-{os.getpid()}"
-            self._file = open(self._tmp, "wb")
-        else:
-            self._tmp = None
-            self._file = io.BytesIO()
-        self.book = WorkbookStream(self._file, header)
-
-    def close(self) -> None:
-        self.book.close()
-        if self._tmp is not None:
-            self._file.close()
-            os.replace(self._tmp, _strip_file(self.target))
-        else:
-            _write_bytes(self.target, self._file.getvalue())
-
-
-class ExcelWriter(DataSourceWriter):
-    def __init__(self, schema: StructType, options: dict):
-        self.schema = schema
-        self.path = options.get("path").rstrip("/")
-        self.split_by = options.get("splitBy")
-        self.max_rows = int(options.get("maxRowsPerSheet", MAX_SHEET_ROWS - 1))
-
-    def write(self, iterator):
-        from pyspark import TaskContext
-
-        names = self.schema.fieldNames()
-        key_idx = names.index(self.split_by) if self.split_by else None
-        task_key = f"part-{TaskContext.get().partitionId():05d}"
-        open_books: dict[str, _OpenWorkbook] = {}
-        written: dict[str, int] = {}
-        files: list[str] = []
-
-        def finish(key: str) -> None:
-            book = open_books.pop(key)
-            book.close()
-            files.append(book.target)
-
-        for row in iterator:
-            key = task_key if key_idx is None else f"{self.split_by}={row[key_idx]}-{task_key}"
-            book = open_books.get(key)
-            if book is None:
-                seq = written.get(key, 0)
-                written[key] = seq + 1
-                name = f"{key}.xlsx" if seq == 0 else f"{key}-{seq}.xlsx"
-                book = open_books[key] = _OpenWorkbook(f"{self.path}/{name}", names)
-            book.book.add(tuple(row))
-            if book.book.rows - 1 >= self.max_rows:
-                finish(key)  # the sheet is full: the next row starts a new workbook
-        for key in list(open_books):
-            finish(key)
-        return ExcelWriterCommit(files)
-
-    def commit(self, messages):
-        _write_bytes(f"{self.path}/_SUCCESS", b"")
-
-
-class ExcelDataSource(DataSource):
-    """``format("excel")``: read (and, for fixtures, write) .xlsx workbooks."""
-
-    @classmethod
-    def name(cls):
-        return "excel"
-
-    def schema(self):
-        path = self.options.get("path")
-        files = list_workbooks(path) if path else []
-        if not files:
-            raise FileNotFoundError(f"no workbook found at {path!r}")
-        infer = _truthy(self.options.get("inferSchema"), False)
-        if not infer:
-            names = read_header(files[0])
-            return StructType([StructField(n, StringType(), True) for n in names])
-        rows = iter_sheet_rows(files[0])
-        try:
-            names = header_names(next(rows, {}))
-            sample = [r for _, r in zip(range(SAMPLE_ROWS), rows)]
-        finally:
-            rows.close()
-        return StructType(
-            [StructField(n, infer_type([r.get(i) for r in sample]), True) for i, n in enumerate(names)]
-        )
-
-    def reader(self, schema):
-        return ExcelReader(schema, self.options)
-
-    def writer(self, schema, overwrite):
-        return ExcelWriter(schema, self.options)
-
-
-def register_excel(spark) -> None:
-    """Register ``format("excel")`` and ship this package to the executors."""
-    from placeseek.session import ship_package
-
+def read_workbooks(spark: SparkSession, path: str, schema: StructType, empty_as_null: bool = False) -> DataFrame:
+    """The rows of all workbooks that ``path`` names (see ``workbook_files``)."""
     ship_package(spark)
-    spark.dataSource.register(ExcelDataSource)
-
-
-# ----------------------------------------------------------------- workbook bytes
-
-
-def _cell_ref(col: int, row: int) -> str:
-    letters = ""
-    col += 1
-    while col:
-        col, rem = divmod(col - 1, 26)
-        letters = chr(65 + rem) + letters
-    return f"{letters}{row}"
-
-
-_CONTENT_TYPES = (
-    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-    '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
-    '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
-    '<Default Extension="xml" ContentType="application/xml"/>'
-    '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
-    '<Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
-    '<Override PartName="/xl/sharedStrings.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sharedStrings+xml"/>'
-    "</Types>"
-)
-_PACKAGE_RELS = (
-    f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><Relationships xmlns="{_PKG_REL_NS}">'
-    '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/>'
-    "</Relationships>"
-)
-_WORKBOOK = (
-    f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><workbook xmlns="{_MAIN_NS}" '
-    f'xmlns:r="{_REL_NS}"><sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>'
-)
-_WORKBOOK_RELS = (
-    f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><Relationships xmlns="{_PKG_REL_NS}">'
-    '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/>'
-    '<Relationship Id="rId2" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/sharedStrings" Target="sharedStrings.xml"/>'
-    "</Relationships>"
-)
-# Rows of sheet XML gathered before one write into the compressed member.
-_WRITE_ROWS = 2048
-
-
-class WorkbookStream:
-    """Writes a one-sheet .xlsx row by row into ``fileobj``.
-
-    The sheet goes straight into its (compressed) zip member; only the
-    table of distinct strings stays in memory until ``close``.
-    """
-
-    def __init__(self, fileobj, header):
-        self._zip = zipfile.ZipFile(fileobj, "w", zipfile.ZIP_DEFLATED)
-        self._sheet = self._zip.open("xl/worksheets/sheet1.xml", "w", force_zip64=True)
-        self._strings: dict[str, int] = {}
-        self._pending: list[str] = [
-            f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><worksheet xmlns="{_MAIN_NS}"><sheetData>'
-        ]
-        self.rows = 0
-        self.add(header)
-
-    def _cell(self, ci: int, ri: int, v) -> str:
-        if v is None:
-            return ""
-        ref = _cell_ref(ci, ri)
-        if isinstance(v, bool):
-            return f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
-        if isinstance(v, (int, float)):
-            return f'<c r="{ref}"><v>{v}</v></c>'
-        index = self._strings.setdefault(str(v), len(self._strings))
-        return f'<c r="{ref}" t="s"><v>{index}</v></c>'
-
-    def add(self, values) -> None:
-        self.rows += 1
-        ri = self.rows
-        self._pending.append(f'<row r="{ri}">' + "".join(self._cell(ci, ri, v) for ci, v in enumerate(values)) + "</row>")
-        if len(self._pending) >= _WRITE_ROWS:
-            self._flush()
-
-    def _flush(self) -> None:
-        self._sheet.write("".join(self._pending).encode("utf-8"))
-        self._pending = []
-
-    def close(self) -> None:
-        self._pending.append("</sheetData></worksheet>")
-        self._flush()
-        self._sheet.close()
-        shared = (
-            f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-            f'<sst xmlns="{_MAIN_NS}" count="{len(self._strings)}" uniqueCount="{len(self._strings)}">'
-            + "".join(
-                f'<si><t xml:space="preserve">{escape(_encode_xstring(s))}</t></si>' for s in self._strings
-            )
-            + "</sst>"
-        )
-        for name, body in (
-            ("[Content_Types].xml", _CONTENT_TYPES),
-            ("_rels/.rels", _PACKAGE_RELS),
-            ("xl/workbook.xml", _WORKBOOK),
-            ("xl/_rels/workbook.xml.rels", _WORKBOOK_RELS),
-            ("xl/sharedStrings.xml", shared),
-        ):
-            self._zip.writestr(name, body)
-        self._zip.close()
-
-
-def workbook_bytes(header: list[str], rows: list[tuple]) -> bytes:
-    """A minimal one-sheet .xlsx (shared strings for text, numbers typed)."""
-    import io
-
-    buf = io.BytesIO()
-    book = WorkbookStream(buf, header)
-    for row in rows:
-        book.add(row)
-    book.close()
-    return buf.getvalue()
+    arrow = to_arrow_schema(schema)
+    converters = [_converter(f.dataType, empty_as_null) for f in schema.fields]
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(1):
+                rows = sheet_rows(content.as_py())
+                next(rows, None)  # the header
+                columns: list[list] = [[] for _ in converters]
+                for n, cells in enumerate(rows, 1):
+                    for i, (column, convert) in enumerate(zip(columns, converters)):
+                        column.append(convert(cells.get(i)))
+                    if n % BATCH_ROWS == 0:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+                        columns = [[] for _ in converters]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return workbook_files(spark, path).mapInArrow(step, schema)

@@ -1,17 +1,18 @@
-"""File listing (SRC5) and the per-file column audit (SRC6, PIPE7)."""
+"""File listing (SRC5), the per-file column audit (SRC6, PIPE7) and exact
+types of workbooks (SRC3)."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
-from pyspark.errors import AnalysisException
 
 from placeseek.session import ship_package
-from placeseek.sources.excel import header_names, iter_sheet_rows, read_header
+from placeseek.sources.excel import header_names, sheet_rows, workbook_files
 
 AUDIT_SCHEMA = "path string, file string, ordinal int, column string"
 TYPE_STATS_SCHEMA = "path string, ordinal int, name string, n_values long, n_numbers long, n_booleans long"
@@ -41,88 +42,94 @@ def list_files(spark: SparkSession, folder: str, suffix: str = ".xlsx") -> DataF
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("file"))
 
 
-def _audit_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        out = []
-        for path, file in zip(batch["path"], batch["file"]):
-            out.extend((path, file, i, name) for i, name in enumerate(read_header(path)))
-        yield pd.DataFrame(out, columns=["path", "file", "ordinal", "column"]).astype(
-            {"ordinal": "int32"}
-        )
-
-
 def column_audit(spark: SparkSession, folder: str, suffix: str = ".xlsx") -> DataFrame:
     """SRC6/PIPE7: for every workbook in ``folder``, its header names in order.
 
-    One distributed job: the listing is split over tasks and each task
-    opens only its own files and reads only their header row.  Comparing
-    the rows of two files shows columns that drifted.
+    One distributed job: Spark opens the files, and each task parses the
+    header row of its own.  Comparing the rows of two files shows columns that drifted.
     """
     ship_package(spark)
-    return list_files(spark, folder, suffix).mapInPandas(_audit_batches, AUDIT_SCHEMA)
+    file = F.element_at(F.split("path", "/"), -1)
+    files = workbook_files(spark, folder).where(file.endswith(suffix)).select("path", file.alias("file"), "content")
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, names, ordinals, columns = [], [], [], []
+            for path, name, content in zip(*(c.to_pylist() for c in batch.columns)):
+                rows = sheet_rows(content)
+                found = header_names(next(rows, {}))
+                rows.close()
+                paths += [path] * len(found)
+                names += [name] * len(found)
+                ordinals += range(len(found))
+                columns += found
+            kinds = pa.string(), pa.string(), pa.int32(), pa.string()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip((paths, names, ordinals, columns), kinds)], names=["path", "file", "ordinal", "column"]
+            )
+
+    return files.mapInArrow(step, AUDIT_SCHEMA)
 
 
-def _type_stats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per workbook and header column: how many cells hold a value, a number
-    and a boolean (the whole sheet is read, one row at a time)."""
+def _type_stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per workbook and column (those beyond the header too): how many cells hold
+    a value, a number and a boolean (the whole sheet is read, one row at a time)."""
     for batch in batches:
         out = []
-        for path in batch["path"]:
-            rows = iter_sheet_rows(path)
-            try:
-                names = header_names(next(rows, {}))
-                stats = [[0, 0, 0] for _ in names]
-                for cells in rows:
-                    for i, v in cells.items():
-                        if i >= len(stats) or v == "":
-                            continue
-                        st = stats[i]
-                        st[0] += 1
-                        if isinstance(v, bool):
-                            st[2] += 1
-                        elif isinstance(v, float):
-                            st[1] += 1
-            finally:
-                rows.close()
-            out.extend((path, i, names[i], *stats[i]) for i in range(len(names)))
-        yield pd.DataFrame(
-            out, columns=["path", "ordinal", "name", "n_values", "n_numbers", "n_booleans"]
-        ).astype({"ordinal": "int32"})
+        for path, content in zip(*(c.to_pylist() for c in batch.columns)):
+            rows = sheet_rows(content)
+            names = header_names(next(rows, {}))
+            stats = [[0, 0, 0] for _ in names]
+            for cells in rows:
+                for i, v in cells.items():
+                    if v == "":
+                        continue
+                    while i >= len(stats):
+                        names.append(f"_c{len(stats)}")
+                        stats.append([0, 0, 0])
+                    stats[i][0] += 1
+                    stats[i][1] += isinstance(v, float)
+                    stats[i][2] += isinstance(v, bool)
+            out += [(path, i, name, *s) for i, (name, s) in enumerate(zip(names, stats))]
+        columns = list(zip(*out)) or [[]] * 6
+        kinds = pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["path", "ordinal", "name", "n_values", "n_numbers", "n_booleans"]
+        )
 
 
-def infer_excel_schema(spark: SparkSession, pattern: str) -> StructType:
-    """Exact types for the workbooks matching ``pattern`` (a file, folder or
-    glob), from every cell of every workbook rather than a sample.
+def infer_excel_schema(spark: SparkSession, pattern: str, typed: bool = True) -> StructType:
+    """Names and exact types for the workbooks that ``pattern`` names, from every
+    cell of every workbook.
 
     One distributed pass: each task reads its own workbooks and returns a
-    few counts per column; the driver receives one row per column.  Names
-    come from the first workbook (by path), positions match as in reading.
-    A column is ``double`` when all its values are numbers, ``boolean``
-    when all are booleans, else ``string`` (also when it holds no value).
+    few counts per column; the driver receives one row per column position.  A position is
+    named by the first workbook (by path) that has it, so a column that only some workbooks
+    have is kept; a name used twice gets its position added.  It is ``double``
+    when all its values are numbers, ``boolean`` when all are booleans, else ``string``
+    (also when it holds no value, and with ``typed=False``).
     """
     ship_package(spark)
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.xlsx")
-        .load(pattern)
-        .select("path")
-    )
-    stats = files.mapInPandas(_type_stats, TYPE_STATS_SCHEMA)
-    per_column = stats.groupBy("ordinal").agg(
-        F.min_by("name", "path").alias("name"),
-        F.sum("n_values").alias("n_values"),
-        F.sum("n_numbers").alias("n_numbers"),
-        F.sum("n_booleans").alias("n_booleans"),
+    stats = workbook_files(spark, pattern).mapInArrow(_type_stats, TYPE_STATS_SCHEMA)
+    unnamed = F.col("name").rlike("^_c[0-9]+$")  # a header's name comes before none
+    columns = (
+        stats.groupBy("ordinal")
+        .agg(
+            F.min_by("name", F.struct(unnamed.alias("unnamed"), F.col("path"))).alias("name"),
+            F.sum("n_values").alias("n_values"),
+            F.sum("n_numbers").alias("n_numbers"),
+            F.sum("n_booleans").alias("n_booleans"),
+        )
+        .orderBy("ordinal")
+        .collect()
     )
-    first = stats.agg(F.min("path").alias("first"))
-    names_of_first = stats.join(first, stats["path"] == first["first"]).select("ordinal")
-    columns = per_column.join(names_of_first, "ordinal").orderBy("ordinal").collect()
-
-    def type_of(row):
-        if row.n_values and row.n_numbers == row.n_values:
-            return DoubleType()
-        if row.n_values and row.n_booleans == row.n_values:
-            return BooleanType()
-        return StringType()
-
-    return StructType([StructField(r.name, type_of(r), True) for r in columns])
+    fields: dict[str, StructField] = {}
+    for r in columns:
+        kind = StringType()
+        if typed and r.n_values and r.n_numbers == r.n_values:
+            kind = DoubleType()
+        elif typed and r.n_values and r.n_booleans == r.n_values:
+            kind = BooleanType()
+        name = r.name if r.name.lower() not in fields else f"{r.name}_c{r.ordinal}"
+        fields[name.lower()] = StructField(name, kind, True)
+    return StructType(list(fields.values()))

@@ -6,18 +6,16 @@ import zipfile
 
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from placeseek.fixtures import write_workbook, write_workbooks
 from placeseek.operators import rename_columns
 from placeseek.plans.files import read_excel
 from placeseek.sinks import append_to_index, json_lines
 from placeseek.sources import column_audit, list_files, read_csv_strings
-from placeseek.sources.excel import workbook_bytes
 
 SHEET_NS = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 
 
-def _write(path, header, rows):
-    with open(path, "wb") as f:
-        f.write(workbook_bytes(header, rows))
+_write = write_workbook
 
 
 def _sparse_workbook(path):
@@ -67,16 +65,14 @@ def test_excel_glob_union_and_audit(spark, tmp_dir):
                      ("two.xlsx", 0, "id"), ("two.xlsx", 1, "name")}
 
 
-def test_excel_writer_roundtrip(spark, tmp_dir):
-    from placeseek.sources import register_excel
-
-    register_excel(spark)
+def test_workbooks_append_and_split(spark, tmp_dir):
     df = spark.createDataFrame([(1, "x", 0), (2, "y", 1), (3, "z", 0)], "a int, b string, g int")
     target = os.path.join(tmp_dir, "out")
-    df.coalesce(1).write.format("excel").option("splitBy", "g").mode("append").save(target)
-    assert sorted(os.listdir(target)) == ["_SUCCESS", "g=0-part-00000.xlsx", "g=1-part-00000.xlsx"]
-    back = read_excel(spark, target, df.schema)
-    assert sorted(map(tuple, back.collect())) == [(1, "x", 0), (2, "y", 1), (3, "z", 0)]
+    for _ in range(2):
+        write_workbooks(df.coalesce(1), target, split_by="g")
+    names = sorted(f.rsplit("-", 2)[0] for f in os.listdir(target))
+    assert names == ["g=0-part-00000", "g=0-part-00000", "g=1-part-00000", "g=1-part-00000"]
+    assert sorted(map(tuple, read_excel(spark, target, df.schema).collect())) == sorted(2 * [(1, "x", 0), (2, "y", 1), (3, "z", 0)])
 
 
 def test_csv_empties_stay_null_na_stays_text(spark, tmp_dir):
@@ -127,67 +123,73 @@ def test_preview_collect_and_json_text(spark, tmp_dir):
     assert sorted(b["id"] for b in back) == list(range(100))
 
 
-def test_small_workbooks_share_tasks(spark, tmp_dir):
-    from placeseek.sources.excel import list_workbooks, pack_workbooks
-
-    for i in range(5):
-        _write(os.path.join(tmp_dir, f"w{i}.xlsx"), ["id"], [(i,), (i + 10,)])
-    files = list_workbooks(tmp_dir)
-    assert len(pack_workbooks(files, 10**9)) == 1
-    assert len(pack_workbooks(files, 1)) == 5
-    assert len(pack_workbooks(files, 10**9, slots=8)) == 1  # tiny files: the open cost floor
-    schema = StructType([StructField("id", IntegerType())])
-    one_task = read_excel(spark, tmp_dir, schema)
-    assert sorted(r.id for r in one_task.collect()) == [0, 1, 2, 3, 4, 10, 11, 12, 13, 14]
-    assert one_task.rdd.getNumPartitions() == 1
+def test_excel_numbers_and_booleans(spark, tmp_dir):
+    from pyspark.sql.types import BooleanType, DoubleType, LongType
 
+    path = os.path.join(tmp_dir, "d.xlsx")
+    _write(path, ["n", "flag", "x"], [(2**40, True, 1.5), (3, False, None), ("12", "true", "2.5"), ("x", "x", "x")])
+    schema = StructType([StructField("n", LongType()), StructField("flag", BooleanType()), StructField("x", DoubleType())])
+    rows = [tuple(r) for r in read_excel(spark, path, schema).collect()]
+    assert rows == [(2**40, True, 1.5), (3, False, None), (12, True, 2.5), (None, None, None)]
+    whole = StructType([StructField("n", IntegerType())])
+    assert [r.n for r in read_excel(spark, path, whole).collect()] == [None, 3, 12, None]
 
-def test_excel_dates_and_booleans(spark, tmp_dir):
-    import datetime
 
-    from pyspark.sql.types import BooleanType, DateType, DoubleType
+def test_workbook_names(spark, tmp_dir):
+    import pytest
+    from pyspark.errors import AnalysisException
 
-    path = os.path.join(tmp_dir, "d.xlsx")
-    # 45000 is 2023-03-15 in Excel's day count; booleans are typed cells
-    _write(path, ["day", "flag", "x"], [(45000, True, 1.5), (45001.5, False, None)])
-    schema = StructType(
-        [StructField("day", DateType()), StructField("flag", BooleanType()), StructField("x", DoubleType())]
-    )
-    rows = [tuple(r) for r in read_excel(spark, path, schema).collect()]
-    assert rows == [(datetime.date(2023, 3, 15), True, 1.5), (datetime.date(2023, 3, 16), False, None)]
+    schema = StructType([StructField("id", IntegerType())])
+    folder = os.path.join(tmp_dir, "with blank")
+    os.makedirs(os.path.join(folder, "below"))
+    for i, name in enumerate(["a b.xlsx", "cities[1].xlsx", "Up.XLSX", "below/deep.xlsx"]):
+        _write(os.path.join(folder, name), ["id"], [(i,)])
+    ids = lambda path, **k: sorted(r[0] for r in read_excel(spark, path, **k).collect())
+    assert ids(folder, schema=schema) == [0, 1, 2]
+    assert ids(folder, infer=True) == [0.0, 1.0, 2.0]
+    assert ids(f"{folder}/cities[1].xlsx", schema=schema) == [1]
+    assert ids(f"{folder}/*.XLSX", infer=True) == [2.0]
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_excel(spark, f"{folder}/missing.xlsx", schema)
+    empty = os.path.join(tmp_dir, "empty")
+    os.makedirs(empty)
+    assert read_excel(spark, empty, schema).count() == 0 and column_audit(spark, empty).count() == 0
+    with pytest.raises(ValueError, match="date"):
+        read_excel(spark, folder, StructType.fromDDL("d date"))
+
+
+def test_nothing_in_a_workbook_is_lost(spark, tmp_dir):
+    late = os.path.join(tmp_dir, "late")
+    os.makedirs(late)
+    _write(os.path.join(late, "a.xlsx"), ["v"], [(i,) for i in range(1100)] + [("word",)] * 50)
+    got = read_excel(spark, late, infer=True)
+    assert got.dtypes == [("v", "string")] and got.where("v = 'word'").count() == 50 and got.count() == 1150
+    drift = os.path.join(tmp_dir, "drift")
+    os.makedirs(drift)
+    _write(os.path.join(drift, "1.xlsx"), ["c"], [("x",), (None,)])
+    _write(os.path.join(drift, "2.xlsx"), ["d", "c"], [("y", 2, "beyond the header")])
+    got = read_excel(spark, drift, infer=True)
+    assert got.columns == ["c", "c_c1", "_c2"]
+    assert sorted(map(tuple, got.collect()), key=str) == [("", None, ""), ("x", None, ""), ("y", 2.0, "beyond the header")]
+    assert read_excel(spark, drift).dtypes == [("c", "string"), ("c_c1", "string"), ("_c2", "string")]
 
 
 def test_preview_then_append(spark, tmp_dir):
+    from placeseek.plans.files import index_search_documents
     from placeseek.sinks import preview_then_append
 
     df = spark.range(0, 50).selectExpr("id", "id * 2 AS v")
     target = os.path.join(tmp_dir, "idx")
-    rows = preview_then_append(df, target, "parquet", n=3, order_by=["id"])
-    assert [r.id for r in rows] == [0, 1, 2]
+    rows = preview_then_append(df, target, "parquet", n=3)
+    assert len({r.id for r in rows}) == 3 and all(r.v == 2 * r.id for r in rows)
     assert spark.read.parquet(target).count() == 50
     assert not df.is_cached
-
-
-def test_excel_1904_date_system(spark, tmp_dir):
-    import datetime
-
-    from pyspark.sql.types import DateType
-
-    path = os.path.join(tmp_dir, "d1904.xlsx")
-    sheet = (
-        f'<worksheet xmlns="{SHEET_NS}"><sheetData>'
-        '<row r="1"><c r="A1" t="inlineStr"><is><t>day</t></is></c></row>'
-        '<row r="2"><c r="A2"><v>0</v></c></row></sheetData></worksheet>'
-    )
-    workbook = (
-        f'<workbook xmlns="{SHEET_NS}"><workbookPr date1904="1"/><sheets>'
-        '<sheet name="S" sheetId="1"/></sheets></workbook>'
-    )
-    with zipfile.ZipFile(path, "w") as z:
-        z.writestr("xl/worksheets/sheet1.xml", sheet)
-        z.writestr("xl/workbook.xml", workbook)
-    rows = read_excel(spark, path, StructType([StructField("day", DateType())])).collect()
-    assert rows[0].day == datetime.date(1904, 1, 1)
+    # the search documents' preview shows distinct rows, the append keeps all
+    path = os.path.join(tmp_dir, "w.xlsx")
+    header = ["linha", "Municípios", "Tipo", "H", "CEP", "SKU País", "SKU Município"]
+    _write(path, header, [(1, "a", "t", "h", "c", "p", "m")] * 5 + [(2, "b", "t", "h", "c", "p", "m")])
+    shown = index_search_documents(spark, path, os.path.join(tmp_dir, "docs"), "json")
+    assert sorted(r.linha for r in shown) == [1, 2] and spark.read.json(os.path.join(tmp_dir, "docs")).count() == 6
 
 
 def test_exact_inference_sees_every_workbook(spark, tmp_dir):
@@ -200,19 +202,15 @@ def test_exact_inference_sees_every_workbook(spark, tmp_dir):
         ("x", "string"), ("y", "double"), ("z", "boolean")
     ]
     rows = sorted(read_excel(spark, tmp_dir, infer=True).collect(), key=lambda r: r.x)
-    # the all-empty row of b.xlsx has no cell at all: it is skipped
-    assert [tuple(r) for r in rows] == [("1", 2.5, True), ("2", 3.0, False), ("ten", 4.0, True)]
+    # the last row of b.xlsx has no value: it is still a row
+    assert [tuple(r) for r in rows] == [("", None, None), ("1", 2.5, True), ("2", 3.0, False), ("ten", 4.0, True)]
 
 
 def test_writer_rolls_over_full_sheets(spark, tmp_dir):
-    from placeseek.sources import register_excel
-
-    register_excel(spark)
     df = spark.range(0, 25).selectExpr("cast(id as int) AS id", "cast(id % 2 as string) AS g").coalesce(1)
     target = os.path.join(tmp_dir, "roll")
-    df.write.format("excel").option("maxRowsPerSheet", 10).mode("append").save(target)
-    names = sorted(os.listdir(target))
-    assert names == ["_SUCCESS", "part-00000-1.xlsx", "part-00000-2.xlsx", "part-00000.xlsx"]
+    write_workbooks(df, target, max_rows=10)
+    assert len(os.listdir(target)) == 3
     back = read_excel(spark, target, df.schema)
     assert sorted(r.id for r in back.collect()) == list(range(25))
 
