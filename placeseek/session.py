@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, checkpoint_dir: str | None = None) -> SparkSession:
     """A local session for tests and the bench (UI off, AQE on, UTC)."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -31,6 +31,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
     )
+    if checkpoint_dir:
+        builder = builder.config(CHECKPOINT_KEY, checkpoint_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

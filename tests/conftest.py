@@ -21,12 +21,10 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="placeseek-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None) and not session.sparkContext.getCheckpointDir():
-        # tests only: a checkpoint folder of our own when none is configured
-        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="placeseek-tests-"))
     yield session
     session.stop()
 

@@ -103,3 +103,20 @@ def test_salted_double_join_has_no_window(spark):
     assert "Window" not in plan and "_salt" in plan
     # keys 0..2 each have 333-334 rows: k * k rows per key, one row per unmatched key
     assert joined.count() == 334 * 334 + 333 * 333 * 2 + 97
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    import pytest
+
+    from placeseek import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(ValueError, match="share"):
+        session.checkpoint_root(Session)
