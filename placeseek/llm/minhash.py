@@ -16,10 +16,11 @@ of all components, so few points are ever drawn.
 1. Documents of equal multisets form a class; the smallest id stands for it.
 2. Components are banded.  Each member of a bucket is compared with the bucket's
    smallest id, and every such pair is verified on the whole texts.
-3. Buckets that still hold several components are compared as tiles of bounded size: a
-   row takes its best estimated partners of other components, which are verified in turn; each
-   round takes eight times as many, until no untried partner is left.  Rows of the smaller
-   component ask, so that a large group is not paired with itself.
+3. In buckets that still hold several components, the rows outside the largest one ask:
+   each takes its best estimated partners of other components, which are verified in turn; each
+   round takes eight times as many, until no untried partner is left.  Asking rows and all rows
+   of a bucket are dealt into chunks and meet as tiles of bounded size, so the work follows the
+   number of rows that ask, and a group that has become one component asks nothing.
 4. Linked classes form connected components.
 
 Defined results: null and empty texts are copies of one another and of nothing else;
@@ -173,39 +174,35 @@ def _verified(pairs: DataFrame, texts: DataFrame, at_least: float) -> DataFrame:
 
 
 def _best_partners(rows: DataFrame, most: int) -> DataFrame:
-    """Of each tile's rows the ``most`` partners a of other components with the best estimates,
-    smaller component asking; ``cut`` where a row had more."""
+    """Of each tile's asking rows the ``most`` partners of other components with the best
+    estimates, as a and b; ``cut`` where a row had more."""
     tiles = ["_key", "_i", "_j"]
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.select(*tiles, "_chunk", "_id", "_component", "_sig").repartition(partitions, *tiles).sortWithinPartitions(*tiles)
+    ordered = rows.select(*tiles, "_asks", "_id", "_component", "_sig").repartition(partitions, *tiles).sortWithinPartitions(*tiles)
     least = SIMILARITY - ESTIMATE_SLACK
 
-    def tile(chunk, ids, parts, sigs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        _, own, sizes = np.unique(parts, return_inverse=True, return_counts=True)
-        size = sizes[own]
-        same = np.zeros((len(ids), len(ids)), np.int16)
+    def tile(asks, ids, parts, sigs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        a, t = np.flatnonzero(asks), np.flatnonzero(~asks)
+        same = np.zeros((len(a), len(t)), np.int16)
         for c in range(sigs.shape[1]):
-            same += sigs[:, c, None] == sigs[None, :, c]
-        asks = (size[:, None] < size[None, :]) | ((size[:, None] == size[None, :]) & (ids[:, None] > ids[None, :]))
-        fit = asks & (parts[:, None] != parts[None, :]) & (same >= least * sigs.shape[1])
-        if (chunk != chunk[0]).any():
-            fit &= chunk[:, None] != chunk[None, :]
-        rank = np.where(fit, -same.astype(np.int32), 1)
+            same += sigs[a, c, None] == sigs[None, t, c]
+        fit = (parts[a, None] != parts[None, t]) & (same >= least * sigs.shape[1])
         n = fit.sum(axis=1)
-        order = np.argsort(rank, axis=1, kind="stable")[:, :most]
-        who = np.repeat(np.arange(len(ids)), np.minimum(n, most))
-        nth = np.arange(len(who)) - np.repeat(np.cumsum(np.minimum(n, most)) - np.minimum(n, most), np.minimum(n, most))
-        return ids[who], ids[order[who, nth]], (n > most)[who]
+        order = np.argsort(np.where(fit, -same, 1), axis=1, kind="stable")[:, :most]
+        taken = np.minimum(n, most)
+        who = np.repeat(np.arange(len(a)), taken)
+        nth = np.arange(len(who)) - np.repeat(np.cumsum(taken) - taken, taken)
+        return ids[a[who]], ids[t[order[who, nth]]], (n > most)[who]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in whole_runs(batches, 3):
             starts = run_starts(batch, 3)
-            chunk, ids, parts = (batch.column(i).to_numpy() for i in (3, 4, 5))
+            asks, ids, parts = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5))
             sigs = np.frombuffer(b"".join(batch.column(6).to_pylist()), "<u2").reshape(len(ids), -1)
             out = [
-                tile(chunk[a:b], ids[a:b], parts[a:b], sigs[a:b])
+                tile(asks[a:b], ids[a:b], parts[a:b], sigs[a:b])
                 for a, b in zip(starts.tolist(), np.append(starts[1:], len(ids)).tolist())
-                if (parts[a:b] != parts[a]).any()
+                if asks[a:b].any() and not asks[a:b].all()
             ]
             a, b, cut = (np.concatenate([o[i] for o in out]) if out else np.empty(0, k) for i, k in enumerate((np.int64, np.int64, bool)))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(cut)], names=["a", "b", "cut"])
@@ -240,16 +237,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = components(links)
     signatures = standing.select("_id", "_sig")
     most = FIRST_PARTNERS
-    larger = bucketed.where("_rows > 2").select("_id", "_key", "_rows")
+    larger = bucketed.where("_rows > 2").select("_id", "_key")
     while True:
         named = larger.join(groups.withColumnRenamed("id", "_id"), "_id", "left")
-        named = named.select("_id", "_key", "_rows", F.coalesce("component_id", "_id").alias("_component"))
-        parted = named.groupBy("_key").agg(F.min("_component").alias("_low"), F.max("_component").alias("_high")).where("_low < _high")
-        rows = named.join(parted.select("_key"), "_key").join(signatures, "_id")
-        chunks = F.ceil(F.col("_rows") / TILE_ROWS).cast("int")
-        rows = rows.withColumn("_chunk", F.pmod(F.xxhash64("_id"), chunks).cast("int"))
-        rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-        rows = rows.withColumn("_i", F.least("_chunk", "_other")).withColumn("_j", F.greatest("_chunk", "_other"))
+        named = named.select("_id", "_key", F.coalesce("component_id", "_id").alias("_component"))
+        parts = named.groupBy("_key", "_component").agg(F.count("_id").alias("_size"))
+        parts = parts.groupBy("_key").agg(
+            F.max(F.struct("_size", "_component")).alias("_main"), F.sum("_size").alias("_all"), F.count("_size").alias("_parts")
+        )
+        parted = parts.where("_parts > 1").select("_key", "_all", F.col("_main._component").alias("_most"), F.col("_main._size").alias("_size"))
+        rows = named.join(parted, "_key").join(signatures, "_id")
+        asks = F.col("_component") != F.col("_most")
+        across, down = F.ceil(F.col("_all") / TILE_ROWS).cast("int"), F.ceil((F.col("_all") - F.col("_size")) / TILE_ROWS).cast("int")
+        own = F.xxhash64("_id")
+        place = lambda i, j, a: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(a).alias("asks"))
+        answering = F.transform(F.sequence(F.lit(0), down - 1), lambda j: place(F.pmod(own, across), j, False))
+        asking = F.transform(F.sequence(F.lit(0), across - 1), lambda i: place(i, F.pmod(own, down), True))
+        rows = rows.withColumn("_at", F.explode(F.when(asks, F.concat(answering, asking)).otherwise(answering)))
+        rows = rows.select("*", F.col("_at.i").alias("_i"), F.col("_at.j").alias("_j"), F.col("_at.asks").alias("_asks"))
         found = stored(_best_partners(rows, most), "minhash-partners")
         new = found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         new = stored(new.join(tried, ["a", "b"], "left_anti"), "minhash-new")
