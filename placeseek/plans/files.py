@@ -12,7 +12,7 @@ from placeseek.operators.aggregate import distinct_rows, row_count
 from placeseek.operators.project import rename_columns
 from placeseek.plans.enrich import CITY_RENAMES, enrich_cities, enrich_cities_as_reference, prepare_cities, prepare_states
 from placeseek.plans.search import WORKBOOK_RENAMES, search_documents
-from placeseek.sinks.index import append_to_index, json_lines, preview_then_append
+from placeseek.sinks.index import json_lines, preview_then_append
 from placeseek.sources.excel import read_workbooks
 from placeseek.sources.files import infer_excel_schema
 from placeseek.sources.tables import read_csv_strings

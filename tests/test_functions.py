@@ -19,7 +19,7 @@ def one(spark, expr, rows, schema):
 
 
 def test_reference_soundex_words(spark):
-    # the reference's one test: five words and their codes
+    # The source application's one test, five words and their codes.
     words = ["Hello", "World", "OpenAI", "GPT", "Test"]
     got = one(spark, soundex_code("w"), [(w,) for w in words], "w string")
     assert got == ["H400", "W643", "O150", "G130", "T230"]

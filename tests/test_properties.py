@@ -2,7 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
 
 from placeseek.functions import near_any, soundex_code
 
