@@ -29,12 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placeseek.llm.common import map_arrow
-from placeseek.llm.labels import MAX_TRAINING_ROWS, training_rows
+from placeseek.llm.labels import training_rows
 from placeseek.session import ship_package
 
 WORD_BUCKETS = 1 << 13
-RANK = 6
-STEPS, RATE, DECAY = 150, 0.05, 1e-4
+RANK = 4
+STEPS, RATE, DECAY = 40, 0.1, 3e-3
+#: Of the labelled rows, at most (give or take the spread of a hash).
+TRAINING_ROWS = 6_000
 THRESHOLD = 0.3
 _MEMO_WORDS = 400_000
 _words = re.compile(r"\w+").findall
@@ -152,7 +154,7 @@ def _descend(y, flat, counts, stats, seed: int = 7):
 
 def fit(
     docs: DataFrame, labels: DataFrame, target: str = "quality", id_col: str = "doc_id", text_col: str = "text",
-    max_rows: int = MAX_TRAINING_ROWS,
+    max_rows: int = TRAINING_ROWS,
 ) -> QualityModel:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, int] = {}
