@@ -272,9 +272,11 @@ ORACLES["left_join_hot_key"] = (
 )
 _SYLLABLES = "(SELECT unnest(['the', 'an', 'er', 'ing', 'tion', 'ea', 'ou', 'st', 'nd', 'wh']) AS s)"
 _THOUSAND = f"SELECT a.s || b.s || c.s AS term FROM {_SYLLABLES} a, {_SYLLABLES} b, {_SYLLABLES} c"
+# distinct words in one-byte form first, and a length test before the distance
 ORACLES["fuzzy_thousand_terms"] = (
-    f"WITH w AS ({_words('doc_id')}), found AS (SELECT DISTINCT d.palavras FROM (SELECT DISTINCT palavras FROM w) d "
-    f"JOIN ({_THOUSAND}) t ON {sql_distance_below('d.palavras', 't.term')}) "
+    f"WITH w AS ({_words('doc_id')}), d AS (SELECT palavras, {_one_byte('palavras')} AS b FROM (SELECT DISTINCT palavras FROM w)), "
+    f"found AS (SELECT DISTINCT d.palavras FROM d JOIN ({_THOUSAND}) t "
+    "ON abs(length(d.b) - length(t.term)) < 3 AND levenshtein(d.b, t.term) < 3) "
     "SELECT w.doc_id, w.palavras FROM w JOIN found USING (palavras)"
 )
 ORACLES["fuzzy_search_table"] = (
