@@ -18,7 +18,7 @@ of all components, so few points are ever drawn.
    smallest id, and every such pair is verified on the whole texts.
 3. In buckets that still hold several components, the rows outside the largest one ask:
    each takes its best estimated partners of other components, which are verified in turn; each
-   round takes eight times as many, until no untried partner is left.  Asking rows and all rows
+   round takes 32 times as many, until no untried partner is left.  Asking rows and all rows
    of a bucket are dealt into chunks and meet as tiles of bounded size, so the work follows the
    number of rows that ask, and a group that has become one component asks nothing.
 4. Linked classes form connected components.
@@ -50,7 +50,7 @@ BANDS, ROWS = 25, 5
 ESTIMATE_SLACK = 2 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / (BANDS * ROWS))
 TILE_ROWS = 1024
 PAIRS_PER_CHUNK = 512
-FIRST_PARTNERS = 8
+FIRST_PARTNERS = 32
 _ROWS_AT_ONCE = 256
 # Odd constants that part the random streams.
 _STEP, _OTHER, _BLOCK = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -148,8 +148,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, at_least: float) -> DataFrame:
     per = pairs.groupBy("b").agg(F.ceil(F.count("a") / PAIRS_PER_CHUNK).cast("int").alias("_chunks"))
     dealt = pairs.join(per, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("_chunks")).cast("int").alias("_chunk"))
     dealt = stored(dealt, "minhash-pairs")
-    heads = dealt.select("b", "_chunk").distinct().join(texts, F.col("b") == F.col("_id"))
-    partners = dealt.join(texts, F.col("a") == F.col("_id"))
+    heads = dealt.select("b", "_chunk").distinct().join(texts.hint("merge"), F.col("b") == F.col("_id"))
+    partners = dealt.join(texts.hint("merge"), F.col("a") == F.col("_id"))
     rows = heads.select("b", "_chunk", F.lit(None).cast("long").alias("a"), "_text").union(partners.select("b", "_chunk", "a", "_text"))
     partitions = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(partitions, "b", "_chunk").sortWithinPartitions("b", "_chunk", F.col("a").asc_nulls_first())
@@ -175,18 +175,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, at_least: float) -> DataFrame:
 
 def _best_partners(rows: DataFrame, most: int) -> DataFrame:
     """Of each tile's asking rows the ``most`` partners of other components with the best
-    estimates, as a and b; ``cut`` where a row had more."""
+    estimates, as a and b; ``cut`` where a row had more.  A pair that an earlier band brings
+    together is left to it."""
     tiles = ["_key", "_i", "_j"]
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.select(*tiles, "_asks", "_id", "_component", "_sig").repartition(partitions, *tiles).sortWithinPartitions(*tiles)
+    ordered = rows.select(*tiles, "_asks", "_id", "_component", "_sig", "_band").repartition(partitions, *tiles).sortWithinPartitions(*tiles)
     least = SIMILARITY - ESTIMATE_SLACK
 
-    def tile(asks, ids, parts, sigs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def tile(asks, ids, parts, sigs, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         a, t = np.flatnonzero(asks), np.flatnonzero(~asks)
-        same = np.zeros((len(a), len(t)), np.int16)
-        for c in range(sigs.shape[1]):
-            same += sigs[a, c, None] == sigs[None, t, c]
-        fit = (parts[a, None] != parts[None, t]) & (same >= least * sigs.shape[1])
+        same, before = np.zeros((len(a), len(t)), np.int16), np.zeros((len(a), len(t)), bool)
+        for b in range(BANDS):
+            all_equal = np.ones_like(before)
+            for c in range(b * ROWS, (b + 1) * ROWS):
+                equal = sigs[a, c, None] == sigs[None, t, c]
+                same += equal
+                all_equal &= equal
+            if b < band:
+                before |= all_equal
+        fit = ~before & (parts[a, None] != parts[None, t]) & (same >= least * sigs.shape[1])
         n = fit.sum(axis=1)
         order = np.argsort(np.where(fit, -same, 1), axis=1, kind="stable")[:, :most]
         taken = np.minimum(n, most)
@@ -199,8 +206,9 @@ def _best_partners(rows: DataFrame, most: int) -> DataFrame:
             starts = run_starts(batch, 3)
             asks, ids, parts = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5))
             sigs = np.frombuffer(b"".join(batch.column(6).to_pylist()), "<u2").reshape(len(ids), -1)
+            band = batch.column(7).to_numpy()
             out = [
-                tile(asks[a:b], ids[a:b], parts[a:b], sigs[a:b])
+                tile(asks[a:b], ids[a:b], parts[a:b], sigs[a:b], int(band[a]))
                 for a, b in zip(starts.tolist(), np.append(starts[1:], len(ids)).tolist())
                 if asks[a:b].any() and not asks[a:b].all()
             ]
@@ -221,13 +229,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = members.where("_id = class_id").select("_id")
     standing = scan.where("_n > 0").join(reps, "_id", "left_semi")
 
-    banded = standing.select("_id", F.explode("_keys").alias("_key"))
+    banded = standing.select("_id", F.posexplode("_keys").alias("_band", "_key"))
     buckets = banded.groupBy("_key").agg(F.min("_id").alias("_leader"), F.max("_id").alias("_last"), F.count("_id").alias("_rows"))
     buckets = buckets.where(F.col("_leader") < F.col("_last")).drop("_last")
     bucketed = stored(banded.join(buckets, "_key"), "minhash-buckets")
     wanted = bucketed.select("_id").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    texts = stored(texts.join(wanted, "_id", "left_semi"), "minhash-texts")
+    texts = stored(texts.join(wanted.hint("merge"), "_id", "left_semi"), "minhash-texts")
 
     tried = bucketed.where("_id > _leader").select(F.col("_id").alias("a"), F.col("_leader").alias("b")).distinct()
     tried = stored(tried, "minhash-tried")
@@ -237,16 +245,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = components(links)
     signatures = standing.select("_id", "_sig")
     most = FIRST_PARTNERS
-    larger = bucketed.where("_rows > 2").select("_id", "_key")
+    larger = bucketed.where("_rows > 2").select("_id", "_key", "_band")
     while True:
         named = larger.join(groups.withColumnRenamed("id", "_id"), "_id", "left")
-        named = named.select("_id", "_key", F.coalesce("component_id", "_id").alias("_component"))
+        named = named.select("_id", "_key", "_band", F.coalesce("component_id", "_id").alias("_component"))
         parts = named.groupBy("_key", "_component").agg(F.count("_id").alias("_size"))
         parts = parts.groupBy("_key").agg(
             F.max(F.struct("_size", "_component")).alias("_main"), F.sum("_size").alias("_all"), F.count("_size").alias("_parts")
         )
         parted = parts.where("_parts > 1").select("_key", "_all", F.col("_main._component").alias("_most"), F.col("_main._size").alias("_size"))
-        rows = named.join(parted, "_key").join(signatures, "_id")
+        rows = named.join(parted, "_key").join(signatures.hint("merge"), "_id")
         asks = F.col("_component") != F.col("_most")
         across, down = F.ceil(F.col("_all") / TILE_ROWS).cast("int"), F.ceil((F.col("_all") - F.col("_size")) / TILE_ROWS).cast("int")
         own = F.xxhash64("_id")
@@ -265,7 +273,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             links = stored(links.union(_verified(new, texts, at_least)), "minhash-links")
             tried = tried.union(new)
             groups = components(links)
-        most *= 8
+        most *= 32
     whole = members.join(groups, F.col("class_id") == F.col("id"), "left")
     return (
         whole.groupBy(F.col("_id").alias("doc_id"))
