@@ -8,10 +8,13 @@ cut into substrings, and each substring is the key of one Hamming table.  Two
 vectors that share the substring of any table are compared by their original
 vectors in double precision.
 
-The substring length follows from the number of vectors (buckets stay small),
-and the number of tables from that length: a pair at the threshold angle shares
-a given substring with probability (1 - angle / pi) ** bits, and there are
-enough tables for ``TARGET_RECALL`` of such pairs; closer pairs are missed less.
+The substring length and the number of tables follow from the number of vectors
+and from pairs made at the threshold cosine itself: sample vectors turned towards
+other sample vectors, and in random directions.  As codes are taken about the
+centre, where vectors with a common direction are further apart than about the
+origin, the share of such pairs that agree in a substring is measured, not taken
+from the angle.  The length is that of the least work, and tables are added until
+``TARGET_RECALL`` of the pairs of either kind meet; closer pairs are missed less.
 
 Equal vectors are one class with a weight, so copies are never paired.  A bucket
 of more than ``TILE_ROWS`` vectors is dealt into chunks and compared as tiles of
@@ -44,15 +47,70 @@ from placeseek.llm.vectors import by_id
 SAMPLE_ROWS = 20_000
 TURNS = 30
 TARGET_RECALL = 0.98
+#: Substrings are keys of 16 bits at most.
+MOST_BITS = 16
+#: A row of a table costs as much as this many comparisons of two vectors.
+ROW_COST = 256
+#: Pairs of each kind that the plan is measured on, and rotations its first estimate takes.
+PLAN_PAIRS, PLAN_ROTATIONS = 4000, 4
 TILE_ROWS = 1024
 _ROWS_AT_ONCE = 4096
 
 
-def plan_tables(n: int, threshold: float) -> tuple[int, int]:
-    """Bits of a substring, and number of tables, for ``n`` vectors."""
-    bits = min(max(round(math.log2(max(n, 2))) - 4, 6), 16)
-    hit = (1 - math.acos(threshold) / math.pi) ** bits
-    return bits, math.ceil(math.log(1 - TARGET_RECALL) / math.log(1 - hit))
+def plan_tables(n: int, threshold: float, measured: dict[int, tuple[float, float]] | None = None) -> tuple[int, int]:
+    """Bits of a substring, and number of tables, of the least work for ``n`` vectors.
+
+    ``measured`` holds by bits the share of pairs at the threshold that agree in a
+    substring, and the share of any two vectors that do; without it, those of vectors
+    spread evenly about the centre."""
+    if measured is None:
+        agree = 1 - math.acos(threshold) / math.pi
+        measured = {b: (agree**b, 0.5**b) for b in range(1, MOST_BITS + 1)}
+    plans = []
+    for bits, (hit, crowd) in measured.items():
+        if hit > 0:
+            tables = max(math.ceil(math.log(1 - TARGET_RECALL) / math.log1p(-min(hit, 1 - 1e-9))), 1)
+            plans.append((tables * (ROW_COST + n * crowd / 2), bits, tables))
+    return min(plans)[1:]
+
+
+def threshold_pairs(sample: np.ndarray, threshold: float) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Sample vectors, and for each two vectors at the threshold cosine: turned
+    towards another sample vector, and in a random direction."""
+    rng = np.random.default_rng(0)
+    x = sample[rng.integers(0, len(sample), PLAN_PAIRS)]
+    random = rng.normal(size=x.shape)
+    out = []
+    for towards in (sample[rng.integers(0, len(sample), PLAN_PAIRS)], random):
+        side = towards - (towards * x).sum(1, keepdims=True) * x
+        length = np.linalg.norm(side, axis=1, keepdims=True)
+        other = random - (random * x).sum(1, keepdims=True) * x
+        side = np.where(length > 1e-6, side, other)  # the same direction: turned at random
+        side /= np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-12)
+        out.append(threshold * x + math.sqrt(1 - threshold * threshold) * side)
+    return x, out
+
+
+def measured_plan(sample: np.ndarray, n: int, threshold: float) -> tuple[int, int, list[tuple[np.ndarray, np.ndarray]]]:
+    """Bits, number of tables and the rotations, with which ``TARGET_RECALL`` of the
+    sample's ``threshold_pairs`` of either kind share a substring."""
+    dims = sample.shape[1]
+    x, near = threshold_pairs(sample, threshold)
+    rotations = [learn_rotation(sample, seed) for seed in range(PLAN_ROTATIONS)]
+    measured = {}
+    for bits in range(1, min(MOST_BITS, dims) + 1):
+        every = dims // bits * len(rotations)
+        own = substrings(x, rotations, bits, every)
+        hit = min(float((own == substrings(other, rotations, bits, every)).mean()) for other in near)
+        crowds = [np.bincount(column, minlength=1 << bits) for column in own.T]
+        measured[bits] = hit, float(np.mean([(c / len(x)) @ (c / len(x)) for c in crowds]))
+    bits, tables = plan_tables(n, threshold, measured)
+    while True:
+        rotations += [learn_rotation(sample, seed) for seed in range(len(rotations), -(-tables // (dims // bits)))]
+        own = substrings(x, rotations, bits, tables)
+        if all((own == substrings(other, rotations, bits, tables)).any(axis=1).mean() >= TARGET_RECALL for other in near):
+            return bits, tables, rotations[: -(-tables // (dims // bits))]
+        tables += max(tables // 8, 1)
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -152,14 +210,11 @@ def similarity_links(vectors: DataFrame, threshold: float = 0.9, id_col: str = "
 def _links_of_size(classes: DataFrame, dims: int, n: int, threshold: float) -> DataFrame:
     """``_id``, ``_n``, null for counts and ``_id``, 0, ``_to`` for links, of vectors of one length."""
     spark = classes.sparkSession
-    bits, tables = plan_tables(n, threshold)
     buckets = 1_000_003
     sample = classes.where(F.pmod(F.xxhash64("_rep"), F.lit(buckets)) < math.ceil(buckets * min(1.0, SAMPLE_ROWS / n)))
     rows = sample.orderBy("_rep").select("_vector").toArrow()["_vector"].combine_chunks()
     x = unit(rows.flatten().to_numpy().reshape(-1, dims)) if len(rows) else np.eye(dims)
-    bits = min(bits, dims)
-    per_rotation = dims // bits
-    rotations = [learn_rotation(x, seed) for seed in range(-(-tables // per_rotation))]
+    bits, tables, rotations = measured_plan(x, n, threshold)
     shared = spark.sparkContext.broadcast(rotations)  # a few dims x dims matrices
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

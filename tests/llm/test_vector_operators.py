@@ -76,6 +76,24 @@ def test_recall_plan_holds_at_the_threshold():
     assert hit.mean() > 0.95
 
 
+@pytest.mark.parametrize("mean_cosine", [0.0, 0.4, 0.7])
+def test_links_near_the_threshold_of_vectors_with_a_common_direction(spark, mean_cosine):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1200, 64))
+    x = np.sqrt(1 - mean_cosine) * x / np.linalg.norm(x, axis=1)[:, None]
+    x[:, 0] += np.sqrt(mean_cosine)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    other = np.where(np.arange(1200)[:, None] % 2, np.roll(x, 1, axis=0), rng.normal(size=x.shape))
+    other -= (other * x).sum(1)[:, None] * x
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    x = np.concatenate((x, 0.902 * x + np.sqrt(1 - 0.902**2) * other))
+    n, _ = brute_links(np.arange(len(x)), x)
+    schema = SCHEMA.replace("float", "double")
+    got = itq.similarity_links(frame(spark, list(enumerate(x.tolist())), schema)).orderBy("vec_id").collect()
+    found = np.array([r["n_links"] for r in got])
+    assert (found <= n).all() and found.sum() >= 0.96 * n.sum()
+
+
 def test_op4_on_whole_table(spark):
     rows = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").orderBy("vec_id").collect()
     n, component = brute_links(np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], np.float64))
