@@ -46,8 +46,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: 25 bands of 5 components miss one pair in 20,000 at similarity 0.8.
 BANDS, ROWS = 25, 5
-#: Estimates this far below the similarity (two standard errors) are verified too.
-ESTIMATE_SLACK = 2 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / (BANDS * ROWS))
+#: Estimates this far below the similarity (five standard errors) are verified too: so few
+#: pairs at 0.8 are estimated lower that the bands miss more.
+ESTIMATE_SLACK = 5 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / (BANDS * ROWS))
 TILE_ROWS = 1024
 PAIRS_PER_CHUNK = 512
 FIRST_PARTNERS = 32

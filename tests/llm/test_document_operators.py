@@ -106,6 +106,38 @@ def test_near_duplicate_groups(spark, monkeypatch):
     assert all(r["kept"] == (i == want[i]) for i, r in got.items())
 
 
+def test_a_link_of_a_low_estimate_that_no_leader_shows(spark):
+    def values(words):
+        return minhash.signature(*minhash.weighted(minhash.shingles(" ".join(words), {}))).reshape(minhash.BANDS, minhash.ROWS)
+
+    def link_of_low_estimate(rnd):
+        """Two texts whose similarity is 0.802 and whose estimate is under 92 of 125."""
+        while True:
+            one = prose(rnd, 95, 10**6)
+            other = list(one)
+            other[30], other[60] = "x30", "x60"
+            u, v = values(one), values(other)
+            if (u == v).sum() < 92 and (u == v).all(axis=1).any():
+                return one, other, u, np.flatnonzero((u == v).all(axis=1)).tolist()
+
+    rnd = random.Random(5)
+    texts, leaders = {}, 0
+    for pair in range(3):
+        one, other, u, bands = link_of_low_estimate(rnd)
+        while bands:  # each common bucket gets a smaller id that is like neither
+            leader = list(one)
+            leader[30], leader[60], leader[rnd.choice([*range(5, 25), *range(36, 55), *range(66, 88)])] = (f"l{rnd.random()}" for _ in range(3))
+            reached = (values(leader) == u).all(axis=1)
+            if any(reached[b] for b in bands):
+                texts[leaders] = " ".join(leader)
+                leaders, bands = leaders + 1, [b for b in bands if not reached[b]]
+        texts[1000 + 2 * pair], texts[1001 + 2 * pair] = " ".join(one), " ".join(other)
+    want = brute_components(texts)
+    assert all(want[1001 + 2 * pair] == 1000 + 2 * pair for pair in range(3))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(frame(spark, list(texts.items()))).collect()}
+    assert got == want
+
+
 def test_near_duplicates_repeated_and_null_ids(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "g h i j k l"), (2, "a b c d e f"), (3, "g h i j k l"), (None, "a b c d e f"), (4, "z")]
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(frame(spark, rows)).collect()}
