@@ -243,6 +243,22 @@ def test_quality_of_held_out_rows(spark):
     assert np.mean([r["predicted"] == y for r, y in rows]) > 0.93
 
 
+def test_quality_is_fitted_on_all_of_ten_thousand_labelled_rows(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def descend(y, *rest):
+        raise Seen(len(y))
+
+    monkeypatch.setattr(quality, "_descend", descend)
+    docs = spark.range(10_000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    known = labels.where(~queries.held_out(F.col("doc_id"))).count()
+    with pytest.raises(Seen) as seen:
+        quality.fit(docs, labels)
+    assert seen.value.args[0] == known
+
+
 def test_offending_sentences_are_located(spark):
     rnd = random.Random(1)
     rows, labels = [], []
