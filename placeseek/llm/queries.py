@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeseek.llm import bpe, chat, itq, minhash, packing, quality, substrings, topk, toxicity, wordpiece
+from placeseek.llm import bpe, chat, itq, minhash, packing, quality, secrets, substrings, topk, toxicity, wordpiece
 from placeseek.llm.common import table
 from placeseek.llm.labels import held_out
 
@@ -103,6 +103,19 @@ def op10_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_combined_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secrets.BASE_RULES]
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(text(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        text(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_bag_minhash_near_duplicates": op1_bag_minhash_near_duplicates,
@@ -115,8 +128,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_tree_dedup": op8_suffix_tree_dedup,
     "op9_longest_match_counts": op9_longest_match_counts,
     "op10_concatenate_and_cut": op10_concatenate_and_cut,
+    "op11_combined_automaton": op11_combined_automaton,
 }
 
+
+def _spans_sql(nr: int, rule: secrets.Rule) -> str:
+    """Spans of one rule: its matches are put between two control characters (which
+    a text's own are changed to another for), and the pieces' lengths give the places."""
+    pattern = f"{rule.head}({rule.tail}+)" if rule.tail else f"({rule.head})"
+    pattern = pattern.replace("'", "''")
+    plain = "translate(coalesce(text, ''), chr(1) || chr(2) || 'ſ\u212a', chr(3) || chr(3) || chr(3) || chr(3))"
+    tail = f"regexp_extract(match, '^(?:{rule.head.replace(chr(39), chr(39) * 2)})({rule.tail}+)$', 1)"
+    return f"""
+  SELECT row_id, {nr} AS nr, '{rule.kind}' AS kind, start, start + length(match) AS stop FROM (
+    SELECT row_id, split_part(piece, chr(2), 1) AS match,
+      CAST(sum(length(piece) - CASE WHEN i > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY row_id ORDER BY i)
+        - length(piece) + CASE WHEN i > 1 THEN 1 ELSE 0 END AS BIGINT) AS start, i
+    FROM (SELECT row_id, unnest(pieces) AS piece, unnest(range(1, len(pieces) + 1)) AS i FROM (
+      SELECT row_id, string_split(regexp_replace({plain}, '({pattern})', chr(1) || '\\1' || chr(2), 'g'), chr(1)) AS pieces FROM d))
+  ) WHERE i > 1""" + (f" AND length({tail}) >= {rule.least}" if rule.tail else "")
+
 ORACLES: dict[str, str] = {
     "op3_chat_round_trip": r"""
 WITH source AS (
@@ -151,5 +182,19 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """,
 }
+_RULES = (*secrets.BASE_RULES, *secrets.MORE_RULES)
+_BASE = ", ".join(f"'{r.kind}'" for r in secrets.BASE_RULES)
+ORACLES["op11_combined_automaton"] = f"""
+WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, text FROM documents), spans AS ({" UNION ALL ".join(_spans_sql(i, r) for i, r in enumerate(_RULES))}
+), per AS (
+  SELECT row_id, {", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE_RULES)},
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, nr) FILTER (kind IN ({_BASE})) AS base,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, nr) AS spans
+  FROM spans GROUP BY row_id
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.BASE_RULES)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per USING (row_id)
+"""
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
