@@ -11,8 +11,8 @@ from placeseek.llm.secrets import BASE_RULES, LANE, MORE_RULES, Rule, Scanner, _
 
 PARTS = (
     "password PassWd secret token toKen api_key apikey = : \" ' AKIA A1B2C3D4E5F6G7H8 0123456789abcdef deadbeef abc é ſ K x word K9 "
-    ".... AKIAKIA eyJab .cd -----BEGIN PRIVATE KEY----- ghp_"
-).split() + [" ", "   " * 250, "\n", "a" * 30, "a1" * 400, "Zz9" * 14, "\x01", "\x00"]
+    ".... AKIAKIA eyJab .cd ghp_"
+).split() + ["-----BEGIN PRIVATE KEY-----", " ", "   " * 250, "\n", "a" * 30, "a1" * 400, "Zz9" * 14, "\x01", "\x00"]
 
 
 def _plain(rule):
