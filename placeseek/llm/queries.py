@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeseek.llm import bpe, chat, itq, minhash, packing, quality, secrets, substrings, topk, toxicity, wordpiece
+from placeseek.llm import bpe, chat, itq, minhash, packing, quality, repair, secrets, substrings, topk, toxicity, wordpiece
 from placeseek.llm.common import table
 from placeseek.llm.labels import held_out
 
@@ -116,6 +116,11 @@ def op11_combined_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_suffix_automaton_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair.repair_report(rows, repair.damaged(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_bag_minhash_near_duplicates": op1_bag_minhash_near_duplicates,
@@ -129,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_longest_match_counts": op9_longest_match_counts,
     "op10_concatenate_and_cut": op10_concatenate_and_cut,
     "op11_combined_automaton": op11_combined_automaton,
+    "op12_suffix_automaton_repair": op12_suffix_automaton_repair,
 }
 
 
@@ -196,5 +202,73 @@ SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secr
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN per USING (row_id)
 """
+
+def _repair_sql() -> str:
+    """Conversations read from their ends: ``best`` holds (cost, audit) per grammar state; a row's own
+    edits come first, then insertions before it.  ``walk`` applies the audits."""
+    needed = {"b0": "b2", "b1": "b2", "b2": "b3", "b3": "b2"}
+    keep = {"b0": [("s", "b1"), ("u", "b2")], "b1": [("u", "b2")], "b2": [("a", "b3")], "b3": [("u", "b2")]}
+    then = lambda cost, edit, b: f"{{'c': {cost} + {b}.c, 'a': '{edit}' || {b}.a}}"
+    own, before = [], []
+    for b, to in needed.items():
+        ways = [then("4", "D", f"p.{b}"), f"CASE WHEN gone THEN NULL ELSE {then('3 + extra', 'R', f'p.{to}')} END"]
+        ways += [f"CASE WHEN gone OR initial <> '{i}' THEN NULL ELSE {then('extra', 'K', f'p.{t}')} END" for i, t in keep[b]]
+        own.append(f"list_min(list_filter([{', '.join(ways)}], lambda x: x IS NOT NULL)) AS {b}")
+        before.append(f"list_min([{b}, {then('3', 'I', to)}, {then('6', 'II', needed[to])}]) AS {b}")
+    next_state = "CASE WHEN state = 2 THEN 3 ELSE 2 END"
+    next_role = "CASE WHEN state = 2 THEN 'assistant' ELSE 'user' END"
+    return f"""
+WITH RECURSIVE named AS (
+  SELECT coalesce(CAST(conv_id AS VARCHAR), ' ') AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations
+), dealt AS (
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(name, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+      lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 AS lot FROM named
+), damaged AS (
+  SELECT conv, turn, CASE WHEN lot = 4 THEN 'user' ELSE role END AS role,
+    CASE lot WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM dealt, range(2) copies(i) WHERE lot <> 0 AND (i = 0 OR lot = 3)
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text)) AS n FROM damaged
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv, role, text ORDER BY n) > 1 AS seen,
+    NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank, substr(role, 1, 1) AS initial,
+    CASE WHEN regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 0 ELSE 3 END AS extra
+  FROM numbered
+), faults AS (
+  SELECT *, blank OR seen AS gone, lag(initial) OVER (PARTITION BY conv ORDER BY n) || initial AS pair FROM placed
+), counts AS (
+  SELECT conv, count(*) AS total, count(*) FILTER (blank) AS blank, count(*) FILTER (seen AND NOT blank) AS duplicate,
+    count(*) FILTER (extra > 0 AND NOT gone) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+  FROM faults GROUP BY conv
+), best AS (
+  SELECT conv, total + 1 AS n, {{'c': 0, 'a': ''}} AS b0, {{'c': 6, 'a': 'II'}} AS b1, {{'c': 3, 'a': 'I'}} AS b2, {{'c': 0, 'a': ''}} AS b3
+  FROM counts
+  UNION ALL
+  SELECT conv, n, {", ".join(before)}
+  FROM (SELECT p.conv, r.n, {", ".join(own)} FROM best p JOIN faults r ON r.conv = p.conv AND r.n = p.n - 1)
+), audits AS (
+  SELECT conv, b0.c AS cost, b0.a AS audit FROM best WHERE n = 1
+), walk AS (
+  SELECT conv, 0 AS i, CAST(1 AS BIGINT) AS n, 0 AS state, CAST(NULL AS VARCHAR) AS line FROM audits
+  UNION ALL
+  SELECT w.conv, i + 1, w.n + CASE WHEN edit = 'I' THEN 0 ELSE 1 END,
+    CASE WHEN edit = 'D' THEN state WHEN edit <> 'K' THEN {next_state} ELSE CASE initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END END,
+    CASE edit WHEN 'I' THEN {next_role} || ':' WHEN 'R' THEN {next_role} || ':' || text WHEN 'K' THEN role || ':' || text END
+  FROM (SELECT k.*, substr(audit, i + 1, 1) AS edit FROM walk k JOIN audits USING (conv) WHERE i < length(audit)) w
+  LEFT JOIN faults f ON f.conv = w.conv AND f.n = w.n
+), repaired AS (
+  SELECT conv, sha256(string_agg(line, chr(10) ORDER BY i)) AS sha FROM walk WHERE line IS NOT NULL GROUP BY conv
+)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, {", ".join(f"coalesce({c}, 0) AS {c}" for c in ("blank", "duplicate", "truncated", "illegal"))},
+  CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(CAST(conv_id AS VARCHAR), ' ') AS conv FROM conversations)
+LEFT JOIN counts USING (conv) LEFT JOIN audits USING (conv) LEFT JOIN repaired USING (conv)
+"""
+
+
+ORACLES["op12_suffix_automaton_repair"] = _repair_sql()
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
