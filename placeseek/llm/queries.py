@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeseek.llm import bpe, chat, itq, minhash, packing, quality, repair, secrets, substrings, topk, toxicity, wordpiece
+from placeseek.llm import bpe, chat, collocations, itq, minhash, packing, quality, repair, secrets, substrings, topk, toxicity, wordpiece
 from placeseek.llm.common import table
 from placeseek.llm.labels import held_out
 
@@ -121,6 +121,10 @@ def op12_suffix_automaton_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_report(rows, repair.damaged(rows))
 
 
+def op13_setm_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_bag_minhash_near_duplicates": op1_bag_minhash_near_duplicates,
@@ -135,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_concatenate_and_cut": op10_concatenate_and_cut,
     "op11_combined_automaton": op11_combined_automaton,
     "op12_suffix_automaton_repair": op12_suffix_automaton_repair,
+    "op13_setm_collocations": op13_setm_collocations,
 }
 
 
@@ -270,5 +275,37 @@ LEFT JOIN counts USING (conv) LEFT JOIN audits USING (conv) LEFT JOIN repaired U
 
 
 ORACLES["op12_suffix_automaton_repair"] = _repair_sql()
+ORACLES["op13_setm_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), texts AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM texts, range(1, 4) sizes(size)
+), f AS (
+  SELECT lang, size, phrase, count(*) AS n FROM grams GROUP BY ALL
+), candidates AS (
+  SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= 10
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, l.n AS l, r.n AS r,
+    CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(l.n AS HUGEINT) * r.n) AS BIGINT) AS score
+  FROM candidates c JOIN range(1, 3) cut(k) ON k < size
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+), lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nr FROM cuts
+), covers AS (
+  SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS cover
+  FROM candidates, range(1, 3) starts(i) WHERE size = 3 GROUP BY ALL
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM lowest LEFT JOIN covers USING (lang, phrase) WHERE nr = 1 AND (cover IS NULL OR 100 * cover < 50 * a)
+)
+SELECT lang, rank, phrase, a, l, r, (SELECT CAST(sum(n) AS BIGINT) FROM f WHERE f.lang = ranked.lang AND size = 1) AS n, score
+FROM ranked WHERE rank <= 2000
+"""
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
