@@ -68,6 +68,12 @@ def rolling(sums: np.ndarray, length: int, which: int = 0) -> np.ndarray:
     return mixed((sums[length:] - sums[:n]) * down[:n])
 
 
+def fingerprints_between(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """The fingerprints of runs of any lengths, from ``prefix_sums``."""
+    _, down = _powers(which, len(sums))
+    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` neighbours, by doubling."""
     if len(x) < width:
