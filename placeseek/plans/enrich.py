@@ -7,9 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from placeseek.functions.text import title_case
-from placeseek.operators.aggregate import distinct_rows
+from placeseek.operators.aggregate import first_distinct_rows
 from placeseek.operators.joins import DEFAULT_BROADCAST_ROWS, KeyPairs, left_join, left_join_twice
-from placeseek.operators.limit import first_rows
 from placeseek.operators.project import rename_columns
 
 # Workbook and state-file headers and the names they get.
@@ -95,4 +94,4 @@ def city_preview(
     """PIPE2: the selected city columns plus the title-cased country,
     de-duplicated, first ``n`` in order of all output columns."""
     shaped = cities.select(*cols, title_case(country_col).alias(title_name))
-    return first_rows(distinct_rows(shaped), n)
+    return first_distinct_rows(shaped, n)
