@@ -17,9 +17,10 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from placeseek.fixtures import write_workbooks
 from placeseek.functions.phonetic import phonetic_code, register_sql_functions, soundex_code
 from placeseek.functions.text import explode_words, search_text, title_case
-from placeseek.operators.aggregate import distinct_rows, row_count
+from placeseek.operators.aggregate import distinct_rows, first_distinct_rows, row_count
 from placeseek.operators.joins import left_join, left_join_twice
 from placeseek.operators.limit import first_rows, page_of_rows
+from placeseek.operators.pages import rows_after, store_pages, stored_page
 from placeseek.operators.project import (
     rename_columns,
     select_aliased,
@@ -55,6 +56,13 @@ from placeseek.plans.search import (
     stored_fuzzy_filter,
     word_corpus,
 )
+from placeseek.plans.word_index import (
+    WordIndex,
+    build_word_index,
+    indexed_documents,
+    indexed_fuzzy_join,
+    indexed_terms_filter,
+)
 from placeseek.plans.shapes import part_as_workbook, states_from_nation
 from placeseek.session import scratch_path, spread
 from placeseek.sinks.index import append_to_index, collect_records, json_lines, register_view, write_json_lines
@@ -211,6 +219,25 @@ def q_page_of_rows_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_of_rows(od, page=101, size=100, order_by=["o_orderkey"], topk_rows=0)
 
 
+def q_distinct_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return first_distinct_rows(_t(spark, sf_dir, "part"), 10, ["p_name", "p_brand", "p_type"])
+
+
+def _order_pages(spark: SparkSession, sf_dir: str):
+    od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return store_pages(od, scratch_path(spark, "order-pages"), ["o_orderpriority", "o_orderkey"], range_rows=1000)
+
+
+def q_stored_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eleventh page of 100 rows from a stored sort."""
+    return stored_page(spark, _order_pages(spark, sf_dir), page=11, size=100)
+
+
+def q_stored_page_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """250 rows from a given key on."""
+    return rows_after(spark, _order_pages(spark, sf_dir), ("2-HIGH", 100), 250)
+
+
 # --------------------------------------------------------------- text functions
 
 
@@ -249,9 +276,39 @@ def q_fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_pairs(_doc_words(spark, sf_dir), DOC_SEARCH).select("doc_id", "palavras", "parameters")
 
 
+THOUSAND_TERMS = " ".join(a + b + c for a in SYLLABLES for b in SYLLABLES for c in SYLLABLES)
+
+
 def q_fuzzy_thousand_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = " ".join(a + b + c for a in SYLLABLES for b in SYLLABLES for c in SYLLABLES)
-    return fuzzy_filter(_doc_words(spark, sf_dir), terms).select("doc_id", "palavras")
+    return fuzzy_filter(_doc_words(spark, sf_dir), THOUSAND_TERMS).select("doc_id", "palavras")
+
+
+def q_fuzzy_thousand_terms_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "doc-corpus")
+    store_corpus(_doc_words(spark, sf_dir), path)
+    return stored_fuzzy_filter(spark.read.parquet(path), THOUSAND_TERMS).select("doc_id", "palavras")
+
+
+def _doc_index(spark: SparkSession, sf_dir: str) -> WordIndex:
+    return build_word_index(_doc_words(spark, sf_dir), scratch_path(spark, "doc-index"), ["doc_id", "lang", "source"])
+
+
+def q_fuzzy_documents_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of a search from the words and postings of an inverted index."""
+    return indexed_documents(spark, _doc_index(spark, sf_dir), DOC_SEARCH)
+
+
+def q_fuzzy_thousand_terms_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A thousand terms as a table, met by the deletion neighbourhoods of the indexed words."""
+    terms = spark.range(1).select(F.explode(F.split(F.lit(THOUSAND_TERMS), " ")).alias("term"))
+    return indexed_terms_filter(spark, _doc_index(spark, sf_dir), terms).select("doc_id", "palavras")
+
+
+def q_fuzzy_search_table_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of searches against an inverted index."""
+    searches = _t(spark, sf_dir, "region").select("r_regionkey", F.lower("r_name").alias("parameter"))
+    found = indexed_fuzzy_join(spark, _doc_index(spark, sf_dir), searches)
+    return found.select("doc_id", "palavras", "r_regionkey", "parameters")
 
 
 def q_fuzzy_search_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,6 +365,12 @@ def q_phonetic_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phonetic_pairs(words, SOUND_SEARCH).select("doc_id", "palavras", "parameters")
 
 
+def q_phonetic_thousand_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and terms of equal sound, for a thousand terms."""
+    words = distinct_rows(_doc_words(spark, sf_dir).select("palavras"))
+    return phonetic_pairs(words, THOUSAND_TERMS).select("palavras", "parameters")
+
+
 def q_phonetic_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phonetic_matches(_part_corpus(spark, sf_dir), PART_SOUND_SEARCH)
 
@@ -590,4 +653,12 @@ QUERIES: dict[str, Query] = {
     "excel_drift": q_excel_drift,
     "excel_empty_rows": q_excel_empty_rows,
     "enrich_from_files_twice": q_enrich_from_files_twice,
+    "distinct_first_rows": q_distinct_first_rows,
+    "stored_page": q_stored_page,
+    "stored_page_cursor": q_stored_page_cursor,
+    "fuzzy_thousand_terms_stored": q_fuzzy_thousand_terms_stored,
+    "fuzzy_documents_indexed": q_fuzzy_documents_indexed,
+    "fuzzy_thousand_terms_indexed": q_fuzzy_thousand_terms_indexed,
+    "fuzzy_search_table_indexed": q_fuzzy_search_table_indexed,
+    "phonetic_thousand_pairs": q_phonetic_thousand_pairs,
 }

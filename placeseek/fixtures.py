@@ -37,6 +37,8 @@ def write_workbooks(df: DataFrame, folder: str, split_by: str | None = None, max
     ship_package(df.sparkSession)
     names, call = df.columns, uuid.uuid4().hex[:12]
     local = re.sub("^file:(//)?", "", folder)
+    if re.match("[A-Za-z][A-Za-z0-9+.-]*:", local):
+        raise ValueError(f"workbooks are written to paths that Python can open, not to {folder}")
     key = names.index(split_by) if split_by else None
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

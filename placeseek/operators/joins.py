@@ -60,16 +60,24 @@ def key_counts(right: DataFrame, rkeys: Sequence[str], name: str = "_k") -> Data
     return keyed.groupBy(*rkeys).agg(F.count(F.lit(1)).alias(name))
 
 
-def expand(df: DataFrame, times: str) -> DataFrame:
-    """Each row ``times`` times (at least 1), the column dropped.  Two steps: chunks of at most
-    ``EXPAND_ROWS`` first, dealt anew, then the rows of each chunk, so no
-    array grows with the count by more than its ``EXPAND_ROWS``-th part."""
-    chunks = F.ceil(F.col(times) / EXPAND_ROWS)
-    one = df.where(F.col(times) <= 1).drop(times)
-    many = df.where(F.col(times) > 1).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks.cast("long") - 1)))
-    many = many.withColumn("_in_chunk", F.least(F.lit(EXPAND_ROWS), F.col(times) - F.col("_chunk") * EXPAND_ROWS).cast("int"))
-    many = many.withColumn("_rep", F.explode(F.array_repeat(F.lit(True), F.col("_in_chunk"))))
-    return one.union(many.drop("_rep", "_in_chunk", "_chunk", times))
+def expand(df: DataFrame, times: str, some_large: bool = True) -> DataFrame:
+    """Each row ``times`` times (at least once), the column dropped.
+
+    Up to ``EXPAND_ROWS`` times a row is expanded in place.  A row of more is first cut into chunks of that size,
+    which are dealt to all tasks by a hash of row and chunk and expanded there, so neither an
+    array nor a task's output grows with one row's count.  ``some_large=False`` says that no row is that large.
+    """
+    repeated = lambda rows, n: rows.withColumn("_rep", F.explode(F.array_repeat(F.lit(True), n))).drop("_rep", times)
+    count = F.greatest(F.col(times), F.lit(1))
+    if not some_large:
+        return repeated(df, count.cast("int"))
+    usual = repeated(df.where(count <= EXPAND_ROWS), F.least(count, F.lit(EXPAND_ROWS)).cast("int"))
+    large = df.where(F.col(times) > EXPAND_ROWS)
+    chunks = F.ceil(F.col(times) / EXPAND_ROWS).cast("long")
+    large = large.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
+    large = large.repartition(*[F.col(f"`{f.name}`") for f in large.schema.fields if "map<" not in f.dataType.simpleString()])
+    in_chunk = F.least(F.lit(EXPAND_ROWS), F.col(times) - F.col("_chunk") * EXPAND_ROWS).cast("int")
+    return usual.union(repeated(large, in_chunk).drop("_chunk"))
 
 
 class _Sides:
@@ -177,4 +185,5 @@ def left_join_twice(
     of_left = [names[left.columns.index(c)] for c in left_cols]
     of_right = [names[width + 1 + carried.columns.index(c)] for c in right_cols]
     chosen = joined.select(*[F.col(n).alias(f"_c{i}") for i, n in enumerate([*of_left, *of_right])], F.col(names[width]).alias("_k"))
-    return expand(chosen, "_k").toDF(*left_cols, *right_cols)
+    some_large = not counts.where(F.col("_k") > EXPAND_ROWS).isEmpty()
+    return expand(chosen, "_k", some_large).toDF(*left_cols, *right_cols)

@@ -9,9 +9,12 @@ distance must share.
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeseek.functions.distance import candidates, near_any
@@ -39,6 +42,22 @@ def fuzzy_filter(
     return words.filter(near_any(word_col, terms, limit))
 
 
+def length_bands(length_col: str, terms: Sequence[str], limit: int = DISTANCE_LIMIT) -> Column:
+    """True for word lengths from which fewer than ``limit`` edits lead to one of ``terms``.
+
+    Bands that touch are one range, so the condition stays small for any number of terms, and as a
+    condition on a column it reaches the scan of a stored corpus.
+    """
+    ranges: list[list[int]] = []
+    for n in sorted({len(t) for t in terms}):
+        low, high = max(0, n - limit + 1), n + limit - 1
+        if ranges and low <= ranges[-1][1] + 1:
+            ranges[-1][1] = high
+        else:
+            ranges.append([low, high])
+    return reduce(lambda a, b: a | b, [F.col(length_col).between(*r) for r in ranges], F.lit(False))
+
+
 def fuzzy_pairs(
     words: DataFrame,
     text: str | None,
@@ -107,6 +126,30 @@ def fuzzy_join(
     return matched.join(asked, F.col("_term") == F.col(term_col)).drop("_term")
 
 
+def term_codes(spark: SparkSession, terms: Sequence[str]) -> list[str]:
+    """The sound code of each term, by the same expression as the words' (one constant row)."""
+    known = F.from_json(F.lit(json.dumps(list(terms))), "array<string>")
+    return spark.range(1).select(F.transform(known, lambda t: soundex_code(t))).first()[0]
+
+
+def _coded_terms(words: DataFrame, text: str | None) -> list[tuple[str, str]]:
+    """(code, term) of the terms of ``text`` that have a code; without an ASCII letter a term
+    has the empty code and matches nothing."""
+    terms = [t for t in split_terms(text) if _HAS_LETTER.search(t)]
+    return list(zip(term_codes(words.sparkSession, terms), terms)) if terms else []
+
+
+def _sounds_like(coded: Sequence[tuple[str, str]], word_col: str) -> Column:
+    # A code starts with the word's first ASCII letter, upper-cased.  Words
+    # that start with such a letter and a different one cannot match, so a
+    # one-character test spares them the regex and the coding (exact: a word
+    # starting with anything else still takes the full test).
+    heads = sorted({_HAS_LETTER.search(t).group().upper() for _, t in coded})
+    first = F.substring(word_col, 1, 1)
+    ascii_head = first.between("A", "Z") | first.between("a", "z")
+    return (~ascii_head | F.upper(first).isin(*heads)) & soundex_code(word_col).isin(*sorted({c for c, _ in coded}))
+
+
 def phonetic_filter(
     words: DataFrame,
     text: str | None,
@@ -114,24 +157,12 @@ def phonetic_filter(
 ) -> DataFrame:
     """JON4: rows whose word has the same sound code as one of the terms.
 
-    The terms' codes are built from literals, so Catalyst folds them into a
-    constant set and the test is one hash lookup per word.  Terms with no
+    The terms' codes are literals, so the test is one lookup in a constant
+    set per word, for any number of terms.  Terms with no
     ASCII letter (empty code) match nothing.
     """
-    # a term without an ASCII letter has the empty code: it matches nothing
-    terms = [t for t in dict.fromkeys(split_terms(text)) if _HAS_LETTER.search(t)]
-    if not terms:
-        return words.limit(0)
-    codes = [soundex_code(F.lit(t)) for t in terms]
-    # A code starts with the word's first ASCII letter, upper-cased.  Words
-    # that start with such a letter and a different one cannot match, so a
-    # one-character test spares them the regex and the coding (exact: a word
-    # starting with anything else still takes the full test).
-    heads = sorted({_HAS_LETTER.search(t).group().upper() for t in terms})
-    first = F.substring(word_col, 1, 1)
-    ascii_head = first.between("A", "Z") | first.between("a", "z")
-    candidate = ~ascii_head | F.upper(first).isin(*heads)
-    return words.filter(candidate & soundex_code(word_col).isin(*codes))
+    coded = _coded_terms(words, text)
+    return words.filter(_sounds_like(coded, word_col)) if coded else words.limit(0)
 
 
 def phonetic_pairs(
@@ -143,15 +174,14 @@ def phonetic_pairs(
     """JON4 as an equi-join of words and terms on the sound code: one row per
     (word row, term) with equal codes, the term in ``term_col``.
 
-    The join's right side is the handful of typed terms, so it is written as
-    each word row's array of terms whose (constant-folded) code equals the
-    word's, exploded; the word's code is computed once per row.
+    The typed terms are one constant, a map from code to terms: a word that
+    passes ``phonetic_filter`` looks its terms up and explodes them.
     """
-    terms = [t for t in split_terms(text) if _HAS_LETTER.search(t)]
-    if not terms:
+    coded = _coded_terms(words, text)
+    if not coded:
         return words.limit(0).withColumn(term_col, F.lit(None).cast("string"))
-    found = phonetic_filter(words, text, word_col).withColumn("_code", soundex_code(word_col))
-    hits = F.array_compact(
-        F.array(*[F.when(F.col("_code") == soundex_code(F.lit(t)), F.lit(t)) for t in terms])
-    )
-    return found.select(*words.columns, F.explode(hits).alias(term_col))
+    by_code: dict[str, list[str]] = {}
+    for code, term in coded:
+        by_code.setdefault(code, []).append(term)
+    hits = F.element_at(F.from_json(F.lit(json.dumps(by_code)), "map<string, array<string>>"), soundex_code(word_col))
+    return words.filter(_sounds_like(coded, word_col)).select(*words.columns, F.explode(hits).alias(term_col))

@@ -296,3 +296,17 @@ ORACLES["excel_empty_rows"] = (
     "CASE WHEN c_custkey % 3 <> 0 THEN c_name ELSE '' END AS n FROM customer"
 )
 ORACLES["enrich_from_files_twice"] = f"SELECT e.* FROM ({ORACLES['enrich_from_files']}) e, range(4)"
+ORACLES["distinct_first_rows"] = f"{ORACLES['distinct_rows']} ORDER BY 1, 2, 3 LIMIT 10"
+_ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders"
+ORACLES["stored_page"] = f"{_ORDERS} ORDER BY o_orderpriority, o_orderkey LIMIT 100 OFFSET 1000"
+ORACLES["stored_page_cursor"] = (
+    f"{_ORDERS} WHERE (o_orderpriority, o_orderkey) > ('2-HIGH', 100) ORDER BY o_orderpriority, o_orderkey LIMIT 250"
+)
+ORACLES["fuzzy_thousand_terms_stored"] = ORACLES["fuzzy_thousand_terms_indexed"] = ORACLES["fuzzy_thousand_terms"]
+ORACLES["fuzzy_documents_indexed"] = ORACLES["fuzzy_documents"]
+ORACLES["fuzzy_search_table_indexed"] = ORACLES["fuzzy_search_table"]
+ORACLES["phonetic_thousand_pairs"] = (
+    f"WITH w AS (SELECT palavras, {sql_soundex('palavras')} AS code FROM (SELECT DISTINCT palavras FROM ({_words('doc_id')}))), "
+    f"t AS (SELECT term, {sql_soundex('term')} AS code FROM ({_THOUSAND})) "
+    "SELECT palavras, term AS parameters FROM w JOIN t ON w.code = t.code WHERE w.code <> ''"
+)

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +12,7 @@ from placeseek.functions.text import explode_words, search_text, split_terms
 from placeseek.operators.aggregate import distinct_rows
 from placeseek.operators.limit import page_of_rows
 from placeseek.operators.project import RECORD_FIELDS, rename_columns, to_city_record
-from placeseek.operators.search import DISTANCE_LIMIT, fuzzy_filter, phonetic_filter
+from placeseek.operators.search import DISTANCE_LIMIT, fuzzy_filter, length_bands, phonetic_filter
 
 # Country-workbook headers, their names in the corpus, and
 # the columns of the search text (in order).
@@ -138,8 +136,4 @@ def stored_fuzzy_filter(
     terms = list(dict.fromkeys(split_terms(text)))
     if not terms:
         return stored.limit(0)
-    band = reduce(
-        lambda a, b: a | b,
-        [F.col(LENGTH_COL).between(len(t) - (limit - 1), len(t) + (limit - 1)) for t in terms],
-    )
-    return stored.filter(band).filter(near_any(word_col, terms, limit))
+    return stored.filter(length_bands(LENGTH_COL, terms, limit)).filter(near_any(word_col, terms, limit))

@@ -143,3 +143,21 @@ def test_deep_pages_match_a_full_sort(spark):
     for page, size in [(1, 7), (3, 1000), (5, 1000), (6, 1000), (7, 999), (1, 5000)]:
         got = [r.k for r in page_of_rows(df, page, size, ["k"], topk_rows=0).collect()]
         assert got == full[(page - 1) * size : page * size], (page, size)
+
+
+def test_expansion_of_one_hot_row_is_spread(spark):
+    from placeseek.operators.joins import EXPAND_ROWS, expand
+
+    rows = spark.createDataFrame([(1, 1_000_000), (2, 1), (3, EXPAND_ROWS), (4, EXPAND_ROWS + 1), (5, 0)], "id int, k long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = expand(rows, "k")
+        per = out.groupBy("id", F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    total = {i: sum(r["count"] for r in per if r.id == i) for i in range(1, 6)}
+    assert total == {1: 1_000_000, 2: 1, 3: EXPAND_ROWS, 4: EXPAND_ROWS + 1, 5: 1}
+    hot = [r["count"] for r in per if r.id == 1]
+    assert len(hot) == 8 and max(hot) < 250_000
+    small = expand(rows.where("k <= 10"), "k", some_large=False)
+    assert sorted(r.id for r in small.collect()) == [2, 5] and small.columns == ["id"]

@@ -138,3 +138,28 @@ def test_table_of_searches_equals_single_searches(spark):
     want = sorted((k, r.id, r.parameters) for k, t in enumerate(texts) for r in fuzzy_pairs(words, t).collect())
     assert rows == want and len(want) > 30
     assert fuzzy_join(words.limit(0), searches).count() == fuzzy_join(words, searches.limit(0)).count() == 0
+
+
+def test_many_terms_on_stored_corpus_and_by_sound(spark, tmp_dir):
+    """Thousands of terms neither overflow the plan nor slow it down with their number."""
+    import random
+    import time
+
+    from placeseek.operators import phonetic_pairs
+    from placeseek.operators.search import term_codes
+    from placeseek.plans.search import store_corpus, stored_fuzzy_filter
+
+    rnd = random.Random(8)
+    terms = ["".join(rnd.choice("abcdefghijklmnoprstuvwé") for _ in range(rnd.randint(1, 14))) for _ in range(3000)] + ["Robert", "Robert", "12"]
+    words = spark.createDataFrame([(i, t[:-1] + "x") for i, t in enumerate(terms[::7])] + [(-1, "Rupert"), (-2, "34")], "id int, palavras string")
+    store_corpus(words, tmp_dir + "/c")
+    got = stored_fuzzy_filter(spark.read.parquet(tmp_dir + "/c"), " ".join(terms)).select("id", "palavras")
+    want = fuzzy_filter(words, " ".join(terms))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() > 400
+    start = time.perf_counter()
+    pairs = [tuple(r) for r in phonetic_pairs(words, " ".join(terms)).select("id", "parameters").collect()]
+    assert time.perf_counter() - start < 20
+    codes = dict(zip(terms, term_codes(spark, terms)))
+    own = {r.id: r.c for r in words.select("id", F.soundex(F.regexp_replace("palavras", "[^A-Za-z]", "")).alias("c")).collect()}
+    assert sorted(pairs) == sorted((i, t) for i, c in own.items() for t in terms if c and codes[t] == c)
+    assert pairs.count((-1, "Robert")) == 2
