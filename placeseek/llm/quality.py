@@ -35,6 +35,8 @@ from placeseek.session import ship_package
 WORD_BUCKETS = 1 << 13
 RANK = 6
 STEPS, RATE, DECAY = 150, 0.05, 1e-4
+#: Rows whose inputs the fit spreads out at a time.
+ROWS_PER_BLOCK = 1000
 THRESHOLD = 0.3
 _MEMO_WORDS = 400_000
 _words = re.compile(r"\w+").findall
@@ -127,24 +129,38 @@ def _logits(w0, w, v, flat, counts, stats):
     return w0 + linear + 0.5 * ((sums * sums).sum(1) - squares), sums, of, word
 
 
+def _gradient(p, y, flat, counts, stats):
+    """Gradient of the likelihood (a sum over these rows) at the weights ``p``."""
+    w0, w, v = p
+    logit, sums, of, word = _logits(w0, w, v, flat, counts, stats)
+    g = 1 / (1 + np.exp(-logit)) - y
+    at = (g * word)[of]
+    g_w = np.concatenate((np.bincount(flat, at, WORD_BUCKETS), stats.T @ g))
+    pull = np.bincount(flat, (g * word * word)[of], WORD_BUCKETS)
+    g_v = np.empty_like(v)
+    for f in range(RANK):
+        g_v[:WORD_BUCKETS, f] = np.bincount(flat, at * sums[of, f], WORD_BUCKETS) - pull * v[:WORD_BUCKETS, f]
+    g_v[WORD_BUCKETS:] = stats.T @ (g[:, None] * sums) - ((stats * stats).T @ g)[:, None] * v[WORD_BUCKETS:]
+    return np.concatenate(([g.sum()], g_w, g_v.ravel()))
+
+
 def _descend(y, flat, counts, stats, seed: int = 7):
-    """Adam on the mean likelihood of all rows."""
+    """Adam on the mean likelihood of all rows; the gradient is summed over blocks of rows,
+    so that only one block's inputs are spread out at a time."""
     size = WORD_BUCKETS + stats.shape[1]
     rng = np.random.default_rng(seed)
     p = np.concatenate(([0.0], np.zeros(size), rng.normal(0, 0.05, size * RANK)))
     m, s = np.zeros_like(p), np.zeros_like(p)
+    edges = np.concatenate(([0], np.cumsum(counts)))
+    blocks = [(a, min(a + ROWS_PER_BLOCK, len(y))) for a in range(0, len(y), ROWS_PER_BLOCK)]
+    decay = np.full(len(p), DECAY)
+    decay[0] = 0
     for t in range(1, STEPS + 1):
-        w0, w, v = p[0], p[1 : size + 1], p[size + 1 :].reshape(size, RANK)
-        logit, sums, of, word = _logits(w0, w, v, flat, counts, stats)
-        g = (1 / (1 + np.exp(-logit)) - y) / len(y)
-        at = (g * word)[of]
-        g_w = np.concatenate((np.bincount(flat, at, WORD_BUCKETS), stats.T @ g))
-        pull = np.bincount(flat, (g * word * word)[of], WORD_BUCKETS)
-        g_v = np.empty_like(v)
-        for f in range(RANK):
-            g_v[:WORD_BUCKETS, f] = np.bincount(flat, at * sums[of, f], WORD_BUCKETS) - pull * v[:WORD_BUCKETS, f]
-        g_v[WORD_BUCKETS:] = stats.T @ (g[:, None] * sums) - ((stats * stats).T @ g)[:, None] * v[WORD_BUCKETS:]
-        grad = np.concatenate(([g.sum()], g_w + DECAY * w, (g_v + DECAY * v).ravel()))
+        weights = p[0], p[1 : size + 1], p[size + 1 :].reshape(size, RANK)
+        grad = np.zeros_like(p)
+        for a, b in blocks:
+            grad += _gradient(weights, y[a:b], flat[edges[a] : edges[b]], counts[a:b], stats[a:b])
+        grad = grad / len(y) + decay * p
         m, s = 0.9 * m + 0.1 * grad, 0.999 * s + 0.001 * grad * grad
         p = p - RATE * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-8)
     return float(p[0]), p[1 : size + 1], p[size + 1 :].reshape(size, RANK)
@@ -169,8 +185,9 @@ def fit(
     if not 0 < y.sum() < len(y):
         return QualityModel(constant=float(y.mean()) if len(y) else 0.5)
     words = got["words"].combine_chunks()
-    counts, flat = words.value_lengths().to_numpy(), words.flatten().to_numpy()
+    counts, flat = words.value_lengths().to_numpy(), words.flatten().to_numpy().astype(np.uint16)
     stats = got["stats"].combine_chunks().flatten().to_numpy().reshape(len(y), N_STATISTICS)
+    del got, words
     mean, scale = stats.mean(0), stats.std(0) + 1e-3
     w0, w, v = _descend(y, flat, counts, standardised(stats, mean, scale))
     return QualityModel(w0, w, v, mean, scale)

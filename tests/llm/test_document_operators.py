@@ -353,3 +353,36 @@ def test_pipeline_runs_and_takes_empty_and_odd_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SF_SMALL)
         assert (docs.count() > 0) == bool(rows)
+
+
+def test_quality_gradient_in_blocks(monkeypatch):
+    """The gradient against differences of the likelihood, and blocks of any size give the same fit."""
+    rng = np.random.default_rng(3)
+    n = 37
+    counts = rng.integers(0, 9, n)
+    flat = rng.integers(0, quality.WORD_BUCKETS, counts.sum()).astype(np.uint16)
+    stats, y = rng.normal(size=(n, 4)), rng.integers(0, 2, n).astype(float)
+    size = quality.WORD_BUCKETS + 4
+    w, v = rng.normal(size=size), rng.normal(0, 0.3, (size, quality.RANK))
+
+    def loss(w0, w, v):
+        z = quality._logits(w0, w, v, flat, counts, stats)[0]
+        return np.log1p(np.exp(z)).sum() - (y * z).sum()
+
+    g = quality._gradient((0.2, w, v), y, flat, counts, stats)
+    step = 1e-6
+    for at in [0, 1 + int(flat[0]), 1 + int(flat[-1]), size - 1, size, 1 + size + int(flat[5]) * quality.RANK + 2, 1 + size * (1 + quality.RANK) - 3]:
+        p = np.concatenate(([0.2], w, v.ravel()))
+        ends = []
+        for sign in (1, -1):
+            q = p.copy()
+            q[at] += sign * step
+            ends.append(loss(q[0], q[1 : size + 1], q[size + 1 :].reshape(v.shape)))
+        assert abs((ends[0] - ends[1]) / (2 * step) - g[at]) < 1e-4
+    monkeypatch.setattr(quality, "STEPS", 12)
+    fits = []
+    for rows in (1000, 5):
+        monkeypatch.setattr(quality, "ROWS_PER_BLOCK", rows)
+        fits.append(quality._descend(y, flat, counts, stats))
+    for a, b in zip(*fits):
+        assert np.allclose(a, b, atol=1e-9)
