@@ -11,7 +11,7 @@ exactly.  Words are the pre-tokens of the byte-level pattern.
 
 The tokenizer file is read once on the driver and broadcast (a file of fixed
 size); each Python worker builds its tables once.  Memos of words have a size
-bound: they are emptied when full, which costs time and changes no result.
+bound: words not met for a while are forgotten, which costs time and changes no result.
 
 Defined results: a null text counts as empty and has no ids; strings of added
 tokens inside a text become those tokens, as the library does by default; any
@@ -60,16 +60,51 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class _Memo[V](dict[str, V]):
+    """What was worked out for words met lately.  Once ``size`` words are held they are set
+    aside; those met again come back, the others are gone with the next ``size``."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size = size
+        self.older: dict[str, V] = {}
+
+    def turn_over(self) -> None:
+        if len(self) > self.size:
+            self.older = dict(self)
+            self.clear()
+
+    def unknown(self, words: set[str]) -> set[str]:
+        """Those of ``words`` that have to be worked out."""
+        new = words.difference(self)
+        if new and self.older:
+            again = new.intersection(self.older)
+            self.update([(w, self.older[w]) for w in again])
+            new -= again
+        return new
+
+
 class Bpe:
     """Tables of one tokenizer file, and the words met so far."""
 
     def __init__(self, spec: str):
         spec = json.loads(spec)
-        to_byte = byte_characters()
         vocab: dict[str, int] = spec["model"]["vocab"]
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        n = max([*vocab.values(), *self.added.values()]) + 1
-        self.width = n
+        self.width = max([*vocab.values(), *self.added.values()]) + 1
+        self._build_tables(vocab, spec["model"]["merges"])
+        self.find = regex.compile(_PRETOKEN).findall
+        self.split = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")").split if self.added else None
+        self.pieces: _Memo[bytes] = _Memo(MEMO_WORDS // 6)
+        self.chunks: _Memo[bytes | None] = _Memo(MEMO_WORDS // 2)
+        self.pairs = np.empty(0, np.int64)  # judged pairs, sorted
+        self.fits = np.empty(0, bool)
+        self.exact_words = self.all_words = 0
+
+    def _build_tables(self, vocab: dict[str, int], merges: list) -> None:
+        """The bytes of the tokens, for the proposals, and the merge list."""
+        to_byte = byte_characters()
+        n = self.width
         self.bytes_of = [b""] * n
         self.id_of: dict[bytes, int] = {}
         for token, i in vocab.items():
@@ -85,17 +120,10 @@ class Bpe:
         self.byte_id = [self.id_of[bytes([b])] for b in range(256)]
         self.rank: dict[int, int] = {}
         self.merged: list[int] = []
-        for r, pair in enumerate(spec["model"]["merges"]):
+        for r, pair in enumerate(merges):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.rank[vocab[a] * n + vocab[b]] = r
             self.merged.append(vocab[a + b])
-        self.find = regex.compile(_PRETOKEN).findall
-        self.split = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")").split if self.added else None
-        self.pieces: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes | None] = {}
-        self.pairs = np.empty(0, np.int64)  # judged pairs, sorted
-        self.fits = np.empty(0, bool)
-        self.exact_words = self.all_words = 0
 
     # ------------------------------------------------------------- one word
 
@@ -200,7 +228,7 @@ class Bpe:
         return out
 
     def _learn_pieces(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self.pieces]
+        new = list(self.pieces.unknown(pieces))
         self.pieces.update(zip(new, self.encode_words([p.encode() for p in new])))
 
     def _learn_chunks(self, chunks: set[str]) -> None:
@@ -236,15 +264,13 @@ class Bpe:
     # ---------------------------------------------------------------- texts
 
     def _encode_plain(self, texts: list[str]) -> list[bytes]:
-        if len(self.chunks) > MEMO_WORDS:
-            self.chunks.clear()
-        if len(self.pieces) > MEMO_WORDS // 6:
-            self.pieces.clear()
+        self.chunks.turn_over()
+        self.pieces.turn_over()
         cut = [t.replace("\n", " \n").split(" ") for t in texts]
         new: set[str] = set()
         for c in cut:
             new.update(set(c[1:]).difference(self.chunks))
-        self._learn_chunks(new)
+        self._learn_chunks(self.chunks.unknown(new))
         heads, tails = [], []
         for text, c in zip(texts, cut):
             first, tail = c[0], b""
@@ -289,6 +315,9 @@ class LibraryBpe(Bpe):
         self.model = Tokenizer.from_str(spec).model
         self.characters = {b: c for c, b in byte_characters().items()}
 
+    def _build_tables(self, vocab: dict[str, int], merges: list) -> None:
+        """The library has its own."""
+
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         tokenize, characters = self.model.tokenize, self.characters
         tokens = [tokenize(w.decode("latin-1").translate(characters)) for w in words]

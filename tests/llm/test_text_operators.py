@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -227,3 +228,20 @@ def test_op10_on_whole_table(spark, library):
 def test_whole_number_of_ids_is_a_power_of_two(spark):
     rows = packing.pack(table(spark, [(1, "")] * 4), PATH, length=1024).select(F.max("padded_length")).first()
     assert rows[0] == 4
+
+
+def test_forgotten_words_change_nothing(monkeypatch):
+    """Memos of two generations: words are forgotten and met again in the middle of a corpus."""
+    monkeypatch.setattr(bpe, "MEMO_WORDS", 24)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rnd = random.Random(6)
+    words = [f"w{i}" if i % 3 else "été" * (i % 5) + str(i) for i in range(60)] + ["the", "the", "\n", "a\nb", "don't", ""]
+    texts = [" ".join(rnd.choice(words[: 10 + i]) for _ in range(30)) for i in range(50)]
+    library = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    with open(path, encoding="utf-8") as f:
+        spec = f.read()
+    for kind in (bpe.Bpe, bpe.LibraryBpe):
+        own = kind(spec)
+        got = [np.frombuffer(own.encode([t])[0], "<u4").tolist() for t in texts]
+        assert got == library
+        assert own.chunks.older and len(own.chunks) <= 12 + 60
