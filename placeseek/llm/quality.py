@@ -118,29 +118,38 @@ def standardised(stats: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.n
     return np.clip((stats - mean) / scale, -4, 4)
 
 
+def _sums_by_row(x: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of runs of ``counts`` values."""
+    if not len(counts):
+        return np.empty(0)
+    out = np.add.reduceat(np.append(x, 0.0), np.cumsum(counts) - counts)
+    out[counts == 0] = 0.0
+    return out
+
+
 def _logits(w0, w, v, flat, counts, stats):
-    """Logits, and the sums that the gradient needs again."""
-    word, of = 1 / np.sqrt(np.maximum(counts, 1)), np.repeat(np.arange(len(counts)), counts)
-    sum_by_doc = lambda x: np.bincount(of, x, len(counts)) * word
-    linear = sum_by_doc(w[flat]) + stats @ w[WORD_BUCKETS:]
-    vs, q = v[flat], v[WORD_BUCKETS:]
-    sums = np.stack([sum_by_doc(vs[:, f]) for f in range(RANK)], 1) + stats @ q
-    squares = np.bincount(of, (vs * vs).sum(1), len(counts)) * word * word + (stats * stats) @ (q * q).sum(1)
-    return w0 + linear + 0.5 * ((sums * sums).sum(1) - squares), sums, of, word
+    """Logits, and the sums (a row per factor) that the gradient needs again."""
+    word = 1 / np.sqrt(np.maximum(counts, 1))
+    linear = _sums_by_row(w[flat], counts) * word + stats @ w[WORD_BUCKETS:]
+    factors, q = np.ascontiguousarray(v[:WORD_BUCKETS].T), v[WORD_BUCKETS:]
+    sums = np.stack([_sums_by_row(f[flat], counts) * word for f in factors]) + (stats @ q).T
+    lengths = (factors * factors).sum(0)
+    squares = _sums_by_row(lengths[flat], counts) * word * word + (stats * stats) @ (q * q).sum(1)
+    return w0 + linear + 0.5 * ((sums * sums).sum(0) - squares), sums, word
 
 
 def _gradient(p, y, flat, counts, stats):
     """Gradient of the likelihood (a sum over these rows) at the weights ``p``."""
     w0, w, v = p
-    logit, sums, of, word = _logits(w0, w, v, flat, counts, stats)
+    logit, sums, word = _logits(w0, w, v, flat, counts, stats)
     g = 1 / (1 + np.exp(-logit)) - y
-    at = (g * word)[of]
-    g_w = np.concatenate((np.bincount(flat, at, WORD_BUCKETS), stats.T @ g))
-    pull = np.bincount(flat, (g * word * word)[of], WORD_BUCKETS)
+    spread = lambda x: np.repeat(x, counts)
+    g_w = np.concatenate((np.bincount(flat, spread(g * word), WORD_BUCKETS), stats.T @ g))
+    pull = np.bincount(flat, spread(g * word * word), WORD_BUCKETS)
     g_v = np.empty_like(v)
     for f in range(RANK):
-        g_v[:WORD_BUCKETS, f] = np.bincount(flat, at * sums[of, f], WORD_BUCKETS) - pull * v[:WORD_BUCKETS, f]
-    g_v[WORD_BUCKETS:] = stats.T @ (g[:, None] * sums) - ((stats * stats).T @ g)[:, None] * v[WORD_BUCKETS:]
+        g_v[:WORD_BUCKETS, f] = np.bincount(flat, spread(g * word * sums[f]), WORD_BUCKETS) - pull * v[:WORD_BUCKETS, f]
+    g_v[WORD_BUCKETS:] = stats.T @ (g * sums).T - ((stats * stats).T @ g)[:, None] * v[WORD_BUCKETS:]
     return np.concatenate(([g.sum()], g_w, g_v.ravel()))
 
 
