@@ -60,27 +60,26 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class _Memo[V](dict[str, V]):
-    """What was worked out for words met lately.  Once ``size`` words are held they are set
+class _Memo[V]:
+    """What was worked out for words met lately, in ``now``.  Once it holds ``size`` words they are set
     aside; those met again come back, the others are gone with the next ``size``."""
 
     def __init__(self, size: int):
-        super().__init__()
         self.size = size
+        self.now: dict[str, V] = {}
         self.older: dict[str, V] = {}
 
     def turn_over(self) -> None:
-        if len(self) > self.size:
-            self.older = dict(self)
-            self.clear()
+        if len(self.now) > self.size:
+            self.older, self.now = self.now, {}
 
     def unknown(self, words: set[str]) -> set[str]:
         """Those of ``words`` that have to be worked out."""
-        new = words.difference(self)
+        new = words.difference(self.now)  # a plain dict: looked up, not walked through
         if new and self.older:
-            again = new.intersection(self.older)
-            self.update([(w, self.older[w]) for w in again])
-            new -= again
+            again = [w for w in new if w in self.older]
+            self.now.update([(w, self.older[w]) for w in again])
+            new.difference_update(again)
         return new
 
 
@@ -229,11 +228,11 @@ class Bpe:
 
     def _learn_pieces(self, pieces: set[str]) -> None:
         new = list(self.pieces.unknown(pieces))
-        self.pieces.update(zip(new, self.encode_words([p.encode() for p in new])))
+        self.pieces.now.update(zip(new, self.encode_words([p.encode() for p in new])))
 
     def _learn_chunks(self, chunks: set[str]) -> None:
         """A chunk stands after a blank; a line feed at its start stands for itself."""
-        memo, parts = self.chunks, {}
+        memo, parts = self.chunks.now, {}
         single: set[str] = set()  # chunks that are one piece with their blank
         for c in chunks:
             if c.isalpha() and (c.isascii() or max(c) < _NOT_PLAIN):
@@ -256,7 +255,7 @@ class Bpe:
                 parts[c] = ["", "\n", *self.find(body)]
         self._learn_pieces(set(chain.from_iterable(p[1:] for p in parts.values())))
         memo.update(zip(single, self.encode_words([(" " + c).encode() for c in single])))
-        piece = self.pieces.__getitem__
+        piece = self.pieces.now.__getitem__
         for c, p in parts.items():
             if c not in single:
                 memo[c] = b"".join([memo[p[0]] if p[0] else b"", *map(piece, p[1:])])
@@ -269,14 +268,14 @@ class Bpe:
         cut = [t.replace("\n", " \n").split(" ") for t in texts]
         new: set[str] = set()
         for c in cut:
-            new.update(set(c[1:]).difference(self.chunks))
+            new.update(set(c[1:]).difference(self.chunks.now))
         self._learn_chunks(self.chunks.unknown(new))
         heads, tails = [], []
         for text, c in zip(texts, cut):
             first, tail = c[0], b""
             if first and not first[0].isspace() and not first[-1].isspace():
                 try:
-                    tail = b"".join(map(self.chunks.__getitem__, c[1:]))
+                    tail = b"".join(map(self.chunks.now.__getitem__, c[1:]))
                 except TypeError:
                     first = text
             else:
@@ -284,7 +283,7 @@ class Bpe:
             heads.append(self.find(first))
             tails.append(tail)
         self._learn_pieces(set(chain.from_iterable(heads)))
-        piece = self.pieces.__getitem__
+        piece = self.pieces.now.__getitem__
         return [b"".join(map(piece, head)) + tail for head, tail in zip(heads, tails)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
