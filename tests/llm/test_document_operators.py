@@ -87,7 +87,6 @@ def test_signatures_estimate_weighted_jaccard_without_bias():
 def test_near_duplicate_groups(spark, monkeypatch):
     monkeypatch.setattr(minhash, "TILE_ROWS", 16)
     monkeypatch.setattr(minhash, "PAIRS_PER_CHUNK", 7)
-    monkeypatch.setattr(minhash, "FIRST_PARTNERS", 1)
     rnd = random.Random(7)
     base = prose(rnd, 150)
     texts = {0: " ".join(base)}
@@ -106,6 +105,79 @@ def test_near_duplicate_groups(spark, monkeypatch):
     assert all(r["kept"] == (i == want[i]) for i, r in got.items())
 
 
+def test_a_large_group_near_the_threshold_passes_on_few_links(spark, monkeypatch):
+    """2,000 near copies, most pairs of which are no link: what the tiles emit follows the rows."""
+    rnd = random.Random(21)
+    base = prose(rnd, 120, 10**6)
+    texts = {i: " ".join(edited(rnd, base, rnd.choice([1, 2, 3, 6, 9, 12]))) for i in range(2000)}
+    made = {}
+    stored = minhash.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "stored", counted)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(frame(spark, list(texts.items()))).collect()}
+    assert made["minhash-new"] <= 4000 and made["minhash-pairs"] <= minhash.BANDS * 2000 + 4000
+    sets = {i: frozenset(bag(t)) for i, t in texts.items()}  # no run of five words stands twice
+    assert all(len(sets[i]) == sum(bag(texts[i]).values()) for i in texts)
+    parent = list(range(2000))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i in range(2000):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if shared >= 0.8 * (len(sets[i]) + len(sets[j]) - shared):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    assert got == {i: root(i) for i in range(2000)}
+    assert 100 < len(set(got.values())) < 1900
+
+
+def test_tiles_of_many_chunks_and_failed_links(monkeypatch):
+    """A tile joins what is alike, leaves known failures alone, and never passes on more links than rows."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 24, 60)
+    bags = []
+    for _ in range(80):
+        own = base.copy()
+        own[rng.choice(60, rng.integers(0, 12), replace=False)] = rng.integers(0, 1 << 24, 1)
+        bags.append(np.unique(own).astype(np.int32))
+    ids, yes = np.arange(100, 180), np.ones(80, bool)
+    keys = np.zeros((80, minhash.BANDS), np.int64)
+    tile = lambda failed=(), parts=ids, k=keys: minhash._Tile(yes, yes, yes, ids, parts, k, bags, set(failed))
+    alike = lambda i, j: len(np.intersect1d(bags[i], bags[j])) / len(np.union1d(bags[i], bags[j])) >= 0.8
+
+    def groups(links):
+        label = dict(zip(ids.tolist(), ids.tolist()))
+        for a, b in links:
+            label = {i: label[b] if x == label[a] else x for i, x in label.items()}
+        return {frozenset(i for i in label if label[i] == x) for x in label.values()}
+
+    want = [(int(ids[i]), int(ids[j])) for i in range(80) for j in range(i) if alike(i, j)]
+    found = tile().links(0, 0.8)
+    assert set(found) <= set(want) and len(found) < 80 and groups(found) == groups(want)
+    again = tile(found).links(0, 0.8)
+    assert not set(again) & set(found)
+    assert tile(parts=np.zeros(80, np.int64)).links(0, 0.8) == []
+    assert tile().links(3, 0.8) == []  # all meet in an earlier band
+
+
+def test_cut_shingles_keep_multisets():
+    s = np.sort(np.array([5, 5, 5, 9, 2**63, 2**63], np.uint64))
+    t = np.sort(np.array([5, 5, 9, 9], np.uint64))
+    a, b = minhash._uncut(minhash._cut(s)), minhash._uncut(minhash._cut(t))
+    assert len(set(a.tolist())) == 6 and len(set(a.tolist()) & set(b.tolist())) == 3
+    assert len(minhash._uncut(minhash._cut(s[:0]))) == 0
+
+
 def test_a_link_of_a_low_estimate_that_no_leader_shows(spark):
     def values(words):
         return minhash.signature(*minhash.weighted(minhash.shingles(" ".join(words), {}))).reshape(minhash.BANDS, minhash.ROWS)
