@@ -31,6 +31,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
@@ -43,6 +44,8 @@ _PRETOKEN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
     rf"| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
+# Fixed value: the same pattern where white space has Unicode's meaning by itself.
+_RANKED_PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Fixed value: letters below this are letters in every version of Unicode in use.
 _NOT_PLAIN = "\u0250"
 #: Most words a worker remembers, and rows it encodes at a time.
@@ -325,6 +328,44 @@ class LibraryBpe(Bpe):
         return [raw[4 * a : 4 * b] for a, b in zip([0, *ends], ends)]
 
 
+class RankBpe(LibraryBpe):
+    """The same ids by byte-pair ranks (tiktoken), for files where rank and merge list say the same.
+
+    Ranks merge any two neighbours that together are a token, the merge list only those it names.  They agree if tokens
+    are numbered in the order of the merges, each has one merge, and each comes out whole when its own bytes
+    are merged: then, when a token's turn comes, the only neighbours that can make it are those its merge names, as all
+    earlier merges inside its bytes are done.  This is tested when a worker builds its tables; for other files the
+    library encodes the words.
+    """
+
+    def __init__(self, spec: str):
+        self.ranks: dict[bytes, int] = {}
+        super().__init__(spec)
+        characters = self.characters
+        whole = all(
+            [t.id for t in self.model.tokenize(raw.decode("latin-1").translate(characters))] == [i] for raw, i in self.ranks.items()
+        )
+        self.ranked = (
+            tiktoken.Encoding("ranked", pat_str=_RANKED_PRETOKEN, mergeable_ranks=self.ranks, special_tokens={})
+            if self.ranks and whole
+            else None
+        )
+
+    def _build_tables(self, vocab: dict[str, int], merges: list) -> None:
+        to_byte = byte_characters()
+        merged = [vocab["".join(pair.split(" ") if isinstance(pair, str) else pair)] for pair in merges]
+        own = {token: i for token, i in vocab.items() if token not in self.added}
+        letters = [i for token, i in own.items() if len(token) == 1]
+        in_order = all(a < b for a, b in zip(merged, merged[1:])) and max(letters) < min(merged, default=len(vocab))
+        if in_order and len(letters) == 256 and len(own) == 256 + len(merged):
+            self.ranks = {bytes(map(to_byte.__getitem__, token)): i for token, i in own.items()}
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
+        if self.ranked is None:
+            return super()._encode_plain(texts)
+        return [array("I", self.ranked.encode_ordinary(t)).tobytes() for t in texts]
+
+
 # ------------------------------------------------------------------- Spark
 
 _BUILT: dict[tuple[str, type], Bpe] = {}

@@ -3,8 +3,8 @@
 All token ids, document after document, form one long sequence that is cut
 every ``length`` ids.  Two passes give each document its place:
 
-1. every task tokenizes its documents (words by the tokenizers library, each
-   distinct one once while the worker remembers it) and notes for each the ids its task had
+1. every task tokenizes its documents (by byte-pair ranks, after a test that they say the same as the
+   file's merge list) and notes for each the ids its task had
    before it; the ids are written once to the shared folder;
 2. the tasks' totals are summed up (blocks of tasks first, so no window meets
    more than a thousandth of them), which gives each task's first global
@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from placeseek.llm.bpe import ROWS_AT_ONCE, LibraryBpe, built, share
+from placeseek.llm.bpe import ROWS_AT_ONCE, RankBpe, built, share
 from placeseek.llm.common import map_arrow, slices, stored
 
 #: Tasks whose totals are summed in one window.
@@ -44,7 +44,7 @@ def _tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_c
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, task, at = built(spec, LibraryBpe), TaskContext.get().partitionId(), 0
+        bpe, task, at = built(spec, RankBpe), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
         narrow = max(bpe.width, end_id + 1) <= 1 << 16
         for batch in batches:

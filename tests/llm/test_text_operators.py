@@ -1,6 +1,7 @@
 """Operators 3, 5, 9 and 10 against the tokenizers library and plain loops."""
 
 import hashlib
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -245,3 +246,38 @@ def test_forgotten_words_change_nothing(monkeypatch):
         got = [np.frombuffer(own.encode([t])[0], "<u4").tolist() for t in texts]
         assert got == library
         assert own.chunks.older and len(own.chunks.now) <= 12 + 60
+
+
+def test_ranks_give_the_ids_of_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        spec = f.read()
+    own = bpe.RankBpe(spec)
+    assert own.ranked is not None
+    rnd = random.Random(12)
+    parts = ["the", " the", "'s", "'ll", "  ", "\n", " \n", "\t", "\r\n", "\x85", "\xa0", "\u2003", "\u3000", "\x1c", "é", "Straße", "日本", "١٢", "½", "😀", "e\u0301",
+             "123", " 45", "...", "!?", "<|endoftext|>", "_", "a" * 3000, " " * 700, "\x00", "zzqx", "ization"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 30))) for _ in range(600)] + [None, ""]
+    want = [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [np.frombuffer(raw, "<u4").tolist() for raw in own.encode(texts)] == want
+
+
+def test_files_whose_ranks_and_merges_differ_are_left_to_the_library():
+    characters = list(bpe.byte_characters())
+    vocab = {c: i for i, c in enumerate(characters)}
+    for token in ("ab", "bc", "abc", "abcd"):
+        vocab[token] = len(vocab)
+    cases = {
+        "in order": ["a b", "b c", "ab c", "abc d"],
+        "not in order": ["b c", "a b", "ab c", "abc d"],
+        "one token of two merges": ["a b", "b c", "ab c", "a bc", "abc d"],
+        "never whole": ["a b", "b c", "a bc", "abc d"],
+    }
+    for case, merges in cases.items():
+        spec = json.dumps({"version": "1.0", "added_tokens": [], "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True, "trim_offsets": True},
+                           "model": {"type": "BPE", "vocab": vocab, "merges": merges}})
+        own, library = bpe.RankBpe(spec), Tokenizer.from_str(spec)
+        assert (own.ranked is not None) == (case == "in order"), case
+        texts = ["abcd", "bcab", "abcabc", "aabbcc abc", "", "xabcd bcd"]
+        assert [np.frombuffer(raw, "<u4").tolist() for raw in own.encode(texts)] == [library.encode(t).ids for t in texts], case
