@@ -51,11 +51,14 @@ from placeseek.plans.search import (
     fuzzy_matches,
     fuzzy_search,
     phonetic_matches,
+    register_search_function,
     search_documents,
     store_corpus,
     stored_fuzzy_filter,
     word_corpus,
 )
+from placeseek.plans.ingest import ingest_new, ingested
+from placeseek.plans.sound_table import sound_pairs, store_sound_table, words_like
 from placeseek.plans.word_index import (
     WordIndex,
     build_word_index,
@@ -66,7 +69,8 @@ from placeseek.plans.word_index import (
 from placeseek.plans.shapes import part_as_workbook, states_from_nation
 from placeseek.session import scratch_path, spread
 from placeseek.sinks.index import append_to_index, collect_records, json_lines, register_view, write_json_lines
-from placeseek.sources.files import column_audit, list_files
+from placeseek.sources.blocks import read_workbook_blocks
+from placeseek.sources.files import column_audit, drift_report, list_files
 from placeseek.sources.tables import read_csv_strings, read_table, read_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -387,6 +391,33 @@ def q_sql_udf_call(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------- sources, sinks
 
 
+def q_sql_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search as a table function over a registered corpus, called in SQL."""
+    register_view(_doc_words(spark, sf_dir), "doc_words_view")
+    register_search_function(spark, "doc_words_view", ["doc_id", "lang"])
+    return spark.sql(f"SELECT doc_id, palavras FROM fuzzy_words('{DOC_SEARCH}') WHERE lang <> 'de'")
+
+
+def _sound_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Words of the documents and of the parts' names as bucketed tables."""
+    parts = _t(spark, sf_dir, "part").select(explode_words("p_name").alias("palavras"))
+    names = []
+    for label, words in (("docs", _doc_words(spark, sf_dir)), ("parts", parts)):
+        path = scratch_path(spark, f"sound-{label}")
+        names.append("sound_" + path.rsplit("-", 1)[1])
+        store_sound_table(words, names[-1], path, buckets=16)
+    return names[0], names[1]
+
+
+def q_sound_pairs_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents and of part names that sound alike, from tables bucketed by code."""
+    return sound_pairs(spark, *_sound_tables(spark, sf_dir)).select("left_word", "left_n", "right_word")
+
+
+def q_sound_search_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return words_like(spark, _sound_tables(spark, sf_dir)[0], SOUND_SEARCH).select("word", "n")
+
+
 def q_view_select_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_view(_t(spark, sf_dir, "customer"), "cities_view")
     return read_view(spark, "cities_view")
@@ -497,6 +528,35 @@ def q_excel_empty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_excel(spark, folder, schema)
 
 
+def q_excel_scan_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers in one workbook, read by as many tasks as it has blocks."""
+    folder = scratch_path(spark, "one-xlsx")
+    write_workbooks(_t(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS).coalesce(1), folder)
+    schema = StructType([StructField(n, StringType(), True) for n in CUSTOMER_COLUMNS])
+    return read_workbook_blocks(spark, folder, schema, block_rows=1000)
+
+
+def q_excel_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over a growing folder: the second reads the new workbooks only, the third none."""
+    folder, store = scratch_path(spark, "ingest-xlsx"), scratch_path(spark, "ingested")
+    schema = StructType([StructField(n, StringType(), True) for n in CUSTOMER_COLUMNS])
+    for part in (F.col("c_custkey") % 3 == 0, F.col("c_custkey") % 3 != 0):
+        write_workbooks(_customers(spark, sf_dir).where(part), folder)
+        ingest_new(spark, folder, store, schema)
+    ingest_new(spark, folder, store, schema)
+    return ingested(spark, store, schema)
+
+
+def q_file_drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the headers of some workbooks depart from the commonest."""
+    folder = _customer_workbooks(spark, sf_dir)
+    first, second, *others = CUSTOMER_COLUMNS
+    write_workbooks(_customers(spark, sf_dir).select(second, first, *others), folder)
+    suppliers = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    write_workbooks(suppliers.repartition(SUPPLIER_TASKS, "s_suppkey"), folder)
+    return drift_report(column_audit(spark, folder)).select("change", "column", "expected", "found").distinct()
+
+
 def q_excel_list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = list_files(spark, _customer_workbooks(spark, sf_dir))
     # one workbook per segment and task
@@ -661,4 +721,10 @@ QUERIES: dict[str, Query] = {
     "fuzzy_thousand_terms_indexed": q_fuzzy_thousand_terms_indexed,
     "fuzzy_search_table_indexed": q_fuzzy_search_table_indexed,
     "phonetic_thousand_pairs": q_phonetic_thousand_pairs,
+    "sql_table_function": q_sql_table_function,
+    "sound_pairs_bucketed": q_sound_pairs_bucketed,
+    "sound_search_bucketed": q_sound_search_bucketed,
+    "excel_scan_blocks": q_excel_scan_blocks,
+    "excel_ingest": q_excel_ingest,
+    "file_drift_report": q_file_drift_report,
 }

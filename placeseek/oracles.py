@@ -310,3 +310,24 @@ ORACLES["phonetic_thousand_pairs"] = (
     f"t AS (SELECT term, {sql_soundex('term')} AS code FROM ({_THOUSAND})) "
     "SELECT palavras, term AS parameters FROM w JOIN t ON w.code = t.code WHERE w.code <> ''"
 )
+ORACLES["sql_table_function"] = (
+    f"SELECT w.doc_id, w.palavras FROM ({_words('doc_id, lang')}) w WHERE w.lang <> 'de' "
+    f"AND EXISTS (SELECT 1 FROM ({_terms('erblest therouou')}) t WHERE {sql_distance_below('w.palavras', 't.term')})"
+)
+_CODED_WORDS = f"SELECT palavras, count(*) AS n, {sql_soundex('palavras')} AS code FROM ({_words('doc_id')}) GROUP BY palavras"
+_CODED_NAMES = f"SELECT word, {sql_soundex('word')} AS code FROM (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part)"
+ORACLES["sound_pairs_bucketed"] = (
+    f"SELECT a.palavras AS left_word, a.n AS left_n, b.word AS right_word FROM ({_CODED_WORDS}) a JOIN ({_CODED_NAMES}) b "
+    "ON a.code = b.code WHERE a.code <> ''"
+)
+ORACLES["sound_search_bucketed"] = (
+    f"SELECT palavras AS word, n FROM ({_CODED_WORDS}) WHERE code <> '' AND code IN "
+    f"(SELECT {sql_soundex('term')} FROM ({_terms('erblest therouou')}))"
+)
+ORACLES["excel_scan_blocks"] = ORACLES["excel_ingest"] = _CUSTOMER_TEXT
+_CUSTOMER_HEADER, _SUPPLIER_HEADER = _columns_of("customer", "c_acctbal"), _columns_of("supplier", "s_acctbal")
+ORACLES["file_drift_report"] = (
+    f"SELECT 'missing' AS change, \"column\", ordinal AS expected, CAST(NULL AS INTEGER) AS found FROM ({_CUSTOMER_HEADER}) "
+    f"UNION ALL SELECT 'inserted', \"column\", NULL, ordinal FROM ({_SUPPLIER_HEADER}) "
+    f"UNION ALL SELECT 'moved', \"column\", ordinal, 1 - ordinal FROM ({_CUSTOMER_HEADER}) WHERE ordinal < 2"
+)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeseek.functions.distance import near_any
@@ -137,3 +137,22 @@ def stored_fuzzy_filter(
     if not terms:
         return stored.limit(0)
     return stored.filter(length_bands(LENGTH_COL, terms, limit)).filter(near_any(word_col, terms, limit))
+
+
+def register_search_function(
+    spark: SparkSession, view: str, cols: Sequence[str], name: str = "fuzzy_words", word_col: str = WORD_COL,
+    limit: int = DISTANCE_LIMIT,
+) -> None:
+    """UDF1 + JON3: the search as a table function in SQL, ``SELECT * FROM fuzzy_words('text')``.
+
+    Its body is the distance test over the corpus registered as ``view``, in built-in expressions, so a query
+    around it is planned as one: its own filters and columns reach the scan of the corpus.
+    """
+    types = {f.name: f.dataType.simpleString() for f in spark.table(view).schema.fields}
+    returned = ", ".join(f"`{c}` {types[c]}" for c in [*cols, word_col])
+    near = f"abs(length(`{word_col}`) - length(t)) < {limit} AND levenshtein(`{word_col}`, t, {limit - 1}) >= 0"
+    columns = ", ".join(f"`{c}`" for c in [*cols, word_col])
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(search STRING) RETURNS TABLE ({returned}) "
+        f"RETURN SELECT {columns} FROM `{view}` WHERE exists(split({name}.search, '\\\\s+'), t -> {near})"
+    )

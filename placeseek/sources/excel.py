@@ -17,7 +17,7 @@ import io
 import posixpath
 import re
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from xml.etree import ElementTree as ET
 
 import pyarrow as pa
@@ -35,25 +35,34 @@ _REL_NS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 # ----------------------------------------------------------------- files
 
 
-def workbook_files(spark: SparkSession, path: str) -> DataFrame:
+def workbook_files(spark: SparkSession, path: str, only: DataFrame | None = None) -> DataFrame:
     """``path`` and ``content`` of the workbooks that ``path`` names: a file, a glob,
     or a folder (its ``.xlsx`` files in any case, not those of folders below it).
     A name with glob characters that matches nothing is taken literally.
     Naming no existing file is an error; a folder without workbooks is an empty table."""
 
-    def load(pattern: str) -> DataFrame:
+    def load(pattern: str | list[str]) -> DataFrame:
         reader = spark.read.format("binaryFile").option("recursiveFileLookup", "false")
         return reader.load(pattern).select("path", "content")
 
     try:
-        files = load(path)
+        if only is None:
+            files = load(path)
+        else:  # as many paths as the driver lists anyway
+            paths = [_literal(r[0]) for r in only.select("path").collect()]
+            files = load(paths) if paths else load(path).limit(0)
     except AnalysisException as err:
         if err.getCondition() != "PATH_NOT_FOUND" or not re.search(r"[\[\]{}*?]", path):
             raise
-        files = load(re.sub(r"([\[\]{}*?])", r"\\\1", path))
+        files = load(_literal(path))
     return files.where(files["path"].rlike(r"(?i)\.xlsx$"))
 
 
+def _literal(path: str) -> str:
+    """A pattern that matches ``path`` alone."""
+    return re.sub(r"([\[\]{}*?])", r"\\\1", path)
+
+
 # ----------------------------------------------------------------- parsing
 
 
@@ -105,7 +114,7 @@ _ROW, _CELL, _VALUE = _tags("row"), _tags("c"), _tags("v")
 _SHARED_ITEM = _tags("si")
 
 
-class _SharedStrings:
+class SharedStrings:
     """The shared-string table, parsed only as far as the cells read need.
 
     Strings are numbered in order of first use, so reading a header or a
@@ -131,7 +140,7 @@ class _SharedStrings:
         return self._items[i]
 
 
-def _first_sheet(z: zipfile.ZipFile) -> str:
+def first_sheet(z: zipfile.ZipFile) -> str:
     names = set(z.namelist())
     try:
         wb = ET.fromstring(z.read("xl/workbook.xml"))
@@ -154,7 +163,7 @@ def _first_sheet(z: zipfile.ZipFile) -> str:
     return sheets[0]
 
 
-def _cell_value(c, kind: str, strings: _SharedStrings):
+def _cell_value(c, kind: str, strings: SharedStrings):
     v = None
     for x in c:
         if x.tag in _VALUE:
@@ -174,6 +183,26 @@ def _cell_value(c, kind: str, strings: _SharedStrings):
     return float(v) if v not in (None, "") else None
 
 
+def is_row(el) -> bool:
+    return el.tag in _ROW
+
+
+def row_cells(el, strings: Mapping[int, str] | SharedStrings) -> dict[int, object]:
+    """The values of a row element by column index."""
+    cells: dict[int, object] = {}
+    nxt = 0
+    for c in el:
+        if c.tag not in _CELL:
+            continue
+        ref = c.get("r")
+        idx = _col_index(ref) if ref else nxt
+        nxt = idx + 1
+        val = _cell_value(c, c.get("t", "n"), strings)
+        if val is not None:
+            cells[idx] = val
+    return cells
+
+
 def sheet_rows(content: bytes) -> Iterator[dict[int, object]]:
     """Rows of the first sheet as ``{column index: value}``, a row without a value
     as an empty dict.  Values: ``str``, ``float`` or ``bool``.
@@ -182,24 +211,13 @@ def sheet_rows(content: bytes) -> Iterator[dict[int, object]]:
     cleared, so memory holds one row (plus an empty shell per row read).
     """
     with zipfile.ZipFile(io.BytesIO(content)) as z:
-        strings = _SharedStrings(z)
-        with z.open(_first_sheet(z)) as f:
+        strings = SharedStrings(z)
+        with z.open(first_sheet(z)) as f:
             for _, el in ET.iterparse(f, events=("end",)):
-                if el.tag not in _ROW:
-                    continue
-                cells: dict[int, object] = {}
-                nxt = 0
-                for c in el:
-                    if c.tag not in _CELL:
-                        continue
-                    ref = c.get("r")
-                    idx = _col_index(ref) if ref else nxt
-                    nxt = idx + 1
-                    val = _cell_value(c, c.get("t", "n"), strings)
-                    if val is not None:
-                        cells[idx] = val
-                el.clear()
-                yield cells
+                if is_row(el):
+                    cells = row_cells(el, strings)
+                    el.clear()
+                    yield cells
 
 
 def header_names(cells: dict[int, object]) -> list[str]:
@@ -243,7 +261,7 @@ def _boolean(v: object) -> bool | None:
     return {"true": True, "false": False}.get(v.strip().lower()) if isinstance(v, str) else None
 
 
-def _converter(kind: DataType, empty_as_null: bool) -> Callable[[object], object]:
+def converter(kind: DataType, empty_as_null: bool) -> Callable[[object], object]:
     known = {StringType: text, IntegerType: _whole(31), LongType: _whole(63), DoubleType: _number, BooleanType: _boolean}
     if type(kind) not in known:
         raise ValueError(f"workbook columns can be string, int, long, double or boolean, not {kind.simpleString()}")
@@ -251,11 +269,14 @@ def _converter(kind: DataType, empty_as_null: bool) -> Callable[[object], object
     return lambda v: missing if v is None else make(v)
 
 
-def read_workbooks(spark: SparkSession, path: str, schema: StructType, empty_as_null: bool = False) -> DataFrame:
-    """The rows of all workbooks that ``path`` names (see ``workbook_files``)."""
+def read_workbooks(
+    spark: SparkSession, path: str, schema: StructType, empty_as_null: bool = False, only: DataFrame | None = None
+) -> DataFrame:
+    """The rows of all workbooks that ``path`` names (see ``workbook_files``); with ``only`` (a table of
+    ``path``), of those among them, the others unopened."""
     ship_package(spark)
     arrow = to_arrow_schema(schema)
-    converters = [_converter(f.dataType, empty_as_null) for f in schema.fields]
+    converters = [converter(f.dataType, empty_as_null) for f in schema.fields]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,4 +292,4 @@ def read_workbooks(spark: SparkSession, path: str, schema: StructType, empty_as_
                         columns = [[] for _ in converters]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    return workbook_files(spark, path).mapInArrow(step, schema)
+    return workbook_files(spark, path, only).mapInArrow(step, schema)

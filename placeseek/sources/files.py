@@ -71,6 +71,36 @@ def column_audit(spark: SparkSession, folder: str, suffix: str = ".xlsx") -> Dat
     return files.mapInArrow(step, AUDIT_SCHEMA)
 
 
+def drift_report(audit: DataFrame) -> DataFrame:
+    """SRC6/PIPE7: how each file's header departs from the commonest one (of equally common ones, the
+    shortest, then the last in order).
+
+    From the rows of ``column_audit``: ``path``, ``file``, ``change``, ``column``, ``expected`` and ``found``
+    (ordinals).  A column of the commonest header that a file lacks is ``missing``, one that only the file has
+    ``inserted``; of the columns of both, one that stands in another order among them is ``moved``.
+    Files without departures have no rows.
+    """
+    cells = F.sort_array(F.collect_list(F.struct("ordinal", "column")))
+    headers = audit.groupBy("path", "file").agg(F.transform(cells, lambda c: c["column"]).alias("header"))
+    usual = headers.groupBy("header").agg(F.count(F.lit(1)).alias("n"))
+    # one header comes to the driver
+    usual = usual.agg(F.max_by("header", F.struct("n", F.negative(F.size("header")), "header"))).first()[0]
+    both = headers.withColumn("usual", F.lit(usual or []).cast("array<string>"))
+    place = lambda columns, c: (F.array_position(columns, c) - 1).cast("int")
+    change = lambda kind, c: F.struct(
+        F.lit(kind).alias("change"), c.alias("column"), F.nullif(place(F.col("usual"), c), F.lit(-1)).alias("expected"),
+        F.nullif(place(F.col("header"), c), F.lit(-1)).alias("found"),
+    )
+    shared = lambda a, b: F.array_intersect(a, b)
+    old, new = shared(F.col("usual"), F.col("header")), shared(F.col("header"), F.col("usual"))
+    changes = F.concat(
+        F.transform(F.array_except("usual", "header"), lambda c: change("missing", c)),
+        F.transform(F.array_except("header", "usual"), lambda c: change("inserted", c)),
+        F.transform(F.filter(old, lambda c: F.array_position(old, c) != F.array_position(new, c)), lambda c: change("moved", c)),
+    )
+    return both.select("path", "file", F.inline(changes))
+
+
 def _type_stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per workbook and column (those beyond the header too): how many cells hold
     a value, a number and a boolean (the whole sheet is read, one row at a time)."""
