@@ -3,10 +3,11 @@
 ``store_pages`` range-sorts a table over all its columns (``order_by`` first), writes each range as
 a folder of its own with every row's number in it, and next to it a small
 table of the ranges: rows, rows before, first and last key.  A page is then a literal
-condition on folder and row number, which Spark turns into the folders and row groups to read.  A cursor (the key of the last
+condition on folder and row number, and only the folders that hold it are listed and read.  A cursor (the key of the last
 row seen) finds its range by the stored bounds and goes on from there, however deep.
 
-Rows that are equal in every column fall into one range; equal keys alone do not.
+A task sorts ``SORT_ROWS`` rows and cuts them into ranges, so the rows sampled for the sort and
+the tasks follow the rows, not the number of ranges.  Equal rows may lie in two ranges.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 RANGE_ROWS = 1_000_000
 #: Ranges, at most.
 MAX_RANGES = 10_000
+#: Rows that a task sorts, on average, where ranges are smaller than that.
+SORT_ROWS = 500_000
 _RANGE, _ROW = "_range", "_row"
 
 
@@ -38,9 +41,17 @@ class StoredPages:
     def columns(self) -> list[str]:
         return self.schema.names
 
+    @property
+    def _stored_schema(self) -> StructType:
+        return StructType([*self.schema.fields, StructField(_ROW, LongType()), StructField(_RANGE, IntegerType())])
+
     def rows(self, spark: SparkSession) -> DataFrame:
-        own = StructType([*self.schema.fields, StructField(_ROW, LongType()), StructField(_RANGE, IntegerType())])
-        return spark.read.schema(own).parquet(f"{self.path}/rows")
+        return spark.read.schema(self._stored_schema).parquet(f"{self.path}/rows")
+
+    def rows_of(self, spark: SparkSession, ranges: Sequence[int]) -> DataFrame:
+        """``rows`` of the folders of ``ranges`` (one at least); the others are not even listed."""
+        reader = spark.read.schema(self._stored_schema).option("basePath", f"{self.path}/rows")
+        return reader.parquet(*[f"{self.path}/rows/{_RANGE}={r}" for r in ranges])
 
     def ranges(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/ranges")
@@ -56,10 +67,17 @@ def store_pages(df: DataFrame, path: str, order_by: Sequence[str] | None = None,
     n = df.count()
     ranges = max(1, min(MAX_RANGES, -(-n // range_rows)))
     order = [F.col(f"`{c}`") for c in pages.total_order]
-    ranged = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    tasks = min(ranges, max(df.sparkSession.sparkContext.defaultParallelism, -(-n // SORT_ROWS)))
+    ranged = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     # monotonically_increasing_id = partition id << 33 | row number in partition
     row = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
-    ranged.withColumn(_RANGE, F.spark_partition_id()).withColumn(_ROW, row).write.partitionBy(_RANGE).parquet(f"{path}/rows")
+    ranged = ranged.withColumn(_ROW, row).withColumn(_RANGE, F.spark_partition_id())
+    if tasks < ranges:
+        # a task's rows are cut at every range_rows; its last range may be short, so a range for each task is kept back
+        per_range = max(range_rows, -(-n // (MAX_RANGES - tasks)))
+        ranged = ranged.withColumn(_RANGE, (F.col(_RANGE) * MAX_RANGES + F.floor(F.col(_ROW) / per_range)).cast("int"))
+        ranged = ranged.withColumn(_ROW, F.col(_ROW) % per_range)
+    ranged.write.partitionBy(_RANGE).parquet(f"{path}/rows")
 
     key = F.struct(*[f"`{c}`" for c in pages.order_by])
     bounds = pages.rows(df.sparkSession).groupBy(_RANGE).agg(
@@ -72,8 +90,10 @@ def store_pages(df: DataFrame, path: str, order_by: Sequence[str] | None = None,
     return pages
 
 
-def _picked(spark: SparkSession, pages: StoredPages, condition: Column) -> DataFrame:
-    return pages.rows(spark).where(condition).select(*[f"`{c}`" for c in pages.columns])
+def _picked(spark: SparkSession, pages: StoredPages, ranges: Sequence[int], condition: Column) -> DataFrame:
+    if not ranges:
+        return spark.createDataFrame([], pages.schema)
+    return pages.rows_of(spark, ranges).where(condition).select(*[f"`{c}`" for c in pages.columns])
 
 
 def stored_page(spark: SparkSession, pages: StoredPages, page: int, size: int) -> DataFrame:
@@ -83,15 +103,15 @@ def stored_page(spark: SparkSession, pages: StoredPages, page: int, size: int) -
     start, end = (page - 1) * size, page * size
     held = pages.ranges(spark).where((F.col("before") < end) & (F.col("before") + F.col("rows") > start))
     # the ranges of one page: few rows, MAX_RANGES at most
-    condition = F.lit(False)
-    for r in held.select(_RANGE, "before", "rows").collect():
+    condition, held = F.lit(False), held.select(_RANGE, "before", "rows").collect()
+    for r in held:
         own = F.col(_RANGE) == r[_RANGE]
         if start > r["before"]:
             own &= F.col(_ROW) >= start - r["before"]
         if end < r["before"] + r["rows"]:
             own &= F.col(_ROW) < end - r["before"]
         condition |= own
-    return _picked(spark, pages, condition).orderBy(*[F.col(f"`{c}`") for c in pages.total_order])
+    return _picked(spark, pages, [r[_RANGE] for r in held], condition).orderBy(*[F.col(f"`{c}`") for c in pages.total_order])
 
 
 def rows_after(spark: SparkSession, pages: StoredPages, cursor: Sequence[Any], size: int) -> DataFrame:
@@ -102,8 +122,7 @@ def rows_after(spark: SparkSession, pages: StoredPages, cursor: Sequence[Any], s
     """
     if len(cursor) != len(pages.order_by):
         raise ValueError(f"the cursor needs a value for each of {', '.join(pages.order_by)}")
-    rows = pages.rows(spark)
-    types = {f.name: f.dataType for f in rows.schema.fields}
+    types = {f.name: f.dataType for f in pages.schema.fields}
     at = F.struct(*[F.lit(v).cast(types[c]).alias(c) for v, c in zip(cursor, pages.order_by)])
     left = pages.ranges(spark).where(F.col("last_key") > at).select(_RANGE, "rows", (F.col("first_key") > at).alias("whole"))
     # only the first of these ranges can hold rows up to the cursor; it counts for none
@@ -114,4 +133,4 @@ def rows_after(spark: SparkSession, pages: StoredPages, cursor: Sequence[Any], s
     ids = [r[0] for r in needed.select(_RANGE).collect()]  # MAX_RANGES at most
     order = [F.col(f"`{c}`") for c in pages.total_order]
     key = F.struct(*[F.col(f"`{c}`") for c in pages.order_by])
-    return _picked(spark, pages, F.col(_RANGE).isin(ids) & (key > at)).orderBy(*order).limit(size)
+    return _picked(spark, pages, ids, F.col(_RANGE).isin(ids) & (key > at)).orderBy(*order).limit(size)

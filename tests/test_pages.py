@@ -110,3 +110,25 @@ def test_empty_table_and_clashing_names(spark, tmp_dir):
     odd = spark.createDataFrame([(2, "x"), (1, "y")], "`a b` int, `rows` string")
     stored = store_pages(odd, tmp_dir + "/odd", ["a b"])
     assert [tuple(r) for r in stored_page(spark, stored, 1, 10).collect()] == [(1, "y"), (2, "x")]
+
+
+def test_sort_tasks_follow_the_rows_not_the_ranges(spark, tmp_dir, monkeypatch):
+    """The rows sampled for the sort, the tasks and the listing of a page do not grow with the number of ranges."""
+    from placeseek.operators import pages as module
+
+    asked = []
+    plain = type(spark.range(0)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(0)), "repartitionByRange", lambda self, n, *c: (asked.append(n), plain(self, n, *c))[1])
+    monkeypatch.setattr(module, "MAX_RANGES", 200)
+    df = spark.range(3000).select((F.col("id") % 7).alias("grp"), F.expr("IF(id < 1000, 5, id)").alias("k"), F.lit("x").alias("v"))
+    stored = store_pages(df, tmp_dir + "/pages", ["grp", "k"], range_rows=10)
+    parallel = spark.sparkContext.defaultParallelism
+    assert asked == [parallel]
+    sizes = [r["rows"] for r in stored.ranges(spark).collect()]
+    assert sum(sizes) == 3000 and len(sizes) <= 200 and max(sizes) <= -(-3000 // (200 - parallel))
+    want = [tuple(r) for r in df.orderBy("grp", "k", "v").collect()]
+    second = stored_page(spark, stored, 12, 25)
+    assert [tuple(r) for r in second.collect()] == want[275:300]
+    assert len(second.inputFiles()) <= 4 < len(stored.rows(spark).inputFiles())  # not even listed
+    after = [tuple(r) for r in rows_after(spark, stored, (5, 2991), 40).collect()]
+    assert after == [r for r in want if r[:2] > (5, 2991)][:40]
