@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,6 +21,11 @@ from pyspark.sql import functions as F
 from placeseek.functions.text import ColumnLike, _col
 
 
+#: Characters of a word's beginning whose deletions are kept: a bound on the
+#: neighbours of a word, however long it is.
+PREFIX = 8
+
+
 def within_distance(word: ColumnLike, term: Column | str, limit: int) -> Column:
     """``edit_distance(word, term) < limit`` in its bounded, exact form.
 
@@ -65,3 +71,20 @@ def near_any(word: ColumnLike, terms: Sequence[str], limit: int) -> Column:
     w = _col(word)
     hit = F.exists(candidates(w, list(dict.fromkeys(terms)), limit), lambda t: F.levenshtein(w, t, limit - 1) >= 0)
     return F.coalesce(hit, F.lit(False))
+
+
+def deletions(word: Column, edits: int) -> Column:
+    """The distinct rests of the first ``PREFIX`` characters of ``word`` after up to ``edits`` deletions (null: none).
+
+    Words within ``edits`` edits share one: an alignment of the two words deletes at most ``edits`` characters
+    of either beginning; if the beginnings do not end at the same place of it, what one of them has too much is
+    among the deletions still left to it.  Each rest is written out as the pieces that stay.
+    """
+    rests = []
+    for k in range(min(edits, PREFIX) + 1):
+        for gone in combinations(range(PREFIX), k):
+            starts, ends = [0, *[g + 1 for g in gone]], [*gone, PREFIX]
+            pieces = [F.substring(word, a + 1, b - a) for a, b in zip(starts, ends) if b > a]
+            rest = F.concat(F.lit(""), *pieces)
+            rests.append(F.when(F.length(word) > gone[-1], rest) if gone else rest)
+    return F.array_distinct(F.array_compact(F.array(*rests)))

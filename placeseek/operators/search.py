@@ -1,8 +1,8 @@
 """Word matching (JON3, JON4, FLT1, FLT2).
 
 The terms of one search text are literals: each word row looks up the terms
-that its length allows and is tested in place (no shuffle, no broadcast), in the
-same form for any number of terms.  A table of searches is an equi-join:
+that its length allows and is tested in place (no shuffle, no broadcast).  Many terms are a
+small table: each distinct word meets those it shares a rest with, and the rows are picked by the words found.  A table of searches is an equi-join:
 ``fuzzy_join`` meets words and terms on pieces that two texts within the
 distance must share.
 """
@@ -17,12 +17,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeseek.functions.distance import candidates, near_any
+from placeseek.functions.distance import candidates, deletions, near_any, within_distance
 from placeseek.functions.phonetic import soundex_code
 from placeseek.functions.text import explode_words, split_terms
+from placeseek.operators.joins import DEFAULT_BROADCAST_ROWS, is_small
+from placeseek.session import stored
 
 # Fixed value: the reference keeps words at distance < 3 from a term.
 DISTANCE_LIMIT = 3
+#: More terms than this are not tested against every row.
+MANY_TERMS = 32
+#: Terms whose rests one search broadcasts.
+BROADCAST_TERMS = 5_000
 _HAS_LETTER = re.compile("[A-Za-z]")
 
 
@@ -38,8 +44,35 @@ def fuzzy_filter(
     terms are OR-ed, the search ``''`` (or a leading/trailing blank) adds
     the term ``''``, a null search text matches nothing.
     """
-    terms = split_terms(text)
-    return words.filter(near_any(word_col, terms, limit))
+    return rows_near(words, split_terms(text), word_col, limit)
+
+
+def rows_near(words: DataFrame, terms: Sequence[str], word_col: str, limit: int) -> DataFrame:
+    """Rows whose word is within ``limit - 1`` edits of one of ``terms``.
+
+    A few terms are tested in place.  With many, a word that occurs in a thousand rows is looked at
+    once, and tested only against the terms it shares a rest with; the words found are written
+    and the rows joined to them (by broadcast if they are measured as small).
+    """
+    terms = list(dict.fromkeys(terms))
+    if len(terms) <= MANY_TERMS or limit <= 0 or words.isStreaming:
+        return words.filter(near_any(word_col, terms, limit))
+    known = words.select(F.col(word_col).alias("_near")).distinct()
+    found = stored(_near_words(known, terms, limit), "near-words")
+    if is_small(found, DEFAULT_BROADCAST_ROWS):
+        found = F.broadcast(found)
+    return words.join(found, F.col(word_col) == F.col("_near"), "left_semi")
+
+
+def _near_words(known: DataFrame, terms: Sequence[str], limit: int) -> DataFrame:
+    """Those of the distinct words ``known`` (``_near``) that are within ``limit - 1`` edits of one of ``terms``."""
+    one = known.sparkSession.range(1)
+    asked = one.select(F.explode(F.from_json(F.lit(json.dumps(list(terms))), "array<string>")).alias("_term"))
+    asked = asked.select("_term", F.explode(deletions(F.col("_term"), limit - 1)).alias("_rest"))
+    if len(terms) <= BROADCAST_TERMS:
+        asked = F.broadcast(asked)
+    met = known.select("_near", F.explode(deletions(F.col("_near"), limit - 1)).alias("_rest")).join(asked, "_rest")
+    return met.where(within_distance("_near", F.col("_term"), limit)).select("_near").distinct()
 
 
 def length_bands(length_col: str, terms: Sequence[str], limit: int = DISTANCE_LIMIT) -> Column:

@@ -163,3 +163,26 @@ def test_many_terms_on_stored_corpus_and_by_sound(spark, tmp_dir):
     own = {r.id: r.c for r in words.select("id", F.soundex(F.regexp_replace("palavras", "[^A-Za-z]", "")).alias("c")).collect()}
     assert sorted(pairs) == sorted((i, t) for i, c in own.items() for t in terms if c and codes[t] == c)
     assert pairs.count((-1, "Robert")) == 2
+
+
+def _odd_words(spark):
+    import random
+
+    rnd = random.Random(11)
+    some = ["".join(rnd.choice("ab é😀") for _ in range(rnd.randint(0, 12))) for _ in range(300)] + ["", None, "ab", "ab"]
+    rows = [(i % 90, w) for i, w in enumerate(some * 3)]
+    terms = ["".join(rnd.choice("abé😀") for _ in range(rnd.randint(1, 11))) for _ in range(60)]
+    return spark.createDataFrame(rows, "id int, palavras string"), " " + " ".join([*terms, terms[0]])
+
+
+def test_many_terms_are_not_tested_against_every_row(spark):
+    from placeseek.functions.distance import near_any
+    from placeseek.functions.text import split_terms
+
+    words, text = _odd_words(spark)
+    for limit in (0, 1, 2, 3, 4):
+        got, want = fuzzy_filter(words, text, limit=limit), words.filter(near_any("palavras", split_terms(text), limit))
+        assert got.columns == words.columns
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty(), limit
+        assert (limit == 0) == got.isEmpty()
+    assert "levenshtein" not in fuzzy_filter(words, text)._jdf.queryExecution().executedPlan().toString()
