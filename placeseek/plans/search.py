@@ -7,12 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeseek.functions.distance import near_any
 from placeseek.functions.text import explode_words, search_text, split_terms
 from placeseek.operators.aggregate import distinct_rows
 from placeseek.operators.limit import page_of_rows
 from placeseek.operators.project import RECORD_FIELDS, rename_columns, to_city_record
-from placeseek.operators.search import DISTANCE_LIMIT, fuzzy_filter, length_bands, phonetic_filter
+from placeseek.operators.search import DISTANCE_LIMIT, fuzzy_filter, length_bands, phonetic_filter, rows_near
 
 # Country-workbook headers, their names in the corpus, and
 # the columns of the search text (in order).
@@ -136,7 +135,7 @@ def stored_fuzzy_filter(
     terms = list(dict.fromkeys(split_terms(text)))
     if not terms:
         return stored.limit(0)
-    return stored.filter(length_bands(LENGTH_COL, terms, limit)).filter(near_any(word_col, terms, limit))
+    return rows_near(stored.filter(length_bands(LENGTH_COL, terms, limit)), terms, word_col, limit)
 
 
 def register_search_function(

@@ -186,3 +186,16 @@ def test_many_terms_are_not_tested_against_every_row(spark):
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty(), limit
         assert (limit == 0) == got.isEmpty()
     assert "levenshtein" not in fuzzy_filter(words, text)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_terms_on_a_stored_corpus_are_not_tested_against_every_row(spark, tmp_dir):
+    from placeseek.plans.search import store_corpus, stored_fuzzy_filter
+
+    words, text = _odd_words(spark)
+    store_corpus(words, tmp_dir + "/c")
+    stored = spark.read.parquet(tmp_dir + "/c")
+    found = stored_fuzzy_filter(stored, text)
+    got, want = found.select(*words.columns), fuzzy_filter(words, text)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and want.count() > 100
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "levenshtein" not in plan and "LessThanOrEqual(wlen" in plan
