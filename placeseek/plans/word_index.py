@@ -14,19 +14,23 @@ corpus is indexed once, under one folder:
 
 ``postings`` and ``neighbours`` are partitioned into folders by a hash of what they are looked up
 by: a search reads the folders of what it found, and the corpus itself is not read.
+
+A word's id is a hash of it (with a seed found to give no two words the same), so rows and
+neighbours are dealt to their folders without a join or a sort of all of them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeseek.functions.distance import near_any
+from placeseek.functions.distance import PREFIX, deletions, near_any
 from placeseek.functions.text import explode_words, split_terms
-from placeseek.operators.joins import BROADCAST_BYTES, expand
+from placeseek.operators.joins import BROADCAST_BYTES, expand, is_small
 from placeseek.operators.search import DISTANCE_LIMIT, length_bands
 from placeseek.plans.search import WORD_COL
 from placeseek.session import fits_for_broadcast, stored
@@ -34,9 +38,9 @@ from placeseek.session import fits_for_broadcast, stored
 #: Rows of one posting block (on average), and folders of the postings and neighbours.
 POSTING_ROWS = 4096
 INDEX_PARTS = 64
-#: Characters of a word's beginning whose deletions are kept: a bound on the
-#: neighbours of a word, however long it is.
-PREFIX = 8
+#: Rows of one file of a folder (on average), and blocks of one word that go to the same file.
+FILE_ROWS = 2_000_000
+FILE_BLOCKS = 64
 #: Words, or neighbours of terms, that one search may broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -62,27 +66,6 @@ class WordIndex:
         return spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
 
-def _one_less(x: Column) -> Column:
-    """What is left of a text without one of its characters."""
-    at = F.sequence(F.lit(1), F.greatest(F.length(x), F.lit(1)))
-    return F.transform(at, lambda i: F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.length(x))))
-
-
-def deletions(word: Column, edits: int) -> Column:
-    """The distinct rests of the first ``PREFIX`` characters of ``word`` after up to ``edits`` deletions.
-
-    Words within ``edits`` edits share one: an alignment of the two words deletes at most ``edits`` characters
-    of either beginning; if the beginnings do not end at the same place of it, what one of them has too much is
-    among the deletions still left to it.
-    """
-    level = F.array(F.substring(word, 1, PREFIX))
-    levels = [level]
-    for _ in range(edits):
-        level = F.array_distinct(F.flatten(F.transform(level, _one_less)))
-        levels.append(level)
-    return F.array_distinct(F.concat(*levels))
-
-
 def _neighbour_key(rest: Column, length: Column) -> Column:
     return F.xxhash64(rest, length.cast("int"))
 
@@ -102,27 +85,58 @@ def build_word_index(
     rows = corpus.where(F.col(word_col).isNotNull()).select(F.col(word_col).alias("word"), F.struct(*keys).alias("row"))
     rows = stored(rows.groupBy("word", "row").agg(F.count(F.lit(1)).alias("times")), "word-rows")
 
-    words = rows.groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn("wlen", F.length("word"))
-    words = words.repartitionByRange("wlen", "word").sortWithinPartitions("wlen", "word")
-    words.withColumn("word_id", F.monotonically_increasing_id()).write.parquet(f"{path}/words")
+    counts = stored(rows.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word-counts")
+    seed, n_words, n_rows = _free_seed(counts)
+    words = counts.select("word", "n", F.length("word").alias("wlen"), _word_id(F.col("word"), seed).alias("word_id"))
+    words.repartitionByRange("wlen", "word").sortWithinPartitions("wlen", "word").write.parquet(f"{path}/words")
     words = index.table(spark, "words")
 
-    part_of = lambda c: F.pmod(F.xxhash64(c), F.lit(parts)).cast("int").alias("part")
-    block = F.pmod(F.xxhash64("row"), F.ceil(F.col("n") / posting_rows)).alias("block")
-    blocks = rows.join(words.select("word", "word_id", "n"), "word").select("word_id", block, "row", "times")
-    blocks = blocks.groupBy("word_id", "block").agg(F.collect_list(F.struct("row.*", "times")).alias("entries"))
-    _write_parts(blocks.withColumn("part", part_of("word_id")), f"{path}/postings", "word_id", "block")
+    # a row has its word's id without a join; only words of several blocks are looked up
+    hot = words.where(F.col("n") > posting_rows).select("word_id", F.ceil(F.col("n") / posting_rows).alias("_blocks"))
+    if is_small(hot, BROADCAST_ROWS):
+        hot = F.broadcast(hot)
+    listed = rows.select(_word_id(F.col("word"), seed).alias("word_id"), "row", "times").join(hot, "word_id", "left")
+    listed = listed.withColumn("block", F.pmod(F.xxhash64("row"), F.coalesce("_blocks", F.lit(1).cast("long"))))
+    files = -(-n_rows // (parts * FILE_ROWS)) or 1
+    file = F.pmod(F.xxhash64("word_id"), F.lit(files)) + files * F.floor(F.col("block") / FILE_BLOCKS)
+    entries = F.collect_list(F.struct("row.*", "times")).alias("entries")
+    _write_parts(
+        listed, f"{path}/postings", parts, files, file, ["word_id", "block"], lambda df, by: df.groupBy(*by, "word_id", "block").agg(entries)
+    )
 
     near = words.select("word_id", "wlen", F.explode(deletions(F.col("word"), edits)).alias("rest"))
     near = near.select(_neighbour_key(F.col("rest"), F.col("wlen")).alias("key"), "word_id")
-    _write_parts(near.withColumn("part", part_of("key")), f"{path}/neighbours", "key", "word_id")
+    files = -(-n_words * math.comb(PREFIX, min(edits, PREFIX // 2)) // (parts * FILE_ROWS)) or 1
+    _write_parts(near, f"{path}/neighbours", parts, files, F.pmod(F.xxhash64("key", "word_id"), F.lit(files)), ["key", "word_id"])
     return index
 
 
-def _write_parts(df: DataFrame, path: str, *order: str) -> None:
-    """One folder per ``part``; ranges of rows, not parts, are dealt to the tasks, so a part that is large
-    is written by several."""
-    df.repartitionByRange("part", *order).sortWithinPartitions("part", *order).write.partitionBy("part").parquet(path)
+def _word_id(word: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), word)
+
+
+def _free_seed(counts: DataFrame) -> tuple[int, int, int]:
+    """A seed with which no two words have one id (the first nearly always: ids have 64 bits), the words and their rows."""
+    seed = 0
+    while True:
+        ids = counts.select("n", _word_id(F.col("word"), seed).alias("id"))
+        n, distinct, rows = ids.agg(F.count(F.lit(1)), F.count_distinct("id"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        if distinct == n:
+            return seed, n, rows
+        seed += 1
+
+
+def _write_parts(
+    df: DataFrame, path: str, parts: int, files: int, file: Column, order: Sequence[str],
+    made: Callable[[DataFrame, Sequence[str]], DataFrame] = lambda df, _: df,
+) -> None:
+    """One folder per part of the first column of ``order``.  The rows are dealt by part and ``file`` (about ``files``
+    of a part), so a part that is large is written by several tasks, and what is written is worked out once: a
+    sort by ranges would make it a second time for its sample.  ``made`` works in the tasks of that deal."""
+    by = ["part", "_file"]
+    df = df.withColumn("part", F.pmod(F.xxhash64(order[0]), F.lit(parts)).cast("int")).withColumn("_file", file)
+    df = made(df.repartition(parts * files, *by), by).drop("_file")
+    df.sortWithinPartitions("part", *order).write.partitionBy("part").parquet(path)
 
 
 def _looked_up(spark: SparkSession, index: WordIndex, name: str, wanted: DataFrame, key: str) -> DataFrame:

@@ -119,3 +119,31 @@ def test_length_bands(spark):
     for terms in ([""], ["a", "abc"], ["a" * 5, "a" * 9, "a" * 30], ["a" * i for i in range(3000)]):
         got = {r.n for r in lengths.where(length_bands("n", terms)).collect()}
         assert got == {n for n in range(40) if any(abs(n - len(t)) < 3 for t in terms)}
+
+
+def test_the_index_is_built_without_a_sort_or_join_of_all_rows(spark, tmp_dir, monkeypatch):
+    """Only the words are dealt by ranges, whose sample works everything out twice; a hot word's blocks go to several tasks."""
+    from placeseek.plans import word_index as module
+
+    kind, ranged, dealt = type(spark.range(0)), [], []
+    by_range, by_hash = kind.repartitionByRange, kind.repartition
+    monkeypatch.setattr(kind, "repartitionByRange", lambda self, *a: (ranged.append(self.columns), by_range(self, *a))[1])
+    monkeypatch.setattr(kind, "repartition", lambda self, *a: (dealt.append(by_hash(self, *a)), dealt[-1])[1])
+    monkeypatch.setattr(module, "FILE_BLOCKS", 4)
+    rows = spark.range(3000).select("id", F.explode(F.array(F.lit("the"), F.concat(F.lit("w"), F.col("id") % 50))).alias("palavras"))
+    index = build_word_index(rows, tmp_dir + "/i", ["id"], posting_rows=100, parts=4)
+    assert ranged == [["word", "n", "wlen", "word_id"]] and len(dealt) == 2
+    the = dealt[0].where(F.col("block").isNotNull()).groupBy("word_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("_file").alias("f"))
+    assert [r["f"] for r in the.where("n = 3000").collect()] == [8]
+    assert _same(indexed_fuzzy_filter(spark, index, "the w7"), fuzzy_filter(rows, "the w7"))
+
+
+def test_words_of_equal_hash_get_ids_of_their_own(spark, tmp_dir, monkeypatch):
+    from placeseek.plans import word_index as module
+
+    plain = module._word_id
+    monkeypatch.setattr(module, "_word_id", lambda word, seed: F.length(word).cast("long") if seed < 2 else plain(word, seed))
+    words = spark.createDataFrame(list(enumerate(WORDS)), "id int, palavras string")
+    index = build_word_index(words, tmp_dir + "/i", ["id"])
+    assert index.table(spark, "words").select("word_id").distinct().count() == len({w for w in WORDS if w is not None})
+    assert _same(indexed_fuzzy_filter(spark, index, "abcd São"), fuzzy_filter(words, "abcd São"))
