@@ -10,11 +10,15 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: With this setting, what a query has shuffled is dropped when it ends, not when the driver collects its garbage.
+SHUFFLES_DROPPED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, checkpoint_dir: str | None = None) -> SparkSession:
@@ -101,6 +105,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Drop a scratch folder that nothing returned to the caller reads."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """``settings`` hold for the queries run in the block; then the session has its own again."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """Spark's own estimate of the size of ``df`` (file sizes for a scan), made
     without a job; None where it has none."""
